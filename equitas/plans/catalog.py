@@ -13,7 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import decide, linear_score
+from ..functions.text import display_name, entity_id, intervention_tier, python_list_text, reason_text
+from ..operators.attribution import (factor_names, factor_strength, global_importance,
+                                     linear_attribution, strength_label, top_factors)
 from ..operators.audit import fairness_audit
+from ..operators.gold import build_gold, entity_lookup, gold_page, gold_summary, tier_share
+from .prefix import row_index
 from ..sources.tables import table
 
 # Literal score coefficients shared with the oracle statements.
@@ -117,7 +122,165 @@ def audit_customer(spark: SparkSession, sf: str) -> DataFrame:
     return _report_cols(res.report)
 
 
+# --------------------------------------------------------------------------- attribution
+
+# Literal logistic coefficients for the attribution queries.
+LINEITEM_MODEL = (-1.2, {"l_quantity": 0.03, "l_extendedprice": 0.00002,
+                         "l_discount": -8.0, "l_tax": 5.0})
+
+
+def attributed_lineitem(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    a, coefs = LINEITEM_MODEL
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *coefs)
+    li = li.withColumn("score", linear_score(a, coefs))
+    return linear_attribution(li, coefs), list(coefs)
+
+
+def q_linear_attribution(spark: SparkSession, sf: str) -> DataFrame:
+    df, feats = attributed_lineitem(spark, sf)
+    return df.select("l_orderkey", "l_linenumber",
+                     # phi is plain +,-,* on identical inputs: emitted unrounded, since
+                     # engines break exact decimal ties of round() differently
+                     *[F.element_at("phi", i + 1).alias(f"phi_{f}")
+                       for i, f in enumerate(feats)])
+
+
+def q_top_factors(spark: SparkSession, sf: str) -> DataFrame:
+    df, feats = attributed_lineitem(spark, sf)
+    top = top_factors(F.col("phi"), feats, 3)
+    return df.select("l_orderkey", "l_linenumber", top.alias("t")).select(
+        "l_orderkey", "l_linenumber",
+        F.array_join(factor_names(F.col("t")), "|").alias("top_factors"),
+        F.col("t")[0]["shap_value"].alias("top_value"),
+        F.col("t")[0]["direction"].alias("top_direction"))
+
+
+def q_global_importance(spark: SparkSession, sf: str) -> DataFrame:
+    df, feats = attributed_lineitem(spark, sf)
+    gi = global_importance(df, feats, top=20)
+    return gi.select("feature", _r("importance"), _r("relative"), F.col("rank").cast("long"))
+
+
+def q_factor_strength(spark: SparkSession, sf: str) -> DataFrame:
+    df, feats = attributed_lineitem(spark, sf)
+    top = top_factors(F.col("phi"), feats, 5)
+    st = factor_strength(top)
+    return df.select("l_orderkey", "l_linenumber", F.posexplode(st).alias("pos", "s")).select(
+        "l_orderkey", "l_linenumber", F.col("pos").cast("long").alias("pos"),
+        F.col("s.feature").alias("feature"), F.col("s.pct").cast("long").alias("pct"),
+        strength_label(F.col("s.pct")).alias("strength"))
+
+
+def q_reason_text(spark: SparkSession, sf: str) -> DataFrame:
+    df, feats = attributed_lineitem(spark, sf)
+    top = top_factors(F.col("phi"), feats, 3)
+    tier = intervention_tier(F.col("score"))
+    return df.select("l_orderkey", "l_linenumber", tier.alias("intervention_tier"),
+                     reason_text(top, tier).alias("reason_text"))
+
+
+def q_display_names(spark: SparkSession, sf: str) -> DataFrame:
+    p = table(spark, sf, "part")
+    return p.select("p_partkey", display_name(F.col("p_name")).alias("name_display"),
+                    display_name(F.col("p_brand")).alias("brand_display"),
+                    display_name(F.concat_ws("_", "p_type", "p_brand")).alias("type_display"))
+
+
+# --------------------------------------------------------------------------- gold
+
+# Literal logistic coefficients for the order-level gold table.
+ORDER_MODEL = (-1.5, {"o_totalprice": 0.000004, "n_lines": 0.1, "sum_qty": 0.01,
+                      "avg_disc": -5.0, "avg_tax": 4.0})
+
+
+def order_features(spark: SparkSession, sf: str) -> DataFrame:
+    """orders joined to their lineitem aggregates (lineitem is reduced on the
+    join key first, so the join reuses that partitioning)."""
+    li = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("sum_qty"),
+        F.avg("l_discount").alias("avg_disc"), F.avg("l_tax").alias("avg_tax"))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus",
+                                           "o_orderpriority")
+    j = o.join(li, o["o_orderkey"] == li["l_orderkey"], "left")
+    return j.select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority",
+                    *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
+                      for c in ("n_lines", "sum_qty", "avg_disc", "avg_tax")])
+
+
+def scored_orders(spark: SparkSession, sf: str) -> DataFrame:
+    a, coefs = ORDER_MODEL
+    f = order_features(spark, sf)
+    f = f.withColumn("risk", linear_score(a, coefs))
+    f = f.withColumn("pred", decide(F.col("risk"))).withColumn(
+        "y", F.when(F.col("o_orderstatus") == "F", 1).otherwise(0))
+    f = linear_attribution(f, coefs)
+    return f.withColumn("factors", top_factors(F.col("phi"), list(coefs), 3))
+
+
+def gold_orders(spark: SparkSession, sf: str) -> DataFrame:
+    f = scored_orders(spark, sf)
+    res = fairness_audit(f, [("o_orderpriority", "priority")], "pred", "y")
+    flagged = res.entity_flags(f, scope="attribute", name="bias_flag")
+    return build_gold(flagged, "risk", "factors", "bias_flag", id_column="o_orderkey")
+
+
+def _gold_out(g: DataFrame) -> DataFrame:
+    return g.select("entity_id", "risk_score", python_list_text(F.col("top_factors")).alias("top_factors"),
+                    "reason_text", "intervention_tier", "bias_flag")
+
+
+def q_gold_table(spark: SparkSession, sf: str) -> DataFrame:
+    return _gold_out(gold_orders(spark, sf))
+
+
+def q_gold_page(spark: SparkSession, sf: str) -> DataFrame:
+    return _gold_out(gold_page(gold_orders(spark, sf), page=3, page_size=50, tier="Medium",
+                               sort_by="risk_score", desc=True))
+
+
+def q_gold_summary(spark: SparkSession, sf: str) -> DataFrame:
+    s = gold_summary(gold_orders(spark, sf))
+    return s.select(*[c for c in s.columns if c not in ("bias_rate", "avg_risk_score")],
+                    _r("bias_rate"), _r("avg_risk_score"))
+
+
+def q_gold_summary_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    s = gold_summary(gold_orders(spark, sf), tier="High", page_size=20)
+    return s.select(*[c for c in s.columns if c not in ("bias_rate", "avg_risk_score")],
+                    _r("bias_rate"), _r("avg_risk_score"))
+
+
+def q_tier_share(spark: SparkSession, sf: str) -> DataFrame:
+    return tier_share(gold_orders(spark, sf)).select("intervention_tier", "n", _r("pct"))
+
+
+def q_entity_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    ids = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R").select(
+        F.col("l_orderkey").alias("entity_id"))
+    return _gold_out(entity_lookup(gold_orders(spark, sf), ids))
+
+
+def q_entity_index(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders").select("o_orderkey")
+    idx = row_index(o, ["o_orderkey"], name="row_idx")
+    return idx.select("o_orderkey", "row_idx",
+                      entity_id(None, "ENT", F.col("row_idx")).alias("entity_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "linear_attribution": q_linear_attribution,
+    "top_factors": q_top_factors,
+    "global_importance": q_global_importance,
+    "factor_strength": q_factor_strength,
+    "reason_text": q_reason_text,
+    "display_names": q_display_names,
+    "gold_table": q_gold_table,
+    "gold_page": q_gold_page,
+    "gold_summary": q_gold_summary,
+    "gold_summary_filtered": q_gold_summary_filtered,
+    "tier_share": q_tier_share,
+    "entity_lookup": q_entity_lookup,
+    "entity_index": q_entity_index,
     "audit_lineitem": audit_lineitem,
     "audit_groups": audit_groups,
     "audit_report": audit_report,

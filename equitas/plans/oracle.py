@@ -6,7 +6,8 @@ same column names and values as :mod:`.catalog`.
 
 from __future__ import annotations
 
-from .catalog import CUSTOMER_SCORE, DOCUMENT_SCORE, LINEITEM_SCORE
+from .catalog import (CUSTOMER_SCORE, DOCUMENT_SCORE, LINEITEM_MODEL, LINEITEM_SCORE,
+                      ORDER_MODEL)
 
 Q = "[0, 0.25, 0.5, 0.75, 1]"
 
@@ -21,13 +22,13 @@ def _pred_sql(spec) -> str:
     return f"(CASE WHEN {_score_sql(spec)} >= 0.5 THEN 1 ELSE 0 END)"
 
 
-def _audit_ctes(base_sql: str, attrs, key: str | None = None) -> str:
+def _audit_ctes(base_sql: str, attrs, key: str | None = None, prelude=()) -> str:
     """CTEs base, long, g (group level) and r (attribute level).
 
     ``attrs`` = [(column, type, mode)], mode in plain_num | plain_str |
     numeric_bins | ordinal_bins.
     """
-    ctes = [f"base AS ({base_sql})"]
+    ctes = list(prelude) + [f"base AS ({base_sql})"]
     parts = []
     keep = f", {key}" if key else ""
     for i, (col, _typ, mode) in enumerate(attrs):
@@ -135,3 +136,147 @@ SQL["entity_bias_flag"] = _audit_ctes(CUSTOMER_BASE, CUSTOMER_ATTRS, key="c_cust
     "bool_or(hot.grp IS NOT NULL) AS bias_flag_group "
     "FROM long LEFT JOIN hot ON long.attribute = hot.attribute AND long.grp = hot.grp "
     "GROUP BY long.c_custkey")
+
+
+# --------------------------------------------------------------------------- attribution
+
+
+def _display_sql(x: str) -> str:
+    s = f"regexp_replace({x}, '([a-z])([A-Z])', '\\1 \\2', 'g')"
+    s = f"translate({s}, '_-', '  ')"
+    s = f"regexp_replace({s}, '\\s+', ' ', 'g')"
+    return f"lower(trim({s}))"
+
+
+def _phi_cols(model, src: str) -> tuple[str, list[str]]:
+    """CTE m with means over ``src`` and the phi expressions per feature."""
+    _a, coefs = model
+    means = ", ".join(f"CAST(sum(CAST({c} AS DECIMAL(38, 10))) AS DOUBLE) / count({c}) AS m_{c}"
+                      for c in coefs)
+    phis = [f"({b!r} * (CAST({c} AS DOUBLE) - m_{c}))" for c, b in coefs.items()]
+    return f"m AS (SELECT {means} FROM {src})", phis
+
+
+def _factor_list(model, phis) -> str:
+    _a, coefs = model
+    items = ", ".join(
+        f"{{'neg_mag': -abs({p}), 'neg_idx': {-i}, 'feature': '{c}', 'v': {p}}}"
+        for i, (c, p) in enumerate(zip(coefs, phis)))
+    return f"list_sort([{items}])"
+
+
+def _reason_sql(top: str, tier: str) -> str:
+    ph = (f"list_transform({top}, lambda s: CASE WHEN s.v > 0 THEN {_display_sql('s.feature')} "
+          f"ELSE '(mitigating) ' || {_display_sql('s.feature')} END)")
+    def body(t3, t2, t1, empty):
+        return (f"CASE WHEN len({ph}) >= 3 THEN {t3} WHEN len({ph}) = 2 THEN {t2} "
+                f"WHEN len({ph}) = 1 THEN {t1} ELSE '{empty}' END")
+    a, b, c = f"{ph}[1]", f"{ph}[2]", f"{ph}[3]"
+    high = body(f"'High risk due to ' || {a} || ', ' || {b} || ', and ' || {c} || '.'",
+                f"'High risk due to ' || {a} || ' and ' || {b} || '.'",
+                f"'High risk primarily due to ' || {a} || '.'", "High risk.") + \
+        " || ' Immediate review recommended.'"
+    med = body(f"'Moderate risk influenced by ' || {a} || ', ' || {b} || ', and ' || {c} || '.'",
+               f"'Moderate risk influenced by ' || {a} || ' and ' || {b} || '.'",
+               f"'Moderate risk influenced by ' || {a} || '.'", "Moderate risk.") + \
+        " || ' Review within 30 days advised.'"
+    low = body(f"'Low risk. Key factors: ' || {a} || ', ' || {b} || ', and ' || {c} || '.'",
+               f"'Low risk. Key factors: ' || {a} || ' and ' || {b} || '.'",
+               f"'Low risk. Primary factor: ' || {a} || '.'", "Low risk.") + \
+        " || ' No immediate action required.'"
+    return (f"CASE WHEN {tier} = 'High' THEN ({high}) WHEN {tier} = 'Medium' THEN ({med}) "
+            f"ELSE ({low}) END")
+
+
+def _tier_sql(score: str) -> str:
+    return f"CASE WHEN {score} > 0.7 THEN 'High' WHEN {score} >= 0.4 THEN 'Medium' ELSE 'Low' END"
+
+
+_M, _PHIS = _phi_cols(LINEITEM_MODEL, "lineitem")
+_LI_P = (f"WITH {_M}, p AS (SELECT l_orderkey, l_linenumber, {_score_sql(LINEITEM_MODEL)} AS score, "
+         f"{_factor_list(LINEITEM_MODEL, _PHIS)} AS fl, [{', '.join(_PHIS)}] AS phi FROM lineitem, m)")
+
+SQL["linear_attribution"] = (
+    f"WITH {_M} SELECT l_orderkey, l_linenumber, "
+    + ", ".join(f"{p} AS phi_{c}" for c, p in zip(LINEITEM_MODEL[1], _PHIS))
+    + " FROM lineitem, m")
+SQL["top_factors"] = _LI_P + (
+    " SELECT l_orderkey, l_linenumber, array_to_string(list_transform(list_slice(fl, 1, 3), "
+    "lambda s: s.feature), '|') AS top_factors, fl[1].v AS top_value, "
+    "CASE WHEN fl[1].v > 0 THEN 'increases risk' ELSE 'decreases risk' END AS top_direction FROM p")
+SQL["global_importance"] = _LI_P + (
+    ", gi AS (SELECT " + ", ".join(f"avg(abs(phi[{i + 1}])) AS i{i}" for i in range(len(_PHIS)))
+    + " FROM p), lg AS (" + " UNION ALL ".join(
+        f"SELECT {i} AS idx, '{c}' AS feature, i{i} AS importance FROM gi"
+        for i, c in enumerate(LINEITEM_MODEL[1]))
+    + ") SELECT feature, round(importance, 6) AS importance, "
+      "round(importance / max(importance) OVER (), 6) AS relative, "
+      "row_number() OVER (ORDER BY importance DESC, idx DESC) AS rank FROM lg")
+SQL["factor_strength"] = _LI_P + (
+    ", t AS (SELECT l_orderkey, l_linenumber, list_slice(fl, 1, 5) AS t FROM p), "
+    "u AS (SELECT l_orderkey, l_linenumber, t, greatest(list_max(list_transform(t, lambda s: abs(s.v))), 0.001) "
+    "AS big, generate_subscripts(t, 1) AS k FROM t) "
+    "SELECT l_orderkey, l_linenumber, CAST(k - 1 AS BIGINT) AS pos, t[k].feature AS feature, "
+    "CAST(round(least(abs(t[k].v) / big * 100.0, 100.0), 0) AS BIGINT) AS pct, "
+    "CASE WHEN round(least(abs(t[k].v) / big * 100.0, 100.0), 0) > 70 THEN 'Strong' "
+    "WHEN round(least(abs(t[k].v) / big * 100.0, 100.0), 0) > 35 THEN 'Moderate' ELSE 'Slight' END "
+    "AS strength FROM u")
+SQL["reason_text"] = _LI_P + (
+    f" SELECT l_orderkey, l_linenumber, {_tier_sql('score')} AS intervention_tier, "
+    f"{_reason_sql('list_slice(fl, 1, 3)', _tier_sql('score'))} AS reason_text FROM p")
+SQL["display_names"] = (
+    f"SELECT p_partkey, {_display_sql('p_name')} AS name_display, "
+    f"{_display_sql('p_brand')} AS brand_display, "
+    + _display_sql("concat_ws('_', p_type, p_brand)") + " AS type_display FROM part")
+
+# --------------------------------------------------------------------------- gold
+
+_OM, _OPHIS = _phi_cols(ORDER_MODEL, "f")
+_ORDER_PRE = [
+    "li AS (SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS sum_qty, "
+    "avg(l_discount) AS avg_disc, avg(l_tax) AS avg_tax FROM lineitem GROUP BY l_orderkey)",
+    "f AS (SELECT o_orderkey, o_totalprice, o_orderstatus, o_orderpriority, "
+    "coalesce(CAST(n_lines AS DOUBLE), 0.0) AS n_lines, coalesce(CAST(sum_qty AS DOUBLE), 0.0) AS sum_qty, "
+    "coalesce(CAST(avg_disc AS DOUBLE), 0.0) AS avg_disc, coalesce(CAST(avg_tax AS DOUBLE), 0.0) AS avg_tax "
+    "FROM orders LEFT JOIN li ON o_orderkey = l_orderkey)",
+    _OM,
+    f"s AS (SELECT f.*, {_score_sql(ORDER_MODEL)} AS risk, "
+    f"CASE WHEN {_score_sql(ORDER_MODEL)} >= 0.5 THEN 1 ELSE 0 END AS pred, "
+    "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y, "
+    f"list_slice({_factor_list(ORDER_MODEL, _OPHIS)}, 1, 3) AS fl FROM f, m)",
+]
+_GOLD_CTES = _audit_ctes("SELECT * FROM s", [("o_orderpriority", "priority", "plain_str")],
+                         prelude=_ORDER_PRE) + (
+    ",\ngold AS (SELECT CAST(o_orderkey AS VARCHAR) AS entity_id, round(risk, 4) AS risk_score, "
+    "'[' || array_to_string(list_transform(fl, lambda s: chr(39) || s.feature || chr(39)), ', ') || ']' "
+    f"AS top_factors, {_reason_sql('fl', _tier_sql('risk'))} AS reason_text, "
+    f"{_tier_sql('risk')} AS intervention_tier, "
+    "coalesce((SELECT bool_or(dpd >= 0.05 OR eod >= 0.05) FROM r), false) AS bias_flag FROM s)\n")
+_GOLD_COLS = "entity_id, risk_score, top_factors, reason_text, intervention_tier, bias_flag"
+
+
+def _summary_sql(where: str, page_size: int) -> str:
+    return _GOLD_CTES + (
+        "SELECT count(*) AS total_entities, count_if(intervention_tier = 'High') AS high_risk_count, "
+        "count_if(intervention_tier = 'Medium') AS medium_risk_count, "
+        "count_if(intervention_tier = 'Low') AS low_risk_count, count_if(bias_flag) AS bias_flagged, "
+        f"CAST((count(*) + {page_size - 1}) // {page_size} AS BIGINT) AS total_pages, "
+        "round(coalesce(avg(CAST(bias_flag AS DOUBLE)), 0.0), 6) AS bias_rate, "
+        f"round(coalesce(avg(risk_score), 0.0), 6) AS avg_risk_score FROM gold {where}")
+
+
+SQL["gold_table"] = _GOLD_CTES + f"SELECT {_GOLD_COLS} FROM gold"
+SQL["gold_page"] = _GOLD_CTES + (
+    f"SELECT {_GOLD_COLS} FROM gold WHERE intervention_tier = 'Medium' "
+    "ORDER BY risk_score DESC, entity_id ASC LIMIT 50 OFFSET 100")
+SQL["gold_summary"] = _summary_sql("", 50)
+SQL["gold_summary_filtered"] = _summary_sql("WHERE intervention_tier = 'High'", 20)
+SQL["tier_share"] = _GOLD_CTES + (
+    "SELECT intervention_tier, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS pct "
+    "FROM gold GROUP BY intervention_tier")
+SQL["entity_lookup"] = _GOLD_CTES + (
+    f"SELECT {_GOLD_COLS} FROM gold WHERE entity_id IN "
+    "(SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_returnflag = 'R')")
+SQL["entity_index"] = (
+    "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_idx, "
+    "printf('ENT-%05d', row_number() OVER (ORDER BY o_orderkey) - 1) AS entity_id FROM orders")

@@ -68,8 +68,9 @@ def compare(spark, con, name, fn, sql, sf_dir, show=False):
     if show and not all(ok):
         res["spark_cols"] = scols
         res["duck_cols"] = dcols
-        diff_s = [x for x in sl if x not in set(dl)][:5]
-        diff_d = [x for x in dl if x not in set(sl)][:5]
+        sd, ss = set(dl), set(sl)
+        diff_s = [x for x in sl if x not in sd][:5]
+        diff_d = [x for x in dl if x not in ss][:5]
         res["only_spark"] = diff_s
         res["only_duck"] = diff_d
     return res
