@@ -18,6 +18,8 @@ from ..operators.attribution import (factor_names, factor_strength, global_impor
                                      linear_attribution, strength_label, top_factors)
 from ..operators.audit import fairness_audit
 from ..operators.gold import build_gold, entity_lookup, gold_page, gold_summary, tier_share
+from ..operators.profile import feature_stats, profile_columns
+from ..sources.ingest import validate
 from .prefix import row_index
 from ..sources.tables import table
 
@@ -267,7 +269,44 @@ def q_entity_index(spark: SparkSession, sf: str) -> DataFrame:
                       entity_id(None, "ENT", F.col("row_idx")).alias("entity_id"))
 
 
+# --------------------------------------------------------------------------- profile
+
+def q_profile_orders(spark: SparkSession, sf: str) -> DataFrame:
+    p = profile_columns(table(spark, sf, "orders"))
+    return p.select("column", "position", "dtype", "total_count", "null_count", _r("null_pct"),
+                    "cardinality", _r("unique_ratio"), "is_likely_id", "is_binary",
+                    "is_low_cardinality", "is_numeric", _r("min"), _r("max"), _r("mean"),
+                    _r("median"), _r("std"),
+                    F.array_join("sample_values", "|").alias("sample_values"))
+
+
+def q_validate_orders(spark: SparkSession, sf: str) -> DataFrame:
+    v = validate(table(spark, sf, "orders"))
+    return v.select("total_rows", "total_columns", "total_nulls", "has_nulls", "valid",
+                    F.array_join("issues", "; ").alias("issues"),
+                    F.array_join(F.transform(F.array_sort(F.map_entries("null_counts")),
+                                             lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))),
+                                 ";").alias("null_counts"))
+
+
+def q_validate_nations(spark: SparkSession, sf: str) -> DataFrame:
+    """A table below the row minimum: reported as invalid, not blocked."""
+    v = validate(table(spark, sf, "nation"))
+    return v.select("total_rows", "total_columns", "total_nulls", "has_nulls", "valid",
+                    F.array_join("issues", "; ").alias("issues"))
+
+
+def q_feature_stats(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    st = feature_stats(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"])
+    return st.select("feature", _r("min"), _r("max"), _r("mean"), _r("median"), _r("std"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "profile_orders": q_profile_orders,
+    "validate_orders": q_validate_orders,
+    "validate_nations": q_validate_nations,
+    "feature_stats": q_feature_stats,
     "linear_attribution": q_linear_attribution,
     "top_factors": q_top_factors,
     "global_importance": q_global_importance,

@@ -280,3 +280,57 @@ SQL["entity_lookup"] = _GOLD_CTES + (
 SQL["entity_index"] = (
     "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_idx, "
     "printf('ENT-%05d', row_number() OVER (ORDER BY o_orderkey) - 1) AS entity_id FROM orders")
+
+
+# --------------------------------------------------------------------------- profile
+
+_ORDERS_COLS = [("o_orderkey", "bigint", True), ("o_custkey", "bigint", True),
+                ("o_orderstatus", "string", False), ("o_totalprice", "double", True),
+                ("o_orderdate", "timestamp_ntz", False), ("o_orderpriority", "string", False)]
+
+
+def _profile_sql(tbl: str, cols) -> str:
+    parts = []
+    for i, (c, dt, num) in enumerate(cols):
+        x = f"CAST({c} AS DOUBLE)"
+        stat = (lambda f: f"round({f}({x}), 6)") if num else (lambda f: "CAST(NULL AS DOUBLE)")
+        med = f"round(quantile_cont({x}, 0.5), 6)" if num else "CAST(NULL AS DOUBLE)"
+        order = f"{x}, CAST({c} AS VARCHAR)" if num else f"CAST({c} AS VARCHAR)"
+        sample = (f"(SELECT string_agg(t, '|' ORDER BY {'n, ' if num else ''}t) FROM "
+                  f"(SELECT DISTINCT {x + ' AS n, ' if num else ''}CAST({c} AS VARCHAR) AS t "
+                  f"FROM {tbl} WHERE {c} IS NOT NULL ORDER BY {order.replace(x, 'n') if num else 't'} "
+                  f"LIMIT 5))")
+        parts.append(
+            f"SELECT '{c}' AS \"column\", {i} AS position, '{dt}' AS dtype, count(*) AS total_count, "
+            f"count(*) - count({c}) AS null_count, round((count(*) - count({c})) / greatest(count(*), 1), 6) "
+            f"AS null_pct, count(DISTINCT {c}) AS cardinality, "
+            f"round(count(DISTINCT {c}) / greatest(count(*), 1), 6) AS unique_ratio, "
+            f"(count(DISTINCT {c}) / greatest(count(*), 1) > 0.95 AND count(*) > 10) AS is_likely_id, "
+            f"count(DISTINCT {c}) <= 2 AS is_binary, count(DISTINCT {c}) <= 15 AS is_low_cardinality, "
+            f"{'true' if num else 'false'} AS is_numeric, {stat('min')} AS min, {stat('max')} AS max, "
+            f"{stat('avg')} AS mean, {med} AS median, {stat('stddev_samp')} AS std, "
+            f"{sample} AS sample_values FROM {tbl}")
+    return " UNION ALL ".join(parts)
+
+
+SQL["profile_orders"] = _profile_sql("orders", _ORDERS_COLS)
+SQL["validate_orders"] = (
+    "SELECT count(*) AS total_rows, 6 AS total_columns, "
+    "CAST(" + " + ".join(f"count_if({c} IS NULL)" for c, _, _ in _ORDERS_COLS) + " AS BIGINT) AS total_nulls, "
+    "(" + " + ".join(f"count_if({c} IS NULL)" for c, _, _ in _ORDERS_COLS) + ") > 0 AS has_nulls, "
+    "count(*) >= 50 AS valid, CASE WHEN count(*) < 50 THEN 'Dataset too small: ' || count(*) || "
+    "' rows (minimum 50 expected)' ELSE '' END AS issues, "
+    + " || ';' || ".join(f"'{c}=' || count_if({c} IS NULL)" for c, _, _ in sorted(_ORDERS_COLS))
+    + " AS null_counts FROM orders")
+SQL["validate_nations"] = (
+    "SELECT count(*) AS total_rows, 3 AS total_columns, "
+    "CAST(count_if(n_nationkey IS NULL) + count_if(n_name IS NULL) + count_if(n_regionkey IS NULL) AS BIGINT) "
+    "AS total_nulls, (count_if(n_nationkey IS NULL) + count_if(n_name IS NULL) + "
+    "count_if(n_regionkey IS NULL)) > 0 AS has_nulls, count(*) >= 50 AS valid, "
+    "CASE WHEN count(*) < 50 THEN 'Dataset too small: ' || count(*) || ' rows (minimum 50 expected)' "
+    "ELSE '' END AS issues FROM nation")
+SQL["feature_stats"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(min({c}), 6) AS min, round(max({c}), 6) AS max, "
+    f"round(avg({c}), 6) AS mean, round(quantile_cont({c}, 0.5), 6) AS median, "
+    f"round(stddev_samp({c}), 6) AS std FROM lineitem"
+    for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
