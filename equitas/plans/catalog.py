@@ -19,6 +19,8 @@ from ..operators.attribution import (factor_names, factor_strength, global_impor
 from ..operators.audit import fairness_audit
 from ..operators.gold import build_gold, entity_lookup, gold_page, gold_summary, tier_share
 from ..operators.profile import feature_stats, profile_columns
+from ..operators.silver import (TARGET, encode, engineer_features, impute, plan_features,
+                                prepare_target)
 from ..sources.ingest import validate
 from .prefix import row_index
 from ..sources.tables import table
@@ -302,7 +304,105 @@ def q_feature_stats(spark: SparkSession, sf: str) -> DataFrame:
     return st.select("feature", _r("min"), _r("max"), _r("mean"), _r("median"), _r("std"))
 
 
+# --------------------------------------------------------------------------- silver
+
+def _class_counts(df: DataFrame, cls: str) -> DataFrame:
+    return df.groupBy(cls, TARGET).agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_binarize_minority(spark: SparkSession, sf: str) -> DataFrame:
+    df, _ = prepare_target(table(spark, sf, "lineitem").select("l_linestatus"), "l_linestatus")
+    return _class_counts(df, "l_linestatus")
+
+
+def q_binarize_multi(spark: SparkSession, sf: str) -> DataFrame:
+    df, _ = prepare_target(table(spark, sf, "orders").select("o_orderstatus"), "o_orderstatus")
+    return _class_counts(df, "o_orderstatus")
+
+
+def q_binarize_explicit(spark: SparkSession, sf: str) -> DataFrame:
+    df, _ = prepare_target(table(spark, sf, "orders").select("o_orderpriority"), "o_orderpriority",
+                           positive_class="1-URGENT")
+    return _class_counts(df, "o_orderpriority")
+
+
+def q_binarize_median(spark: SparkSession, sf: str) -> DataFrame:
+    df, _ = prepare_target(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"),
+                           "o_totalprice")
+    return df.select("o_orderkey", TARGET)
+
+
+def q_binarize_two_valued(spark: SparkSession, sf: str) -> DataFrame:
+    df, _ = prepare_target(table(spark, sf, "labels").select("quality"), "quality")
+    return _class_counts(df, "quality")
+
+
+def q_binarize_coerce(spark: SparkSession, sf: str) -> DataFrame:
+    """More than five text classes: numeric coercion, then above the median."""
+    p = table(spark, sf, "part").select(
+        "p_partkey", "p_name", F.col("p_size").cast("string").alias("p_size_text"))
+    names, _ = prepare_target(p.select("p_partkey", "p_name"), "p_name")
+    sizes, _ = prepare_target(p.select("p_partkey", "p_size_text"), "p_size_text")
+    return names.select("p_partkey", F.col(TARGET).alias("name_binary")).join(
+        sizes.select("p_partkey", F.col(TARGET).alias("size_binary")), "p_partkey")
+
+
+def orders_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """orders with nulls placed by key (every row is kept)."""
+    o = table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    return o.select("o_orderkey",
+                    F.when(k % 7 != 0, F.col("o_totalprice")).alias("o_totalprice"),
+                    F.when(k % 5 != 0, F.col("o_orderstatus")).alias("o_orderstatus"),
+                    F.when(k % 11 != 0, F.col("o_orderpriority")).alias("o_orderpriority"))
+
+
+def q_impute_median_mode(spark: SparkSession, sf: str) -> DataFrame:
+    out, _ = impute(orders_with_gaps(spark, sf))
+    return out.select("o_orderkey", _r("o_totalprice"), "o_orderstatus", "o_orderpriority")
+
+
+def user_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """events pivoted to one row per user (one shuffle, partially aggregated)."""
+    e = table(spark, sf, "events")
+    first = F.dayofmonth("ts") <= 15
+    return e.groupBy("user_id").agg(
+        F.count_if(first).alias("events_1"), F.count_if(~first).alias("events_2"),
+        F.sum(F.when(first, F.col("value")).otherwise(0.0)).alias("value_1"),
+        F.sum(F.when(~first, F.col("value")).otherwise(0.0)).alias("value_2"),
+        F.count_if(F.col("event_type") == "click").alias("checkout_started"),
+        F.count_if(F.col("event_type") == "purchase").alias("checkout_completed"),
+        (F.count_if(F.col("event_type") == "error") >= 14).cast("int").alias("many_errors"),
+        (F.count_if(F.col("event_type") == "purchase") >= 14).cast("int").alias("frequent_buyer"),
+        (F.max("value") >= 250).cast("int").alias("big_ticket"))
+
+
+def q_delta_ratio_flags(spark: SparkSession, sf: str) -> DataFrame:
+    u = user_activity(spark, sf)
+    plan = plan_features(u, exclude=["user_id"])
+    out = engineer_features(u, plan)
+    return out.select("user_id", F.col("delta_events").cast("long").alias("delta_events"),
+                      _r("delta_value"), _r("ratio_checkout"),
+                      F.col("binary_flag_sum").cast("long").alias("binary_flag_sum"))
+
+
+def q_ordinal_codes(spark: SparkSession, sf: str) -> DataFrame:
+    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    out, _ = encode(p, exclude=["p_partkey"])
+    return out.select("p_partkey", F.col("p_name").alias("p_name_code"),
+                      F.col("p_brand").alias("p_brand_code"), F.col("p_type").alias("p_type_code"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "binarize_minority": q_binarize_minority,
+    "binarize_multi": q_binarize_multi,
+    "binarize_explicit": q_binarize_explicit,
+    "binarize_median": q_binarize_median,
+    "binarize_two_valued": q_binarize_two_valued,
+    "binarize_coerce": q_binarize_coerce,
+    "impute_median_mode": q_impute_median_mode,
+    "delta_ratio_flags": q_delta_ratio_flags,
+    "ordinal_codes": q_ordinal_codes,
     "profile_orders": q_profile_orders,
     "validate_orders": q_validate_orders,
     "validate_nations": q_validate_nations,

@@ -334,3 +334,67 @@ SQL["feature_stats"] = " UNION ALL ".join(
     f"round(avg({c}), 6) AS mean, round(quantile_cont({c}, 0.5), 6) AS median, "
     f"round(stddev_samp({c}), 6) AS std FROM lineitem"
     for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+
+
+# --------------------------------------------------------------------------- silver
+
+
+def _minority(tbl, c):
+    return (f"WITH cc AS (SELECT {c} AS v, count(*) AS n FROM {tbl} WHERE {c} IS NOT NULL GROUP BY 1), "
+            "pos AS (SELECT v FROM cc ORDER BY n, v LIMIT 1) ")
+
+
+SQL["binarize_minority"] = _minority("lineitem", "l_linestatus") + (
+    "SELECT l_linestatus, CASE WHEN l_linestatus = (SELECT v FROM pos) THEN 1 ELSE 0 END AS target_binary, "
+    "count(*) AS n FROM lineitem GROUP BY ALL")
+SQL["binarize_multi"] = (
+    "WITH cc AS (SELECT o_orderstatus AS v, count(*) AS n FROM orders WHERE o_orderstatus IS NOT NULL GROUP BY 1), "
+    "maj AS (SELECT v FROM cc ORDER BY n DESC, v LIMIT 1) "
+    "SELECT o_orderstatus, CASE WHEN o_orderstatus IS NULL OR o_orderstatus <> (SELECT v FROM maj) "
+    "THEN 1 ELSE 0 END AS target_binary, count(*) AS n FROM orders GROUP BY ALL")
+SQL["binarize_explicit"] = (
+    "SELECT o_orderpriority, CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS target_binary, "
+    "count(*) AS n FROM orders GROUP BY ALL")
+SQL["binarize_median"] = (
+    "SELECT o_orderkey, CASE WHEN o_totalprice > (SELECT quantile_cont(o_totalprice, 0.5) FROM orders) "
+    "THEN 1 ELSE 0 END AS target_binary FROM orders")
+SQL["binarize_two_valued"] = (
+    "SELECT quality, CASE WHEN quality = (SELECT max(quality) FROM labels) THEN 1 ELSE 0 END AS target_binary, "
+    "count(*) AS n FROM labels GROUP BY ALL")
+SQL["binarize_coerce"] = (
+    "SELECT p_partkey, "
+    "CASE WHEN TRY_CAST(p_name AS DOUBLE) > (SELECT quantile_cont(TRY_CAST(p_name AS DOUBLE), 0.5) FROM part) "
+    "THEN 1 ELSE 0 END AS name_binary, "
+    "CASE WHEN CAST(p_size AS DOUBLE) > (SELECT quantile_cont(CAST(p_size AS DOUBLE), 0.5) FROM part) "
+    "THEN 1 ELSE 0 END AS size_binary FROM part")
+_GAPS = ("gaps AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS o_totalprice, "
+         "CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS o_orderstatus, "
+         "CASE WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS o_orderpriority FROM orders)")
+
+
+def _mode(c):
+    return (f"(SELECT v FROM (SELECT {c} AS v, count(*) AS n FROM gaps WHERE {c} IS NOT NULL GROUP BY 1) "
+            "ORDER BY n DESC, v LIMIT 1)")
+
+
+SQL["impute_median_mode"] = (
+    f"WITH {_GAPS} SELECT o_orderkey, "
+    "round(coalesce(o_totalprice, (SELECT quantile_cont(o_totalprice, 0.5) FROM gaps)), 6) AS o_totalprice, "
+    f"coalesce(o_orderstatus, {_mode('o_orderstatus')}) AS o_orderstatus, "
+    f"coalesce(o_orderpriority, {_mode('o_orderpriority')}) AS o_orderpriority FROM gaps")
+SQL["delta_ratio_flags"] = (
+    "WITH u AS (SELECT user_id, count_if(day(ts) <= 15) AS events_1, count_if(day(ts) > 15) AS events_2, "
+    "sum(CASE WHEN day(ts) <= 15 THEN value ELSE 0.0 END) AS value_1, "
+    "sum(CASE WHEN day(ts) > 15 THEN value ELSE 0.0 END) AS value_2, "
+    "count_if(event_type = 'click') AS checkout_started, count_if(event_type = 'purchase') AS checkout_completed, "
+    "CAST(count_if(event_type = 'error') >= 14 AS INTEGER) AS many_errors, "
+    "CAST(count_if(event_type = 'purchase') >= 14 AS INTEGER) AS frequent_buyer, "
+    "CAST(max(value) >= 250 AS INTEGER) AS big_ticket FROM events GROUP BY user_id) "
+    "SELECT user_id, CAST(events_2 - events_1 AS BIGINT) AS delta_events, round(value_2 - value_1, 6) AS delta_value, "
+    "round(CASE WHEN checkout_started = 0 THEN 0.0 ELSE checkout_completed / checkout_started END, 6) "
+    "AS ratio_checkout, CAST(many_errors + frequent_buyer + big_ticket AS BIGINT) AS binary_flag_sum FROM u")
+SQL["ordinal_codes"] = (
+    "SELECT p_partkey, "
+    "CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS INTEGER) AS p_name_code, "
+    "CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS p_brand_code, "
+    "CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS INTEGER) AS p_type_code FROM part")
