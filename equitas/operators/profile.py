@@ -37,7 +37,8 @@ def _q(c: str) -> str:
 
 
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None,
-                    approx: bool = False, with_samples: bool = True) -> DataFrame:
+                    approx: bool = False, with_samples: bool = True,
+                    with_medians: bool = True) -> DataFrame:
     """One row per column with the profile fields (see module doc)."""
     spark = df.sparkSession
     cols = list(columns or df.columns)
@@ -75,7 +76,7 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None,
         (F.col("cardinality") <= BINARY_MAX).alias("is_binary"),
         (F.col("cardinality") <= LOW_CARDINALITY_MAX).alias("is_low_cardinality"),
     )
-    if numeric:
+    if numeric and with_medians:
         med = exact_quantiles(unpivot_numeric(df, numeric), ["_attr"], "_val", [0.5], approx=approx)
         long = long.join(med.select(F.col("_attr").alias("column"), F.col("value").alias("median")),
                          "column", "left")  # both sides have one row per column

@@ -17,6 +17,7 @@ from ..functions.text import display_name, entity_id, intervention_tier, python_
 from ..operators.attribution import (factor_names, factor_strength, global_importance,
                                      linear_attribution, strength_label, top_factors)
 from ..operators.audit import fairness_audit
+from ..operators.discovery import discover
 from ..operators.gold import build_gold, entity_lookup, gold_page, gold_summary, tier_share
 from ..operators.profile import feature_stats, profile_columns
 from ..operators.silver import (TARGET, encode, engineer_features, impute, plan_features,
@@ -393,7 +394,50 @@ def q_ordinal_codes(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("p_brand").alias("p_brand_code"), F.col("p_type").alias("p_type_code"))
 
 
+# --------------------------------------------------------------------------- discovery
+
+DISCOVERY_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+                    "events", "labels")
+
+
+def _discovered(spark: SparkSession, sf: str, match: str = "reference"):
+    return discover({t: table(spark, sf, t) for t in DISCOVERY_TABLES}, match=match)
+
+
+def _classified_out(c: DataFrame) -> DataFrame:
+    return c.select("table", "column", "position", "class", "sensitive_type", "feature_group",
+                    "is_target", "is_identifier", "is_sensitive", "confidence", "method", "ambiguous")
+
+
+def q_discover_columns(spark: SparkSession, sf: str) -> DataFrame:
+    return _classified_out(_discovered(spark, sf)[0])
+
+
+def q_discover_columns_token(spark: SparkSession, sf: str) -> DataFrame:
+    return _classified_out(_discovered(spark, sf, match="token")[0])
+
+
+def q_schema_pick(spark: SparkSession, sf: str) -> DataFrame:
+    _, picks, _ = _discovered(spark, sf)
+    return picks.select("table", "target_column", "id_column", "entity_prefix",
+                        F.array_join("sensitive_columns", "|").alias("sensitive_columns"),
+                        F.array_join(F.transform("sensitive_attributes", lambda s: s["type"]), "|")
+                         .alias("sensitive_types"),
+                        F.col("total_sensitive").cast("long").alias("total_sensitive"),
+                        F.col("total_columns").cast("long").alias("total_columns"))
+
+
+def q_schema_summary(spark: SparkSession, sf: str) -> DataFrame:
+    _, _, groups = _discovered(spark, sf)
+    return groups.select("table", "feature_group", F.array_join("columns", "|").alias("columns"),
+                         F.col("n_columns").cast("long").alias("n_columns"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "discover_columns": q_discover_columns,
+    "discover_columns_token": q_discover_columns_token,
+    "schema_pick": q_schema_pick,
+    "schema_summary": q_schema_summary,
     "binarize_minority": q_binarize_minority,
     "binarize_multi": q_binarize_multi,
     "binarize_explicit": q_binarize_explicit,

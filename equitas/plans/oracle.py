@@ -398,3 +398,9 @@ SQL["ordinal_codes"] = (
     "CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS INTEGER) AS p_name_code, "
     "CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS p_brand_code, "
     "CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS INTEGER) AS p_type_code FROM part")
+
+# --------------------------------------------------------------------------- discovery
+
+from .oracle_discovery import SQL as _DISCOVERY_SQL  # noqa: E402
+
+SQL.update(_DISCOVERY_SQL)
