@@ -12,12 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import decide, linear_score
+from ..functions.scalar import decide, linear_score, platt
 from ..functions.text import display_name, entity_id, intervention_tier, python_list_text, reason_text
 from ..operators.attribution import (factor_names, factor_strength, global_importance,
                                      linear_attribution, strength_label, top_factors)
 from ..operators.audit import fairness_audit
 from ..operators.discovery import discover
+from ..operators.evaluate import (best_model, class_weights, classification_metrics, confusion,
+                                  improvement_pct, metrics_table, roc_auc, score_stats)
+from ..operators.mitigation import apply_thresholds, group_thresholds, reweighing_weights
 from ..operators.gold import build_gold, entity_lookup, gold_page, gold_summary, tier_share
 from ..operators.profile import feature_stats, profile_columns
 from ..operators.silver import (TARGET, encode, engineer_features, impute, plan_features,
@@ -433,7 +436,102 @@ def q_schema_summary(spark: SparkSession, sf: str) -> DataFrame:
                          F.col("n_columns").cast("long").alias("n_columns"))
 
 
+# --------------------------------------------------------------------------- evaluation
+
+# A second literal scorer for the model-comparison queries.
+DOCUMENT_SCORE_B = (-0.3, {"quality": 0.8, "n_chars": -0.0003})
+# A literal sigmoid for the calibration query.
+PLATT_AB = (1.7, -0.35)
+
+
+def scored_documents(spark: SparkSession, sf: str) -> DataFrame:
+    d = labelled_documents(spark, sf)
+    a, b = DOCUMENT_SCORE_B
+    return d.withColumn("score_b", linear_score(a, b)).withColumn(
+        "pred_b", decide(F.col("score_b")))
+
+
+def q_confusion(spark: SparkSession, sf: str) -> DataFrame:
+    return confusion(scored_documents(spark, sf), "toxic", "pred")
+
+
+def q_classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    m = classification_metrics(scored_documents(spark, sf), "toxic", "pred")
+    return m.select("tn", "fp", "fn", "tp", _r("accuracy"), _r("precision"), _r("recall"), _r("f1"))
+
+
+def _model_aucs(spark: SparkSession, sf: str) -> DataFrame:
+    d = scored_documents(spark, sf)
+    return metrics_table({"logistic_regression": roc_auc(d, "toxic", "score"),
+                          "gbt": roc_auc(d, "toxic", "score_b")})
+
+
+def q_auc_exact(spark: SparkSession, sf: str) -> DataFrame:
+    return _model_aucs(spark, sf).select("model", _r("auc"))
+
+
+def q_best_model(spark: SparkSession, sf: str) -> DataFrame:
+    return best_model(_model_aucs(spark, sf)).select("best_model", _r("best_auc"))
+
+
+def q_brier_stats(spark: SparkSession, sf: str) -> DataFrame:
+    d = scored_documents(spark, sf)
+    t = metrics_table({"logistic_regression": score_stats(d, "score", "toxic"),
+                       "gbt": score_stats(d, "score_b", "toxic")})
+    base = t.where(F.col("model") == "logistic_regression").select(F.col("brier").alias("_b0"))
+    return t.crossJoin(base).select(   # base is one row
+        "model", _r("brier"), _r("mean"), _r("std"), _r("min"), _r("max"), _r("median"),
+        F.round(improvement_pct(F.col("_b0"), F.col("brier")), 6).alias("improvement_pct"))
+
+
+def q_class_weights(spark: SparkSession, sf: str) -> DataFrame:
+    w = class_weights(scored_documents(spark, sf), "toxic")
+    return w.select("label", "n", _r("balanced_weight"), _r("scale_pos_weight"))
+
+
+def q_platt_apply(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = PLATT_AB
+    d = scored_documents(spark, sf)
+    cal = d.withColumn("calibrated", platt(F.col("score"), a, b))
+    st = score_stats(cal, "calibrated", "toxic")
+    return st.select(_r("brier"), _r("mean"), _r("std"), _r("min"), _r("max"), _r("median"))
+
+
+# --------------------------------------------------------------------------- mitigation
+
+def scored_lineitem_full(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    a, b = LINEITEM_SCORE
+    return li.select("l_returnflag", "l_linestatus", linear_score(a, b).alias("score"),
+                     decide(linear_score(a, b)).alias("pred"),
+                     F.when(F.col("l_discount") >= 0.05, 1).otherwise(0).alias("y"))
+
+
+def q_reweigh(spark: SparkSession, sf: str) -> DataFrame:
+    w = reweighing_weights(scored_lineitem_full(spark, sf), "l_returnflag", "y")
+    return w.select("grp", "label", "n", _r("weight"))
+
+
+def q_group_thresholds(spark: SparkSession, sf: str) -> DataFrame:
+    df = scored_lineitem_full(spark, sf)
+    th = group_thresholds(df, "l_returnflag", "score", pred="pred")
+    adj = apply_thresholds(df, "l_returnflag", "score", th)
+    rates = adj.groupBy(F.col("l_returnflag").alias("grp")).agg(
+        F.avg(F.col("pred_adjusted").cast("double")).alias("adjusted_rate"),
+        F.avg(F.col("pred").cast("double")).alias("original_rate"))
+    return th.join(rates, "grp").select("grp", _r("threshold"), _r("adjusted_rate"), _r("original_rate"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "confusion": q_confusion,
+    "classification_metrics": q_classification_metrics,
+    "auc_exact": q_auc_exact,
+    "best_model": q_best_model,
+    "brier_stats": q_brier_stats,
+    "class_weights": q_class_weights,
+    "platt_apply": q_platt_apply,
+    "reweigh": q_reweigh,
+    "group_thresholds": q_group_thresholds,
     "discover_columns": q_discover_columns,
     "discover_columns_token": q_discover_columns_token,
     "schema_pick": q_schema_pick,

@@ -404,3 +404,7 @@ SQL["ordinal_codes"] = (
 from .oracle_discovery import SQL as _DISCOVERY_SQL  # noqa: E402
 
 SQL.update(_DISCOVERY_SQL)
+
+from .oracle_eval import SQL as _EVAL_SQL  # noqa: E402
+
+SQL.update(_EVAL_SQL)
