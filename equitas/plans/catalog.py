@@ -19,8 +19,11 @@ from ..operators.attribution import (factor_names, factor_strength, global_impor
 from ..operators.audit import fairness_audit
 from ..operators.discovery import discover
 from ..operators.evaluate import (best_model, class_weights, classification_metrics, confusion,
-                                  improvement_pct, metrics_table, roc_auc, score_stats)
+                                  evaluate, improvement_pct, metrics_table, roc_auc, score_stats)
 from ..operators.mitigation import apply_thresholds, group_thresholds, reweighing_weights
+from ..operators.models import calibrate_cv, fit, stratified_split
+from ..operators.scenarios import baseline, grid, score_scenarios
+from ..operators.treeshap import tree_shap
 from ..operators.gold import build_gold, entity_lookup, gold_page, gold_summary, tier_share
 from ..operators.profile import feature_stats, profile_columns
 from ..operators.silver import (TARGET, encode, engineer_features, impute, plan_features,
@@ -522,7 +525,97 @@ def q_group_thresholds(spark: SparkSession, sf: str) -> DataFrame:
     return th.join(rates, "grp").select("grp", _r("threshold"), _r("adjusted_rate"), _r("original_rate"))
 
 
+# --------------------------------------------------------------------------- scenarios
+
+def q_scenario_baseline(spark: SparkSession, sf: str) -> DataFrame:
+    b = baseline(table(spark, sf, "lineitem"), list(LINEITEM_MODEL[1]))
+    return b.select("feature", _r("min"), _r("max"), _r("baseline"))
+
+
+def q_scenario_grid(spark: SparkSession, sf: str) -> DataFrame:
+    a, coefs = LINEITEM_MODEL
+    g = grid(table(spark, sf, "lineitem"), list(coefs))
+    return g.select("feature", F.col("step").cast("long").alias("step"), _r("value"),
+                    F.round(linear_score(a, coefs), R6).alias("prob"))
+
+
+def q_score_scenarios(spark: SparkSession, sf: str) -> DataFrame:
+    """Order feature vectors without the tax feature: it defaults to 0."""
+    a, coefs = ORDER_MODEL
+    sc = order_features(spark, sf).drop("avg_tax")
+    out = score_scenarios(sc, a, coefs, k=5)
+    return out.select("o_orderkey", _r("prob"), "prediction", "intervention_tier",
+                      F.array_join(factor_names(F.col("factors")), "|").alias("top_factors"))
+
+
+# --------------------------------------------------------------------------- models (rows only)
+
+MODEL_FEATURES = ["n_chars", "quality"]
+N_TREES = 20
+
+
+def _doc_model_frame(spark: SparkSession, sf: str) -> DataFrame:
+    return labelled_documents(spark, sf).select("doc_id", "lang", "source", *MODEL_FEATURES, "toxic")
+
+
+def q_split_md5(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return stratified_split(o, "o_orderstatus", ["o_orderkey"], kind="md5").select(
+        "o_orderkey", "o_orderstatus", "is_test")
+
+
+def q_fit_score_lr(spark: SparkSession, sf: str) -> DataFrame:
+    d = _doc_model_frame(spark, sf)
+    m = fit(d, MODEL_FEATURES, "toxic", kind="logistic_regression")
+    s = m.score(d)
+    return s.select("doc_id", "prob", decide(F.col("prob")).alias("prediction"),
+                    intervention_tier(F.col("prob")).alias("intervention_tier"))
+
+
+def q_fit_score_gbt(spark: SparkSession, sf: str) -> DataFrame:
+    d = _doc_model_frame(spark, sf)
+    m = fit(d, MODEL_FEATURES, "toxic", kind="gbt", n_trees=N_TREES)
+    s = m.score(d)
+    return s.select("doc_id", "prob", "margin", decide(F.col("prob")).alias("prediction"))
+
+
+def q_calibrate_cv(spark: SparkSession, sf: str) -> DataFrame:
+    d = _doc_model_frame(spark, sf)
+    cal = calibrate_cv(d, MODEL_FEATURES, "toxic", ["doc_id"], kind="gbt", n_folds=5, n_trees=10)
+    return cal.score(d).select("doc_id", "calibrated")
+
+
+def q_tree_shap(spark: SparkSession, sf: str) -> DataFrame:
+    d = _doc_model_frame(spark, sf)
+    m = fit(d, MODEL_FEATURES, "toxic", kind="gbt", n_trees=N_TREES)
+    shap = tree_shap(d, m.model, MODEL_FEATURES, ["doc_id"])
+    top = top_factors(F.col("phi"), MODEL_FEATURES, 3)
+    return shap.select("doc_id", "base_value", "margin",
+                       F.array_join(factor_names(top), "|").alias("top_factors"))
+
+
+def q_model_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    d = stratified_split(_doc_model_frame(spark, sf), "toxic", ["doc_id"])
+    train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
+    rows = {}
+    for kind in ("logistic_regression", "gbt"):
+        m = fit(train, MODEL_FEATURES, "toxic", kind=kind, n_trees=N_TREES)
+        rows[kind] = evaluate(m.score(test), "toxic", "prob")
+    table_ = metrics_table(rows)
+    return table_.crossJoin(best_model(table_)).select(   # best_model is one row
+        "model", "auc", "accuracy", "precision", "recall", "f1", "tn", "fp", "fn", "tp", "best_model")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "scenario_baseline": q_scenario_baseline,
+    "scenario_grid": q_scenario_grid,
+    "score_scenarios": q_score_scenarios,
+    "split_md5": q_split_md5,
+    "fit_score_lr": q_fit_score_lr,
+    "fit_score_gbt": q_fit_score_gbt,
+    "calibrate_cv": q_calibrate_cv,
+    "tree_shap": q_tree_shap,
+    "model_comparison": q_model_comparison,
     "confusion": q_confusion,
     "classification_metrics": q_classification_metrics,
     "auc_exact": q_auc_exact,

@@ -408,3 +408,7 @@ SQL.update(_DISCOVERY_SQL)
 from .oracle_eval import SQL as _EVAL_SQL  # noqa: E402
 
 SQL.update(_EVAL_SQL)
+
+from .oracle_more import SQL as _MORE_SQL  # noqa: E402
+
+SQL.update(_MORE_SQL)
