@@ -24,6 +24,7 @@ from ..operators.mitigation import apply_thresholds, group_thresholds, reweighin
 from ..operators.models import calibrate_cv, fit, stratified_split
 from ..operators.scenarios import baseline, grid, score_scenarios
 from ..operators.treeshap import tree_shap
+from ..streaming.monitor import bias_by_window, run_monitor
 from ..operators.gold import build_gold, entity_lookup, gold_page, gold_summary, tier_share
 from ..operators.profile import feature_stats, profile_columns
 from ..operators.silver import (TARGET, encode, engineer_features, impute, plan_features,
@@ -606,7 +607,40 @@ def q_model_comparison(spark: SparkSession, sf: str) -> DataFrame:
         "model", "auc", "accuracy", "precision", "recall", "f1", "tn", "fp", "fn", "tp", "best_model")
 
 
+# --------------------------------------------------------------------------- streaming
+
+def _event_parts():
+    attrs = [("event_type", F.col("event_type"))]
+    pred = F.when(F.col("value") >= 35, 1).otherwise(0)
+    label = F.when(F.get_json_object("props", "$.k").cast("int") >= 50, 1).otherwise(0)
+    return attrs, pred, label
+
+
+def _window_out(df: DataFrame) -> DataFrame:
+    return df.select(F.col("window_start").cast("long").alias("window_start"), "attribute",
+                     F.col("n_groups").cast("long").alias("n_groups"),
+                     F.col("n_rows").cast("long").alias("n_rows"), _r("dpd"), _r("eod"),
+                     "dpd_flagged", "eod_flagged")
+
+
+def q_bias_by_window(spark: SparkSession, sf: str) -> DataFrame:
+    attrs, pred, label = _event_parts()
+    return _window_out(bias_by_window(table(spark, sf, "events"), "ts", attrs, pred, label, "1 day"))
+
+
+def q_stream_bias_monitor(spark: SparkSession, sf: str) -> DataFrame:
+    """The same monitor as a Structured Streaming query (file source, availableNow);
+    the last window is still open at the end of the input and is not emitted."""
+    attrs, pred, label = _event_parts()
+    schema = table(spark, sf, "events").schema
+    out = run_monitor(spark, sf.rstrip("/"), schema, "ts", attrs, pred, label, window="1 day",
+                      watermark="1 hour", file_glob="events.parquet")
+    return _window_out(out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "bias_by_window": q_bias_by_window,
+    "stream_bias_monitor": q_stream_bias_monitor,
     "scenario_baseline": q_scenario_baseline,
     "scenario_grid": q_scenario_grid,
     "score_scenarios": q_score_scenarios,

@@ -60,3 +60,19 @@ SQL: dict[str, str] = {
         "SELECT h.o_orderkey, h.o_orderstatus, h.h <= c.cut AS is_test FROM h JOIN c "
         "ON h.o_orderstatus = c.o_orderstatus"),
 }
+
+
+_WINDOWS = (
+    "WITH b AS (SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS window_start, 'event_type' AS attribute, "
+    "event_type AS grp, CASE WHEN value >= 35 THEN 1 ELSE 0 END AS p, "
+    "CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) >= 50 THEN 1 ELSE 0 END AS y FROM events), "
+    "g AS (SELECT window_start, attribute, grp, count(*) AS n, CAST(sum(p) AS DOUBLE) / count(*) AS rate, "
+    "CASE WHEN sum(y) > 0 THEN CAST(sum(p * y) AS DOUBLE) / sum(y) ELSE 0.0 END AS tpr FROM b GROUP BY ALL), "
+    "r AS (SELECT window_start, attribute, count(*) AS n_groups, CAST(sum(n) AS BIGINT) AS n_rows, "
+    "CASE WHEN count(*) >= 2 THEN max(rate) - min(rate) ELSE 0.0 END AS dpd, "
+    "CASE WHEN count(*) >= 2 THEN max(tpr) - min(tpr) ELSE 0.0 END AS eod FROM g GROUP BY ALL) "
+    "SELECT window_start, attribute, n_groups, n_rows, round(dpd, 6) AS dpd, round(eod, 6) AS eod, "
+    "dpd >= 0.05 AS dpd_flagged, eod >= 0.05 AS eod_flagged FROM r")
+SQL["bias_by_window"] = _WINDOWS
+# the stream holds back the last window: the watermark has not passed its end
+SQL["stream_bias_monitor"] = _WINDOWS + " WHERE window_start < (SELECT max(window_start) FROM r)"
