@@ -638,7 +638,27 @@ def q_stream_bias_monitor(spark: SparkSession, sf: str) -> DataFrame:
     return _window_out(out)
 
 
+# --------------------------------------------------------------------------- end to end (rows only)
+
+def q_run_documents(spark: SparkSession, sf: str) -> DataFrame:
+    from .run import run
+    src = labelled_documents(spark, sf).select("doc_id", "lang", "source", "n_chars", "quality", "toxic")
+    res = run(spark, src, target="toxic", sensitive=[("lang", "language"), ("source", "origin")],
+              n_trees=N_TREES, n_folds=5)
+    return _gold_out(res.gold)
+
+
+def q_run_orders(spark: SparkSession, sf: str) -> DataFrame:
+    from .run import run
+    src = order_features(spark, sf)
+    res = run(spark, src, target="o_orderstatus", positive_class="F", id_column="o_orderkey",
+              sensitive=[("o_orderpriority", "priority")], n_trees=N_TREES, n_folds=5)
+    return _gold_out(res.gold)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "run_documents": q_run_documents,
+    "run_orders": q_run_orders,
     "bias_by_window": q_bias_by_window,
     "stream_bias_monitor": q_stream_bias_monitor,
     "scenario_baseline": q_scenario_baseline,
