@@ -93,11 +93,14 @@ def plan_attributes(df: DataFrame, sensitive, approx: bool = False) -> list[Attr
     plans: list[AttributePlan] = []
     need_count = [c for c, _ in attrs
                   if not isinstance(df.schema[c].dataType, _FLOAT_TYPES)]
+    floats = [c for c, _ in attrs if c not in need_count]
     nunique = {}
-    if need_count:
+    if attrs:
         fn = F.approx_count_distinct if approx else F.count_distinct
-        row = df.agg(*[fn(F.col(_q(c))).alias(c) for c in need_count]).first()
-        nunique = {c: row[c] for c in need_count}
+        # exact counts decide plain vs binned; HyperLogLog sizes the float columns
+        row = df.agg(*[fn(F.col(_q(c))).alias(c) for c in need_count],
+                     *[F.approx_count_distinct(F.col(_q(c))).alias(c) for c in floats]).first()
+        nunique = {c: row[c] for c, _ in attrs}
     for c, typ in attrs:
         dtype = df.schema[c].dataType
         if isinstance(dtype, _FLOAT_TYPES):
@@ -113,7 +116,9 @@ def plan_attributes(df: DataFrame, sensitive, approx: bool = False) -> list[Attr
         stacked = df.select(F.explode(F.array(*[
             F.struct(F.lit(p.column).alias("_attr"), F.col(_q(p.column)).cast("double").alias("_val"))
             for p in numeric])).alias("_s")).select("_s.*")
-        q = exact_quantiles(stacked, ["_attr"], "_val", QUARTILES, approx=approx).collect()
+        hint = max(nunique[p.column] for p in numeric)
+        q = exact_quantiles(stacked, ["_attr"], "_val", QUARTILES, approx=approx,
+                            distinct_hint=hint).collect()
         for p in numeric:
             p.edges = dedupe_edges([r["value"] for r in q if r["_attr"] == p.column])
     ordinal = [p for p in plans if p.mode == "ordinal_bins"]

@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .profile import profile_columns
+from .profile import LIKELY_ID_MIN_ROWS, LIKELY_ID_RATIO, LOW_CARDINALITY_MAX, is_numeric
 
 # Keyword lists, in rule order.
 TARGET_WORDS = ("target", "label", "outcome", "default", "churn", "result", "status", "class",
@@ -96,16 +96,34 @@ def rules_table(spark: SparkSession) -> DataFrame:
 
 
 def column_catalog(tables: Mapping[str, DataFrame], approx: bool = False) -> DataFrame:
-    """(table, column, position, dtype, is_numeric, is_likely_id, is_low_cardinality)."""
+    """(table, column, position, dtype, is_numeric, is_likely_id, is_low_cardinality).
+
+    Every table is unpivoted to (table, column, value as text) and all of them
+    are profiled by one aggregation, so the whole catalog costs one job.
+    """
     parts = []
+    meta = []
     for name, df in tables.items():
-        p = profile_columns(df, approx=approx, with_samples=False, with_medians=False)
-        parts.append(p.select(F.lit(name).alias("table"), "column", "position", "dtype", "is_numeric",
-                              "is_likely_id", "is_low_cardinality"))
-    out = parts[0]
+        items = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("v"))
+                 for c in df.columns]
+        parts.append(df.select(F.lit(name).alias("table"), F.explode(F.array(*items)).alias("s"))
+                     .select("table", "s.column", "s.v"))
+        for i, f in enumerate(df.schema.fields):
+            meta.append((name, f.name, i, f.dataType.simpleString(), is_numeric(f.dataType)))
+    long = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        long = long.unionByName(p)
+    distinct = F.approx_count_distinct("v") if approx else F.count_distinct("v")
+    stats = long.groupBy("table", "column").agg(F.count(F.lit(1)).alias("n"), distinct.alias("card"))
+    spark = long.sparkSession
+    info = spark.createDataFrame(meta, "table string, column string, position int, dtype string, "
+                                       "is_numeric boolean")   # schema metadata: one row per column
+    n = F.col("n")
+    ratio = F.col("card") / F.greatest(n, F.lit(1))
+    return info.join(stats, ["table", "column"], "left").select(
+        "table", "column", "position", "dtype", "is_numeric",
+        ((ratio > LIKELY_ID_RATIO) & (n > LIKELY_ID_MIN_ROWS)).alias("is_likely_id"),
+        (F.col("card") <= LOW_CARDINALITY_MAX).alias("is_low_cardinality"))
 
 
 def classify(catalog: DataFrame, match: str = "reference") -> DataFrame:

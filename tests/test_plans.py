@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from equitas.plans.prefix import row_index, running_totals
@@ -32,14 +33,16 @@ def test_row_index_is_dense_and_ordered(spark):
     assert sorted((r["key"], r["row_idx"]) for r in out) == [(i, i) for i in range(1000)]
 
 
-def test_exact_quantiles_match_numpy(spark):
+@pytest.mark.parametrize("hint", [None, 10 ** 9])
+def test_exact_quantiles_match_numpy(spark, hint):
     rnd = np.random.default_rng(7)
     vals = {"x": rnd.normal(size=301).round(2), "y": rnd.integers(0, 5, size=40).astype(float),
             "z": np.array([5.0, 5.0, 5.0])}
     rows = [(k, float(v)) for k, arr in vals.items() for v in arr]
     df = spark.createDataFrame(rows, "k string, v double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    got = {(r["k"], r["q_idx"]): r["value"] for r in exact_quantiles(df, ["k"], "v", probs).collect()}
+    q = exact_quantiles(df, ["k"], "v", probs, distinct_hint=hint)  # 10**9 forces the distributed path
+    got = {(r["k"], r["q_idx"]): r["value"] for r in q.collect()}
     for k, arr in vals.items():
         want = np.quantile(arr, probs)
         for i, w in enumerate(want):
