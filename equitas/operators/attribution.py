@@ -17,6 +17,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.layout import spread
+
 PHI = "phi"
 
 
@@ -41,6 +43,7 @@ def linear_attribution(df: DataFrame, coefs: Mapping[str, float],
     """Add ``phi`` = array of per-feature contributions (in ``coefs`` order)."""
     feats = list(coefs)
     means = means if means is not None else feature_means(df, feats)
+    df = spread(df)  # per-row work follows (phi, top factors, text)
     terms = [(F.lit(float(coefs[f])) * (F.col(f).cast("double") - F.lit(float(means[f]))))
              for f in feats]
     return df.withColumn(name, F.array(*terms))

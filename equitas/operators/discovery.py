@@ -19,6 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.layout import spread
 from .profile import LIKELY_ID_MIN_ROWS, LIKELY_ID_RATIO, LOW_CARDINALITY_MAX, is_numeric
 
 # Keyword lists, in rule order.
@@ -104,6 +105,7 @@ def column_catalog(tables: Mapping[str, DataFrame], approx: bool = False) -> Dat
     parts = []
     meta = []
     for name, df in tables.items():
+        df = spread(df)  # the unpivot multiplies rows by the column count
         items = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("v"))
                  for c in df.columns]
         parts.append(df.select(F.lit(name).alias("table"), F.explode(F.array(*items)).alias("s"))

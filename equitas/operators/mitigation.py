@@ -10,21 +10,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.quantiles import exact_quantiles
 
 
 def reweighing_weights(df: DataFrame, group: str, label: str) -> DataFrame:
-    """(group, label, n, weight) with weight = n_g * n_y / (n * n_gy)."""
+    """(group, label, n, weight) with weight = n_g * n_y / (n * n_gy).
+
+    The marginals are aggregates of the (group, label) table: per-group sums
+    join back on the group key, and the label totals (two rows) and the grand
+    total (one row) are broadcast, so no window holds all groups in one task.
+    """
     g = df.groupBy(F.col(group).alias("grp"), F.col(label).cast("int").alias("label")).agg(
         F.count(F.lit(1)).alias("n"))
-    # g has (#groups x 2) rows; the windows below work on that small table
-    by_g = F.sum("n").over(Window.partitionBy("grp"))
-    by_y = F.sum("n").over(Window.partitionBy("label"))
-    total = F.sum("n").over(Window.partitionBy())
-    return g.select("grp", "label", "n", (by_g * by_y / (total * F.col("n"))).alias("weight"))
+    # fresh key names on the aggregated sides keep the self-joins unambiguous
+    by_g = g.groupBy(F.col("grp").alias("_g")).agg(F.sum("n").alias("_n_g"))
+    by_y = g.groupBy(F.col("label").alias("_y")).agg(F.sum("n").alias("_n_y"))  # two rows
+    total = g.agg(F.sum("n").alias("_n_all"))                                      # one row
+    out = (g.join(by_g, F.col("grp").eqNullSafe(F.col("_g")))
+            .join(F.broadcast(by_y), F.col("label") == F.col("_y"))
+            .crossJoin(F.broadcast(total)))
+    return out.select("grp", "label", "n",
+                      (F.col("_n_g") * F.col("_n_y") / (F.col("_n_all") * F.col("n"))).alias("weight"))
 
 
 def reweigh(df: DataFrame, group: str, label: str, name: str = "weight") -> DataFrame:

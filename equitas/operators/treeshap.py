@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.layout import spread
 from ..session import checkpoint_dir
 
 
@@ -190,7 +191,7 @@ def tree_shap(df: DataFrame, model, features: Sequence[str], keep: Sequence[str]
             out["margin"] = [base + float(p.sum()) for p in phis]
             yield out
 
-    src = df.select(*keep, *[F.col(f).cast("double").alias(f) for f in feats if f not in keep])
+    src = spread(df.select(*keep, *[F.col(f).cast("double").alias(f) for f in feats if f not in keep]))
     return src.mapInPandas(explain, schema).withColumn("space", F.lit(space))
 
 

@@ -31,6 +31,7 @@ from ..operators.silver import (TARGET, encode, engineer_features, impute, plan_
                                 prepare_target)
 from ..sources.ingest import validate
 from .prefix import row_index
+from ..session import reliable_checkpoint
 from ..sources.tables import table
 
 # Literal score coefficients shared with the oracle statements.
@@ -225,6 +226,9 @@ def scored_orders(spark: SparkSession, sf: str) -> DataFrame:
     f = f.withColumn("risk", linear_score(a, coefs))
     f = f.withColumn("pred", decide(F.col("risk"))).withColumn(
         "y", F.when(F.col("o_orderstatus") == "F", 1).otherwise(0))
+    # four jobs read these rows (means, audit counts, group stats, gold):
+    # materialise the join once in the shared checkpoint folder
+    f = reliable_checkpoint(f)
     f = linear_attribution(f, coefs)
     return f.withColumn("factors", top_factors(F.col("phi"), list(coefs), 3))
 

@@ -1,0 +1,21 @@
+"""Partition layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a frame with fewer partitions than the session has cores.
+
+    Row-parallel operators (per-row attribution, TreeSHAP, text) call this on
+    their input: a single-row-group file is one scan task, and without a
+    spread all of their per-row work would run in it. Filters and column
+    pruning are still pushed below the exchange. Inputs that already have
+    enough partitions, as on a cluster, are returned unchanged. Aggregations
+    do not call it: partial aggregation in the scan task is already cheap.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

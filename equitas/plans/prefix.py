@@ -12,6 +12,8 @@ bounded tasks:
 3. add a window sum inside each (key, partition) block plus its offset.
 
 Order columns must be unique within ``keys`` (callers aggregate first).
+When a size check shows that no key has more than ``WINDOW_MAX_ROWS`` rows,
+a plain window per key is used instead (its tasks are bounded by that size).
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from pyspark.sql import functions as F
 from ..session import default_parallelism, reliable_checkpoint
 
 PID = "_pid"
+# Keys with at most this many rows are summed by one window each (bounded).
+WINDOW_MAX_ROWS = 100_000
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str],
@@ -46,6 +50,18 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys, order, sum_cols = list(keys), list(order), list(sum_cols)
     spark = df.sparkSession
+    if num_partitions is None:
+        # size check: when no key holds more than WINDOW_MAX_ROWS rows, one
+        # window per key is bounded and skips the sample / checkpoint / join
+        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if largest <= WINDOW_MAX_ROWS:
+            run = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
+                Window.unboundedPreceding, Window.currentRow)
+            cols = [F.sum(c).over(run).alias(f"cum_{c}") for c in sum_cols]
+            if with_key_totals:
+                whole = Window.partitionBy(*keys)
+                cols += [F.sum(c).over(whole).alias(f"tot_{c}") for c in sum_cols]
+            return df.select("*", *cols)
     p = num_partitions or default_parallelism(spark)
     ranged = df.repartitionByRange(p, *[F.col(c).asc_nulls_first() for c in keys + order])
     ranged = reliable_checkpoint(ranged.withColumn(PID, F.spark_partition_id()))

@@ -17,8 +17,14 @@ def test_running_totals_match_cumsum(spark):
     # a hot key: a third of all rows
     rows += [("hot", 1000 + i, 1) for i in range(len(rows) // 2)]
     df = spark.createDataFrame(rows, "k string, v long, w long")
-    got = {(r["k"], r["v"]): (r["cum_w"], r["tot_w"])
-           for r in running_totals(df, ["k"], ["v"], ["w"], num_partitions=5, with_key_totals=True).collect()}
+    for parts in (5, None):   # 5: the distributed path; None: the size-checked window path
+        got = {(r["k"], r["v"]): (r["cum_w"], r["tot_w"])
+               for r in running_totals(df, ["k"], ["v"], ["w"], num_partitions=parts,
+                                       with_key_totals=True).collect()}
+        _check_cumsum(rows, got)
+
+
+def _check_cumsum(rows, got):
     for k in {r[0] for r in rows}:
         part = sorted((r for r in rows if r[0] == k), key=lambda r: r[1])
         acc, tot = 0, sum(r[2] for r in part)
