@@ -102,3 +102,8 @@ def entity_lookup(gold: DataFrame, ids: DataFrame, id_col: str = "entity_id") ->
     """Batch lookup: gold rows whose id appears in ``ids`` (a left-semi join)."""
     keys = ids.select(F.col(id_col).cast("string").alias("entity_id")).distinct()
     return gold.join(keys, "entity_id", "left_semi")
+
+
+def lookup_entity(gold: DataFrame, entity: str) -> DataFrame:
+    """One entity by id (first match); the filter is pushed to the scan."""
+    return gold.where(F.col("entity_id") == F.lit(str(entity))).limit(1)

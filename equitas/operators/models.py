@@ -101,11 +101,21 @@ def estimator(kind: str, label: str, n_trees: int = 200, max_depth: int | None =
 
 
 def fit(train: DataFrame, features: Sequence[str], label: str, kind: str = "gbt",
-        n_trees: int = 200, max_depth: int | None = None, C: float = 1.0) -> Fitted:
+        n_trees: int = 200, max_depth: int | None = None, C: float = 1.0,
+        weight_col: str | None = None) -> Fitted:
     """Fit one model. Logistic regression uses L2 with ``regParam = 1 / (C * sum(w))``,
-    which is the same objective as an unscaled ``C``-penalised fit."""
+    which is the same objective as an unscaled ``C``-penalised fit.
+
+    Rows are weighted by class (balanced; positives by n_neg / n_pos for boosted
+    trees) unless ``weight_col`` names a weight already on the rows, e.g. the
+    reweighing weights of :mod:`.mitigation`.
+    """
     mode = "scale_pos" if kind == "gbt" else "balanced"
-    data = with_weights(train.fillna(0, subset=list(features)), label, mode)
+    data = train.fillna(0, subset=list(features))
+    if weight_col:
+        data = data.withColumn("weight", F.col(weight_col).cast("double"))
+    else:
+        data = with_weights(data, label, mode)
     data = data.withColumn(label, F.col(label).cast("double"))
     reg = 0.0
     if kind == "logistic_regression":

@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from equitas.operators.models import calibrate_cv, fit, stratified_split
-from equitas.operators.treeshap import extract_trees, shap_row, tree_shap
+from equitas.operators.treeshap import extract_trees, leaf_paths, shap_batch, shap_row, tree_shap
 
 FEATS = ["a", "b", "c"]
 
@@ -52,6 +52,9 @@ def test_gbt_treeshap_matches_brute_force_and_margin(spark):
     assert space == "log_odds"
     x = np.array([0.3, 2.0, 0.5])
     assert np.allclose(shap_row(trees, x, 3), _brute_shap(trees, x, 3), atol=1e-9)
+    rows = np.random.default_rng(5).normal(size=(50, 3)) * [1.0, 2.0, 0.5] + [0.0, 1.5, 0.5]
+    batch = shap_batch(trees, [leaf_paths(t) for t in trees], rows)
+    assert np.allclose(batch, [shap_row(trees, r, 3) for r in rows], atol=1e-9)
     out = tree_shap(df, model.model, FEATS, ["id", "a", "b", "c"]).join(
         model.score(df).select("id", F.col("margin").alias("m2")), "id")
     # MLlib rawPrediction is (-F, F): the margin difference is 2F, the log-odds
