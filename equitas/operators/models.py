@@ -11,11 +11,16 @@
   weighted copies of each row); the calibrated probability is the mean of the
   fold models. Folds are hashed per row and the training frame is persisted
   once for the fits.
+* Independent fits (the folds, the candidate models) are submitted from a
+  small thread pool, as ``CrossValidator(parallelism=...)`` does: each fit is
+  a chain of short Spark jobs, and running several chains at once keeps the
+  cluster busy between the jobs of any one chain.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -23,14 +28,32 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from ..plans.quantiles import exact_quantiles
 from .evaluate import class_weights
 
 FEATURES = "features"
 SEED = 42
+# Independent model fits submitted at once (each one still uses every executor).
+FIT_PARALLELISM = 4
+
+
+def in_parallel(fn: Callable, items: Sequence, parallelism: int = FIT_PARALLELISM) -> list:
+    """``[fn(x) for x in items]`` with up to ``parallelism`` fits in flight.
+
+    Threads only submit Spark jobs; the work runs on the executors. Results
+    keep the order of ``items``.
+    """
+    items = list(items)
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    # child threads carry the caller's job properties and tags
+    target = inheritable_thread_target(SparkSession.active())(fn)
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        return list(pool.map(target, items))
 
 
 def split_hash(key_cols: Sequence[str], seed: int = SEED, kind: str = "xxhash") -> Column:
@@ -166,21 +189,24 @@ def platt_fit(scored: DataFrame, margin: str, label: str) -> tuple[float, float]
 
 def calibrate_cv(train: DataFrame, features: Sequence[str], label: str, key_cols: Sequence[str],
                  kind: str = "gbt", n_folds: int = 5, n_trees: int = 200,
-                 max_depth: int | None = None) -> Calibrated:
-    """Cross-fitted Platt scaling (needs at least ``n_folds`` rows per class)."""
+                 max_depth: int | None = None, parallelism: int = FIT_PARALLELISM) -> Calibrated:
+    """Cross-fitted Platt scaling (needs at least ``n_folds`` rows per class).
+    Up to ``parallelism`` folds are fitted at once."""
     data = train.withColumn("_fold", fold_column(train, key_cols, n_folds))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     per_class = data.groupBy(label).count().collect()
     if len(per_class) < 2 or min(r["count"] for r in per_class) < n_folds:
         data.unpersist()
         raise ValueError(f"calibration needs at least {n_folds} rows of each class")
-    folds = []
+
+    def one_fold(k: int):
+        base = fit(data.where(F.col("_fold") != k), features, label, kind, n_trees, max_depth)
+        held = base.score(data.where(F.col("_fold") == k).fillna(0, subset=list(features)))
+        a, b = platt_fit(held, "margin", label)
+        return base, a, b
+
     try:
-        for k in range(n_folds):
-            base = fit(data.where(F.col("_fold") != k), features, label, kind, n_trees, max_depth)
-            held = base.score(data.where(F.col("_fold") == k).fillna(0, subset=list(features)))
-            a, b = platt_fit(held, "margin", label)
-            folds.append((base, a, b))
+        folds = in_parallel(one_fold, range(n_folds), parallelism)
     finally:
         data.unpersist()
     return Calibrated(folds)

@@ -21,7 +21,7 @@ from ..operators.discovery import discover
 from ..operators.evaluate import (best_model, class_weights, classification_metrics, confusion,
                                   evaluate, improvement_pct, metrics_table, roc_auc, score_stats)
 from ..operators.mitigation import apply_thresholds, group_thresholds, reweighing_weights
-from ..operators.models import calibrate_cv, fit, stratified_split
+from ..operators.models import calibrate_cv, fit, in_parallel, stratified_split
 from ..operators.scenarios import baseline, grid, score_scenarios
 from ..operators.treeshap import tree_shap
 from ..streaming.monitor import bias_by_window, run_monitor
@@ -602,11 +602,11 @@ def q_tree_shap(spark: SparkSession, sf: str) -> DataFrame:
 def q_model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     d = stratified_split(_doc_model_frame(spark, sf), "toxic", ["doc_id"])
     train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
-    rows = {}
-    for kind in ("logistic_regression", "gbt"):
-        m = fit(train, MODEL_FEATURES, "toxic", kind=kind, n_trees=N_TREES)
-        rows[kind] = evaluate(m.score(test), "toxic", "prob")
-    table_ = metrics_table(rows)
+    kinds = ("logistic_regression", "gbt")
+    fitted = in_parallel(lambda kind: fit(train, MODEL_FEATURES, "toxic", kind=kind,
+                                          n_trees=N_TREES), kinds)
+    table_ = metrics_table({kind: evaluate(m.score(test), "toxic", "prob")
+                            for kind, m in zip(kinds, fitted)})
     return table_.crossJoin(best_model(table_)).select(   # best_model is one row
         "model", "auc", "accuracy", "precision", "recall", "f1", "tn", "fp", "fn", "tp", "best_model")
 

@@ -20,7 +20,7 @@ from ..operators.audit import AuditResult, fairness_audit
 from ..operators.discovery import discover
 from ..operators.evaluate import best_model, evaluate, metrics_table
 from ..operators.gold import build_gold, gold_summary
-from ..operators.models import Fitted, calibrate_cv, fit, stratified_split
+from ..operators.models import Fitted, calibrate_cv, fit, in_parallel, stratified_split
 from ..operators.silver import TARGET, Silver, model_feature_columns, transform
 from ..operators.treeshap import tree_shap
 from ..session import reliable_checkpoint
@@ -83,11 +83,10 @@ def run(spark: SparkSession, source, *, target: str | None = None, positive_clas
     split = stratified_split(frame, TARGET, key_cols)
     train = split.where(~F.col("is_test"))
     test = split.where(F.col("is_test"))
-    models: dict[str, Fitted] = {}
-    rows = {}
-    for kind in kinds:
-        models[kind] = fit(train, feats, TARGET, kind=kind, n_trees=n_trees, max_depth=max_depth)
-        rows[kind] = evaluate(models[kind].score(test), TARGET, "prob")
+    fitted = in_parallel(lambda kind: fit(train, feats, TARGET, kind=kind, n_trees=n_trees,
+                                          max_depth=max_depth), kinds)
+    models: dict[str, Fitted] = dict(zip(kinds, fitted))
+    rows = {kind: evaluate(models[kind].score(test), TARGET, "prob") for kind in kinds}
     metrics = metrics_table(rows)
     best = best_model(metrics).first()["best_model"]
 
