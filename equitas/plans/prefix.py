@@ -28,6 +28,9 @@ from ..session import default_parallelism, reliable_checkpoint
 PID = "_pid"
 # Keys with at most this many rows are summed by one window each (bounded).
 WINDOW_MAX_ROWS = 100_000
+# Rows per range partition on the distributed path: the range count grows
+# with the data instead of staying at the session's shuffle width.
+ROWS_PER_RANGE = 4_000_000
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str],
@@ -50,10 +53,12 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys, order, sum_cols = list(keys), list(order), list(sum_cols)
     spark = df.sparkSession
+    total = 0
     if num_partitions is None:
         # size check: when no key holds more than WINDOW_MAX_ROWS rows, one
         # window per key is bounded and skips the sample / checkpoint / join
-        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        sizes = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+        largest, total = sizes[0] or 0, sizes[1] or 0
         if largest <= WINDOW_MAX_ROWS:
             run = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
                 Window.unboundedPreceding, Window.currentRow)
@@ -62,7 +67,7 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 whole = Window.partitionBy(*keys)
                 cols += [F.sum(c).over(whole).alias(f"tot_{c}") for c in sum_cols]
             return df.select("*", *cols)
-    p = num_partitions or default_parallelism(spark)
+    p = num_partitions or max(default_parallelism(spark), -(-total // ROWS_PER_RANGE))
     ranged = df.repartitionByRange(p, *[F.col(c).asc_nulls_first() for c in keys + order])
     ranged = reliable_checkpoint(ranged.withColumn(PID, F.spark_partition_id()))
 
