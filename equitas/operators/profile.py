@@ -51,7 +51,11 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None,
             x = F.col(_q(c)).cast("double")
             aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"), F.avg(x).alias(f"av{i}"),
                      F.stddev_samp(x).alias(f"sd{i}")]
-    wide = df.agg(*aggs)
+    stats = df.agg(*aggs)
+    # one row of statistics, collected so that the distinct counts can size the
+    # median plan (no separate HyperLogLog pass)
+    row = stats.first()
+    wide = spark.createDataFrame([tuple(row)], stats.schema)
     null_d = F.lit(None).cast("double")
     long = wide.select(F.explode(F.array(*[
         F.struct(
@@ -77,7 +81,9 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None,
         (F.col("cardinality") <= LOW_CARDINALITY_MAX).alias("is_low_cardinality"),
     )
     if numeric and with_medians:
-        med = exact_quantiles(unpivot_numeric(df, numeric), ["_attr"], "_val", [0.5], approx=approx)
+        hint = max(row[f"cd{i}"] or 0 for i, c in enumerate(cols) if c in numeric)
+        med = exact_quantiles(unpivot_numeric(df, numeric), ["_attr"], "_val", [0.5], approx=approx,
+                              distinct_hint=hint)
         long = long.join(med.select(F.col("_attr").alias("column"), F.col("value").alias("median")),
                          "column", "left")  # both sides have one row per column
     else:

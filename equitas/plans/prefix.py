@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from ..session import default_parallelism, reliable_checkpoint
 
 PID = "_pid"
-# Keys with at most this many rows are summed by one window each (bounded).
-WINDOW_MAX_ROWS = 100_000
+# Keys with at most this many rows are summed by one window each: one task
+# sorts and scans them (seconds of work; the window buffer spills to disk).
+WINDOW_MAX_ROWS = 2_000_000
 # Rows per range partition on the distributed path: the range count grows
 # with the data instead of staying at the session's shuffle width.
 ROWS_PER_RANGE = 4_000_000
@@ -47,9 +48,13 @@ def _null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str],
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    sum_cols: Sequence[str], num_partitions: int | None = None,
-                   with_key_totals: bool = False) -> DataFrame:
+                   with_key_totals: bool = False, size_hint: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum of ``c`` within ``keys`` ordered by
     ``order``) for every ``c`` in ``sum_cols``; optionally ``tot_<c>`` per key.
+
+    ``size_hint`` is an estimate of the largest key's row count (e.g. from
+    HyperLogLog); with a 2x margin under the window bound it replaces the
+    exact size-check job.
     """
     keys, order, sum_cols = list(keys), list(order), list(sum_cols)
     spark = df.sparkSession
@@ -57,8 +62,11 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if num_partitions is None:
         # size check: when no key holds more than WINDOW_MAX_ROWS rows, one
         # window per key is bounded and skips the sample / checkpoint / join
-        sizes = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
-        largest, total = sizes[0] or 0, sizes[1] or 0
+        if size_hint is not None and size_hint * 2 <= WINDOW_MAX_ROWS:
+            largest = size_hint
+        else:
+            sizes = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+            largest, total = sizes[0] or 0, sizes[1] or 0
         if largest <= WINDOW_MAX_ROWS:
             run = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
                 Window.unboundedPreceding, Window.currentRow)

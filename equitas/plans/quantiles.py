@@ -68,7 +68,9 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     if with_codes:
         counted = counted.withColumn("_one", F.lit(1).cast("long"))
         sums.append("_one")
-    ranked = running_totals(counted, keys, [value], sums, with_key_totals=True)
+    # rows per key here are distinct values per key: the estimate sizes the plan
+    ranked = running_totals(counted, keys, [value], sums, with_key_totals=True,
+                            size_hint=distinct_hint)
 
     n = F.col("tot__c")
     below = F.col("cum__c") - F.col("_c")
