@@ -37,8 +37,9 @@ from .evaluate import class_weights
 
 FEATURES = "features"
 SEED = 42
-# Independent model fits submitted at once (each one still uses every executor).
-FIT_PARALLELISM = 4
+# Independent model fits submitted at once (each one still uses every executor):
+# enough for the five Platt folds to run in one round.
+FIT_PARALLELISM = 5
 
 
 def in_parallel(fn: Callable, items: Sequence, parallelism: int = FIT_PARALLELISM) -> list:
