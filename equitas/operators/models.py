@@ -213,5 +213,9 @@ def calibrate_cv(train: DataFrame, features: Sequence[str], label: str, key_cols
     return Calibrated(folds)
 
 
-def load(path: str, name: str, features: Sequence[str]) -> Fitted:
-    return Fitted(name, PipelineModel.load(path), list(features))
+def load(path: str, name: str, features: Sequence[str] | None = None) -> Fitted:
+    """A saved model; the feature names come from its assembler stage unless given."""
+    model = PipelineModel.load(path)
+    if features is None:
+        features = model.stages[0].getInputCols()
+    return Fitted(name, model, list(features))

@@ -6,6 +6,7 @@ import datetime as _dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..functions.text import python_list_text
@@ -50,6 +51,26 @@ def ingest(spark: SparkSession, source=None, *, path: str | None = None,
     raise ValueError("no source given: pass a DataFrame, a path or a table name")
 
 
+def cached_dataset(spark: SparkSession, name: str, cache_dir: str, source=None,
+                   refresh: bool = False) -> DataFrame:
+    """A named dataset read through a Parquet cache under ``cache_dir``.
+
+    The cached copy is used when it exists (unless ``refresh``); otherwise
+    ``source`` (anything :func:`ingest` takes) is read once, written to the
+    cache, and the cached copy is returned, so later runs skip the source.
+    """
+    path = f"{cache_dir.rstrip('/')}/{name}"
+    if not refresh:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:   # not cached yet
+            pass
+    if source is None:
+        raise FileNotFoundError(f"dataset {name!r} is not cached and no source was given")
+    ingest(spark, source).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def validate(df: DataFrame) -> DataFrame:
     """One row: totals, null counts per column, issues; never raises."""
     cols = df.columns

@@ -2,11 +2,12 @@
 
 import itertools
 import math
+import tempfile
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from equitas.operators.models import calibrate_cv, fit, stratified_split
+from equitas.operators.models import calibrate_cv, fit, load, stratified_split
 from equitas.operators.treeshap import extract_trees, leaf_paths, shap_batch, shap_row, tree_shap
 
 FEATS = ["a", "b", "c"]
@@ -77,6 +78,12 @@ def test_logistic_regression_and_platt(spark):
     cal = calibrate_cv(df, FEATS, "y", ["id"], kind="logistic_regression", n_folds=3)
     out = cal.score(df).select("a", "calibrated")
     assert out.where((F.col("calibrated") < 0) | (F.col("calibrated") > 1)).count() == 0
+    path = tempfile.mkdtemp(prefix="equitas-model-")
+    lr.save(path)
+    back = load(path, "logistic_regression")   # feature names from the saved assembler
+    assert back.features == FEATS
+    again = back.score(df).select("id", F.col("prob").alias("p2")).join(scored.select("id", "prob"), "id")
+    assert again.where(F.abs(F.col("p2") - F.col("prob")) > 1e-12).count() == 0
 
 
 def test_stratified_split_keeps_class_shares(spark):

@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from equitas.sources.ingest import (audit_metrics, ingest, log_metrics, metrics_rows, preview, validate,
+from equitas.sources.ingest import (audit_metrics, cached_dataset, ingest, log_metrics, metrics_rows, preview, validate,
                                     write_gold, write_importance, write_silver)
 
 
@@ -66,3 +66,20 @@ def test_metrics_log_appends(spark):
     log_metrics(audit_metrics(report, "r1"), d)
     got = spark.read.parquet(d)
     assert got.count() == 4 and got.where(F.col("key") == "dpd_g").first()["value"] == 0.1
+
+
+def test_cached_dataset_reads_through(spark):
+    d = _tmp()
+    src = spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string")
+    first = cached_dataset(spark, "people", f"{d}/cache", source=src)
+    assert sorted(r["id"] for r in first.collect()) == [1, 2]
+    # later reads use the cached copy, with or without a source
+    assert cached_dataset(spark, "people", f"{d}/cache").count() == 2
+    fresh = spark.createDataFrame([(3, "c")], "id int, s string")
+    assert cached_dataset(spark, "people", f"{d}/cache", source=fresh).count() == 2
+    assert cached_dataset(spark, "people", f"{d}/cache", source=fresh, refresh=True).count() == 1
+    try:
+        cached_dataset(spark, "nobody", f"{d}/cache")
+        raise AssertionError("expected a missing dataset to fail")
+    except FileNotFoundError:
+        pass
