@@ -2,15 +2,17 @@
 
 Plan, for any number of sensitive attributes:
 
-* a few small statistics decide how each attribute is grouped: float columns,
-  and other columns with more than ten distinct values, are cut into
-  quartile bins whose edges come from :func:`exact_quantiles` (one distributed
-  job for all such attributes);
-* every row is unpivoted into (attribute, group, pred, label) inside the scan
-  stage and reduced by one ``groupBy(attribute, group)``; partial aggregation
-  means the shuffle carries one row per group per task, however skewed the
-  groups are;
-* a second, tiny ``groupBy(attribute)`` turns group rates into DPD / EOD.
+* every row is unpivoted into (attribute, value, pred, label) inside the scan
+  stage and reduced by one ``groupBy(attribute, value)``; partial aggregation
+  means the shuffle carries one row per value per task, however skewed the
+  values are. This table is the only pass over the input and is written to
+  the shared checkpoint folder;
+* from it, exact distinct counts decide how each attribute is grouped: float
+  columns, and other columns with more than ten distinct values, are cut
+  into quartile bins whose edges come from :func:`exact_quantiles` weighted
+  by the value counts (one distributed job for all such attributes);
+* values are mapped to groups by literal edges and re-aggregated, and a
+  second, tiny ``groupBy(attribute)`` turns group rates into DPD / EOD.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import types as T
 
 from ..functions.binning import bin_by_edges, dedupe_edges
 from ..plans.quantiles import exact_quantiles
+from ..session import reliable_checkpoint
 
 log = logging.getLogger(__name__)
 
@@ -78,11 +81,49 @@ def _normalize_sensitive(sensitive) -> list[tuple[str, str | None]]:
     return out
 
 
-def plan_attributes(df: DataFrame, sensitive, approx: bool = False) -> list[AttributePlan]:
+def _label_exprs(df: DataFrame, column: str) -> tuple[Column, Column]:
+    """(value as text, value as double or null) for one attribute."""
+    c = F.col(_q(column))
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, T.BooleanType):
+        return F.when(c, "True").when(~c, "False"), c.cast("double")
+    if isinstance(dtype, T.NumericType):
+        return c.cast("string"), c.cast("double")
+    return c.cast("string"), F.lit(None).cast("double")
+
+
+def value_table(df: DataFrame, columns: Sequence[str], pred: str, label: str) -> DataFrame:
+    """One row per (attribute, distinct value) with the four audit counts.
+
+    Every row is unpivoted inside the scan stage and reduced by one
+    ``groupBy``; partial aggregation sends at most one row per value per task
+    through the shuffle, however skewed the values are. Distinct counts,
+    quartile edges and group rates are all computed from this table, so the
+    input is scanned once.
+    """
+    items = []
+    for c in columns:
+        txt, num = _label_exprs(df, c)
+        items.append(F.struct(F.lit(c).alias("attribute"), txt.alias("v_txt"), num.alias("v_num")))
+    p_col = F.col(_q(pred)).cast("long")
+    y_col = F.col(_q(label)).cast("long")
+    long = df.select(F.explode(F.array(*items)).alias("_a"), p_col.alias("_p"), y_col.alias("_y"))
+    return long.groupBy(F.col("_a.attribute").alias("attribute"), F.col("_a.v_txt").alias("v_txt"),
+                        F.col("_a.v_num").alias("v_num")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("_p").alias("n_pred_pos"),
+        F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)).alias("n_pos"),
+        F.sum(F.when(F.col("_y") == 1, F.col("_p")).otherwise(0)).alias("n_true_pos"))
+
+
+def plan_attributes(df: DataFrame, sensitive, values: DataFrame | None = None,
+                    pred: str | None = None, label: str | None = None) -> list[AttributePlan]:
     """Decide plain groups vs quartile bins and compute all bin edges.
 
-    Two small jobs at most: distinct counts of the non-float attributes, and
-    one exact-quantile job per value kind (numeric / text) of binned attributes.
+    Works on the (attribute, value) table of :func:`value_table` (built here
+    from ``pred`` / ``label`` when not given): exact distinct counts are a
+    count of its rows, and the quartiles are exact, weighted by the value
+    counts, one small job per value kind (numeric / text) of binned attributes.
     """
     attrs = []
     for col, typ in _normalize_sensitive(sensitive):
@@ -90,17 +131,13 @@ def plan_attributes(df: DataFrame, sensitive, approx: bool = False) -> list[Attr
             log.warning("sensitive column %r not found, skipped", col)
             continue
         attrs.append((col, typ))
+    if not attrs:
+        return []
+    if values is None:
+        values = value_table(df, [c for c, _ in attrs], pred, label)
+    counts = values.where(F.col("v_txt").isNotNull()).groupBy("attribute").count().collect()
+    nunique = {c: 0 for c, _ in attrs} | {r["attribute"]: r["count"] for r in counts}
     plans: list[AttributePlan] = []
-    need_count = [c for c, _ in attrs
-                  if not isinstance(df.schema[c].dataType, _FLOAT_TYPES)]
-    floats = [c for c, _ in attrs if c not in need_count]
-    nunique = {}
-    if attrs:
-        fn = F.approx_count_distinct if approx else F.count_distinct
-        # exact counts decide plain vs binned; HyperLogLog sizes the float columns
-        row = df.agg(*[fn(F.col(_q(c))).alias(c) for c in need_count],
-                     *[F.approx_count_distinct(F.col(_q(c))).alias(c) for c in floats]).first()
-        nunique = {c: row[c] for c, _ in attrs}
     for c, typ in attrs:
         dtype = df.schema[c].dataType
         if isinstance(dtype, _FLOAT_TYPES):
@@ -113,24 +150,21 @@ def plan_attributes(df: DataFrame, sensitive, approx: bool = False) -> list[Attr
 
     numeric = [p for p in plans if p.mode == "numeric_bins"]
     if numeric:
-        stacked = df.select(F.explode(F.array(*[
-            F.struct(F.lit(p.column).alias("_attr"), F.col(_q(p.column)).cast("double").alias("_val"))
-            for p in numeric])).alias("_s")).select("_s.*")
+        rows = values.where(F.col("attribute").isin([p.column for p in numeric]))
         hint = max(nunique[p.column] for p in numeric)
-        q = exact_quantiles(stacked, ["_attr"], "_val", QUARTILES, approx=approx,
-                            distinct_hint=hint).collect()
+        q = exact_quantiles(rows, ["attribute"], "v_num", QUARTILES, distinct_hint=hint,
+                            count_col="n").collect()
         for p in numeric:
-            p.edges = dedupe_edges([r["value"] for r in q if r["_attr"] == p.column])
+            p.edges = dedupe_edges([r["value"] for r in q if r["attribute"] == p.column])
     ordinal = [p for p in plans if p.mode == "ordinal_bins"]
     if ordinal:
-        stacked = df.select(F.explode(F.array(*[
-            F.struct(F.lit(p.column).alias("_attr"), F.col(_q(p.column)).cast("string").alias("_val"))
-            for p in ordinal])).alias("_s")).select("_s.*")
-        q = exact_quantiles(stacked, ["_attr"], "_val", QUARTILES, with_codes=True).collect()
+        rows = values.where(F.col("attribute").isin([p.column for p in ordinal]))
+        q = exact_quantiles(rows, ["attribute"], "v_txt", QUARTILES, with_codes=True,
+                            count_col="n", distinct_hint=max(nunique[p.column] for p in ordinal)).collect()
         for p in ordinal:
-            rows = sorted((r for r in q if r["_attr"] == p.column), key=lambda r: r["q_idx"])
+            rows_p = sorted((r for r in q if r["attribute"] == p.column), key=lambda r: r["q_idx"])
             thresholds, last = [], None
-            for r in rows:  # duplicate code edges are dropped, thresholds may repeat
+            for r in rows_p:  # duplicate code edges are dropped, thresholds may repeat
                 if last is None or r["code"] != last:
                     thresholds.append(r["low_value"])
                     last = r["code"]
@@ -143,24 +177,27 @@ def with_groups(df: DataFrame, plans: Sequence[AttributePlan]) -> DataFrame:
     return df.select("*", *[p.group(df)[0].alias(f"grp__{p.column}") for p in plans])
 
 
-def group_stats(df: DataFrame, plans: Sequence[AttributePlan], pred: str, label: str) -> DataFrame:
-    """One row per (attribute, group): n, positive predictions, positives, TPR."""
-    items = []
+def group_stats(values: DataFrame, plans: Sequence[AttributePlan]) -> DataFrame:
+    """One row per (attribute, group): n, positive predictions, positives, TPR.
+
+    Groups are formed on the (attribute, value) table: plain attributes keep
+    their values, binned ones map each value to its bin by literal edges.
+    """
+    grp, order = None, None
     for p in plans:
-        g, order = p.group(df)
-        items.append(F.struct(F.lit(p.column).alias("attribute"), g.alias("grp"),
-                              order.alias("grp_ord")))
-    p_col = F.col(_q(pred)).cast("long")
-    y_col = F.col(_q(label)).cast("long")
-    long = df.select(F.explode(F.array(*items)).alias("_a"),
-                     p_col.alias("_p"), y_col.alias("_y"))
-    agg = long.groupBy(F.col("_a.attribute").alias("attribute"), F.col("_a.grp").alias("grp"),
-                       F.col("_a.grp_ord").alias("grp_ord")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("_p").alias("n_pred_pos"),
-        F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)).alias("n_pos"),
-        F.sum(F.when(F.col("_y") == 1, F.col("_p")).otherwise(0)).alias("n_true_pos"),
-    )
+        is_p = F.col("attribute") == F.lit(p.column)
+        if p.mode == "numeric_bins":
+            code = bin_by_edges(F.col("v_num"), p.edges)
+            g, o = code.cast("string"), code.cast("double")
+        elif p.mode == "ordinal_bins":
+            code = bin_by_edges(F.col("v_txt"), p.edges)
+            g, o = code.cast("string"), code.cast("double")
+        else:
+            g, o = F.col("v_txt"), F.col("v_num")
+        grp = F.when(is_p, g) if grp is None else grp.when(is_p, g)
+        order = F.when(is_p, o) if order is None else order.when(is_p, o)
+    agg = values.groupBy("attribute", grp.alias("grp"), order.alias("grp_ord")).agg(
+        *[F.sum(c).alias(c) for c in ("n", "n_pred_pos", "n_pos", "n_true_pos")])
     return agg.select(
         "attribute", "grp", "grp_ord", "n", "n_pred_pos", "n_pos", "n_true_pos",
         (F.col("n_pred_pos") / F.col("n")).alias("positive_rate"),
@@ -274,20 +311,26 @@ class AuditResult:
         return df.withColumn(name, cond)
 
 
-def fairness_audit(df: DataFrame, sensitive, pred: str, label: str,
-                   approx: bool = False) -> AuditResult:
+def fairness_audit(df: DataFrame, sensitive, pred: str, label: str) -> AuditResult:
     """Audit ``pred`` (0/1) against ``label`` (0/1) over every sensitive attribute.
 
     ``sensitive`` is a list of column names, (column, type) pairs or dicts with
     ``column``/``type``. Columns missing from ``df`` are skipped with a warning.
     Every finding is reported; nothing is suppressed.
+
+    The input is scanned once: the (attribute, value) table is written to the
+    shared checkpoint folder and every later step reads that reduced table.
     """
-    plans = plan_attributes(df, sensitive, approx=approx)
-    if not plans:
+    present = [c for c, _ in _normalize_sensitive(sensitive) if c in df.columns]
+    if not present:
+        for c, _ in _normalize_sensitive(sensitive):
+            log.warning("sensitive column %r not found, skipped", c)
         spark = df.sparkSession
         empty_groups = spark.createDataFrame([], "attribute string, grp string, grp_ord double, "
                                              "n long, n_pred_pos long, n_pos long, n_true_pos long, "
                                              "positive_rate double, tpr double")
-        return AuditResult(plans, empty_groups, attribute_report(empty_groups, plans), pred, label)
-    groups = group_stats(df, plans, pred, label)
+        return AuditResult([], empty_groups, attribute_report(empty_groups, []), pred, label)
+    values = reliable_checkpoint(value_table(df, present, pred, label))
+    plans = plan_attributes(df, sensitive, values=values)
+    groups = group_stats(values, plans)
     return AuditResult(plans, groups, attribute_report(groups, plans), pred, label)

@@ -31,19 +31,22 @@ BUFFER_MAX_DISTINCT = 200_000
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probs: Sequence[float], with_codes: bool = False,
                     approx: bool = False, accuracy: int = 100000,
-                    distinct_hint: int | None = None) -> DataFrame:
+                    distinct_hint: int | None = None, count_col: str | None = None) -> DataFrame:
     """Return ``keys..., q_idx, prob, value`` (and ``code``, ``low_value`` when
     ``with_codes``): the interpolated quantile of ``value`` within each key.
 
     ``code`` is the same quantile taken over the 0-based dense rank of the
     values, and ``low_value`` the value at the lower bracketing row rank; they
     let callers bin non-numeric columns by rank without a join.
+
+    ``count_col`` marks pre-aggregated input: each row stands for that many
+    rows holding ``value`` (the result is the same as on the expanded rows).
     """
     keys = list(keys)
     probs = [float(p) for p in probs]
     if approx:
-        if with_codes:
-            raise ValueError("codes need the exact path")
+        if with_codes or count_col:
+            raise ValueError("codes and pre-counted rows need the exact path")
         agg = df.groupBy(*keys).agg(
             F.percentile_approx(F.col(value).cast("double"), probs, accuracy).alias("_qs"))
         return agg.select(*keys, F.posexplode("_qs").alias("q_idx", "value")).select(
@@ -57,13 +60,16 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
             distinct_hint = sizes.agg(F.max("_d")).first()[0] or 0
         # the estimate's error is a few percent: keep a wide margin
         if distinct_hint * 2 <= BUFFER_MAX_DISTINCT:
-            agg = df.groupBy(*keys).agg(F.percentile(F.col(value).cast("double"), probs).alias("_qs"))
+            freq = F.col(count_col).cast("long") if count_col else F.lit(1)
+            agg = df.groupBy(*keys).agg(
+                F.percentile(F.col(value).cast("double"), probs, freq).alias("_qs"))
             return agg.select(*keys, F.posexplode("_qs").alias("q_idx", "value")).select(
                 *keys, "q_idx", F.element_at(F.array(*[F.lit(p) for p in probs]),
                                              F.col("q_idx") + 1).alias("prob"), "value")
 
+    weight = F.sum(F.col(count_col).cast("long")) if count_col else F.count(F.lit(1))
     counted = (df.where(F.col(value).isNotNull())
-               .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
+               .groupBy(*keys, value).agg(weight.alias("_c")))
     sums = ["_c"]
     if with_codes:
         counted = counted.withColumn("_one", F.lit(1).cast("long"))

@@ -5,7 +5,8 @@ Two chained aggregations, the same in batch and in Structured Streaming:
 1. ``groupBy(window, attribute, group)`` -> n, positive predictions, positives,
    true positives (partial aggregation: one row per group per task);
 2. ``groupBy(window(window_time(window)), attribute)`` -> max - min of the
-   rates, breach flags (fixed threshold).
+   rates, the groups at both ends (ties to the smallest label), breach flags
+   (fixed threshold) and their count.
 
 In streaming, a watermark on the event time closes windows; rows later than
 the watermark are dropped and a window is emitted once (append mode).
@@ -51,16 +52,25 @@ def window_bias(counts: DataFrame, window: str) -> DataFrame:
     tpr = F.when(F.col("n_pos") > 0, F.col("n_true_pos") / F.col("n_pos")).otherwise(F.lit(0.0))
     g = counts.select(F.window(F.window_time("window"), window).alias("w"), "attribute", "grp",
                       "n", rate.alias("rate"), tpr.alias("tpr"))
+    def pick(metric: str, sign: int):
+        # extreme group by the metric; ties go to the smallest group label
+        return F.min_by("grp", F.struct((F.lit(sign) * F.col(metric)).alias("k"), F.col("grp")))
+
     agg = g.groupBy("w", "attribute").agg(
         F.count(F.lit(1)).alias("n_groups"), F.sum("n").alias("n_rows"),
         F.max("rate").alias("_rmax"), F.min("rate").alias("_rmin"),
-        F.max("tpr").alias("_tmax"), F.min("tpr").alias("_tmin"))
+        F.max("tpr").alias("_tmax"), F.min("tpr").alias("_tmin"),
+        pick("rate", -1).alias("_dpd_max"), pick("rate", 1).alias("_dpd_min"),
+        pick("tpr", -1).alias("_eod_max"), pick("tpr", 1).alias("_eod_min"))
     two = F.col("n_groups") >= 2
     dpd = F.when(two, F.col("_rmax") - F.col("_rmin")).otherwise(F.lit(0.0))
     eod = F.when(two, F.col("_tmax") - F.col("_tmin")).otherwise(F.lit(0.0))
+    dpd_flag, eod_flag = dpd >= BIAS_THRESHOLD, eod >= BIAS_THRESHOLD
     return agg.select(F.unix_seconds(F.col("w.start")).alias("window_start"), "attribute", "n_groups", "n_rows",
-                      dpd.alias("dpd"), eod.alias("eod"),
-                      (dpd >= BIAS_THRESHOLD).alias("dpd_flagged"), (eod >= BIAS_THRESHOLD).alias("eod_flagged"))
+                      dpd.alias("dpd"), eod.alias("eod"), dpd_flag.alias("dpd_flagged"), eod_flag.alias("eod_flagged"),
+                      (dpd_flag.cast("int") + eod_flag.cast("int")).alias("breaches"),
+                      *[F.when(two, F.col(f"_{m}")).alias(f"{m}_group")
+                        for m in ("dpd_max", "dpd_min", "eod_max", "eod_min")])
 
 
 def bias_by_window(df: DataFrame, ts: str, attributes: Sequence[tuple[str, Column]], pred: Column,

@@ -133,6 +133,10 @@ def test_stream_monitor_resumes_matches_batch_and_drops_late_rows(spark, tmp_pat
 
     # day 1 closes once the watermark (latest event - 1 hour) passes its end
     assert monitor() == {day(1): (4, 0.5, 0.5)}
+    closed = spark.read.parquet(str(tmp_path / "monitor" / "windows")).first()
+    # day 1: a has rate 0.5 and TPR 0.5, b has 0 and 0
+    assert (closed["dpd_max_group"], closed["dpd_min_group"], closed["eod_max_group"],
+            closed["eod_min_group"], closed["breaches"]) == ("a", "b", "a", "b", 2)
     _write_events(str(src), "f2.parquet", second)
     got = monitor()   # resumes from the stream's checkpoint
     on_time = spark.createDataFrame(first + second[1:], schema)
@@ -141,3 +145,15 @@ def test_stream_monitor_resumes_matches_batch_and_drops_late_rows(spark, tmp_pat
     # closed windows only (day 4 is still open); the late row did not reach day 1
     assert set(got) == {day(1), day(2), day(3)}
     assert got == {k: v for k, v in twin.items() if k in got}
+
+
+def test_window_bias_ties_pick_smallest_group(spark):
+    d = dt.datetime(2024, 1, 1, 3)
+    rows = [(d, "b", 1, 1), (d, "a", 1, 1), (d, "c", 0, 1)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, g string, p int, y int")
+    r = bias_by_window(df, "ts", [("g", F.col("g"))], F.col("p"), F.col("y")).first()
+    # a and b tie at the top (rate 1, TPR 1): the smaller label is reported
+    assert (r["n_groups"], r["dpd"], r["eod"], r["breaches"]) == (3, 1.0, 1.0, 2)
+    assert (r["dpd_max_group"], r["dpd_min_group"], r["eod_max_group"], r["eod_min_group"]) == ("a", "c", "a", "c")
+    one = bias_by_window(df.where(F.col("g") == "a"), "ts", [("g", F.col("g"))], F.col("p"), F.col("y")).first()
+    assert (one["dpd"], one["dpd_max_group"], one["breaches"]) == (0.0, None, 0)
