@@ -3,8 +3,10 @@
 ingest -> validate -> discover -> silver -> split -> fit -> pick best ->
 calibrate -> score every row -> fairness audit -> attributions -> reasons ->
 gold. Everything is a lazy DataFrame except the fits and the small collected
-statistics that decide the plan; the silver frame is checkpointed to the
-shared checkpoint folder once, before the fits.
+statistics that decide the plan. Three frames are written to the shared
+checkpoint folder, each because several later steps read it: the silver
+frame (before the fits), the scored rows (audit, flags, attributions) and
+the attributed rows (gold, summary, importance).
 """
 
 from __future__ import annotations
@@ -97,7 +99,8 @@ def run(spark: SparkSession, source, *, target: str | None = None, positive_clas
         scored = cal.score(frame, name="risk_score")
     else:
         scored = models[best].score(frame, prob="risk_score").drop("margin")
-    scored = scored.withColumn("prediction", decide(F.col("risk_score")))
+    # the audit, the flags and the attributions all read the scores: score once
+    scored = reliable_checkpoint(scored.withColumn("prediction", decide(F.col("risk_score"))))
 
     # --- audit on the original labels of the sensitive columns
     audit_frame = scored.select("*", *[F.col(f"`{RAW}{c}`").alias(f"__audit__{c}") for c, _ in sensitive])
@@ -115,7 +118,8 @@ def run(spark: SparkSession, source, *, target: str | None = None, positive_clas
         attributed = linear_attribution(flagged, coefs)
     else:
         attributed = tree_shap(flagged, models[best].model, feats, keep)
-    attributed = attributed.withColumn("factors", top_factors(F.col("phi"), feats, top_k))
+    # gold, its summary and the global importance all read the attributions
+    attributed = reliable_checkpoint(attributed.withColumn("factors", top_factors(F.col("phi"), feats, top_k)))
 
     gold = build_gold(attributed, "risk_score", "factors", "bias_flag", id_column=id_column,
                       prefix=prefix, order=key_cols)
