@@ -51,7 +51,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/DBFS) "
                 "so that lineage cuts survive executor loss")
         configured = tempfile.mkdtemp(prefix="equitas-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+    # the context's setter works at runtime; ``spark.conf.set`` rejects this core key
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
