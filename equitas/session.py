@@ -56,6 +56,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir`` itself.
+
+    :func:`checkpoint_dir` returns Spark's per-application subfolder (a new one
+    for every SparkContext); state that must outlive the application, such as
+    a streaming query's checkpoint, goes under this root instead.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    return configured.rstrip("/") if configured else checkpoint_dir(spark).rstrip("/")
+
+
 def reliable_checkpoint(df):
     """Cut lineage by writing ``df`` to the shared checkpoint folder."""
     checkpoint_dir(df.sparkSession)

@@ -14,6 +14,7 @@ the watermark are dropped and a window is emitted once (append mode).
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Sequence
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.audit import BIAS_THRESHOLD
-from ..session import checkpoint_dir
+from ..session import shared_root
 
 
 def event_time(df: DataFrame, ts: str) -> Column:
@@ -80,6 +81,15 @@ def bias_by_window(df: DataFrame, ts: str, attributes: Sequence[tuple[str, Colum
     return window_bias(group_counts(src, attributes, pred, label, window), window)
 
 
+def _query_key(source_path: str, out: DataFrame, attributes, pred: Column, label: Column,
+               window: str, watermark: str, file_glob: str | None) -> str:
+    """Stable name for a monitor's folder: the same query over the same source
+    resumes from its checkpoint in any process; a changed query starts afresh."""
+    parts = [source_path, window, watermark, file_glob or "", out.schema.simpleString(),
+             str(pred), str(label), *[f"{n}={e}" for n, e in attributes]]
+    return hashlib.sha256("\x1f".join(parts).encode()).hexdigest()[:20]
+
+
 def run_monitor(spark: SparkSession, source_path: str, schema: T.StructType, ts: str,
                 attributes: Sequence[tuple[str, Column]], pred: Column, label: Column,
                 window: str = "1 day", watermark: str = "1 hour", out_dir: str | None = None,
@@ -88,9 +98,9 @@ def run_monitor(spark: SparkSession, source_path: str, schema: T.StructType, ts:
     and return the emitted (closed) windows as a DataFrame.
 
     Output and the stream's checkpoint go under ``out_dir`` (default: a folder
-    in the session's shared checkpoint directory), so a restarted query resumes.
+    in the shared checkpoint root named after the query), so a restarted query
+    resumes, in any later application.
     """
-    base = out_dir or f"{checkpoint_dir(spark).rstrip('/')}/bias-monitor-{abs(hash((source_path, window)))}"
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -100,6 +110,8 @@ def run_monitor(spark: SparkSession, source_path: str, schema: T.StructType, ts:
     stream = reader.parquet(source_path)
     src = stream.withColumn("event_ts", event_time(stream, ts)).withWatermark("event_ts", watermark)
     out = window_bias(group_counts(src, attributes, pred, label, window), window)
+    key = _query_key(source_path, out, attributes, pred, label, window, watermark, file_glob)
+    base = out_dir or f"{shared_root(spark)}/bias-monitor-{key}"
     q = (out.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", os.path.join(base, "_checkpoint"))
          .trigger(availableNow=True).start(os.path.join(base, "windows")))
