@@ -8,14 +8,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Where the public piece model lies; a parameter of every function that reads it.
 MODEL = os.environ.get("EQUITAS_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
-#: Characters whose lattice a task holds at a time.
-CHARS_AT_ONCE = 1 << 22
+#: Bytes of text whose lattice a task holds at a time (a longer text is held alone).
+BYTES_AT_ONCE = 1 << 21
 #: Units up to this length are filtered side by side; longer ones one at a time.
 WIDE = 40
 #: Smoothing of the piece distribution: 1 samples from it, larger is sharper.
@@ -23,6 +25,8 @@ SHARPNESS = 1.0
 BLANK = "▁"
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 STEP = np.uint64(0x100000001B3)
+#: Resolution of a drawn number.
+DRAWS = 1 << 32
 
 
 class Pieces:
@@ -116,8 +120,8 @@ class Lattice:
     """Edges of many units: by node in order, with cumulative sampling probabilities.
 
     Node 0 of a unit is its start. For every later node the edges that end there
-    carry the forward-filtered probability of having come that way, so a sample
-    is drawn backward from the last node, one edge at a time.
+    carry the forward-filtered probability of having come that way, summed up and
+    in whole numbers, so a sample is drawn backward from the last node, one edge at a time.
     """
 
     def __init__(self, pieces: Pieces, units: list[str], sharpness: float):
@@ -139,16 +143,30 @@ class Lattice:
         for i in np.flatnonzero(size > WIDE):
             found.append(self._alone(pieces, units[i], int(self.base[i]), sharpness, alpha))
         start, end, ident, value = (np.concatenate([f[k] for f in found]) for k in range(4))
-        weight = np.exp(alpha[start] + value - alpha[end])
-        order = np.argsort(end, kind="stable")
-        self.start, self.ident, end, weight = start[order], ident[order], end[order], weight[order]
-        run = np.cumsum(weight)
-        stop = np.append(end[1:] != end[:-1], True)
-        before = np.concatenate(([0.0], run[:-1][stop[:-1]]))      # the sum up to each node's first edge
-        inside = run - np.repeat(before, np.diff(np.concatenate(([0], np.flatnonzero(stop) + 1))))
-        inside = np.minimum(inside, 1.0)
-        inside[stop] = 1.0                        # the last edge of a node takes what rounding leaves
-        self.cumulative = end + inside
+        del found
+        # edges of a node stand by length, whatever else the batch holds
+        order = np.argsort(end * 64 + np.minimum(end - start, 63))
+        self.start, self.ident, end = start[order], ident[order], end[order]
+        weight = np.exp(alpha[self.start] + value[order] - alpha[end])
+        begins = np.flatnonzero(np.append(True, end[1:] != end[:-1]))
+        many = np.diff(np.append(begins, len(end)))
+        self.first = np.zeros(len(alpha), np.int64)
+        self.first[end[begins]] = begins
+        # summed node by node, so a node's numbers do not depend on its neighbours
+        for rank in range(1, int(many.max())):
+            at = begins[many > rank] + rank
+            weight[at] += weight[at - 1]
+        self.below = np.minimum(weight * float(DRAWS), DRAWS).astype(np.int64)
+        self.below[begins + many - 1] = DRAWS      # the last edge of a node takes what rounding leaves
+
+    def back(self, node: np.ndarray, draw: np.ndarray) -> np.ndarray:
+        """The edge into each node that a number in 0 .. DRAWS - 1 chooses."""
+        edge = self.first[node]
+        on = np.flatnonzero(self.below[edge] <= draw)
+        while len(on):
+            edge[on] += 1
+            on = on[self.below[edge[on]] <= draw[on]]
+        return edge
 
     def _byte_edge(self, pieces: Pieces, char: str) -> tuple[int, float]:
         place = self.byte_place.get(char)
@@ -221,22 +239,23 @@ class Lattice:
 
 
 def draws(seed: np.ndarray, unit: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """Uniform numbers in [0, 1) that a row's seed, the unit's place in it and the node decide."""
+    """Numbers in 0 .. DRAWS - 1 that a row's seed, the unit's place in it and the node decide."""
     with np.errstate(over="ignore"):
         x = seed + unit.astype(np.uint64) * M1 + (node.astype(np.uint64) + np.uint64(1)) * M3
         x = (x ^ (x >> np.uint64(30))) * M2
         x = (x ^ (x >> np.uint64(27))) * M3
         x = x ^ (x >> np.uint64(31))
-    return (x >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+    return (x >> np.uint64(32)).astype(np.int64)
 
 
-def sample_texts(pieces: Pieces, texts: list[str], seeds: list[int], sharpness: float) -> list[np.ndarray]:
-    """One sampled segmentation per text, as piece ids."""
+def sample_texts(pieces: Pieces, texts: list[str], seeds: list[int],
+                 sharpness: float = SHARPNESS) -> tuple[np.ndarray, np.ndarray]:
+    """One sampled segmentation per text: all piece ids one after another, and how many each text has."""
     found = [pieces.units.findall(" " + t) if t else [] for t in texts]
     counts = np.fromiter(map(len, found), np.int64, len(found))
     every = [u for f in found for u in f]
     if not every:
-        return [np.zeros(0, np.int32) for _ in texts]
+        return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
     place: dict[str, int] = {u: i for i, u in enumerate(dict.fromkeys(every))}
     lattice = Lattice(pieces, list(place), sharpness)
     which = np.fromiter(map(place.__getitem__, every), np.int64, len(every))
@@ -246,17 +265,16 @@ def sample_texts(pieces: Pieces, texts: list[str], seeds: list[int], sharpness:
     at = np.arange(len(every))
     steps, length = [], np.zeros(len(every), np.int64)
     while len(at):
-        u = draws(seed[at], ordinal[at], node - base[at])
-        edge = np.searchsorted(lattice.cumulative, node + np.minimum(u, 1 - 1e-9), side="right")
-        steps.append((at, edge, length[at].copy()))
+        edge = lattice.back(node, draws(seed[at], ordinal[at], node - base[at]))
+        steps.append((at, lattice.ident[edge].astype(np.int32), length[at].astype(np.int32)))
         length[at] += 1
         node = lattice.start[edge]
         on = node > base[at]
         at, node = at[on], node[on]
     first = np.cumsum(length) - length
     ids = np.zeros(int(length.sum()), np.int64)
-    for who, edge, step in steps:                 # drawn from the end backward
-        ids[first[who] + length[who] - 1 - step] = lattice.ident[edge]
+    for who, ident, step in steps:                # drawn from the end backward
+        ids[first[who] + length[who] - 1 - step] = ident
     per_text = np.bincount(np.repeat(np.arange(len(texts)), counts), weights=length,
                            minlength=len(texts)).astype(np.int64)
     if lattice.bytes and (ids < 0).any():
@@ -272,7 +290,7 @@ def sample_texts(pieces: Pieces, texts: list[str], seeds: list[int], sharpness:
         full[low] = table[-1 - full[low], rank[low]]
         per_text = np.bincount(text_of, weights=wide, minlength=len(texts)).astype(np.int64)
         ids = full
-    return np.split(ids.astype(np.int32), np.cumsum(per_text)[:-1])
+    return ids.astype(np.int32), per_text
 
 
 def serialised(path: str) -> bytes:
@@ -301,31 +319,31 @@ def encode(docs: DataFrame, seed: int = 0, sharpness: float = SHARPNESS, model:
     """
     proto = docs.sparkSession.sparkContext.broadcast(serialised(model))
 
-    def run(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(proto.value)
-        for texts, keys in columns:
-            texts, keys, out, i = texts.tolist(), keys.tolist(), [], 0
-            while i < len(texts):
-                j, size = i, 0
-                while j < len(texts) and (j == i or size + len(texts[j] or "") <= CHARS_AT_ONCE):
-                    size += len(texts[j] or "")
-                    j += 1
-                part = texts[i:j]
-                seeds = [xxhash.xxh64_intdigest(f"{seed}:{k or ''}".encode()) for k in keys[i:j]]
-                ids = sample_texts(pieces, [t or "" for t in part], seeds, sharpness)
-                out.append(pd.DataFrame({
-                    "ids": [None if t is None else x for t, x in zip(part, ids)],
-                    "n_pieces": [len(x) for x in ids],
-                    "n_bytes": [len((t or "").encode("utf-8", "surrogatepass")) for t in part],
-                    "lossless": [pieces.decode(x.tolist()) == (t or "") for t, x in zip(part, ids)]}))
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends, i = np.cumsum(sizes), 0
+            while i < len(sizes):                  # as many texts as fit, and one at least
+                j = max(i + 1, int(np.searchsorted(ends, ends[i] - sizes[i] + BYTES_AT_ONCE, "right")))
+                part = batch.slice(i, j - i)
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                seeds = [xxhash.xxh64_intdigest(f"{seed}:{k}".encode()) for k in part.column(2).to_pylist()]
+                ids, counts = sample_texts(pieces, texts, seeds, sharpness)
+                at = np.concatenate(([0], np.cumsum(counts)))
+                back = [pieces.decode(ids[a:b].tolist()) == t for t, a, b in zip(texts, at[:-1], at[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0),
+                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()),
+                                              mask=pc.is_null(part.column(1))),
+                     pa.array(counts, pa.int64()), pa.array(sizes[i:j], pa.int64()), pa.array(back, pa.bool_())],
+                    ["doc_id", "ids", "n_pieces", "n_bytes", "lossless"])
                 i = j
-            yield pd.concat(out, ignore_index=True)
 
-    kind = "ids array<int>, n_pieces long, n_bytes long, lossless boolean"
-    sample = F.pandas_udf(run, kind).asNondeterministic()   # once per row
     own = F.col(key) if isinstance(key, str) else key
-    return docs.select("doc_id", sample("text", F.coalesce(own.cast("string"), F.lit(""))).alias("p")).select(
-        "doc_id", "p.ids", "p.n_pieces", "p.n_bytes", "p.lossless")
+    thin = docs.select("doc_id", "text", F.coalesce(own.cast("string"), F.lit("")).alias("_key"))
+    kind = thin.schema["doc_id"].dataType.simpleString()
+    return thin.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_pieces long, n_bytes long, lossless boolean")
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
