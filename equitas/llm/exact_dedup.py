@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .handover import BLANK, handover, only, width
+from .handover import BLANK, columns_of, fresh, handover, only, width
 
 #: Runs that one merge takes at a time.
 FAN_IN = 16
@@ -84,12 +84,10 @@ def drop_copies(docs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     Documents meet the kept (id, digest) pairs on one key; a row that repeats a
     kept id and text is cut by its rank on the same key, so texts move once.
     """
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("text_sha256"))
-    kept = exact_groups(docs, fan_in).where("kept").select(key.alias("_text_key"))
-    keyed = docs.withColumn("_text_key", F.concat_ws(
-        ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
-        F.sha2(normal_text().cast("binary"), 256)))
-    once = Window.partitionBy("_text_key").orderBy(F.lit(1))
-    return (keyed.join(kept, "_text_key", "left_semi")
-            .withColumn("_copy", F.row_number().over(once)).where("_copy = 1")
-            .select(*(F.col(f"`{c}`") for c in docs.columns)))
+    name, rank = fresh(docs, "_text_key"), fresh(docs, "_copy")
+    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    kept = exact_groups(docs, fan_in).where("kept").select(F.concat_ws(":", ident, F.col("text_sha256")).alias(name))
+    keyed = docs.withColumn(name, F.concat_ws(":", ident, F.sha2(normal_text().cast("binary"), 256)))
+    once = Window.partitionBy(name).orderBy(F.lit(1))
+    return (keyed.join(kept, name, "left_semi").withColumn(rank, F.row_number().over(once))
+            .where(F.col(rank) == 1).select(*columns_of(docs)))

@@ -81,3 +81,16 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     for c in df.columns:
         have.setdefault(c.lower(), c)
     return df.select(*(F.col(f"`{have[n.lower()]}`").alias(n) for n in names))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or the like of it, that no column of ``df`` has."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
+def columns_of(df: DataFrame) -> list:
+    """The columns of ``df`` by name, for selecting them again after a join."""
+    return [F.col(f"`{c}`") for c in df.columns]

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .handover import held_out, only
+from .handover import columns_of, fresh, held_out, only
 
 #: Hashed character trigrams per language.
 BUCKETS = 1 << 16
@@ -227,6 +227,7 @@ def keep_identified(docs: DataFrame, fit_docs: int = FIT_DOCS, most: int = MOST_
     """
     langs, table = fit(docs, fit_docs, ~held_out())
     guess = predictor(docs.sparkSession, langs, table, most)
-    seen = docs.withColumn("_language", guess("text"))
-    known = (F.col("_language.lang_pred") != "und") | F.col("_language.letters")
-    return seen.where(known).select(*(F.col(f"`{c}`") for c in docs.columns))
+    name = fresh(docs, "_language")
+    seen = docs.withColumn(name, guess("text"))
+    known = (F.col(f"{name}.lang_pred") != "und") | F.col(f"{name}.letters")
+    return seen.where(known).select(*columns_of(docs))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .handover import WORD, handover, only
+from .handover import WORD, columns_of, fresh, handover, only
 from .prefix import prefix_sums
 
 #: Weights of the sources in code-point order, repeating.
@@ -118,10 +118,10 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
     them that is taken most.
     """
     plan = mix_sources(docs, weights, share, most, seed=seed).where("copies > 0")
-    plan = plan.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
-                        F.col("text_crc32").alias("_crc")).agg(F.max("copies").alias("_copies"))
-    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    met = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-                    & (crc == F.col("_crc")))
-    return (met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .select(*(F.col(f"`{c}`") for c in docs.columns)))
+    ident, source, crc, copies, copy = (fresh(docs, n) for n in ("_id", "_source", "_crc", "_copies", "_copy"))
+    plan = plan.groupBy(F.col("doc_id").alias(ident), F.col("source").alias(source),
+                        F.col("text_crc32").alias(crc)).agg(F.max("copies").alias(copies))
+    own = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    met = docs.join(plan, F.col("doc_id").eqNullSafe(F.col(ident)) & F.col("source").eqNullSafe(F.col(source))
+                    & (own == F.col(crc)))
+    return met.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*columns_of(docs))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import Forest, components
-from .handover import handover, only, width
+from .handover import columns_of, handover, only, width
 
 SEED = 42
 BITS = 64
@@ -220,4 +220,4 @@ def drop_near_copies(docs: DataFrame, shingle: int = 4, distance: int = 4) -> Da
     """
     gone = (near_groups(docs, shingle, distance).groupBy("doc_id")
             .agg(F.max(F.col("doc_id") == F.col("component_id")).alias("kept")).where("not kept").select("doc_id"))
-    return docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return docs.join(gone, "doc_id", "left_anti").select(*columns_of(docs))

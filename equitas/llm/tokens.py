@@ -131,7 +131,8 @@ def training_order(docs: DataFrame, key: str = "order", length: int = LENGTH, sh
     before, from one count per partition, plus the place), and the keyed Feistel
     permutation turns that index into a global slot. Shard s holds slots s x
     shard_slots onward; it is one partition, in slot order, and its records have
-    one size, so slot k lies at byte (k mod shard_slots) x 2 x length.
+    one size, so ``write_shards`` puts slot k at byte (k mod shard_slots) x (2 x
+    length + 1), its offset.
 
     Returns shard, slot, offset, index, n_tokens (without filling), doc_ids
     (documents with tokens in it, null ids included), record (little-endian
@@ -168,7 +169,7 @@ def training_order(docs: DataFrame, key: str = "order", length: int = LENGTH, sh
 
     opened = dealt.mapInPandas(
         open_, "shard int, slot long, index long, n_tokens int, doc_ids array<long>, record binary")
-    return opened.select("shard", "slot", ((F.col("slot") % shard_slots) * (2 * length)).alias("offset"), "index",
+    return opened.select("shard", "slot", ((F.col("slot") % shard_slots) * (2 * length + 1)).alias("offset"), "index",
                          "n_tokens", "doc_ids", "record", F.crc32("record").alias("record_crc32"))
 
 
