@@ -17,7 +17,7 @@ def linear_score(intercept: float, coefs: dict[str, float]) -> Column:
     """``sigmoid(a + sum(b_j * x_j))`` with literal coefficients."""
     z = F.lit(float(intercept))
     for c, b in coefs.items():
-        z = z + F.lit(float(b)) * F.col(c).cast("double")
+        z = z + F.lit(float(b)) * F.col(f"`{c}`").cast("double")
     return sigmoid(z)
 
 

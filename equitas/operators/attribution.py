@@ -1,8 +1,8 @@
 """Attributions, per-row top factors and global importance.
 
 * :func:`linear_attribution` is exact for a linear (logistic) model:
-  ``phi_j = beta_j * (x_j - mean_j)`` for **every** row; the means are one
-  aggregate pass and travel as literals (one number per feature).
+  ``phi_j = beta_j * (x_j - mean_j)`` for **every** row; the means are two
+  aggregate passes and travel as literals (one number per feature).
 * :func:`top_factors` sorts each row's own array, so it needs no explode and
   no shuffle.
 * :func:`global_importance` is one aggregate (``avg(abs(phi_j))`` per feature)
@@ -12,29 +12,38 @@ Tree models get their attributions from :mod:`.treeshap`.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.layout import spread
-
 PHI = "phi"
 
 
 def feature_means(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
-    """Means from exact decimal sums: the same value whatever the partitioning
-    or the order in which tasks (or their retries) finish. The exact sum is
-    rounded once to a double and then divided by the count."""
-    aggs = []
-    for f in features:
-        aggs += [F.sum(F.col(f).cast("decimal(38,10)")).alias(f"s_{f}"), F.count(f).alias(f"n_{f}")]
-    row = df.agg(*aggs).first()
-    out = {}
-    for f in features:
-        s, n = row[f"s_{f}"], row[f"n_{f}"]
-        out[f] = float(s) / n if n else 0.0
-    return out
+    """Means of the values that are not null or NaN (0 for a feature without any).
+
+    Sums are exact decimals, so reruns give the same means whatever order tasks
+    finish in. The scale of each feature's decimal comes from its measured range
+    and count, so that 38 digits hold both its sum and the digits of its smallest
+    useful values. A feature with an infinite value has the mean of doubles.
+    """
+    feats = list(features)
+    x = [F.nanvl(F.col(f"`{f}`").cast("double"), F.lit(None).cast("double")) for f in feats]
+    seen = df.agg(*[e.alias(f"{k}{i}") for i, v in enumerate(x)
+                    for k, e in (("n", F.count(v)), ("big", F.max(F.abs(v))), ("avg", F.avg(v)))]).first()
+    exact = {}
+    for i in range(len(feats)):
+        n, big = seen[f"n{i}"], seen[f"big{i}"]
+        if n and big and math.isfinite(big):
+            scale = 36 - math.ceil(math.log10(big) + math.log10(n))
+            if scale >= 0:
+                exact[i] = min(scale, 37)
+    sums = df.agg(*[F.sum(x[i].cast(f"decimal(38,{scale})")).alias(f"s{i}")
+                    for i, scale in exact.items()]).first() if exact else None
+    return {f: float(sums[f"s{i}"]) / seen[f"n{i}"] if i in exact else seen[f"avg{i}"] or 0.0
+            for i, f in enumerate(feats)}
 
 
 def linear_attribution(df: DataFrame, coefs: Mapping[str, float],
@@ -43,8 +52,7 @@ def linear_attribution(df: DataFrame, coefs: Mapping[str, float],
     """Add ``phi`` = array of per-feature contributions (in ``coefs`` order)."""
     feats = list(coefs)
     means = means if means is not None else feature_means(df, feats)
-    df = spread(df)  # per-row work follows (phi, top factors, text)
-    terms = [(F.lit(float(coefs[f])) * (F.col(f).cast("double") - F.lit(float(means[f]))))
+    terms = [(F.lit(float(coefs[f])) * (F.col(f"`{f}`").cast("double") - F.lit(float(means[f]))))
              for f in feats]
     return df.withColumn(name, F.array(*terms))
 

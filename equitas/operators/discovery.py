@@ -1,7 +1,7 @@
 """Schema discovery over a column catalog.
 
-The catalog has one row per (table, column) with its position, type and the
-profile flags of :mod:`.profile` (that part scans the rows). Classification is
+The catalog has one row per (table, column) with its position, type and, for the
+columns that names leave open, profile flags (that part scans the rows). Classification is
 one join of the catalog with a small, fixed rules table (broadcast: its size
 is the keyword lists below) and a ``min_by`` on rule priority per column, so a
 whole lakehouse is classified in one job. Picks (target, id, prefix) and
@@ -19,7 +19,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.layout import spread
 from .profile import LIKELY_ID_MIN_ROWS, LIKELY_ID_RATIO, LOW_CARDINALITY_MAX, is_numeric
 
 # Keyword lists, in rule order.
@@ -75,9 +74,9 @@ RULES = (
     ("socioeconomic", "socioeconomic", "financial", SOCIOECONOMIC_WORDS, "both", "high", "rule_based"),
     ("financial", None, "financial", FINANCIAL_WORDS, "both", "high", "rule_based"),
     ("temporal", None, "temporal", TEMPORAL_WORDS, "both", "high", "rule_based"),
-    ("family", "socioeconomic", "demographic", FAMILY_WORDS, "contains", "medium", "llm_simulated"),
-    ("education", None, "numerical", EDUCATION_WORDS, "contains", "medium", "llm_simulated"),
-    ("work", None, "categorical", WORK_WORDS, "contains", "medium", "llm_simulated"),
+    ("family", "socioeconomic", "demographic", FAMILY_WORDS, "contains", "medium", "heuristic"),
+    ("education", None, "numerical", EDUCATION_WORDS, "contains", "medium", "heuristic"),
+    ("work", None, "categorical", WORK_WORDS, "contains", "medium", "heuristic"),
 )
 
 
@@ -96,36 +95,78 @@ def rules_table(spark: SparkSession) -> DataFrame:
                                        "confidence string, method string")
 
 
-def column_catalog(tables: Mapping[str, DataFrame], approx: bool = False) -> DataFrame:
-    """(table, column, position, dtype, is_numeric, is_likely_id, is_low_cardinality).
+#: Relative error of the distinct sketch, and how many of its errors a count may be from a
+#: threshold before it is counted exactly.
+SKETCH_ERROR, NEAR = 0.02, 4
 
-    Every table is unpivoted to (table, column, value as text) and all of them
-    are profiled by one aggregation, so the whole catalog costs one job.
-    """
+
+def _named_catalog(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Schema metadata: one row per column; no rows are touched."""
+    meta = [(name, f.name, i, f.dataType.simpleString(), is_numeric(f.dataType))
+            for name, df in tables.items() for i, f in enumerate(df.schema.fields)]
+    return spark.createDataFrame(meta, "table string, column string, position int, dtype string, "
+                                       "is_numeric boolean")
+
+
+def _counted(tables: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]], distinct) -> dict:
+    """(table, column) -> (rows, distinct values): one aggregate per table, all in one job."""
+    wanted: dict[str, list[str]] = {}
+    for t, c in columns:
+        wanted.setdefault(t, []).append(c)
     parts = []
-    meta = []
-    for name, df in tables.items():
-        df = spread(df)  # the unpivot multiplies rows by the column count
-        items = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("v"))
-                 for c in df.columns]
-        parts.append(df.select(F.lit(name).alias("table"), F.explode(F.array(*items)).alias("s"))
-                     .select("table", "s.column", "s.v"))
-        for i, f in enumerate(df.schema.fields):
-            meta.append((name, f.name, i, f.dataType.simpleString(), is_numeric(f.dataType)))
-    long = parts[0]
+    for t, cols in wanted.items():
+        for some in ([[c] for c in cols] if distinct is F.count_distinct else [cols]):
+            # an exact count has an aggregate of its own, so rows are not multiplied by the columns
+            row = tables[t].agg(F.count(F.lit(1)).alias("n"), *[
+                distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(some)])
+            parts.append(row.select(F.explode(F.array(*[
+                F.struct(F.lit(t).alias("table"), F.lit(c).alias("column"), "n", F.col(f"d{i}").alias("d"))
+                for i, c in enumerate(some)])).alias("s")).select("s.*"))
+    if not parts:
+        return {}
+    rows = parts[0]
     for p in parts[1:]:
-        long = long.unionByName(p)
-    distinct = F.approx_count_distinct("v") if approx else F.count_distinct("v")
-    stats = long.groupBy("table", "column").agg(F.count(F.lit(1)).alias("n"), distinct.alias("card"))
-    spark = long.sparkSession
-    info = spark.createDataFrame(meta, "table string, column string, position int, dtype string, "
-                                       "is_numeric boolean")   # schema metadata: one row per column
-    n = F.col("n")
-    ratio = F.col("card") / F.greatest(n, F.lit(1))
-    return info.join(stats, ["table", "column"], "left").select(
-        "table", "column", "position", "dtype", "is_numeric",
-        ((ratio > LIKELY_ID_RATIO) & (n > LIKELY_ID_MIN_ROWS)).alias("is_likely_id"),
-        (F.col("card") <= LOW_CARDINALITY_MAX).alias("is_low_cardinality"))
+        rows = rows.union(p)
+    return {(r["table"], r["column"]): (r["n"], r["d"]) for r in rows.collect()}   # one row per column
+
+
+def column_catalog(tables: Mapping[str, DataFrame], match: str = "reference",
+                   approx: bool = False) -> DataFrame:
+    """(table, column, position, dtype, is_numeric, is_likely_id, is_low_cardinality).
+
+    Names come first. The profile decides only the columns that no name rule
+    matches, and all columns of a table in which no name gives an identifier;
+    the flags of the others are null. A distinct sketch in the scan tasks
+    settles a column unless it lies near a threshold; only then are the
+    column's values moved to be counted exactly (never with ``approx``).
+    """
+    spark = next(iter(tables.values())).sparkSession
+    info = _named_catalog(spark, tables)
+    blank = info.select("*", F.lit(None).cast("boolean").alias("is_likely_id"),
+                        F.lit(None).cast("boolean").alias("is_low_cardinality"))
+    by_name = classify(blank, match).select("table", "column", "class", "is_identifier").collect()
+    named = {r["table"] for r in by_name if r["is_identifier"]}
+    open_ = [(r["table"], r["column"]) for r in by_name if r["class"] == "profile" or r["table"] not in named]
+
+    def sketch(c: Column) -> Column:
+        return F.approx_count_distinct(c, SKETCH_ERROR)
+
+    counts = _counted(tables, open_, sketch)
+    if not approx:
+        slack = NEAR * SKETCH_ERROR
+
+        def near(n: int, d: int, edge: float) -> bool:
+            return d * (1 - slack) <= edge * (1 + slack) and edge <= d * (1 + slack) + 1
+
+        counts.update(_counted(tables, [
+            k for k, (n, d) in counts.items()
+            if near(n, d, LIKELY_ID_RATIO * n) or near(n, d, LOW_CARDINALITY_MAX)], F.count_distinct))
+    flags = [(t, c, d / max(n, 1) > LIKELY_ID_RATIO and n > LIKELY_ID_MIN_ROWS, d <= LOW_CARDINALITY_MAX)
+             for (t, c), (n, d) in counts.items()]
+    known = spark.createDataFrame(flags, "table string, column string, is_likely_id boolean, "
+                                         "is_low_cardinality boolean")
+    return info.join(known, ["table", "column"], "left").select(
+        "table", "column", "position", "dtype", "is_numeric", "is_likely_id", "is_low_cardinality")
 
 
 def classify(catalog: DataFrame, match: str = "reference") -> DataFrame:
@@ -158,7 +199,7 @@ def classify(catalog: DataFrame, match: str = "reference") -> DataFrame:
                        .when(F.col("is_low_cardinality"), "categorical")
                        .otherwise("numerical"))
     fallback_conf = F.when(F.col("is_likely_id"), "medium").otherwise("low")
-    cls = F.coalesce(rule_cls, F.when(F.col("is_likely_id"), "identifier").otherwise("profile"))
+    cls = F.coalesce(rule_cls, F.when(F.col("is_likely_id"), F.lit("identifier")).otherwise("profile"))
     group = F.coalesce(F.col("r.feature_group"), fallback_group)
     out = best.select(
         "table", "column", "position", "dtype",
@@ -169,9 +210,9 @@ def classify(catalog: DataFrame, match: str = "reference") -> DataFrame:
         (group == "identifier").alias("is_identifier"),
         F.col("r.sensitive_type").isNotNull().alias("is_sensitive"),
         F.coalesce(F.col("r.confidence"), fallback_conf).alias("confidence"),
-        F.coalesce(F.col("r.method"), F.lit("llm_simulated")).alias("method"),
+        F.coalesce(F.col("r.method"), F.lit("heuristic")).alias("method"),
         # a column is "ambiguous" when no first-phase (name) rule matched
-        (rule_cls.isNull() | F.col("r.method").eqNullSafe("llm_simulated")).alias("ambiguous"),
+        (rule_cls.isNull() | F.col("r.method").eqNullSafe("heuristic")).alias("ambiguous"),
         "is_likely_id",
     )
     return out
@@ -238,6 +279,6 @@ def feature_groups(classified: DataFrame, picks: DataFrame) -> DataFrame:
 def discover(tables: Mapping[str, DataFrame], match: str = "reference",
              approx: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(classified columns, per-table picks, feature groups) for every table."""
-    classified = classify(column_catalog(tables, approx=approx), match=match)
+    classified = classify(column_catalog(tables, match=match, approx=approx), match=match)
     picks = schema_picks(classified)
     return classified, picks, feature_groups(classified, picks)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.quantiles import exact_quantiles
+from ..session import reliable_checkpoint
 
 
 def reweighing_weights(df: DataFrame, group: str, label: str) -> DataFrame:
@@ -36,10 +37,24 @@ def reweighing_weights(df: DataFrame, group: str, label: str) -> DataFrame:
                       (F.col("_n_g") * F.col("_n_y") / (F.col("_n_all") * F.col("n"))).alias("weight"))
 
 
+#: Rows up to which a table of groups is broadcast, once it is counted.
+BROADCAST_GROUPS = 100_000
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """The table of groups, computed once; broadcast if its counted rows are few."""
+    kept = reliable_checkpoint(table)
+    return F.broadcast(kept) if kept.count() <= BROADCAST_GROUPS else kept
+
+
 def reweigh(df: DataFrame, group: str, label: str, name: str = "weight") -> DataFrame:
-    """Attach the reweighing weight to every row (equi-join on group and label)."""
-    w = reweighing_weights(df, group, label).select(
-        F.col("grp").alias("_g"), F.col("label").alias("_y"), F.col("weight").alias(name))
+    """Attach the reweighing weight to every row.
+
+    The weights, at most two rows a group, are counted and broadcast, so rows
+    are not shuffled on a group that may hold a third of them.
+    """
+    w = _small(reweighing_weights(df, group, label).select(
+        F.col("grp").alias("_g"), F.col("label").alias("_y"), F.col("weight").alias(name)))
     cond = [F.col(group).eqNullSafe(F.col("_g")), F.col(label).cast("int") == F.col("_y")]
     return df.join(w, cond, "left").drop("_g", "_y")
 
@@ -63,6 +78,6 @@ def group_thresholds(df: DataFrame, group: str, score: str, target_rate: float |
 def apply_thresholds(df: DataFrame, group: str, score: str, thresholds: DataFrame,
                      name: str = "pred_adjusted") -> DataFrame:
     """Positive when the score is above its group's threshold."""
-    t = thresholds.select(F.col("grp").alias("_g"), F.col("threshold").alias("_t"))
+    t = _small(thresholds.select(F.col("grp").alias("_g"), F.col("threshold").alias("_t")))
     out = df.join(t, F.col(group).eqNullSafe(F.col("_g")), "left")
     return out.withColumn(name, F.coalesce((F.col(score) > F.col("_t")).cast("int"), F.lit(0))).drop("_g", "_t")

@@ -51,7 +51,7 @@ def score_scenarios(scenarios: DataFrame, intercept: float, coefs: Mapping[str,
     Missing feature columns are 0."""
     filled = scenarios
     for f in coefs:
-        filled = filled.withColumn(f, F.coalesce(F.col(f), F.lit(0.0)) if f in scenarios.columns else F.lit(0.0))
+        filled = filled.withColumn(f, F.coalesce(F.col(f"`{f}`"), F.lit(0.0)) if f in scenarios.columns else F.lit(0.0))
     p = linear_score(intercept, coefs)
     out = linear_attribution(filled.withColumn("prob", p), coefs, means=means)
     return out.withColumn("prediction", decide(F.col("prob"))) \

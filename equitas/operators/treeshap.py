@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.layout import spread
 from ..session import checkpoint_dir
 
 
@@ -260,7 +259,8 @@ def tree_shap(df: DataFrame, model, features: Sequence[str], keep: Sequence[str]
             out["margin"] = base + phis.sum(axis=1)
             yield out
 
-    src = spread(df.select(*keep, *[F.col(f).cast("double").alias(f) for f in feats if f not in keep]))
+    src = df.select(*[F.col(f"`{c}`") for c in keep],
+                    *[F.col(f"`{f}`").cast("double").alias(f) for f in feats if f not in keep])
     return src.mapInPandas(explain, schema).withColumn("space", F.lit(space))
 
 

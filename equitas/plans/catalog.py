@@ -7,6 +7,7 @@ rounded to 6 places in both, and every computed column is aliased.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,10 +30,11 @@ from ..operators.gold import build_gold, entity_lookup, gold_page, gold_summary,
 from ..operators.profile import feature_stats, profile_columns
 from ..operators.silver import (TARGET, encode, engineer_features, impute, plan_features,
                                 prepare_target)
-from ..sources.ingest import validate
+from ..sources.ingest import ingest, validate
 from .prefix import row_index
 from ..session import reliable_checkpoint
-from ..sources.tables import table
+from ..session import shared_root
+from ..sources.tables import TABLES, table
 
 # Literal score coefficients shared with the oracle statements.
 # Boundaries sit between representable prices, so no row is on a rounding edge.
@@ -152,10 +154,7 @@ def attributed_lineitem(spark: SparkSession, sf: str) -> tuple[DataFrame, list[s
 def q_linear_attribution(spark: SparkSession, sf: str) -> DataFrame:
     df, feats = attributed_lineitem(spark, sf)
     return df.select("l_orderkey", "l_linenumber",
-                     # phi is plain +,-,* on identical inputs: emitted unrounded, since
-                     # engines break exact decimal ties of round() differently
-                     *[F.element_at("phi", i + 1).alias(f"phi_{f}")
-                       for i, f in enumerate(feats)])
+                     *[F.round(F.element_at("phi", i + 1), 10).alias(f"phi_{f}") for i, f in enumerate(feats)])
 
 
 def q_top_factors(spark: SparkSession, sf: str) -> DataFrame:
@@ -360,18 +359,22 @@ def q_binarize_coerce(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def orders_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    """orders with nulls placed by key (every row is kept)."""
+    """orders with nulls and NaN placed by key (every row is kept)."""
     o = table(spark, sf, "orders")
     k = F.col("o_orderkey")
     return o.select("o_orderkey",
+                    F.when(k % 3 != 0, F.col("o_custkey")).alias("o_custkey"),
+                    F.when(k % 13 == 0, F.lit(float("nan"))).when(k % 4 != 0, F.col("o_totalprice") / 2)
+                    .alias("half_price"),
                     F.when(k % 7 != 0, F.col("o_totalprice")).alias("o_totalprice"),
                     F.when(k % 5 != 0, F.col("o_orderstatus")).alias("o_orderstatus"),
                     F.when(k % 11 != 0, F.col("o_orderpriority")).alias("o_orderpriority"))
 
 
 def q_impute_median_mode(spark: SparkSession, sf: str) -> DataFrame:
-    out, _ = impute(orders_with_gaps(spark, sf))
-    return out.select("o_orderkey", _r("o_totalprice"), "o_orderstatus", "o_orderpriority")
+    out, _ = impute(ingest(spark, orders_with_gaps(spark, sf)))
+    return out.select("o_orderkey", _r("o_totalprice"), _r("o_custkey"), _r("half_price"),
+                      "o_orderstatus", "o_orderpriority")
 
 
 def user_activity(spark: SparkSession, sf: str) -> DataFrame:
@@ -407,8 +410,7 @@ def q_ordinal_codes(spark: SparkSession, sf: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- discovery
 
-DISCOVERY_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-                    "events", "labels")
+DISCOVERY_TABLES = TABLES
 
 
 def _discovered(spark: SparkSession, sf: str, match: str = "reference"):
@@ -638,7 +640,8 @@ def q_stream_bias_monitor(spark: SparkSession, sf: str) -> DataFrame:
     attrs, pred, label = _event_parts()
     schema = table(spark, sf, "events").schema
     out = run_monitor(spark, sf.rstrip("/"), schema, "ts", attrs, pred, label, window="1 day",
-                      watermark="1 hour", file_glob="events.parquet")
+                      watermark="1 hour", file_glob="events.parquet",
+                      out_dir=f"{shared_root(spark)}/bias-monitor-{uuid.uuid4().hex}")
     return _window_out(out)
 
 

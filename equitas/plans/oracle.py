@@ -151,7 +151,7 @@ def _display_sql(x: str) -> str:
 def _phi_cols(model, src: str) -> tuple[str, list[str]]:
     """CTE m with means over ``src`` and the phi expressions per feature."""
     _a, coefs = model
-    means = ", ".join(f"CAST(sum(CAST({c} AS DECIMAL(38, 10))) AS DOUBLE) / count({c}) AS m_{c}"
+    means = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}"
                       for c in coefs)
     phis = [f"({b!r} * (CAST({c} AS DOUBLE) - m_{c}))" for c, b in coefs.items()]
     return f"m AS (SELECT {means} FROM {src})", phis
@@ -198,7 +198,7 @@ _LI_P = (f"WITH {_M}, p AS (SELECT l_orderkey, l_linenumber, {_score_sql(LINEITE
 
 SQL["linear_attribution"] = (
     f"WITH {_M} SELECT l_orderkey, l_linenumber, "
-    + ", ".join(f"{p} AS phi_{c}" for c, p in zip(LINEITEM_MODEL[1], _PHIS))
+    + ", ".join(f"round({p}, 10) AS phi_{c}" for c, p in zip(LINEITEM_MODEL[1], _PHIS))
     + " FROM lineitem, m")
 SQL["top_factors"] = _LI_P + (
     " SELECT l_orderkey, l_linenumber, array_to_string(list_transform(list_slice(fl, 1, 3), "
@@ -368,6 +368,8 @@ SQL["binarize_coerce"] = (
     "CASE WHEN CAST(p_size AS DOUBLE) > (SELECT quantile_cont(CAST(p_size AS DOUBLE), 0.5) FROM part) "
     "THEN 1 ELSE 0 END AS size_binary FROM part")
 _GAPS = ("gaps AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS o_totalprice, "
+         "CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS o_custkey, "
+         "CASE WHEN o_orderkey % 13 <> 0 AND o_orderkey % 4 <> 0 THEN o_totalprice / 2 END AS half_price, "
          "CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS o_orderstatus, "
          "CASE WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS o_orderpriority FROM orders)")
 
@@ -380,6 +382,9 @@ def _mode(c):
 SQL["impute_median_mode"] = (
     f"WITH {_GAPS} SELECT o_orderkey, "
     "round(coalesce(o_totalprice, (SELECT quantile_cont(o_totalprice, 0.5) FROM gaps)), 6) AS o_totalprice, "
+    "round(coalesce(CAST(o_custkey AS DOUBLE), (SELECT quantile_cont(CAST(o_custkey AS DOUBLE), 0.5) FROM gaps)), 6) "
+    "AS o_custkey, "
+    "round(coalesce(half_price, (SELECT quantile_cont(half_price, 0.5) FROM gaps)), 6) AS half_price, "
     f"coalesce(o_orderstatus, {_mode('o_orderstatus')}) AS o_orderstatus, "
     f"coalesce(o_orderpriority, {_mode('o_orderpriority')}) AS o_orderpriority FROM gaps")
 SQL["delta_ratio_flags"] = (

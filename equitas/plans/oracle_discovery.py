@@ -2,7 +2,64 @@
 
 from __future__ import annotations
 
-from ..operators.discovery import PREFIX_WORDS, RULES, TARGET_FALLBACK_NAMES
+# The word lists and rules are written out here once more, so that a wrong or missing word in
+# the operator does not pass by being wrong in both.
+# Keyword lists, in rule order.
+TARGET_WORDS = ("target", "label", "outcome", "default", "churn", "result", "status", "class",
+                "prediction", "y", "dropout", "hired", "approved", "survived", "diagnosis", "fraud",
+                "attrition", "income")
+GENDER_WORDS = ("gender", "sex", "male", "female")
+SOCIOECONOMIC_WORDS = ("income", "fees", "debt", "tuition", "scholarship", "financial", "economic",
+                       "socioeconomic", "poverty", "wage", "salary", "displaced", "debtor",
+                       "credit_score", "credit score", "annual_income", "annual income",
+                       "household_income")
+RACE_WORDS = ("race", "ethnicity", "nationality", "nacional", "national", "international", "ethnic",
+              "origin", "country")
+AGE_WORDS = ("age", "birth_year", "birth year", "dob", "date_of_birth")
+MARITAL_WORDS = ("marital", "married", "marital_status", "marital status", "civil_status",
+                 "civil status")
+DISABILITY_WORDS = ("disability", "disabled", "special_needs", "special needs", "handicap",
+                    "impairment")
+RELIGION_WORDS = ("religion", "religious", "faith")
+FINANCIAL_WORDS = ("tuition", "fees", "scholarship", "debtor", "debt", "loan", "gdp", "unemployment",
+                   "inflation", "income", "salary", "revenue", "cost", "price", "amount", "balance",
+                   "credit", "payment", "billing", "charge")
+TEMPORAL_WORDS = ("date", "time", "year", "month", "day", "quarter", "semester", "week", "period",
+                  "tenure", "duration", "enrollment", "hired_date")
+IDENTIFIER_NAMES = ("id", "key", "uuid", "index", "record_id", "case_id", "entity_id", "user_id",
+                    "customer_id", "applicant_id", "candidate_id", "patient_id", "student_id")
+FAMILY_WORDS = ("mother", "father", "parent", "guardian", "spouse", "family")
+EDUCATION_WORDS = ("education", "qualification", "degree", "school", "university", "grade", "gpa",
+                   "score", "marks")
+WORK_WORDS = ("experience", "occupation", "job", "work", "employment", "position", "department",
+              "role")
+# Entity prefixes and their words, in order; fallback ENT.
+PREFIX_WORDS = (("STU", ("student", "dropout", "enrollment", "semester", "curricular", "gpa")),
+                ("APP", ("loan", "credit", "mortgage", "default", "fico")),
+                ("PAT", ("patient", "diagnosis", "clinical", "medical", "hospital")),
+                ("EMP", ("employee", "hired", "candidate", "interview", "resume")),
+                ("CUS", ("customer", "churn", "subscription", "purchase")))
+DEFAULT_PREFIX = "ENT"
+# Names that make a target when no rule found one.
+TARGET_FALLBACK_NAMES = ("target", "y", "label", "class")
+
+# (class, sensitive type, feature group, words, match, confidence, method), in priority order.
+RULES = (
+    ("identifier", None, "identifier", IDENTIFIER_NAMES, "exact", "high", "rule_based"),
+    ("target", None, "target", TARGET_WORDS, "both", "high", "rule_based"),
+    ("gender", "gender", "demographic", GENDER_WORDS, "both", "high", "rule_based"),
+    ("race_ethnicity", "race_ethnicity", "demographic", RACE_WORDS, "both", "high", "rule_based"),
+    ("marital_status", "marital_status", "demographic", MARITAL_WORDS, "both", "high", "rule_based"),
+    ("age", "age", "demographic", AGE_WORDS, "both", "high", "rule_based"),
+    ("disability", "disability", "demographic", DISABILITY_WORDS, "both", "high", "rule_based"),
+    ("religion", "religion", "demographic", RELIGION_WORDS, "both", "high", "rule_based"),
+    ("socioeconomic", "socioeconomic", "financial", SOCIOECONOMIC_WORDS, "both", "high", "rule_based"),
+    ("financial", None, "financial", FINANCIAL_WORDS, "both", "high", "rule_based"),
+    ("temporal", None, "temporal", TEMPORAL_WORDS, "both", "high", "rule_based"),
+    ("family", "socioeconomic", "demographic", FAMILY_WORDS, "contains", "medium", "heuristic"),
+    ("education", None, "numerical", EDUCATION_WORDS, "contains", "medium", "heuristic"),
+    ("work", None, "categorical", WORK_WORDS, "contains", "medium", "heuristic"),
+)
 
 # Column lists of the driver tables: (name, numeric?)
 SCHEMAS = {
@@ -20,7 +77,12 @@ SCHEMAS = {
                  ("l_returnflag", False), ("l_linestatus", False), ("l_shipdate", False)],
     "events": [("event_id", True), ("ts", False), ("user_id", True), ("event_type", False),
                ("value", True), ("props", False)],
+    "documents": [("doc_id", True), ("text", False), ("lang", False), ("source", False), ("n_chars", True)],
+    "embeddings": [("vec_id", True), ("embedding", False), ("label", True)],
+    "pages": [("page_id", True), ("url", False), ("html", False)],
+    "benchmark": [("item_id", True), ("text", False)],
     "labels": [("doc_id", True), ("quality", True), ("toxic", True)],
+    "conversations": [("conv_id", True), ("turn", True), ("role", False), ("text", False)],
 }
 
 QUOTE = "'"
@@ -62,7 +124,7 @@ def discovery_ctes(match: str) -> str:
         "coalesce(r.fg, CASE WHEN lid THEN 'identifier' WHEN isn THEN 'numerical' WHEN lc THEN 'categorical' "
         "ELSE 'numerical' END) AS feature_group, coalesce(r.cls = 'target', false) AS is_target, "
         "r.st IS NOT NULL AS is_sensitive, coalesce(r.conf, CASE WHEN lid THEN 'medium' ELSE 'low' END) AS confidence, "
-        "coalesce(r.meth, 'llm_simulated') AS method, (r.cls IS NULL OR r.meth = 'llm_simulated') AS ambiguous "
+        "coalesce(r.meth, 'heuristic') AS method, (r.cls IS NULL OR r.meth = 'heuristic') AS ambiguous "
         "FROM best)")
 
 

@@ -30,7 +30,7 @@ def _grid_sql() -> str:
 def _scenario_sql() -> str:
     a, coefs = ORDER_MODEL
     feats = list(coefs)
-    means = ", ".join(f"CAST(sum(CAST({c} AS DECIMAL(38, 10))) AS DOUBLE) / count({c}) AS m_{c}" for c in feats)
+    means = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}" for c in feats)
     phis = [f"({b!r} * (CAST({c} AS DOUBLE) - m_{c}))" for c, b in coefs.items()]
     items = ", ".join(f"{{'neg_mag': -abs({p}), 'neg_idx': {-i}, 'feature': '{c}', 'v': {p}}}"
                       for i, (c, p) in enumerate(zip(feats, phis)))

@@ -13,7 +13,8 @@ bounded tasks:
 
 Order columns must be unique within ``keys`` (callers aggregate first).
 When a size check shows that no key has more than ``WINDOW_MAX_ROWS`` rows,
-a plain window per key is used instead (its tasks are bounded by that size).
+a plain window per key is used instead (its tasks are bounded by that size, and
+the whole-number sums are the same). Without a key the ranges are always used.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from ..session import default_parallelism, reliable_checkpoint
 PID = "_pid"
 # Keys with at most this many rows are summed by one window each: one task
 # sorts and scans them (seconds of work; the window buffer spills to disk).
-WINDOW_MAX_ROWS = 2_000_000
+WINDOW_MAX_ROWS = 200_000
 # Rows per range partition on the distributed path: the range count grows
 # with the data instead of staying at the session's shuffle width.
 ROWS_PER_RANGE = 4_000_000
@@ -59,7 +60,9 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     keys, order, sum_cols = list(keys), list(order), list(sum_cols)
     spark = df.sparkSession
     total = 0
-    if num_partitions is None:
+    if num_partitions is None and not keys:
+        total = df.count()
+    elif num_partitions is None:
         # size check: when no key holds more than WINDOW_MAX_ROWS rows, one
         # window per key is bounded and skips the sample / checkpoint / join
         if size_hint is not None and size_hint * 2 <= WINDOW_MAX_ROWS:

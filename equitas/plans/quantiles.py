@@ -6,9 +6,7 @@ rows are first reduced to (key, value, count); a distributed running count
 (:mod:`.prefix`) then tells which distinct value holds each wanted row rank.
 Only the handful of rows that hold a target rank leave the executors.
 
-When a cheap HyperLogLog pass (or a caller's hint) shows that every group has
-few distinct values, Spark's exact ``percentile`` is used instead: its buffer
-is then bounded by that checked size.
+There is one formula at every size: the two bracketing values, interpolated once.
 
 ``approx=True`` switches to ``percentile_approx`` (one pass, bounded sketch).
 """
@@ -23,11 +21,6 @@ from pyspark.sql import functions as F
 from .prefix import running_totals
 
 
-# A group whose distinct values are at most this many fits Spark's exact
-# ``percentile`` buffer comfortably in one task; beyond it the distributed path runs.
-BUFFER_MAX_DISTINCT = 200_000
-
-
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probs: Sequence[float], with_codes: bool = False,
                     approx: bool = False, accuracy: int = 100000,
@@ -53,20 +46,6 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
             *keys, "q_idx", F.element_at(F.array(*[F.lit(p) for p in probs]),
                                          F.col("q_idx") + 1).alias("prob"), "value")
 
-    if not with_codes:
-        if distinct_hint is None:
-            # one HyperLogLog pass (bounded state) to size the exact buffer
-            sizes = df.groupBy(*keys).agg(F.approx_count_distinct(value).alias("_d"))
-            distinct_hint = sizes.agg(F.max("_d")).first()[0] or 0
-        # the estimate's error is a few percent: keep a wide margin
-        if distinct_hint * 2 <= BUFFER_MAX_DISTINCT:
-            freq = F.col(count_col).cast("long") if count_col else F.lit(1)
-            agg = df.groupBy(*keys).agg(
-                F.percentile(F.col(value).cast("double"), probs, freq).alias("_qs"))
-            return agg.select(*keys, F.posexplode("_qs").alias("q_idx", "value")).select(
-                *keys, "q_idx", F.element_at(F.array(*[F.lit(p) for p in probs]),
-                                             F.col("q_idx") + 1).alias("prob"), "value")
-
     weight = F.sum(F.col(count_col).cast("long")) if count_col else F.count(F.lit(1))
     counted = (df.where(F.col(value).isNotNull())
                .groupBy(*keys, value).agg(weight.alias("_c")))
@@ -137,5 +116,5 @@ def unpivot_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(attr, value as double) rows; the stack is pipelined in the scan stage."""
     cols = list(cols)
     return df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_attr"), F.col(c).cast("double").alias("_val")) for c in cols
+        F.struct(F.lit(c).alias("_attr"), F.col(f"`{c}`").cast("double").alias("_val")) for c in cols
     ])).alias("_s")).select("_s._attr", "_s._val")

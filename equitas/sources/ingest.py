@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import python_list_text
 
@@ -23,13 +24,31 @@ def load_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return reader.csv(path)
 
 
+def _is_float(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.FloatType, T.DoubleType))
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN of float columns as null, so that one notion of "missing" holds from here on."""
+    if not any(_is_float(f.dataType) for f in df.schema.fields):
+        return df
+    return df.select(*[
+        F.nanvl(F.col(f"`{f.name}`"), F.lit(None).cast(f.dataType)).alias(f.name) if _is_float(f.dataType)
+        else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def ingest(spark: SparkSession, source=None, *, path: str | None = None,
            table_name: str | None = None, fmt: str | None = None) -> DataFrame:
-    """Resolve a source in the order: DataFrame > path > catalog table.
+    """Resolve a source in the order: DataFrame > path > catalog table; NaN becomes null.
 
     Paths pick their reader from ``fmt`` or the suffix (csv / json / parquet /
     orc); a bare name is read from the catalog (``spark.table``).
     """
+    return nan_to_null(_resolve(spark, source, path, table_name, fmt))
+
+
+def _resolve(spark: SparkSession, source, path: str | None, table_name: str | None,
+             fmt: str | None) -> DataFrame:
     if isinstance(source, DataFrame):
         return source
     if isinstance(source, str) and path is None and table_name is None:
@@ -74,6 +93,7 @@ def cached_dataset(spark: SparkSession, name: str, cache_dir: str, source=None,
 def validate(df: DataFrame) -> DataFrame:
     """One row: totals, null counts per column, issues; never raises."""
     cols = df.columns
+    df = nan_to_null(df)
     nulls = df.agg(F.count(F.lit(1)).alias("total_rows"),
                    *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
     ncols = len(cols)
@@ -95,6 +115,12 @@ def validate(df: DataFrame) -> DataFrame:
         issues.alias("issues"))
 
 
+def column_types(df: DataFrame) -> DataFrame:
+    """(position, column, dtype): the columns as they were read; no rows are touched."""
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, column string, dtype string")
+
+
 def preview(df: DataFrame, n: int = 5) -> tuple[list[tuple[str, str]], DataFrame]:
     """(column dtypes, first ``n`` rows). Rows have no file order in Spark: this is
     ``limit(n)``, a preview only."""

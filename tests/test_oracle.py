@@ -26,6 +26,6 @@ def test_query_matches_oracle(spark, duck, name):
     sql = E.oracle_sql().get(name)
     r = compare(spark, duck, name, E.queries()[name], sql, SF)
     if sql is None:
-        assert r["rows"] >= 0
+        assert r["rows"] > 0
     else:
-        assert r["rows_ok"] and r["schema_ok"] and r["hash_ok"], r
+        assert r["rows"] > 0 and r["rows_ok"] and r["schema_ok"] and r["hash_ok"], r
