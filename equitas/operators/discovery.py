@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .profile import LIKELY_ID_MIN_ROWS, LIKELY_ID_RATIO, LOW_CARDINALITY_MAX, is_numeric
+from .profile import (LIKELY_ID_MIN_ROWS, LIKELY_ID_RATIO, LOW_CARDINALITY_MAX, count_values, is_numeric)
 
 # Keyword lists, in rule order.
 TARGET_WORDS = ("target", "label", "outcome", "default", "churn", "result", "status", "class",
@@ -108,28 +108,6 @@ def _named_catalog(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Data
                                        "is_numeric boolean")
 
 
-def _counted(tables: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]], distinct) -> dict:
-    """(table, column) -> (rows, distinct values): one aggregate per table, all in one job."""
-    wanted: dict[str, list[str]] = {}
-    for t, c in columns:
-        wanted.setdefault(t, []).append(c)
-    parts = []
-    for t, cols in wanted.items():
-        for some in ([[c] for c in cols] if distinct is F.count_distinct else [cols]):
-            # an exact count has an aggregate of its own, so rows are not multiplied by the columns
-            row = tables[t].agg(F.count(F.lit(1)).alias("n"), *[
-                distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(some)])
-            parts.append(row.select(F.explode(F.array(*[
-                F.struct(F.lit(t).alias("table"), F.lit(c).alias("column"), "n", F.col(f"d{i}").alias("d"))
-                for i, c in enumerate(some)])).alias("s")).select("s.*"))
-    if not parts:
-        return {}
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.union(p)
-    return {(r["table"], r["column"]): (r["n"], r["d"]) for r in rows.collect()}   # one row per column
-
-
 def column_catalog(tables: Mapping[str, DataFrame], match: str = "reference",
                    approx: bool = False) -> DataFrame:
     """(table, column, position, dtype, is_numeric, is_likely_id, is_low_cardinality).
@@ -151,14 +129,14 @@ def column_catalog(tables: Mapping[str, DataFrame], match: str = "reference",
     def sketch(c: Column) -> Column:
         return F.approx_count_distinct(c, SKETCH_ERROR)
 
-    counts = _counted(tables, open_, sketch)
+    counts = count_values(tables, open_, sketch)
     if not approx:
         slack = NEAR * SKETCH_ERROR
 
         def near(n: int, d: int, edge: float) -> bool:
             return d * (1 - slack) <= edge * (1 + slack) and edge <= d * (1 + slack) + 1
 
-        counts.update(_counted(tables, [
+        counts.update(count_values(tables, [
             k for k, (n, d) in counts.items()
             if near(n, d, LIKELY_ID_RATIO * n) or near(n, d, LOW_CARDINALITY_MAX)], F.count_distinct))
     flags = [(t, c, d / max(n, 1) > LIKELY_ID_RATIO and n > LIKELY_ID_MIN_ROWS, d <= LOW_CARDINALITY_MAX)

@@ -104,6 +104,18 @@ def entity_lookup(gold: DataFrame, ids: DataFrame, id_col: str = "entity_id") ->
     return gold.join(keys, "entity_id", "left_semi")
 
 
-def lookup_entity(gold: DataFrame, entity: str) -> DataFrame:
-    """One entity by id (first match); the filter is pushed to the scan."""
-    return gold.where(F.col("entity_id") == F.lit(str(entity))).limit(1)
+def explain_entities(attributed: DataFrame, ids: DataFrame, id_column: str, score: str = "risk_score",
+                     factors: str = "factors") -> DataFrame:
+    """Signed explanation of chosen entities: one row per entity and factor.
+
+    ``ids`` has the wanted ids in its first column. Returns the id, its score
+    and tier, and per factor its rank, name, signed value, direction and
+    magnitude. Ids that do not occur give no rows.
+    """
+    wanted = ids.select(F.col(f"`{ids.columns[0]}`").cast(attributed.schema[id_column].dataType)
+                        .alias(id_column)).distinct()
+    met = attributed.join(wanted, id_column, "left_semi")
+    return met.select(
+        id_column, F.col(score), intervention_tier(F.col(score)).alias("intervention_tier"),
+        F.posexplode(factors).alias("_pos", "_f")).select(
+        id_column, score, "intervention_tier", (F.col("_pos") + 1).alias("rank"), "_f.*")

@@ -170,6 +170,22 @@ class Calibrated:
         return out.withColumn(name, avg).drop(*[f"_m{i}" for i in range(len(self.folds))])
 
 
+    def save(self, path: str) -> None:
+        """Each fold's model, and one row per fold with its sigmoid, under ``path``."""
+        for i, (base, _, _) in enumerate(self.folds):
+            base.save(f"{path}/fold{i}")
+        rows = [(i, base.name, list(base.features), a, b) for i, (base, a, b) in enumerate(self.folds)]
+        SparkSession.active().createDataFrame(
+            rows, "fold int, name string, features array<string>, a double, b double"
+        ).coalesce(1).write.mode("overwrite").parquet(f"{path}/sigmoids")
+
+
+def load_calibrated(spark: SparkSession, path: str) -> Calibrated:
+    """What :meth:`Calibrated.save` wrote."""
+    rows = spark.read.parquet(f"{path}/sigmoids").orderBy("fold").collect()     # one row per fold
+    return Calibrated([(load(f"{path}/fold{r['fold']}", r["name"], r["features"]), r["a"], r["b"]) for r in rows])
+
+
 def platt_fit(scored: DataFrame, margin: str, label: str) -> tuple[float, float]:
     """Fit sigmoid(A * margin + B) with Platt's smoothed targets."""
     counts = scored.agg(F.sum(F.col(label).cast("double")).alias("p"), F.count(F.lit(1)).alias("n")).first()

@@ -1,14 +1,15 @@
 """Column profiles: counts, nulls, cardinality, flags and numeric statistics.
 
-All columns are profiled together: one aggregate pass for counts, distinct
-counts (exact by default, HyperLogLog with ``approx=True``) and moments; one
+All columns are profiled together: one aggregate pass for counts and moments; one
+job of distinct counts with an aggregate per column (exact by default, HyperLogLog
+with ``approx=True``), so that rows are not multiplied by the columns; one
 distributed exact-quantile job for every numeric median; one bounded top-k
 job for sample values. Output is one row per column.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,28 @@ def _q(c: str) -> str:
     return f"`{c}`"
 
 
+def count_values(tables: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]], distinct) -> dict:
+    """(table, column) -> (rows, distinct values): one aggregate per table, all in one job."""
+    wanted: dict[str, list[str]] = {}
+    for t, c in columns:
+        wanted.setdefault(t, []).append(c)
+    parts = []
+    for t, cols in wanted.items():
+        for some in ([[c] for c in cols] if distinct is F.count_distinct else [cols]):
+            # an exact count has an aggregate of its own, so rows are not multiplied by the columns
+            row = tables[t].agg(F.count(F.lit(1)).alias("n"), *[
+                distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(some)])
+            parts.append(row.select(F.explode(F.array(*[
+                F.struct(F.lit(t).alias("table"), F.lit(c).alias("column"), "n", F.col(f"d{i}").alias("d"))
+                for i, c in enumerate(some)])).alias("s")).select("s.*"))
+    if not parts:
+        return {}
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.union(p)
+    return {(r["table"], r["column"]): (r["n"], r["d"]) for r in rows.collect()}   # one row per column
+
+
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None,
                     approx: bool = False, with_samples: bool = True,
                     with_medians: bool = True) -> DataFrame:
@@ -43,18 +66,18 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None,
     spark = df.sparkSession
     cols = list(columns or df.columns)
     numeric = [c for c in cols if is_numeric(df.schema[c].dataType)]
-    distinct = F.approx_count_distinct if approx else F.count_distinct
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
-        aggs += [F.count(F.col(_q(c))).alias(f"nn{i}"), distinct(F.col(_q(c))).alias(f"cd{i}")]
+        aggs += [F.count(F.col(_q(c))).alias(f"nn{i}")]
         if c in numeric:
             x = F.col(_q(c)).cast("double")
             aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"), F.avg(x).alias(f"av{i}"),
                      F.stddev_samp(x).alias(f"sd{i}")]
     stats = df.agg(*aggs)
-    # one row of statistics, collected so that the distinct counts can size the
-    # median plan (no separate HyperLogLog pass)
-    row = stats.first()
+    counts = count_values({"": df}, [("", c) for c in cols],
+                          F.approx_count_distinct if approx else F.count_distinct)
+    row = stats.first()     # one row of statistics
+    card = {c: counts["", c][1] for c in cols}
     wide = spark.createDataFrame([tuple(row)], stats.schema)
     null_d = F.lit(None).cast("double")
     long = wide.select(F.explode(F.array(*[
@@ -62,7 +85,7 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None,
             F.lit(c).alias("column"), F.lit(i).alias("position"),
             F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
             F.col("_n").alias("total_count"), (F.col("_n") - F.col(f"nn{i}")).alias("null_count"),
-            F.col(f"cd{i}").cast("long").alias("cardinality"),
+            F.lit(card[c]).cast("long").alias("cardinality"),
             F.lit(c in numeric).alias("is_numeric"),
             (F.col(f"mn{i}") if c in numeric else null_d).alias("min"),
             (F.col(f"mx{i}") if c in numeric else null_d).alias("max"),
@@ -81,7 +104,7 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None,
         (F.col("cardinality") <= LOW_CARDINALITY_MAX).alias("is_low_cardinality"),
     )
     if numeric and with_medians:
-        hint = max(row[f"cd{i}"] or 0 for i, c in enumerate(cols) if c in numeric)
+        hint = max(card[c] or 0 for c in numeric)
         med = exact_quantiles(unpivot_numeric(df, numeric), ["_attr"], "_val", [0.5], approx=approx,
                               distinct_hint=hint)
         long = long.join(med.select(F.col("_attr").alias("column"), F.col("value").alias("median")),

@@ -21,6 +21,7 @@ from ..functions.scalar import decide, linear_score
 from ..functions.text import intervention_tier
 from .attribution import linear_attribution, top_factors
 from .profile import feature_stats
+from .treeshap import tree_shap
 
 STEPS = 100
 
@@ -57,3 +58,28 @@ def score_scenarios(scenarios: DataFrame, intercept: float, coefs: Mapping[str,
     return out.withColumn("prediction", decide(F.col("prob"))) \
               .withColumn("intervention_tier", intervention_tier(F.col("prob"))) \
               .withColumn("factors", top_factors(F.col("phi"), list(coefs), k))
+
+
+def score_fitted(scenarios: DataFrame, fitted, features: Sequence[str], calibrated=None, k: int = 5) -> DataFrame:
+    """Scenarios through a fitted model: probability, prediction, tier and top ``k`` factors.
+
+    ``calibrated`` gives the probability if there is one, else ``fitted`` does.
+    Factors are TreeSHAP for trees, and exact linear attributions (against
+    feature value 0) for a logistic regression. Missing features are 0.
+    """
+    filled = scenarios
+    for f in features:
+        filled = filled.withColumn(f, F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(0.0))
+                                   if f in scenarios.columns else F.lit(0.0))
+    if calibrated is not None:
+        scored = calibrated.score(filled, name="prob")
+    else:
+        scored = fitted.score(filled).drop("margin")
+    if fitted.name == "logistic_regression":
+        coefs = {f: float(b) for f, b in zip(features, fitted.model.stages[-1].coefficients)}
+        out = linear_attribution(scored, coefs, means={f: 0.0 for f in features})
+    else:
+        out = tree_shap(scored, fitted.model, features, scored.columns)
+    return out.withColumn("prediction", decide(F.col("prob"))) \
+              .withColumn("intervention_tier", intervention_tier(F.col("prob"))) \
+              .withColumn("factors", top_factors(F.col("phi"), list(features), k))

@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -236,32 +237,26 @@ def base_value(trees: Sequence[TreeArrays]) -> float:
 
 def tree_shap(df: DataFrame, model, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """``keep`` columns plus ``phi`` (array, in ``features`` order), ``base_value``
-    and ``margin`` (= base_value + sum(phi)) for every row."""
+    and ``margin`` (= base_value + sum(phi)) for every row.
+
+    Only the features go through Arrow; the other columns stay where they are.
+    """
     spark = df.sparkSession
     tree_model = model.stages[-1] if hasattr(model, "stages") else model
     trees, space = extract_trees(spark, tree_model)
-    feats, keep = list(features), list(keep)
     base = base_value(trees)
-    schema = T.StructType(
-        [df.schema[c] for c in keep]
-        + [T.StructField("phi", T.ArrayType(T.DoubleType())), T.StructField("base_value", T.DoubleType()),
-           T.StructField("margin", T.DoubleType())])
-
     paths = [leaf_paths(t) for t in trees]
 
-    def explain(batches):
-        for pdf in batches:
-            x = pdf[feats].fillna(0.0).to_numpy(dtype=float)
-            phis = shap_batch(trees, paths, x)   # whole Arrow batch at once
-            out = pdf[keep].copy()
-            out["phi"] = list(phis)
-            out["base_value"] = base
-            out["margin"] = base + phis.sum(axis=1)
-            yield out
-
-    src = df.select(*[F.col(f"`{c}`") for c in keep],
-                    *[F.col(f"`{f}`").cast("double").alias(f) for f in feats if f not in keep])
-    return src.mapInPandas(explain, schema).withColumn("space", F.lit(space))
+    def explain(rows: pd.DataFrame) -> pd.DataFrame:
+        phis = shap_batch(trees, paths, rows.fillna(0.0).to_numpy(dtype=float))   # a whole Arrow batch at once
+        return pd.DataFrame({"phi": list(phis), "margin": base + phis.sum(axis=1)})
+
+    explained = F.pandas_udf(explain, "phi array<double>, margin double").asNondeterministic()   # once per row
+    inputs = F.struct(*[F.col(f"`{f}`").cast("double").alias(f"f{i}") for i, f in enumerate(features)])
+    kept = [F.col(f"`{c}`") for c in keep]
+    return df.select(*kept, explained(inputs).alias("_shap")).select(
+        *kept, F.col("_shap.phi").alias("phi"), F.lit(base).alias("base_value"),
+        F.col("_shap.margin").alias("margin"), F.lit(space).alias("space"))
 
 
 def model_margin(trees: Sequence[TreeArrays], x) -> float:

@@ -22,7 +22,7 @@ from ..operators.discovery import discover
 from ..operators.evaluate import (best_model, class_weights, classification_metrics, confusion,
                                   evaluate, improvement_pct, metrics_table, roc_auc, score_stats)
 from ..operators.mitigation import apply_thresholds, group_thresholds, reweighing_weights
-from ..operators.models import calibrate_cv, fit, in_parallel, stratified_split
+from ..operators.models import calibrate_cv, fit, in_parallel, stratified_split, with_weights
 from ..operators.scenarios import baseline, grid, score_scenarios
 from ..operators.treeshap import tree_shap
 from ..streaming.monitor import bias_by_window, run_monitor
@@ -30,10 +30,9 @@ from ..operators.gold import build_gold, entity_lookup, gold_page, gold_summary,
 from ..operators.profile import feature_stats, profile_columns
 from ..operators.silver import (TARGET, encode, engineer_features, impute, plan_features,
                                 prepare_target)
-from ..sources.ingest import ingest, validate
+from ..sources.ingest import cached_dataset, ingest, validate, write_gold
 from .prefix import row_index
-from ..session import reliable_checkpoint
-from ..session import shared_root
+from ..session import default_parallelism, reliable_checkpoint, shared_root
 from ..sources.tables import TABLES, table
 
 # Literal score coefficients shared with the oracle statements.
@@ -558,7 +557,7 @@ def q_score_scenarios(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------------- models (rows only)
 
 MODEL_FEATURES = ["n_chars", "quality"]
-N_TREES = 20
+N_TREES = 200
 
 
 def _doc_model_frame(spark: SparkSession, sf: str) -> DataFrame:
@@ -588,14 +587,14 @@ def q_fit_score_gbt(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_calibrate_cv(spark: SparkSession, sf: str) -> DataFrame:
     d = _doc_model_frame(spark, sf)
-    cal = calibrate_cv(d, MODEL_FEATURES, "toxic", ["doc_id"], kind="gbt", n_folds=5, n_trees=10)
+    cal = calibrate_cv(d, MODEL_FEATURES, "toxic", ["doc_id"], kind="gbt", n_folds=5, n_trees=N_TREES)
     return cal.score(d).select("doc_id", "calibrated")
 
 
 def q_tree_shap(spark: SparkSession, sf: str) -> DataFrame:
     d = _doc_model_frame(spark, sf)
     m = fit(d, MODEL_FEATURES, "toxic", kind="gbt", n_trees=N_TREES)
-    shap = tree_shap(d, m.model, MODEL_FEATURES, ["doc_id"])
+    shap = tree_shap(d.repartition(2 * default_parallelism(spark)), m.model, MODEL_FEATURES, ["doc_id"])
     top = top_factors(F.col("phi"), MODEL_FEATURES, 3)
     return shap.select("doc_id", "base_value", "margin",
                        F.array_join(factor_names(top), "|").alias("top_factors"))
@@ -613,6 +612,70 @@ def q_model_comparison(spark: SparkSession, sf: str) -> DataFrame:
         "model", "auc", "accuracy", "precision", "recall", "f1", "tn", "fp", "fn", "tp", "best_model")
 
 
+def q_fit_score_rf(spark: SparkSession, sf: str) -> DataFrame:
+    """Every labelled document scored by a forest; probability, decision and tier agree."""
+    d = _doc_model_frame(spark, sf)
+    m = fit(d, MODEL_FEATURES, "toxic", kind="random_forest", n_trees=N_TREES, max_depth=5)
+    s = m.score(d).withColumn("tier", intervention_tier(F.col("prob")))
+    p = F.col("prob")
+    return s.select("doc_id", p.between(0.0, 1.0).alias("in_range"),
+                    (decide(p) == F.when(p >= 0.5, 1).otherwise(0)).alias("decision_ok"),
+                    (F.col("tier") == F.when(p > 0.7, "High").when(p >= 0.4, "Medium").otherwise("Low"))
+                    .alias("tier_ok"))
+
+
+def q_lr_optimum(spark: SparkSession, sf: str) -> DataFrame:
+    """The fitted regression is the optimum: its penalised, weighted gradient is near zero in every coordinate."""
+    d = _doc_model_frame(spark, sf).withColumn("n_chars", F.col("n_chars") / 1000)
+    m = fit(d, MODEL_FEATURES, "toxic", kind="logistic_regression")
+    lr = m.model.stages[-1]
+    scored = with_weights(m.score(d), "toxic", "balanced")
+    gap = F.col("weight") * (F.col("prob") - F.col("toxic"))
+    total = F.sum("weight")
+    parts = [((F.sum(gap * F.col(f)) + F.lit(float(b))) / total).alias(f)
+             for f, b in zip(MODEL_FEATURES, lr.coefficients)]
+    row = scored.agg(*parts, (F.sum(gap) / total).alias("intercept"), F.count(F.lit(1)).alias("n_rows"))
+    return row.select("n_rows", *[(F.abs(c) < 1e-5).alias(f"{c}_zero") for c in (*MODEL_FEATURES, "intercept")])
+
+
+# --------------------------------------------------------------------------- sources and sinks
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/equitas-io-{uuid.uuid4().hex}"
+
+
+def q_ingest_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """orders written as CSV and ingested by path, with inferred types."""
+    path = f"{_scratch(spark)}/orders.csv"
+    table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus").write.option(
+        "header", True).csv(path)
+    back = ingest(spark, path)
+    return back.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), _r("o_totalprice"), "o_orderstatus",
+                       F.lit(dict(back.dtypes)["o_totalprice"]).alias("price_type"))
+
+
+def q_cached_dataset(spark: SparkSession, sf: str) -> DataFrame:
+    """customer through the read-through cache: the second read finds the copy and needs no source."""
+    folder = _scratch(spark)
+    cached_dataset(spark, "customer", folder, table(spark, sf, "customer"))
+    return cached_dataset(spark, "customer", folder).select("c_custkey", "c_name", _r("c_acctbal"))
+
+
+def q_gold_sinks(spark: SparkSession, sf: str) -> DataFrame:
+    """The gold table of orders through its three sinks: rows and summed scores of each, read back."""
+    folder = _scratch(spark)
+    write_gold(gold_orders(spark, sf), folder)
+    read = {"parquet": spark.read.parquet(f"{folder}/parquet"), "json": spark.read.json(f"{folder}/json"),
+            "csv": spark.read.option("header", True).csv(f"{folder}/csv")}
+    out = None
+    for fmt, df in read.items():
+        one = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("entity_id").alias("n_entities"),
+                     F.round(F.sum(F.col("risk_score").cast("double")), 3).alias("total_score"),
+                     F.min(F.lit(",".join(sorted(df.columns)))).alias("columns")).select(F.lit(fmt).alias("sink"), "*")
+        out = one if out is None else out.union(one)
+    return out
+
+
 # --------------------------------------------------------------------------- streaming
 
 def _event_parts():
@@ -677,6 +740,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "calibrate_cv": q_calibrate_cv,
     "tree_shap": q_tree_shap,
     "model_comparison": q_model_comparison,
+    "fit_score_rf": q_fit_score_rf,
+    "lr_optimum": q_lr_optimum,
+    "ingest_csv": q_ingest_csv,
+    "cached_dataset": q_cached_dataset,
+    "gold_sinks": q_gold_sinks,
     "confusion": q_confusion,
     "classification_metrics": q_classification_metrics,
     "auc_exact": q_auc_exact,

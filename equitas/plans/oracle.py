@@ -266,6 +266,19 @@ def _summary_sql(where: str, page_size: int) -> str:
 
 
 SQL["gold_table"] = _GOLD_CTES + f"SELECT {_GOLD_COLS} FROM gold"
+SQL["gold_sinks"] = _GOLD_CTES + (
+    ", one AS (SELECT count(*) AS n_rows, count(DISTINCT entity_id) AS n_entities, "
+    "round(sum(risk_score), 3) AS total_score, "
+    "'bias_flag,entity_id,intervention_tier,reason_text,risk_score,top_factors' AS columns FROM gold) "
+    "SELECT sink, one.* FROM one, (VALUES ('parquet'), ('json'), ('csv')) f(sink)")
+SQL["ingest_csv"] = ("SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice, o_orderstatus, "
+                     "'double' AS price_type FROM orders")
+SQL["cached_dataset"] = "SELECT c_custkey, c_name, round(c_acctbal, 6) AS c_acctbal FROM customer"
+# a fitted model cannot be recomputed in SQL; what must hold of it for every row can be stated
+SQL["fit_score_rf"] = ("SELECT doc_id, true AS in_range, true AS decision_ok, true AS tier_ok "
+                       "FROM documents JOIN labels USING (doc_id)")
+SQL["lr_optimum"] = ("SELECT count(*) AS n_rows, true AS n_chars_zero, true AS quality_zero, true AS intercept_zero "
+                     "FROM documents JOIN labels USING (doc_id)")
 SQL["gold_page"] = _GOLD_CTES + (
     f"SELECT {_GOLD_COLS} FROM gold WHERE intervention_tier = 'Medium' "
     "ORDER BY risk_score DESC, entity_id ASC LIMIT 50 OFFSET 100")

@@ -3,14 +3,14 @@
 ingest -> validate -> discover -> silver -> split -> fit -> pick best ->
 calibrate -> score every row -> fairness audit -> attributions -> reasons ->
 gold. Everything is a lazy DataFrame except the fits and the small collected
-statistics that decide the plan. Three frames are written to the shared
-checkpoint folder, each because several later steps read it: the silver
-frame (before the fits), the scored rows (audit, flags, attributions) and
-the attributed rows (gold, summary, importance).
+statistics that decide the plan. What several later steps read is handed over
+as Parquet in the shared folder: the silver frame, the split, the held-out
+scores, the scored rows and the attributed rows.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,13 +20,15 @@ from ..functions.scalar import decide
 from ..operators.attribution import global_importance, linear_attribution, top_factors
 from ..operators.audit import AuditResult, fairness_audit
 from ..operators.discovery import discover
-from ..operators.evaluate import best_model, evaluate, metrics_table
-from ..operators.gold import build_gold, gold_summary
-from ..operators.models import Fitted, calibrate_cv, fit, in_parallel, stratified_split
+from ..operators.evaluate import best_model, evaluate, improvement_pct, metrics_table, score_stats
+from ..operators.gold import build_gold, explain_entities, gold_summary
+from ..operators.models import Calibrated, Fitted, calibrate_cv, fit, in_parallel, stratified_split
+from ..operators.scenarios import score_fitted
 from ..operators.silver import TARGET, Silver, model_feature_columns, transform
 from ..operators.treeshap import tree_shap
-from ..session import reliable_checkpoint
-from ..sources.ingest import ingest, validate
+from ..session import default_parallelism, parquet_handover, remove, shared_root
+from ..sources.ingest import (audit_metrics, ingest, log_metrics, metrics_rows, validate, write_gold,
+                              write_importance, write_silver)
 
 ROW_KEY = "_row_key"
 RAW = "__raw__"
@@ -46,14 +48,46 @@ class Result:
     gold: DataFrame
     summary: DataFrame
     importance: DataFrame
+    calibration: DataFrame | None = None    # Brier and distribution before and after, on the test rows
+    calibrated: Calibrated | None = None
     models: dict = field(default_factory=dict)
+    folder: str = ""
+
+    def explain(self, ids: DataFrame) -> DataFrame:
+        """Signed factors of the entities in ``ids``."""
+        return explain_entities(self.scored, ids, self.schema["id_column"] or ROW_KEY)
+
+    def score_scenarios(self, scenarios: DataFrame, k: int = 5) -> DataFrame:
+        """Feature vectors through the best model, as the run scored its rows."""
+        return score_fitted(scenarios, self.models[self.best], self.features, self.calibrated, k)
+
+    def close(self) -> None:
+        """Remove the hand-over tables; the lazy frames of the result cannot be read after that."""
+        remove(self.gold.sparkSession, self.folder)
+
+
+def calibration_report(test: DataFrame, label: str, before: str, after: str) -> DataFrame:
+    """One row: Brier score, mean, std, min, max and median before and after, and the improvement in percent."""
+    names = ("mean", "std", "min", "max", "median", "brier")
+    b, a = (score_stats(test, c, label).select(*[F.col(n).alias(f"{n}_{when}") for n in names])
+            for c, when in ((before, "before"), (after, "after")))
+    return b.crossJoin(a).withColumn(        # two one-row frames
+        "improvement_pct", improvement_pct(F.col("brier_before"), F.col("brier_after")))
 
 
 def run(spark: SparkSession, source, *, target: str | None = None, positive_class=None,
         sensitive: list | None = None, id_column: str | None = None, entity_prefix: str | None = None,
         match: str = "reference", kinds=("logistic_regression", "gbt"), n_trees: int = 200,
         max_depth: int | None = None, n_folds: int = 5, calibrate: bool = True,
-        use_encoded: bool = False, flag_scope: str = "attribute", top_k: int = 3) -> Result:
+        use_encoded: bool = False, flag_scope: str = "attribute", top_k: int = 3,
+        audit_split: str = "all", drop_null_target: bool = False, out_dir: str | None = None) -> Result:
+    """Run all steps over ``source``; see the module's doc.
+
+    ``audit_split="test"`` audits the held-out rows only. With ``out_dir`` the
+    silver, gold and importance tables, the calibrated model and the metrics
+    log are written there.
+    """
+    folder = f"{shared_root(spark)}/equitas-run-{uuid.uuid4().hex}"
     bronze = ingest(spark, source)
     validation = validate(bronze)
 
@@ -68,60 +102,100 @@ def run(spark: SparkSession, source, *, target: str | None = None, positive_clas
     sensitive = [s for s in sensitive if s[0] != target]
     prefix = entity_prefix or p["entity_prefix"]
     schema = dict(target_column=target, id_column=id_column, entity_prefix=prefix,
-                  sensitive=[s[0] for s in sensitive])
+                  sensitive=[s[0] for s in sensitive],
+                  id_source="column" if id_column else "generated")
 
     # --- silver, cut from its lineage once
     key_cols = [id_column] if id_column else [ROW_KEY]
     if not id_column:
         bronze = bronze.withColumn(ROW_KEY, F.xxhash64(*[F.col(f"`{c}`") for c in bronze.columns]))
     silver = transform(bronze, target, [s[0] for s in sensitive], id_column=id_column,
-                       positive_class=positive_class)
-    frame = reliable_checkpoint(silver.frame)
+                       positive_class=positive_class, with_codes=use_encoded, drop_null_target=drop_null_target)
+    frame = parquet_handover(silver.frame, folder, "silver")
     feats = [c for c in model_feature_columns(frame, target, id_column, silver.encoded, use_encoded)
              if not c.startswith(RAW) and c != ROW_KEY]
-    frame = frame.fillna(0, subset=feats)
+    raw = [f"{RAW}{c}" for c, _ in sensitive]
+    # what the later steps read: key, target, features and the audited labels
+    frame = frame.fillna(0, subset=feats).select(*[F.col(f"`{c}`") for c in dict.fromkeys(
+        [*key_cols, TARGET, *feats, *raw])])
 
     # --- split, fit, compare on the held-out rows
-    split = stratified_split(frame, TARGET, key_cols)
-    train = split.where(~F.col("is_test"))
-    test = split.where(F.col("is_test"))
+    split = parquet_handover(stratified_split(frame, TARGET, key_cols), folder, "split")
+    train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
     fitted = in_parallel(lambda kind: fit(train, feats, TARGET, kind=kind, n_trees=n_trees,
                                           max_depth=max_depth), kinds)
     models: dict[str, Fitted] = dict(zip(kinds, fitted))
-    rows = {kind: evaluate(models[kind].score(test), TARGET, "prob") for kind in kinds}
-    metrics = metrics_table(rows)
+    tested = {kind: parquet_handover(models[kind].score(test).select(*key_cols, TARGET, "prob"), folder,
+                                     f"test-{kind}") for kind in kinds}
+    metrics = metrics_table({kind: evaluate(rows, TARGET, "prob") for kind, rows in tested.items()})
     best = best_model(metrics).first()["best_model"]
 
     # --- probabilities for every row (training rows included, as in the reference)
+    cal, report = None, None
     if calibrate:
         cal = calibrate_cv(train, feats, TARGET, key_cols, kind=best, n_folds=n_folds,
                            n_trees=n_trees, max_depth=max_depth)
-        scored = cal.score(frame, name="risk_score")
+        scored = cal.score(split, name="risk_score")
+        before = tested[best].select(*key_cols, F.col("prob").alias("before"))
     else:
-        scored = models[best].score(frame, prob="risk_score").drop("margin")
+        scored = models[best].score(split, prob="risk_score").drop("margin")
     # the audit, the flags and the attributions all read the scores: score once
-    scored = reliable_checkpoint(scored.withColumn("prediction", decide(F.col("risk_score"))))
+    scored = parquet_handover(scored.withColumn("prediction", decide(F.col("risk_score"))), folder, "scored")
+    if cal is not None:
+        report = calibration_report(scored.where("is_test").join(before, key_cols), TARGET, "before", "risk_score")
 
     # --- audit on the original labels of the sensitive columns
-    audit_frame = scored.select("*", *[F.col(f"`{RAW}{c}`").alias(f"__audit__{c}") for c, _ in sensitive])
-    audit = fairness_audit(audit_frame.select(*[F.col(f"`__audit__{c}`").alias(c) for c, _ in sensitive],
-                                              "prediction", TARGET),
-                           sensitive, "prediction", TARGET)
-    flagged = audit.entity_flags(scored, scope=flag_scope, name="bias_flag") if sensitive else \
+    audited = scored.where("is_test") if audit_split == "test" else scored
+    audit = fairness_audit(audited.select(*[F.col(f"`{RAW}{c}`").alias(c) for c, _ in sensitive],
+                                          "prediction", TARGET), sensitive, "prediction", TARGET)
+    labelled = scored.select("*", *[F.col(f"`{RAW}{c}`").alias(f"__audit__{c}") for c, _ in sensitive])
+    flagged = audit.entity_flags(labelled, scope=flag_scope, name="bias_flag") if sensitive else \
         scored.withColumn("bias_flag", F.lit(False))
 
     # --- attributions: TreeSHAP for trees (margin space), exact linear otherwise
-    keep = [c for c in flagged.columns]
+    keep = list(dict.fromkeys([*key_cols, "risk_score", "bias_flag"]))
     if best == "logistic_regression":
         lr = models[best].model.stages[-1]
         coefs = {f: float(b) for f, b in zip(feats, lr.coefficients)}
-        attributed = linear_attribution(flagged, coefs)
+        attributed = linear_attribution(flagged, coefs).select(*keep, "phi")
     else:
-        attributed = tree_shap(flagged, models[best].model, feats, keep)
+        # Python work per row: dealt out evenly, keys and features only
+        narrow = flagged.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, *feats])])
+        attributed = tree_shap(narrow.repartition(2 * default_parallelism(spark)), models[best].model, feats, keep)
     # gold, its summary and the global importance all read the attributions
-    attributed = reliable_checkpoint(attributed.withColumn("factors", top_factors(F.col("phi"), feats, top_k)))
+    attributed = parquet_handover(attributed.withColumn("factors", top_factors(F.col("phi"), feats, top_k)),
+                                  folder, "attributed")
 
     gold = build_gold(attributed, "risk_score", "factors", "bias_flag", id_column=id_column,
                       prefix=prefix, order=key_cols)
-    return Result(validation, classified, schema, silver, feats, metrics, best, attributed, audit, gold,
-                  gold_summary(gold), global_importance(attributed, feats, top=20), models)
+    summary = gold_summary(gold).select("*", F.lit(schema["id_source"]).alias("id_source"),
+                                        F.lit(prefix).alias("entity_prefix"))
+    out = Result(validation, classified, schema, silver, feats, metrics, best, attributed, audit, gold,
+                 summary, global_importance(attributed, feats), report, cal, models, folder)
+    if out_dir:
+        write_outputs(out, out_dir.rstrip("/"), [s[0] for s in sensitive])
+    return out
+
+
+def write_outputs(result: Result, out_dir: str, sensitive: list) -> None:
+    """All sinks of a run under ``out_dir``, and its metrics appended to ``out_dir/metrics``."""
+    spark, run_id = result.gold.sparkSession, uuid.uuid4().hex
+    frame = spark.read.parquet(f"{result.folder}/silver")
+    raw = [F.col(f"`{RAW}{c}`").alias(c) for c in sensitive]
+    named = frame.select(*[F.col(f"`{c}`") for c in frame.columns if not c.startswith(RAW) and c not in sensitive], *raw)
+    write_silver(named, sensitive, f"{out_dir}/silver")
+    write_gold(result.gold, f"{out_dir}/gold")
+    write_importance(result.importance, f"{out_dir}/importance")
+    result.models[result.best].save(f"{out_dir}/model")
+    if result.calibrated is not None:
+        result.calibrated.save(f"{out_dir}/calibrated")
+    # one row per model, one row of totals each
+    for r in result.metrics.collect():
+        values = {k: r[k] for k in r.asDict() if k != "model"}
+        log_metrics(metrics_rows(spark, run_id, f"model_{r['model']}", values), f"{out_dir}/metrics")
+    singles = [("gold", result.summary.drop("id_source", "entity_prefix")), ("calibration", result.calibration)]
+    for stage, one in singles:
+        if one is not None:
+            log_metrics(metrics_rows(spark, run_id, stage, one.first().asDict()), f"{out_dir}/metrics")
+    if sensitive:
+        log_metrics(audit_metrics(result.audit.report, run_id), f"{out_dir}/metrics")

@@ -73,6 +73,22 @@ def reliable_checkpoint(df):
     return df.checkpoint(eager=True)
 
 
+def parquet_handover(df, folder: str, name: str):
+    """Write ``df`` as Parquet under ``folder`` and return it as a scan of that table.
+
+    Unlike a checkpoint, later steps read only the columns they use.
+    """
+    path = f"{folder}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder through the file system it lies in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     """Number of range buckets to use for distributed prefix sums."""
     try:
