@@ -113,40 +113,58 @@ def column_catalog(tables: Mapping[str, DataFrame], match: str = "reference",
     """(table, column, position, dtype, is_numeric, is_likely_id, is_low_cardinality).
 
     Names come first. The profile decides only the columns that no name rule
-    matches, and all columns of a table in which no name gives an identifier;
-    the flags of the others are null. A distinct sketch in the scan tasks
-    settles a column unless it lies near a threshold; only then are the
-    column's values moved to be counted exactly (never with ``approx``).
+    matches and, in a table that has no identifier then, its columns one after
+    another up to the first likely one; the flags of the others are null. A
+    distinct sketch in the scan tasks settles a column unless it lies near a
+    threshold; only then are the column's values moved to be counted exactly
+    (never with ``approx``).
     """
     spark = next(iter(tables.values())).sparkSession
     info = _named_catalog(spark, tables)
-    blank = info.select("*", F.lit(None).cast("boolean").alias("is_likely_id"),
-                        F.lit(None).cast("boolean").alias("is_low_cardinality"))
-    by_name = classify(blank, match).select("table", "column", "class", "is_identifier").collect()
-    named = {r["table"] for r in by_name if r["is_identifier"]}
-    open_ = [(r["table"], r["column"]) for r in by_name if r["class"] == "profile" or r["table"] not in named]
-
-    def sketch(c: Column) -> Column:
-        return F.approx_count_distinct(c, SKETCH_ERROR)
-
-    counts = count_values(tables, open_, sketch)
-    if not approx:
-        slack = NEAR * SKETCH_ERROR
-
-        def near(n: int, d: int, edge: float) -> bool:
-            return d * (1 - slack) <= edge * (1 + slack) and edge <= d * (1 + slack) + 1
-
-        counts.update(count_values(tables, [
-            k for k, (n, d) in counts.items()
-            if near(n, d, LIKELY_ID_RATIO * n) or near(n, d, LOW_CARDINALITY_MAX)], F.count_distinct))
-    flags = [(t, c, d / max(n, 1) > LIKELY_ID_RATIO and n > LIKELY_ID_MIN_ROWS, d <= LOW_CARDINALITY_MAX)
-             for (t, c), (n, d) in counts.items()]
-    known = spark.createDataFrame(flags, "table string, column string, is_likely_id boolean, "
-                                         "is_low_cardinality boolean")
+    named = classify(info.select("*", F.lit(None).cast("boolean").alias("is_likely_id"),
+                                 F.lit(None).cast("boolean").alias("is_low_cardinality")), match)
+    # one row per column; the target of a table depends on names alone
+    by_name = named.select("table", "column", "position", "class", "is_identifier").collect()
+    target = {r["table"]: r["target_column"] for r in schema_picks(named).select("table", "target_column").collect()}
+    flags: dict[tuple[str, str], tuple[bool, bool]] = {}
+
+    def profile(columns: list[tuple[str, str]]) -> None:
+        for key, (n, d) in _distinct(tables, columns, approx).items():
+            flags[key] = (d / max(n, 1) > LIKELY_ID_RATIO and n > LIKELY_ID_MIN_ROWS, d <= LOW_CARDINALITY_MAX)
+
+    profile([(r["table"], r["column"]) for r in by_name if r["class"] == "profile"])
+    # a table without an identifier so far takes its first likely one: try its columns in order
+    settled = {r["table"] for r in by_name if r["is_identifier"]} | {t for (t, _), f in flags.items() if f[0]}
+    waiting: dict[str, list[str]] = {}
+    for r in sorted(by_name, key=lambda r: r["position"]):
+        if r["table"] not in settled and (r["table"], r["column"]) not in flags and r["column"] != target[r["table"]]:
+            waiting.setdefault(r["table"], []).append(r["column"])
+    while waiting:
+        now = [(t, cols.pop(0)) for t, cols in waiting.items()]
+        profile(now)
+        waiting = {t: cols for t, cols in waiting.items() if cols and not any(flags[k][0] for k in now if k[0] == t)}
+    known = spark.createDataFrame([(t, c, *f) for (t, c), f in flags.items()],
+                                  "table string, column string, is_likely_id boolean, is_low_cardinality boolean")
     return info.join(known, ["table", "column"], "left").select(
         "table", "column", "position", "dtype", "is_numeric", "is_likely_id", "is_low_cardinality")
 
 
+def _distinct(tables: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]], approx: bool) -> dict:
+    """(table, column) -> (rows, distinct values): sketched, and exact near a threshold unless ``approx``."""
+    counts = count_values(tables, columns, lambda c: F.approx_count_distinct(c, SKETCH_ERROR))
+    if approx:
+        return counts
+    slack = NEAR * SKETCH_ERROR
+
+    def near(d: int, edge: float) -> bool:
+        return d * (1 - slack) <= edge * (1 + slack) and edge <= d * (1 + slack) + 1
+
+    counts.update(count_values(tables, [
+        k for k, (n, d) in counts.items()
+        if near(d, LIKELY_ID_RATIO * n) or near(d, LOW_CARDINALITY_MAX)], F.count_distinct))
+    return counts
+
+
 def classify(catalog: DataFrame, match: str = "reference") -> DataFrame:
     """One row per catalog column with class, sensitive type, group, flags."""
     spark = catalog.sparkSession
