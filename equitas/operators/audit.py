@@ -5,8 +5,11 @@ Plan, for any number of sensitive attributes:
 * every row is unpivoted into (attribute, value, pred, label) inside the scan
   stage and reduced by one ``groupBy(attribute, value)``; partial aggregation
   means the shuffle carries one row per value per task, however skewed the
-  values are. This table is the only pass over the input and is written to
-  the shared checkpoint folder;
+  values are. This table is written to the shared checkpoint folder;
+* numeric attributes of very many values (a HyperLogLog pass tells) stay out
+  of that table: their quartiles are bracketed (:mod:`..plans.brackets`) and
+  their rows are reduced to bins in the scan stage, so no table of the input's
+  size is shuffled or written;
 * from it, exact distinct counts decide how each attribute is grouped: float
   columns, and other columns with more than ten distinct values, are cut
   into quartile bins whose edges come from :func:`exact_quantiles` weighted
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.binning import bin_by_edges, dedupe_edges
-from ..plans.quantiles import exact_quantiles
+from ..plans.quantiles import exact_quantiles, unpivot_numeric
 from ..session import reliable_checkpoint
 
 log = logging.getLogger(__name__)
@@ -37,6 +40,9 @@ BIAS_THRESHOLD = 0.05
 # non-float attribute is binned.
 QUARTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
 MAX_PLAIN_GROUPS = 10
+# Distinct values (estimated) from which a numeric attribute is binned row by
+# row instead of through the value table; the answers are the same.
+NARROW_VALUES = 10_000
 
 _FLOAT_TYPES = (T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -105,25 +111,41 @@ def value_table(df: DataFrame, columns: Sequence[str], pred: str, label: str) ->
     for c in columns:
         txt, num = _label_exprs(df, c)
         items.append(F.struct(F.lit(c).alias("attribute"), txt.alias("v_txt"), num.alias("v_num")))
+    return _audit_counts(df, items, ["attribute", "v_txt", "v_num"], pred, label)
+
+
+def _audit_counts(df: DataFrame, items: Sequence[Column], names: Sequence[str], pred: str,
+                  label: str) -> DataFrame:
+    """The four audit counts by the fields ``names`` of ``items``, unpivoted in the scan stage."""
     p_col = F.col(_q(pred)).cast("long")
     y_col = F.col(_q(label)).cast("long")
     long = df.select(F.explode(F.array(*items)).alias("_a"), p_col.alias("_p"), y_col.alias("_y"))
-    return long.groupBy(F.col("_a.attribute").alias("attribute"), F.col("_a.v_txt").alias("v_txt"),
-                        F.col("_a.v_num").alias("v_num")).agg(
+    return long.groupBy(*[F.col(f"_a.{c}").alias(c) for c in names]).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("_p").alias("n_pred_pos"),
         F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)).alias("n_pos"),
         F.sum(F.when(F.col("_y") == 1, F.col("_p")).otherwise(0)).alias("n_true_pos"))
 
 
+def wide_attributes(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Numeric attributes of more than about NARROW_VALUES distinct values, by one pass of sketches."""
+    numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
+    if not numeric:
+        return []
+    seen = df.agg(*[F.approx_count_distinct(F.col(_q(c))).alias(f"d{i}") for i, c in enumerate(numeric)]).first()
+    return [c for i, c in enumerate(numeric) if seen[i] > NARROW_VALUES]
+
+
 def plan_attributes(df: DataFrame, sensitive, values: DataFrame | None = None,
-                    pred: str | None = None, label: str | None = None) -> list[AttributePlan]:
+                    pred: str | None = None, label: str | None = None,
+                    wide: Sequence[str] = ()) -> list[AttributePlan]:
     """Decide plain groups vs quartile bins and compute all bin edges.
 
     Works on the (attribute, value) table of :func:`value_table` (built here
     from ``pred`` / ``label`` when not given): exact distinct counts are a
     count of its rows, and the quartiles are exact, weighted by the value
     counts, one small job per value kind (numeric / text) of binned attributes.
+    Attributes in ``wide`` are binned, with quartiles from their own rows.
     """
     attrs = []
     for col, typ in _normalize_sensitive(sensitive):
@@ -133,14 +155,16 @@ def plan_attributes(df: DataFrame, sensitive, values: DataFrame | None = None,
         attrs.append((col, typ))
     if not attrs:
         return []
-    if values is None:
-        values = value_table(df, [c for c, _ in attrs], pred, label)
-    counts = values.where(F.col("v_txt").isNotNull()).groupBy("attribute").count().collect()
+    narrow = [c for c, _ in attrs if c not in wide]
+    if values is None and narrow:
+        values = value_table(df, narrow, pred, label)
+    counts = (values.where(F.col("v_txt").isNotNull()).groupBy("attribute").count().collect()
+              if narrow else [])
     nunique = {c: 0 for c, _ in attrs} | {r["attribute"]: r["count"] for r in counts}
     plans: list[AttributePlan] = []
     for c, typ in attrs:
         dtype = df.schema[c].dataType
-        if isinstance(dtype, _FLOAT_TYPES):
+        if c in wide or isinstance(dtype, _FLOAT_TYPES):
             mode = "numeric_bins"
         elif nunique[c] > MAX_PLAIN_GROUPS:
             mode = "numeric_bins" if isinstance(dtype, T.NumericType) else "ordinal_bins"
@@ -148,7 +172,12 @@ def plan_attributes(df: DataFrame, sensitive, values: DataFrame | None = None,
             mode = "plain"
         plans.append(AttributePlan(c, typ, mode))
 
-    numeric = [p for p in plans if p.mode == "numeric_bins"]
+    many = [p for p in plans if p.column in wide]
+    if many:
+        q = exact_quantiles(unpivot_numeric(df, [p.column for p in many]), ["_attr"], "_val", QUARTILES).collect()
+        for p in many:
+            p.edges = dedupe_edges([r["value"] for r in sorted(q, key=lambda r: r["q_idx"]) if r["_attr"] == p.column])
+    numeric = [p for p in plans if p.mode == "numeric_bins" and p.column not in wide]
     if numeric:
         rows = values.where(F.col("attribute").isin([p.column for p in numeric]))
         hint = max(nunique[p.column] for p in numeric)
@@ -196,8 +225,20 @@ def group_stats(values: DataFrame, plans: Sequence[AttributePlan]) -> DataFrame:
             g, o = F.col("v_txt"), F.col("v_num")
         grp = F.when(is_p, g) if grp is None else grp.when(is_p, g)
         order = F.when(is_p, o) if order is None else order.when(is_p, o)
-    agg = values.groupBy("attribute", grp.alias("grp"), order.alias("grp_ord")).agg(
-        *[F.sum(c).alias(c) for c in ("n", "n_pred_pos", "n_pos", "n_true_pos")])
+    return _rates(values.groupBy("attribute", grp.alias("grp"), order.alias("grp_ord")).agg(
+        *[F.sum(c).alias(c) for c in ("n", "n_pred_pos", "n_pos", "n_true_pos")]))
+
+
+def bin_stats(df: DataFrame, plans: Sequence[AttributePlan], pred: str, label: str) -> DataFrame:
+    """The same as :func:`group_stats` from the rows themselves, each binned in the scan stage."""
+    items = []
+    for p in plans:
+        group, order = p.group(df)
+        items.append(F.struct(F.lit(p.column).alias("attribute"), group.alias("grp"), order.alias("grp_ord")))
+    return _rates(_audit_counts(df, items, ["attribute", "grp", "grp_ord"], pred, label))
+
+
+def _rates(agg: DataFrame) -> DataFrame:
     return agg.select(
         "attribute", "grp", "grp_ord", "n", "n_pred_pos", "n_pos", "n_true_pos",
         (F.col("n_pred_pos") / F.col("n")).alias("positive_rate"),
@@ -318,8 +359,10 @@ def fairness_audit(df: DataFrame, sensitive, pred: str, label: str) -> AuditResu
     ``column``/``type``. Columns missing from ``df`` are skipped with a warning.
     Every finding is reported; nothing is suppressed.
 
-    The input is scanned once: the (attribute, value) table is written to the
-    shared checkpoint folder and every later step reads that reduced table.
+    The (attribute, value) table is written to the shared checkpoint folder and
+    every later step reads that reduced table. Numeric attributes of very many
+    values go by column-pruned passes over the input instead: sketches, what
+    lies in the quartile brackets, and the counts of each bin.
     """
     present = [c for c, _ in _normalize_sensitive(sensitive) if c in df.columns]
     if not present:
@@ -330,7 +373,16 @@ def fairness_audit(df: DataFrame, sensitive, pred: str, label: str) -> AuditResu
                                              "n long, n_pred_pos long, n_pos long, n_true_pos long, "
                                              "positive_rate double, tpr double")
         return AuditResult([], empty_groups, attribute_report(empty_groups, []), pred, label)
-    values = reliable_checkpoint(value_table(df, present, pred, label))
-    plans = plan_attributes(df, sensitive, values=values)
-    groups = group_stats(values, plans)
+    wide = wide_attributes(df, present)
+    parts = []
+    few = [c for c in present if c not in wide]
+    values = None
+    if few:
+        values = reliable_checkpoint(value_table(df, few, pred, label))
+    plans = plan_attributes(df, sensitive, values=values, pred=pred, label=label, wide=wide)
+    if few:
+        parts.append(group_stats(values, [p for p in plans if p.column in few]))
+    if wide:
+        parts.append(reliable_checkpoint(bin_stats(df, [p for p in plans if p.column in wide], pred, label)))
+    groups = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return AuditResult(plans, groups, attribute_report(groups, plans), pred, label)

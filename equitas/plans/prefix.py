@@ -49,13 +49,15 @@ def _null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str],
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    sum_cols: Sequence[str], num_partitions: int | None = None,
-                   with_key_totals: bool = False, size_hint: int | None = None) -> DataFrame:
+                   with_key_totals: bool = False, size_hint: int | None = None,
+                   most_rows: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum of ``c`` within ``keys`` ordered by
     ``order``) for every ``c`` in ``sum_cols``; optionally ``tot_<c>`` per key.
 
     ``size_hint`` is an estimate of the largest key's row count (e.g. from
     HyperLogLog); with a 2x margin under the window bound it replaces the
-    exact size-check job.
+    exact size-check job. ``most_rows`` is a proven bound of that count and
+    needs no margin.
     """
     keys, order, sum_cols = list(keys), list(order), list(sum_cols)
     spark = df.sparkSession
@@ -65,7 +67,9 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     elif num_partitions is None:
         # size check: when no key holds more than WINDOW_MAX_ROWS rows, one
         # window per key is bounded and skips the sample / checkpoint / join
-        if size_hint is not None and size_hint * 2 <= WINDOW_MAX_ROWS:
+        if most_rows is not None and most_rows <= WINDOW_MAX_ROWS:
+            largest = most_rows
+        elif size_hint is not None and size_hint * 2 <= WINDOW_MAX_ROWS:
             largest = size_hint
         else:
             sizes = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()

@@ -6,6 +6,9 @@ rows are first reduced to (key, value, count); a distributed running count
 (:mod:`.prefix`) then tells which distinct value holds each wanted row rank.
 Only the handful of rows that hold a target rank leave the executors.
 
+Numeric values of large keys are bracketed first (:mod:`.brackets`): only the
+values that can hold a wanted rank are shuffled, the others are counted.
+
 There is one formula at every size: the two bracketing values, interpolated once.
 
 ``approx=True`` switches to ``percentile_approx`` (one pass, bounded sketch).
@@ -17,7 +20,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from . import prefix
+from .brackets import bracket, inside_counts, key_sizes
 from .prefix import running_totals
 
 
@@ -46,16 +52,28 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
             *keys, "q_idx", F.element_at(F.array(*[F.lit(p) for p in probs]),
                                          F.col("q_idx") + 1).alias("prob"), "value")
 
-    weight = F.sum(F.col(count_col).cast("long")) if count_col else F.count(F.lit(1))
-    counted = (df.where(F.col(value).isNotNull())
-               .groupBy(*keys, value).agg(weight.alias("_c")))
-    sums = ["_c"]
-    if with_codes:
-        counted = counted.withColumn("_one", F.lit(1).cast("long"))
-        sums.append("_one")
-    # rows per key here are distinct values per key: the estimate sizes the plan
-    ranked = running_totals(counted, keys, [value], sums, with_key_totals=True,
-                            size_hint=distinct_hint)
+    most_rows = narrowed = None
+    hinted = distinct_hint is not None and distinct_hint * 2 <= prefix.WINDOW_MAX_ROWS
+    if not (count_col or with_codes or hinted) and isinstance(df.schema[value].dataType, T.NumericType):
+        sketch = key_sizes(df, keys, value, probs)
+        if sketch is not None:
+            most_rows = max((n for _, n, _ in sketch), default=0)
+            if most_rows > prefix.WINDOW_MAX_ROWS:
+                narrowed = inside_counts(df, keys, value, probs, bracket(sketch, probs))
+    if narrowed is not None:
+        ranked = running_totals(narrowed, keys, ["_seg", "_out", value], ["_c"], with_key_totals=True)
+        ranked = ranked.where(F.col("_out") == 0)
+    else:
+        weight = F.sum(F.col(count_col).cast("long")) if count_col else F.count(F.lit(1))
+        counted = (df.where(F.col(value).isNotNull())
+                   .groupBy(*keys, value).agg(weight.alias("_c")))
+        sums = ["_c"]
+        if with_codes:
+            counted = counted.withColumn("_one", F.lit(1).cast("long"))
+            sums.append("_one")
+        # rows per key here are distinct values per key: the estimate sizes the plan
+        ranked = running_totals(counted, keys, [value], sums, with_key_totals=True,
+                                size_hint=distinct_hint, most_rows=most_rows)
 
     n = F.col("tot__c")
     below = F.col("cum__c") - F.col("_c")
