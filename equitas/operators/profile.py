@@ -3,20 +3,19 @@
 All columns are profiled together: one aggregate pass for counts and moments; one
 job of distinct counts with an aggregate per column (exact by default, HyperLogLog
 with ``approx=True``), so that rows are not multiplied by the columns; one
-distributed exact-quantile job for every numeric median; one bounded top-k
-job for sample values. Output is one row per column.
+distributed exact-quantile job for every numeric median; one job for sample
+values, bounded by a random part of the rows first. Output is one row per column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.quantiles import exact_quantiles, unpivot_numeric
-from ..plans.topk import k_smallest
 
 # Profile thresholds.
 LIKELY_ID_RATIO = 0.95
@@ -24,6 +23,8 @@ LIKELY_ID_MIN_ROWS = 10
 BINARY_MAX = 2
 LOW_CARDINALITY_MAX = 15
 SAMPLE_VALUES = 5
+#: Share of the rows that bounds the sample values before they are shuffled.
+SAMPLE_SHARE = 0.001
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
@@ -116,24 +117,42 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None,
     return long
 
 
+def _text_items(df: DataFrame, columns: Sequence[str], upto: dict | None = None) -> DataFrame:
+    """(column, num, txt) rows of non-null values, those beyond a column's ``upto`` (num, txt) left out."""
+    items = []
+    for c in columns:
+        number = is_numeric(df.schema[c].dataType)
+        num = F.col(_q(c)).cast("double") if number else F.lit(None).cast("double")
+        txt = F.col(_q(c)).cast("string")
+        last = (upto or {}).get(c)
+        if last is not None and number:
+            txt = F.when((num < F.lit(last[0])) | ((num == F.lit(last[0])) & (txt <= F.lit(last[1]))), txt)
+        elif last is not None:
+            txt = F.when(txt <= F.lit(last[1]), txt)
+        items.append(F.struct(F.lit(c).alias("column"), num.alias("num"), txt.alias("txt")))
+    return df.select(F.explode(F.array(*items)).alias("s")).select("s.*").where(F.col("txt").isNotNull())
+
+
+def _smallest(long: DataFrame, k: int) -> DataFrame:
+    """The ``k`` smallest distinct values per column; Spark limits the groups before it shuffles them."""
+    order = Window.partitionBy("column").orderBy(F.col("num").asc_nulls_last(), F.col("txt").asc())
+    return long.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 def sample_values(df: DataFrame, columns: Sequence[str], k: int = SAMPLE_VALUES) -> DataFrame:
     """column, sample_values: the ``k`` smallest distinct non-null values as text.
 
     Deterministic stand-in for "first k non-null rows" (Spark rows have no
     file order). Numbers sort numerically, everything else as text.
+
+    The k-th smallest value of any part of the rows bounds the k smallest of
+    all. A random part gives the bound, so some k / SAMPLE_SHARE values of a
+    column are shuffled, whatever its size; the answer does not depend on it.
     """
-    items = []
-    for c in columns:
-        dtype = df.schema[c].dataType
-        num = F.col(_q(c)).cast("double") if is_numeric(dtype) else F.lit(None).cast("double")
-        items.append(F.struct(F.lit(c).alias("column"), num.alias("num"),
-                              F.col(_q(c)).cast("string").alias("txt")))
-    long = (df.select(F.explode(F.array(*items)).alias("s")).select("s.*")
-              .where(F.col("txt").isNotNull()).distinct())
-    top = k_smallest(long, ["column"], [F.col("num").asc_nulls_last(), F.col("txt").asc()], k,
-                     salt=["column", "txt"])
-    return top.groupBy("column").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rank_in_group", "txt"))),
+    part = _smallest(_text_items(df.sample(SAMPLE_SHARE, 42), columns), k).where(F.col("rank") == k)
+    upto = {r["column"]: (r["num"], r["txt"]) for r in part.collect()}      # one row per column
+    return _smallest(_text_items(df, columns, upto), k).groupBy("column").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("rank", "txt"))),
                     lambda s: s["txt"]).alias("sample_values"))
 
 

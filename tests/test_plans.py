@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from equitas.plans.prefix import row_index, running_totals
 from equitas.plans.quantiles import exact_quantiles
-from equitas.plans.topk import k_smallest
 
 
 def test_running_totals_match_cumsum(spark):
@@ -62,12 +61,3 @@ def test_ordinal_quantile_codes(spark):
     q = exact_quantiles(df, [], "v", [0.0, 0.5, 1.0], with_codes=True).orderBy("q_idx").collect()
     codes = [0, 0, 1, 1, 1, 2, 2, 3, 3, 4]
     assert [r["code"] for r in q] == list(np.quantile(codes, [0.0, 0.5, 1.0]))
-
-
-def test_k_smallest_per_group(spark):
-    rows = [(g, v) for g in range(3) for v in random.Random(g).sample(range(1000), 200)]
-    df = spark.createDataFrame(rows, "g int, v int")
-    got = k_smallest(df, ["g"], [F.col("v")], 5, buckets=16).collect()
-    for g in range(3):
-        want = sorted(v for gg, v in rows if gg == g)[:5]
-        assert sorted(r["v"] for r in got if r["g"] == g) == want
