@@ -96,8 +96,10 @@ def rules_table(spark: SparkSession) -> DataFrame:
 
 
 #: Relative error of the distinct sketch, and how many of its errors a count may be from a
-#: threshold before it is counted exactly.
+#: threshold before it is looked at closer.
 SKETCH_ERROR, NEAR = 0.02, 4
+#: Size (log2 of the registers) and relative error of the closer sketch.
+FINE_SIZE, FINE_ERROR = 16, 0.0045
 
 
 def _named_catalog(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -150,18 +152,30 @@ def column_catalog(tables: Mapping[str, DataFrame], match: str = "reference",
 
 
 def _distinct(tables: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]], approx: bool) -> dict:
-    """(table, column) -> (rows, distinct values): sketched, and exact near a threshold unless ``approx``."""
+    """(table, column) -> (rows, distinct values): sketched, and exact near a threshold unless ``approx``.
+
+    A column near the identifier threshold, as every unique one is to the first
+    sketch, gets a closer one in a second scan; its values are moved only if that
+    leaves it open too.
+    """
     counts = count_values(tables, columns, lambda c: F.approx_count_distinct(c, SKETCH_ERROR))
     if approx:
         return counts
-    slack = NEAR * SKETCH_ERROR
 
-    def near(d: int, edge: float) -> bool:
-        return d * (1 - slack) <= edge * (1 + slack) and edge <= d * (1 + slack) + 1
+    def near(d: int, edge: float, error: float) -> bool:
+        return d * (1 - NEAR * error) - 1 <= edge <= d * (1 + NEAR * error) + 1
+
+    def closer(c):
+        # whole hashes of non-null values; the sketch takes no other types as they are
+        return F.hll_sketch_estimate(F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c)), FINE_SIZE))
 
+    few = [k for k, (n, d) in counts.items() if near(d, LOW_CARDINALITY_MAX, SKETCH_ERROR)]
+    many = [k for k, (n, d) in counts.items() if k not in few and near(d, LIKELY_ID_RATIO * n, SKETCH_ERROR)]
+    fine = count_values(tables, many, closer)
+    counts.update({k: (n, d or 0) for k, (n, d) in fine.items()})
     counts.update(count_values(tables, [
-        k for k, (n, d) in counts.items()
-        if near(d, LIKELY_ID_RATIO * n) or near(d, LOW_CARDINALITY_MAX)], F.count_distinct))
+        *few, *(k for k in many if near(counts[k][1], LIKELY_ID_RATIO * counts[k][0], FINE_ERROR))],
+        F.count_distinct))
     return counts
 
 
