@@ -25,13 +25,18 @@ def folder(spark: SparkSession) -> str:
     return f"{shared_root(spark)}/equitas-llm/{spark.sparkContext.applicationId}"
 
 
-def handover(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return it as a scan of that table.
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A path of its own for one hand-over."""
+    return f"{folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def handover(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once (to a folder of its own without ``path``) and return it as a scan of that table.
 
     An empty ``df`` gives an empty table with the same columns.
     """
     spark = df.sparkSession
-    path = f"{folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    path = path or new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

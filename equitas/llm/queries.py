@@ -14,7 +14,7 @@ from .pieces import encode
 from .pii import find_personal
 from .sharding import shard_by_bytes
 from .simhash import near_groups
-from .tokens import training_order
+from .tokens import token_output
 from .toxicity import rate_toxicity
 
 
@@ -55,7 +55,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_order(table(spark, sf_dir, "documents"))
+    return token_output(table(spark, sf_dir, "documents"))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

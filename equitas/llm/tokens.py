@@ -6,6 +6,7 @@ import base64
 import hashlib
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -13,7 +14,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .handover import handover, only
+from ..session import remove
+from .handover import handover, new_folder, only
 
 #: Where the public vocabulary lies; a parameter of every function that reads it.
 VOCABULARY = os.environ.get("EQUITAS_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -24,6 +26,8 @@ END = 50_256
 #: Tokens per sequence and sequences per shard.
 LENGTH, SHARD_SLOTS = 1024, 8192
 ROUNDS = 6
+#: Parts in which the shards are dealt and written, so that only one part's shuffle lies on disk.
+SHARES = 4
 
 
 class Tokens:
@@ -144,12 +148,18 @@ def training_order(docs: DataFrame, key: str = "order", length: int = LENGTH, sh
     Packed sequences are handed over once, so a lost executor does not renumber
     them; only compressed records are shuffled.
     """
-    packed = handover(pack(docs, length, vocabulary), "sequences")
+    slotted, total = _slotted(docs, key, length, shard_slots, vocabulary)
+    return _opened(slotted, 0, max(1, -(-total // shard_slots)), length, shard_slots)
+
+
+def _slotted(docs: DataFrame, key: str, length: int, shard_slots: int, vocabulary: str,
+             path: str | None = None) -> tuple[DataFrame, int]:
+    """Packed sequences (handed over at ``path``) with index, slot and shard, and how many there are."""
+    packed = handover(pack(docs, length, vocabulary), "sequences", path)
     runs = handover(packed.groupBy("run").count(), "runs")
     before = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     base = runs.select("run", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
     total = runs.agg(F.sum("count")).first()[0] or 0
-    shards = max(1, -(-total // shard_slots))
 
     @F.pandas_udf("long")
     def place(index: pd.Series) -> pd.Series:
@@ -157,10 +167,19 @@ def training_order(docs: DataFrame, key: str = "order", length: int = LENGTH, sh
 
     # one row per input partition
     numbered = packed.join(F.broadcast(base), "run").withColumn("index", F.col("first") + F.col("place"))
-    slotted = numbered.withColumn("slot", place("index")).withColumn(
-        "shard", F.floor(F.col("slot") / shard_slots).cast("int"))
-    dealt = slotted.select("shard", "slot", "index", "n_tokens", "doc_ids", "packed").repartitionById(
-        shards, F.col("shard")).sortWithinPartitions("slot")
+    return numbered.withColumn("slot", place("index")).withColumn(
+        "shard", F.floor(F.col("slot") / shard_slots).cast("int")), total
+
+
+def _offset(length: int, shard_slots: int) -> Column:
+    return ((F.col("slot") % shard_slots) * (2 * length + 1)).alias("offset")
+
+
+def _opened(slotted: DataFrame, first: int, stop: int, length: int, shard_slots: int) -> DataFrame:
+    """The records of shards first .. stop - 1, each shard one partition in slot order."""
+    here = slotted.where(F.col("shard").between(first, stop - 1))
+    dealt = here.select("shard", "slot", "index", "n_tokens", "doc_ids", "packed").repartitionById(
+        stop - first, F.col("shard") - first).sortWithinPartitions("slot")
 
     def open_(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         press = zstandard.ZstdDecompressor()
@@ -169,8 +188,73 @@ def training_order(docs: DataFrame, key: str = "order", length: int = LENGTH, sh
 
     opened = dealt.mapInPandas(
         open_, "shard int, slot long, index long, n_tokens int, doc_ids array<long>, record binary")
-    return opened.select("shard", "slot", ((F.col("slot") % shard_slots) * (2 * length + 1)).alias("offset"), "index",
-                         "n_tokens", "doc_ids", "record", F.crc32("record").alias("record_crc32"))
+    return opened.select("shard", "slot", _offset(length, shard_slots), "index", "n_tokens", "doc_ids", "record",
+                         F.crc32("record").alias("record_crc32"))
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is run inside leaves no shuffle files behind once it is done."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if was is None else spark.conf.set(name, was)
+
+
+def token_output(docs: DataFrame, key: str = "order", length: int = LENGTH, shard_slots: int = SHARD_SLOTS,
+                 vocabulary: str = VOCABULARY, path: str | None = None, shares: int = SHARES) -> DataFrame:
+    """Write the shards of ``training_order`` and return its rows, records read back from the files.
+
+    The files lie under ``path``, a folder without shards so far; by default in
+    this application's hand-over folder, which goes with the session. Columns,
+    rows, partitions and their order are those of ``training_order``; a slot
+    that the files lack is an error.
+
+    Shards are dealt and written in ``shares`` parts, each without the shuffle
+    files of the one before, and the packed sequences are removed once all are
+    written. Records and the rest of their rows then meet in one shuffle by shard.
+    """
+    spark = docs.sparkSession
+    sequences, path = new_folder(spark, "sequences"), path or new_folder(spark, "shards")
+    with _shuffles_removed(spark):
+        slotted, total = _slotted(docs, key, length, shard_slots, vocabulary, sequences)
+        shards = -(-total // shard_slots)
+        places = handover(slotted.select("shard", "slot", "index", "n_tokens", "doc_ids"), "places")
+        edges = [shards * i // shares for i in range(shares + 1)]
+        for first, stop in zip(edges, edges[1:]):
+            if first < stop:
+                write_shards(_opened(slotted, first, stop, length, shard_slots), path)
+    remove(spark, sequences)
+    schema = "shard int, slot long, index long, n_tokens int, doc_ids array<long>, record binary"
+    if total:
+        records = _records(spark, path, 0, total, length, shard_slots)
+        both = places.withColumn("record", F.lit(None).cast("binary")).unionByName(records, allowMissingColumns=True)
+        # of each slot first the row without, then the row with the record
+        dealt = both.repartitionById(shards, F.col("shard")).sortWithinPartitions(
+            "slot", F.col("record").isNotNull())
+    else:
+        dealt = spark.createDataFrame([], schema)
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            n = len(rows) // 2 * 2
+            rest = rows.iloc[n:]
+            row, read = rows.iloc[0:n:2], rows.iloc[1:n:2]
+            if (row["slot"].to_numpy() != read["slot"].to_numpy()).any() or read["record"].isna().any():
+                raise ValueError("the shard files do not hold each slot once")
+            yield row.assign(index=row["index"].astype("int64"), n_tokens=row["n_tokens"].astype("int32"),
+                             record=read["record"].to_numpy())
+        if rest is not None and len(rest):
+            raise ValueError("the shard files do not hold each slot once")
+
+    return dealt.select("shard", "slot", "index", "n_tokens", "doc_ids", "record").mapInPandas(meet, schema).select(
+        "shard", "slot", _offset(length, shard_slots), "index", "n_tokens", "doc_ids", "record",
+        F.crc32("record").alias("record_crc32"))
 
 
 def write_shards(ordered: DataFrame, path: str) -> None:
@@ -182,8 +266,8 @@ def write_shards(ordered: DataFrame, path: str) -> None:
     path names. A shard is one partition, so a rerun can be given only the
     shards that are missing, and writes the same bytes.
     """
-    (ordered.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard")
-     .mode("append").text(path))
+    (ordered.sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("value"))
+     .write.partitionBy("shard").mode("append").text(path))
 
 
 def read_slots(spark: SparkSession, path: str, first: int, stop: int, length: int = LENGTH,
@@ -193,6 +277,11 @@ def read_slots(spark: SparkSession, path: str, first: int, stop: int, length: in
     Only the shards in question are opened, one bounded file each, and each
     record is cut out by its offset. Slots beyond the last one give no rows.
     """
+    return _records(spark, path, first, stop, length, shard_slots).select("slot", "record").orderBy("slot")
+
+
+def _records(spark: SparkSession, path: str, first: int, stop: int, length: int, shard_slots: int) -> DataFrame:
+    """(shard, slot, record) of slots first .. stop - 1, cut out of the shard files."""
     stride = 2 * length + 1
     files = spark.read.format("binaryFile").load(path).where(
         F.col("shard").between(first // shard_slots, max(first, stop - 1) // shard_slots))
@@ -202,4 +291,4 @@ def read_slots(spark: SparkSession, path: str, first: int, stop: int, length: in
     some = F.greatest(start, F.lit(first)) < F.least(there, F.lit(stop))
     rows = files.where(some).select("shard", "content", F.explode(slots).alias("slot"))
     at = ((F.col("slot") % shard_slots) * stride + 1).cast("int")
-    return rows.select("slot", F.substring("content", at, F.lit(2 * length)).alias("record")).orderBy("slot")
+    return rows.select("shard", "slot", F.substring("content", at, F.lit(2 * length)).alias("record"))

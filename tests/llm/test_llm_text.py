@@ -1,7 +1,9 @@
 """The other operators: brute force, exact round trips, held-out accuracy."""
 
+import glob
 import hashlib
 import math
+import os
 import re
 from collections import Counter
 
@@ -15,6 +17,8 @@ from equitas.llm import embeddings, langid, pieces, pii, simhash, tokens, toxici
 from equitas.llm.components import Forest, components
 from conftest_llm import ODD, ODD_SCHEMA, fold
 
+SF = "/root/testdata/sf0.001"
+
 
 def closed(n, links):
     top = list(range(n))
@@ -422,6 +426,35 @@ def test_token_output_of_odd_rows(odd, empty):
     assert tokens.training_order(empty).count() == 0
 
 
+def test_token_output_writes_shards_and_reads_its_rows_from_them(spark, documents, empty, tmp_path):
+    length, shard_slots = 128, 300
+    want = sorted(tokens.training_order(documents, "key", length, shard_slots).collect(), key=lambda r: r.slot)
+    path = tmp_path / "shards"
+    got = tokens.token_output(documents, "key", length, shard_slots, path=str(path))
+    assert sorted(got.collect(), key=lambda r: r.slot) == want and got.schema == tokens.training_order(empty).schema
+    files = sorted(path.glob("shard=*/part-*"), key=lambda f: int(f.parent.name[6:]))
+    assert len(files) == -(-len(want) // shard_slots) > tokens.SHARES
+    assert b"".join(f.read_bytes() for f in files) == b"".join(bytes(r.record) + b"\n" for r in want)
+    # the returned records are those of the files
+    raw = bytearray(files[0].read_bytes())
+    raw[want[3].offset] ^= 1
+    files[0].write_bytes(raw)
+    (files[0].parent / f".{files[0].name}.crc").unlink()
+    changed = {r.slot for r, w in zip(sorted(got.select("*").collect(), key=lambda r: r.slot), want) if r != w}
+    assert changed == {3}
+    assert tokens.token_output(empty).count() == 0
+
+
+def test_registered_token_output_writes_shards(spark):
+    from equitas.llm.handover import folder
+    from equitas.llm.queries import QUERIES
+    shards = os.path.join(folder(spark).removeprefix("file:"), "shards-*", "shard=*", "part-*")
+    before = set(glob.glob(shards))
+    got = QUERIES["op9_token_output"](spark, SF).collect()
+    new = set(glob.glob(shards)) - before
+    assert sum(os.path.getsize(f) for f in new) == len(got) * (2 * tokens.LENGTH + 1) > 0
+
+
 # --- pipeline --------------------------------------------------------------
 def test_pipeline(spark, documents):
     """Each stage against brute force on what its predecessor kept."""
