@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import Forest, components
-from .handover import columns_of, handover, only, width
+from .handover import columns_of, fresh, handover, only, width
 
 SEED = 42
 BITS = 64
@@ -51,13 +51,15 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int.from_bytes(np.packbits(2 * counts > total).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, bits): the fingerprint of every document as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 4, **more) -> DataFrame:
+    """(doc_id, bits, more): the fingerprint of every document as a signed long."""
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
 
     bits = F.pandas_udf(run, "long")
-    return only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), bits("text").alias("bits"))
+    return only(docs, "doc_id", "text").select(
+        F.col("doc_id").cast("long").alias("doc_id"), bits("text").alias("bits"),
+        *(c.alias(name) for name, c in more.items()))
 
 
 def trie_links(keys: np.ndarray, heads: np.ndarray, depth: int, budget: int) -> Iterator[tuple]:
@@ -201,23 +203,49 @@ def near_groups(docs: DataFrame, shingle: int = 4, distance: int = 4,
     Spark splits a very common one.
     """
     prints = handover(fingerprints(docs, shingle), "fingerprints")
-    distinct = handover(prints.groupBy("bits").agg(F.min("doc_id").alias("least")), "distinct")
+    return _with_least(prints, distance, group_rows, component_id=F.col("doc_id")).select(
+        "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _with_least(prints: DataFrame, distance: int, group_rows: int, **least) -> DataFrame:
+    """``prints`` with the smallest value of each of ``least`` in the row's group of linked fingerprints."""
+    smallest = [F.min(name).alias(name) for name in least]
+    distinct = handover(prints.groupBy("bits").agg(*(F.min(c).alias(name) for name, c in least.items())), "distinct")
     edges = handover(trie_forest(distinct.select("bits"), distance, group_rows), "forest")
     grouped = handover(components(edges), "components")
     member = distinct.join(grouped, distinct["bits"] == grouped["node"], "left").select(
-        "bits", "least", F.coalesce("component", "bits").alias("component"))
-    first = member.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = member.join(first, "component").select("bits", "component_id")
-    return prints.join(named, "bits").select(
-        "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+        "bits", *least, F.coalesce("component", "bits").alias("component"))
+    first = member.groupBy("component").agg(*smallest)
+    named = member.select("bits", "component").join(first, "component").select("bits", *least)
+    return prints.join(named, "bits")
+
+
+def _row_key():
+    """What tells rows apart: a digest of id and text; null ids as one, null text as empty."""
+    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.unhex(F.sha2(F.concat(ident, F.lit(":"), F.coalesce("text", F.lit(""))).cast("binary"), 256))
+
 
+def drop_near_copies(docs: DataFrame, shingle: int = 4, distance: int = 4, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """One row of each group of near-duplicates, that of the smallest id, with all its columns.
 
-def drop_near_copies(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest id, with all its columns.
+    Rows are told apart by id and text, not by id alone: of rows that share an
+    id the one of the smallest digest stays, and of rows that repeat id and text
+    one. Of a group's rows with a null id one stays as well, also beside a row
+    with an id, as nothing names it.
 
-    Rows of one id stay or go together: they stay if any of them is the one of
-    its group. Rows with a null id stay, as nothing names them.
+    Only rows that go or repeat are looked up, so texts move at most once;
+    repeated rows are combined where they lie before any is exchanged.
     """
-    gone = (near_groups(docs, shingle, distance).groupBy("doc_id")
-            .agg(F.max(F.col("doc_id") == F.col("component_id")).alias("kept")).where("not kept").select("doc_id"))
-    return docs.join(gone, "doc_id", "left_anti").select(*columns_of(docs))
+    prints = handover(fingerprints(docs, shingle, key=_row_key()), "fingerprints")
+    ident = F.col("doc_id")
+    found = _with_least(prints, distance, group_rows, named=F.when(ident.isNotNull(), F.struct("doc_id", "key")),
+                        nameless=F.when(ident.isNull(), F.col("key")))
+    stays = F.when(ident.isNull(), F.col("key") == F.col("nameless")).otherwise(F.col("key") == F.col("named.key"))
+    name, row = fresh(docs, "_row_key"), fresh(docs, "_row")
+    marked = handover(found.groupBy(F.col("key").alias(name)).agg(
+        F.max(stays).alias("_stays"), F.count(F.lit(1)).alias("_rows")).where("not _stays or _rows > 1"), "marked")
+    keyed = docs.withColumn(name, _row_key())
+    once = (keyed.join(marked.where("_stays").select(name), name, "left_semi").groupBy(name)
+            .agg(F.first(F.struct(*columns_of(docs))).alias(row)).select(F.col(f"{row}.*")))
+    return keyed.join(marked.select(name), name, "left_anti").select(*columns_of(docs)).union(once)

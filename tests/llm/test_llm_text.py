@@ -112,6 +112,20 @@ def test_near_groups_of_odd_rows(odd, empty):
     assert simhash.near_groups(empty).count() == 0
 
 
+def test_near_copies_go_by_row(spark):
+    line = " ".join(f"word{i}" for i in range(3000))
+    near, other = line + " end", "something else altogether that links to nothing here"
+    rows = ([(1, line), (1, near), (1, line), (2, near), (1, other)] + [(None, near)] * 3 + [(None, line)]
+            + [(7, "one more text without any copy"), (None, "only rows without an id"),
+               (None, "only rows without an id")])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert bin(simhash.fingerprint(line) ^ simhash.fingerprint(near)).count("1") <= 4
+    left = Counter((r.doc_id, r.text) for r in simhash.drop_near_copies(docs).collect())
+    assert set(left.values()) == {1}
+    assert Counter((i, t[:4]) for i, t in left) == Counter(
+        [(1, "word"), (None, "word"), (1, "some"), (7, "one "), (None, "only")])
+
+
 # --- embeddings ------------------------------------------------------------
 def vectors(rng, n=300, d=16):
     base = rng.normal(size=(40, d))
