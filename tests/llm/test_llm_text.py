@@ -312,6 +312,17 @@ def test_reconcile():
     assert pii.reconcile(found, base, 0.9) == [(0, 2, 9), (10, 0, 20), (30, 3, 40), (41, 2, 50)]
 
 
+def test_reconcile_tests_each_candidate_on_its_own():
+    base = [(20, 0, 30)]
+    assert pii.reconcile([(0, 2, 50, 0.99), (10, 1, 15, 0.95)], base, 0.9) == [(10, 1, 15), (20, 0, 30)]
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        base = [(int(a), 0, int(a + n)) for a, n in zip(rng.integers(0, 200, 4), rng.integers(1, 30, 4))]
+        found = [(int(a), 1, int(a + n), 0.95) for a, n in zip(rng.integers(0, 200, 9), rng.integers(1, 60, 9))]
+        clear = [f for f in found if not any(x < f[2] and f[0] < y for x, _, y in base)]
+        assert pii.reconcile(found, base, 0.9) == sorted([*base, *pii.reconcile(clear, [], 0.9)])
+
+
 def test_windows_cover_anchors():
     text = "x" * 500 + "1" + "y" * 1000 + "@" + "z" * 10
     runs = pii.stretches(text)
