@@ -615,7 +615,7 @@ def q_model_comparison(spark: SparkSession, sf: str) -> DataFrame:
 def q_fit_score_rf(spark: SparkSession, sf: str) -> DataFrame:
     """Every labelled document scored by a forest; probability, decision and tier agree."""
     d = _doc_model_frame(spark, sf)
-    m = fit(d, MODEL_FEATURES, "toxic", kind="random_forest", n_trees=N_TREES, max_depth=5)
+    m = fit(d, MODEL_FEATURES, "toxic", kind="random_forest", n_trees=N_TREES)
     s = m.score(d).withColumn("tier", intervention_tier(F.col("prob")))
     p = F.col("prob")
     return s.select("doc_id", p.between(0.0, 1.0).alias("in_range"),

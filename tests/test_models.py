@@ -5,6 +5,7 @@ import math
 import tempfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from equitas.operators.models import calibrate_cv, fit, load, stratified_split
@@ -92,3 +93,20 @@ def test_stratified_split_keeps_class_shares(spark):
         F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("t")).collect()
     for r in out:
         assert abs(r["t"] - 0.2 * r["n"]) <= 1
+
+
+def test_forest_query_fits_the_operators_depth(spark, monkeypatch):
+    from equitas.operators.models import estimator
+    from equitas.plans import catalog
+
+    class Fitted(Exception):
+        pass
+
+    def fitted(data, features, label, kind, n_trees, max_depth=None):
+        raise Fitted(estimator(kind, label, n_trees, max_depth))
+
+    monkeypatch.setattr(catalog, "_doc_model_frame", lambda *_: None)
+    monkeypatch.setattr(catalog, "fit", fitted)
+    with pytest.raises(Fitted) as got:
+        catalog.QUERIES["fit_score_rf"](spark, "")
+    assert (got.value.args[0].getMaxDepth(), got.value.args[0].getNumTrees()) == (10, 200)
