@@ -75,4 +75,86 @@ WITH n AS (
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
   doc_id = min(doc_id) OVER g AS kept, text_sha256
 FROM n WINDOW g AS (PARTITION BY text_sha256)""",
+    "op11_conversations": f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY n) AS t FROM (
+    SELECT n, list_reduce([n::BIGINT] || list_transform(range(8), lambda b: 0::BIGINT),
+      lambda c, b: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) AS c
+    FROM (SELECT unnest(range(256)) AS n))),
+d AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(4294967295, list_reduce(
+      [4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))), '..'), lambda h: ('0x' || h)::BIGINT),
+      lambda c, b: xor(c // 256, t[(xor(c, b) & 255) + 1]))) % 20 AS kind
+  FROM conversations, crc_table),
+e AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM d WHERE kind <> 0),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+    regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS tail, role[1:1] AS initial
+  FROM e),
+f AS (
+  SELECT *, tail = '' AS blank,
+    tail <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS repeated,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM o),
+g AS (
+  SELECT *, NOT blank AND NOT repeated AND tail NOT IN ('.', '!', '?') AS truncated FROM f),
+step AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, [{{'q': 0, 'c': 0, 'a': ''}}] AS states FROM g
+  UNION ALL
+  SELECT conv_id, i, list_filter(list_transform([0, 1, 2, 3],
+      lambda q: list_min(list_filter(moved, lambda s: s.q = q))), lambda s: s IS NOT NULL)
+  FROM (
+    SELECT conv_id, i, flatten(list_transform(opened, lambda s: CASE
+        WHEN blank OR repeated THEN [{{'q': s.q, 'c': s.c + 4, 'a': s.a || 'D'}}]
+        ELSE [{{'q': s.q, 'c': s.c + 4, 'a': s.a || 'D'}},
+              {{'q': CASE s.q WHEN 2 THEN 3 ELSE 2 END, 'c': s.c + 3 + x, 'a': s.a || 'R'}}]
+          || CASE WHEN initial = 's' AND s.q = 0 THEN [{{'q': 1, 'c': s.c + x, 'a': s.a || 'K'}}]
+                  WHEN initial = 'u' AND s.q <> 2 THEN [{{'q': 2, 'c': s.c + x, 'a': s.a || 'K'}}]
+                  WHEN initial = 'a' AND s.q = 2 THEN [{{'q': 3, 'c': s.c + x, 'a': s.a || 'K'}}]
+                  ELSE [] END END)) AS moved
+    FROM (
+      SELECT g.conv_id, g.i, g.initial, g.blank, g.repeated, CASE WHEN g.truncated THEN 3 ELSE 0 END AS x,
+        states || list_transform(states, lambda s:
+            {{'q': CASE s.q WHEN 2 THEN 3 ELSE 2 END, 'c': s.c + 3, 'a': s.a || 'I'}})
+          || list_transform(list_filter(states, lambda s: s.q < 2), lambda s:
+            {{'q': 3, 'c': s.c + 6, 'a': s.a || 'II'}}) AS opened
+      FROM step JOIN g ON g.conv_id IS NOT DISTINCT FROM step.conv_id AND g.i = step.i + 1))),
+best AS (
+  SELECT conv_id, list_min(flatten(list_transform(arg_max(states, i), lambda s: CASE s.q
+      WHEN 2 THEN [{{'c': s.c + 3, 'a': s.a || 'I'}}] WHEN 1 THEN [{{'c': s.c + 6, 'a': s.a || 'II'}}]
+      ELSE [{{'c': s.c, 'a': s.a}}] END))) AS w
+  FROM step GROUP BY conv_id),
+letters AS (
+  SELECT conv_id, w.a[k] AS edit, k, len(regexp_replace(w.a[1:k], 'I', '', 'g')) AS i
+  FROM (SELECT conv_id, w, unnest(range(1, len(w.a) + 1)) AS k FROM best)),
+said AS (
+  SELECT l.conv_id, l.edit, l.k, g.role, g.initial, CASE WHEN l.edit = 'I' THEN '' ELSE g.text END AS text
+  FROM letters l LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM l.conv_id AND g.i = l.i AND l.edit <> 'I'
+  WHERE l.edit <> 'D'),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY k) - 1
+    - max(CASE WHEN edit = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS place
+  FROM said),
+texts AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN place % 2 = 0 THEN 'user' ELSE 'assistant' END
+    || ':' || text, chr(10) ORDER BY k) AS t
+  FROM numbered GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (repeated) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM g GROUP BY conv_id)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(w.c, 0)::BIGINT AS cost,
+  coalesce(w.a, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN texts ON texts.conv_id IS NOT DISTINCT FROM a.conv_id""",
 }

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .conversations import damage, repair_conversations
 from .embeddings import near_vectors
 from .exact_dedup import exact_groups
 from .langid import identify
 from .mixing import mix_sources
+from .periodic import periodic_runs
 from .pieces import encode
 from .pii import find_personal
 from .sharding import shard_by_bytes
@@ -62,6 +64,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damage(table(spark, sf_dir, "conversations")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sharding, op2_language_id, op3_toxicity, op4_simhash, op5_pii, op6_embeddings,
-                            op7_sentencepiece, op8_mixing, op9_token_output, op10_exact_dedup)}
+                            op7_sentencepiece, op8_mixing, op9_token_output, op10_exact_dedup,
+                            op11_conversations, op13_periodic_runs)}
