@@ -14,6 +14,7 @@ from .mixing import mix_sources
 from .periodic import periodic_runs
 from .pieces import encode
 from .pii import find_personal
+from .quality import rate_quality
 from .sharding import shard_by_bytes
 from .simhash import near_groups
 from .tokens import token_output
@@ -68,6 +69,10 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_conversations(damage(table(spark, sf_dir, "conversations")))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rate_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(table(spark, sf_dir, "documents"), plant=True)
 
@@ -75,4 +80,4 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sharding, op2_language_id, op3_toxicity, op4_simhash, op5_pii, op6_embeddings,
                             op7_sentencepiece, op8_mixing, op9_token_output, op10_exact_dedup,
-                            op11_conversations, op13_periodic_runs)}
+                            op11_conversations, op12_quality, op13_periodic_runs)}
