@@ -371,7 +371,7 @@ def repair_conversations(convs: DataFrame) -> DataFrame:
     returned). Rows of a conversation go by turn (nulls first), then role, then
     digest of the text; equal rows lie side by side. A null role or text is one
     space; a null conv_id is a conversation of its own. An initial other than s,
-    u, a can only be reroled or deleted. Very long texts pass as they are; an
+    u, a, or an empty role, which has none, can only be reroled or deleted. Very long texts pass as they are; an
     empty table gives no rows; further columns are ignored.
 
     Thin rows (no texts) are ordered and parsed; texts move once, for the digest.
