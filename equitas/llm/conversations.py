@@ -15,12 +15,14 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .handover import handover, only, width
 
@@ -207,32 +209,46 @@ def _table(start: int, step: Step, last: int) -> list[dict]:
     return [{"entry": start, "exit": q, "cost": c, "audit": a} for q, (c, a) in agenda(start, step, last).items()]
 
 
-def _arrow(records: list[dict], schema: T.StructType) -> pa.Table:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    return pa.Table.from_pylist(records, schema=to_arrow_schema(schema))
+def _batches(records: Iterable[dict], schema: T.StructType, most: int = 2048) -> Iterator[pa.RecordBatch]:
+    """``records`` as Arrow batches, ``most`` rows at a time."""
+    arrow, records = to_arrow_schema(schema), iter(records)
+    while part := list(itertools.islice(records, most)):
+        yield from pa.Table.from_pylist(part, schema=arrow).to_batches()
+
+
+def grouped(batches: Iterable[pa.RecordBatch], *keys: str) -> Iterator[tuple[tuple, list[dict]]]:
+    """(key, rows) of each stretch of rows with equal keys."""
+    rows = (row for batch in batches for row in batch.to_pylist())
+    for key, part in itertools.groupby(rows, lambda r: tuple(r[k] for k in keys)):
+        yield key, list(part)
+
+
+def _mapped(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: T.StructType,
+            keys: list[str], then: str) -> DataFrame:
+    """``run`` over each task's rows, dealt by ``keys`` to the whole shuffle width and sorted by them, then ``then``."""
+    dealt = rows.repartition(width(rows.sparkSession), *keys).sortWithinPartitions(*keys, then)
+    return dealt.mapInArrow(lambda batches: _batches(run(batches), schema), schema)
 
 
 def _pieces(rows: DataFrame) -> DataFrame:
     """One row per (piece, conversation): counts, and the lightest derivations by entry and exit state."""
     schema = _piece_schema(rows.schema["conv_id"].dataType)
 
-    def parse(table: pa.Table) -> pa.Table:
-        parts: list[tuple[object, list[dict]]] = []
-        for row in sorted(table.to_pylist(), key=lambda r: r["place"]):
-            if not parts or parts[-1][0] != row["conv_id"]:
-                parts.append((row["conv_id"], []))
-            if row["copies"]:
-                parts[-1][1].append(row)
-        piece = table["piece"][0].as_py()
-        out = []
-        for k, (conv, mine) in enumerate(parts):
-            entries = (EMPTY,) if k else (EMPTY, SYSTEM, USER, ASSISTANT)   # only the first may go on from before
-            found = [d for q in entries for d in _table(q, row_steps(mine), len(mine))]
-            out.append({"conv_id": conv, "piece": piece, **summary(mine), "derivations": found})
-        return _arrow(out, schema)
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for (piece,), rows in grouped(batches, "piece"):
+            parts: list[tuple[object, list[dict]]] = []
+            for row in rows:
+                if not parts or parts[-1][0] != row["conv_id"]:
+                    parts.append((row["conv_id"], []))
+                if row["copies"]:
+                    parts[-1][1].append(row)
+            for k, (conv, mine) in enumerate(parts):
+                entries = (EMPTY,) if k else (EMPTY, SYSTEM, USER, ASSISTANT)   # only the first may go on from before
+                found = [d for q in entries for d in _table(q, row_steps(mine), len(mine))]
+                yield {"conv_id": conv, "piece": piece, **summary(mine), "derivations": found}
 
     dealt = rows.withColumn("piece", F.shiftright("place", PIECE_BITS))
-    return handover(dealt.groupBy("piece").applyInArrow(parse, schema), "conversation-pieces")
+    return handover(_mapped(dealt, parse, schema, ["piece"], "place"), "conversation-pieces")
 
 
 def _by_entry(found: list[dict]) -> dict[int, list[tuple[int, int, str]]]:
@@ -242,26 +258,24 @@ def _by_entry(found: list[dict]) -> dict[int, list[tuple[int, int, str]]]:
     return out
 
 
-def _in_order(table: pa.Table) -> tuple[list[dict], dict]:
-    pieces = sorted(table.to_pylist(), key=lambda p: p["piece"])
+def _total(pieces: list[dict]) -> dict:
     total = pieces[0]
     for p in pieces[1:]:
         total = join_summaries(total, p)
-    return pieces, total
+    return total
 
 
 def _merged(pieces: DataFrame) -> DataFrame:
     """Pieces joined, at most FAN of a conversation at a time, until none has more than FAN of them."""
     schema = pieces.schema
 
-    def join(key: tuple, table: pa.Table) -> pa.Table:
-        mine, total = _in_order(table)
-        step = piece_steps([_by_entry(p["derivations"]) for p in mine])
-        entries = sorted({d["entry"] for d in mine[0]["derivations"]})
-        found = [d for q in entries for d in _table(q, step, len(mine))]
-        head = {c: mine[0][c] for c in ("conv_id", "piece")}
-        return _arrow([{**head, **{c: total[c] for c in schema.names if c in total and c not in head},
-                        "derivations": found}], schema)
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for (conv, _), mine in grouped(batches, "conv_id", "group"):
+            total, step = _total(mine), piece_steps([_by_entry(p["derivations"]) for p in mine])
+            entries = sorted({d["entry"] for d in mine[0]["derivations"]})
+            found = [d for q in entries for d in _table(q, step, len(mine))]
+            yield {**{c: total.get(c) for c in schema.names}, "conv_id": conv, "piece": mine[0]["piece"],
+                   "derivations": found}
 
     shift = 0
     while True:
@@ -270,7 +284,7 @@ def _merged(pieces: DataFrame) -> DataFrame:
             return pieces
         shift += FAN_BITS
         dealt = pieces.withColumn("group", F.shiftright("piece", shift))
-        pieces = handover(dealt.groupBy("conv_id", "group").applyInArrow(join, schema), "conversation-pieces")
+        pieces = handover(_mapped(dealt, join, schema, ["conv_id", "group"], "piece"), "conversation-pieces")
 
 
 def _verdicts(pieces: DataFrame) -> DataFrame:
@@ -281,16 +295,15 @@ def _verdicts(pieces: DataFrame) -> DataFrame:
         schema = schema.add(name, T.LongType())
     schema = schema.add("audit", T.StringType())
 
-    def finish(key: tuple, table: pa.Table) -> pa.Table:
-        mine, total = _in_order(table)
-        step = piece_steps([_by_entry(p["derivations"]) for p in mine])
-        ((cost, audit),) = agenda(EMPTY, step, len(mine), GOALS).values()
-        low = total["min_turn"]
-        gaps = 0 if low is None else total["max_turn"] - low + 1 - total["distinct_turns"]
-        return _arrow([{"conv_id": mine[0]["conv_id"], "gaps": gaps, "cost": cost, "audit": audit,
-                        **{c: total[c] for c in COUNTS[1:]}}], schema)
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for (conv,), mine in grouped(batches, "conv_id"):
+            total, step = _total(mine), piece_steps([_by_entry(p["derivations"]) for p in mine])
+            ((cost, audit),) = agenda(EMPTY, step, len(mine), GOALS).values()
+            low = total["min_turn"]
+            gaps = 0 if low is None else total["max_turn"] - low + 1 - total["distinct_turns"]
+            yield {"conv_id": conv, "gaps": gaps, "cost": cost, "audit": audit, **{c: total[c] for c in COUNTS[1:]}}
 
-    return pieces.groupBy("conv_id").applyInArrow(finish, schema)
+    return _mapped(pieces, finish, schema, ["conv_id"], "piece")
 
 
 def find_repairs(convs: DataFrame) -> DataFrame:
@@ -348,20 +361,16 @@ def repaired_messages(convs: DataFrame, repairs: DataFrame) -> DataFrame:
                            T.StructField("place", T.LongType()), T.StructField("role", T.StringType()),
                            T.StructField("text", T.StringType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, place = [], 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        place = 0
         for head, role, text in edited(batches):
             if role is None:
                 place = 0
                 continue
-            out.append({"conv_id": head["conv_id"], "place": place, "role": role, "text": text})
+            yield {"conv_id": head["conv_id"], "place": place, "role": role, "text": text}
             place += 1
-            if len(out) == 2048:
-                yield from _arrow(out, schema).to_batches()
-                out = []
-        yield from _arrow(out, schema).to_batches()
 
-    return _stream(convs, repairs).mapInArrow(run, schema)
+    return _stream(convs, repairs).mapInArrow(lambda batches: _batches(run(batches), schema), schema)
 
 
 def repair_conversations(convs: DataFrame) -> DataFrame:
@@ -382,22 +391,14 @@ def repair_conversations(convs: DataFrame) -> DataFrame:
     schema = T.StructType([*repairs.schema.fields, T.StructField("repaired_sha256", T.StringType())])
     names = repairs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, head, digest, begun = [], None, None, False
-        for now, role, text in edited(batches):
-            if role is None:
-                if head is not None:
-                    out.append({**{c: head[c] for c in names}, "repaired_sha256": digest.hexdigest()})
-                head, digest, begun = now, hashlib.sha256(), False
-                if len(out) == 2048:
-                    yield from _arrow(out, schema).to_batches()
-                    out = []
-                continue
-            digest.update((("\n" if begun else "") + role + ":").encode())
-            digest.update(text.encode())
-            begun = True
-        if head is not None:
-            out.append({**{c: head[c] for c in names}, "repaired_sha256": digest.hexdigest()})
-        yield from _arrow(out, schema).to_batches()
-
-    return _stream(convs, repairs).mapInArrow(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for _, said in itertools.groupby(edited(batches), lambda e: e[0]["conv_id"]):
+            digest, begun = hashlib.sha256(), False
+            for head, role, text in said:
+                if role is not None:
+                    digest.update((("\n" if begun else "") + role + ":").encode())
+                    digest.update(text.encode())
+                    begun = True
+            yield {**{c: head[c] for c in names}, "repaired_sha256": digest.hexdigest()}
+
+    return _stream(convs, repairs).mapInArrow(lambda batches: _batches(run(batches), schema), schema)
