@@ -115,7 +115,8 @@ def explain_entities(attributed: DataFrame, ids: DataFrame, id_column: str, scor
     wanted = ids.select(F.col(f"`{ids.columns[0]}`").cast(attributed.schema[id_column].dataType)
                         .alias(id_column)).distinct()
     met = attributed.join(wanted, id_column, "left_semi")
+    key = F.col(f"`{id_column}`")
     return met.select(
-        id_column, F.col(score), intervention_tier(F.col(score)).alias("intervention_tier"),
+        key, F.col(score), intervention_tier(F.col(score)).alias("intervention_tier"),
         F.posexplode(factors).alias("_pos", "_f")).select(
-        id_column, score, "intervention_tier", (F.col("_pos") + 1).alias("rank"), "_f.*")
+        key, score, "intervention_tier", (F.col("_pos") + 1).alias("rank"), "_f.*")

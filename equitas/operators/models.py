@@ -3,14 +3,14 @@
 * :func:`stratified_split` is order-free: per class, rows whose hash falls
   below the class's 20% hash quantile form the test set (the quantile is the
   distributed exact one, so no global window or sort is needed).
-* :func:`fit` trains logistic regression, boosted trees or a random forest
-  with class weights as a ``weightCol``.
+* :func:`fit` trains logistic regression, boosted trees (:mod:`.boosting`) or a
+  random forest with class weights as a ``weightCol``.
 * :func:`calibrate_cv` is Platt scaling with ``n_folds`` cross-fitting: each
-  fold refits the base model on the other folds and fits a one-feature
-  logistic regression on its own margins (Platt's smoothed targets as two
-  weighted copies of each row); the calibrated probability is the mean of the
-  fold models. Folds are hashed per row and the training frame is persisted
-  once for the fits.
+  fold refits the base model on the other folds and fits a sigmoid to its own
+  margins (Platt's smoothed targets); the calibrated probability is the mean of
+  the fold models. Boosted trees of all folds grow in the same jobs, with the
+  candidate model too (:func:`fit_with_folds`), and the sigmoids of all folds
+  take their Newton steps in one aggregate. Folds are hashed per row.
 * Independent fits (the folds, the candidate models) are submitted from a
   small thread pool, as ``CrossValidator(parallelism=...)`` does: each fit is
   a chain of short Spark jobs, and running several chains at once keeps the
@@ -22,10 +22,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from ..plans.quantiles import exact_quantiles
+from .boosting import Boosted, fit_boosted
 from .evaluate import class_weights
 
 FEATURES = "features"
@@ -115,18 +118,24 @@ def estimator(kind: str, label: str, n_trees: int = 200, max_depth: int | None =
         return LogisticRegression(featuresCol=FEATURES, labelCol=label, weightCol="weight",
                                   regParam=reg_param, elasticNetParam=0.0, standardization=False,
                                   maxIter=max_iter)
-    if kind == "gbt":
-        return GBTClassifier(featuresCol=FEATURES, labelCol=label, weightCol="weight", maxIter=n_trees,
-                             maxDepth=max_depth or 6, stepSize=0.1, seed=SEED)
     if kind == "random_forest":
         return RandomForestClassifier(featuresCol=FEATURES, labelCol=label, weightCol="weight",
                                       numTrees=n_trees, maxDepth=max_depth or 10, seed=SEED)
     raise ValueError(kind)
 
 
+def _weighted(train: DataFrame, features: Sequence[str], label: str, kind: str, weight_col: str | None) -> DataFrame:
+    data = train.fillna(0, subset=[f"`{f}`" for f in features])
+    if weight_col:
+        data = data.withColumn("weight", F.col(f"`{weight_col}`").cast("double"))
+    else:
+        data = with_weights(data, label, "scale_pos" if kind == "gbt" else "balanced")
+    return data.withColumn(label, F.col(f"`{label}`").cast("double"))
+
+
 def fit(train: DataFrame, features: Sequence[str], label: str, kind: str = "gbt",
         n_trees: int = 200, max_depth: int | None = None, C: float = 1.0,
-        weight_col: str | None = None) -> Fitted:
+        weight_col: str | None = None) -> Fitted | Boosted:
     """Fit one model. Logistic regression uses L2 with ``regParam = 1 / (C * sum(w))``,
     which is the same objective as an unscaled ``C``-penalised fit.
 
@@ -134,13 +143,9 @@ def fit(train: DataFrame, features: Sequence[str], label: str, kind: str = "gbt"
     trees) unless ``weight_col`` names a weight already on the rows, e.g. the
     reweighing weights of :mod:`.mitigation`.
     """
-    mode = "scale_pos" if kind == "gbt" else "balanced"
-    data = train.fillna(0, subset=list(features))
-    if weight_col:
-        data = data.withColumn("weight", F.col(weight_col).cast("double"))
-    else:
-        data = with_weights(data, label, mode)
-    data = data.withColumn(label, F.col(label).cast("double"))
+    data = _weighted(train, features, label, kind, weight_col)
+    if kind == "gbt":
+        return fit_boosted(data, features, label, "weight", n_trees, max_depth or 6)[0]
     reg = 0.0
     if kind == "logistic_regression":
         total_w = data.agg(F.sum("weight")).first()[0] or 1.0
@@ -149,6 +154,14 @@ def fit(train: DataFrame, features: Sequence[str], label: str, kind: str = "gbt"
     return Fitted(kind, pipe.fit(data), list(features))
 
 
+def fit_with_folds(train: DataFrame, features: Sequence[str], label: str, key_cols: Sequence[str], n_folds: int = 5,
+                   n_trees: int = 200, max_depth: int | None = None, whole: bool = True) -> list[Boosted]:
+    """Boosted trees on all rows (unless not ``whole``) and on all but each fold's, in the same jobs."""
+    data = _weighted(train.withColumn("_fold", fold_column(train, key_cols, n_folds)), features, label, "gbt", None)
+    return fit_boosted(data, features, label, "weight", n_trees, max_depth or 6, fold="_fold", n_folds=n_folds,
+                       whole=whole)
+
+
 def fold_column(df: DataFrame, key_cols: Sequence[str], n_folds: int = 5, seed: int = SEED) -> Column:
     return F.pmod(split_hash(key_cols, seed + 1), F.lit(n_folds)).cast("int")
 
@@ -162,9 +175,7 @@ class Calibrated:
         out = df
         parts = []
         for i, (base, a, b) in enumerate(self.folds):
-            out = base.model.transform(out).withColumn(
-                f"_m{i}", vector_to_array(F.col("rawPrediction"))[1] - vector_to_array(F.col("rawPrediction"))[0]
-            ).drop(FEATURES, "probability", "rawPrediction", "prediction")
+            out = base.score(out, prob=f"_p{i}", margin=f"_m{i}").drop(f"_p{i}")
             parts.append(F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) * F.col(f"_m{i}") + F.lit(b)))))
         avg = sum(parts, F.lit(0.0)) / F.lit(float(len(parts)))
         return out.withColumn(name, avg).drop(*[f"_m{i}" for i in range(len(self.folds))])
@@ -186,51 +197,97 @@ def load_calibrated(spark: SparkSession, path: str) -> Calibrated:
     return Calibrated([(load(f"{path}/fold{r['fold']}", r["name"], r["features"]), r["a"], r["b"]) for r in rows])
 
 
-def platt_fit(scored: DataFrame, margin: str, label: str) -> tuple[float, float]:
-    """Fit sigmoid(A * margin + B) with Platt's smoothed targets."""
-    counts = scored.agg(F.sum(F.col(label).cast("double")).alias("p"), F.count(F.lit(1)).alias("n")).first()
-    n_pos = counts["p"] or 0.0
-    n_neg = counts["n"] - n_pos
-    t_pos = (n_pos + 1.0) / (n_pos + 2.0)
-    t_neg = 1.0 / (n_neg + 2.0)
-    t = F.when(F.col(label) == 1, F.lit(t_pos)).otherwise(F.lit(t_neg))
-    two = scored.select(F.col(margin).alias("_m"), t.alias("_t")).select(
-        "_m", F.explode(F.array(F.struct(F.lit(1.0).alias("y"), F.col("_t").alias("w")),
-                                F.struct(F.lit(0.0).alias("y"), (1.0 - F.col("_t")).alias("w")))).alias("s"))
-    data = VectorAssembler(inputCols=["_m"], outputCol=FEATURES).transform(
-        two.select("_m", F.col("s.y").alias("y"), F.col("s.w").alias("w")))
-    lr = LogisticRegression(featuresCol=FEATURES, labelCol="y", weightCol="w", regParam=0.0,
-                            standardization=False, maxIter=200).fit(data)
-    return float(lr.coefficients[0]), float(lr.intercept)
+def platt_fit(scored: DataFrame, margin: str, label: str, fold: str | None = None, rounds: int = 50
+              ) -> dict[int, tuple[float, float]]:
+    """(A, B) of sigmoid(A * margin + B) per fold, fitted to Platt's smoothed targets.
+
+    Newton steps of all folds share one aggregate each; a step that raises a
+    fold's loss is halved.
+    """
+    data = scored.select((F.col(fold) if fold else F.lit(0)).cast("int").alias("k"),
+                         F.col(margin).cast("double").alias("m"), (F.col(label) == 1).alias("y")).where("m is not null")
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = {r["k"]: (r["p"], r["n"] - r["p"]) for r in data.groupBy("k").agg(
+        F.count_if("y").alias("p"), F.count(F.lit(1)).alias("n")).collect()}          # one row per fold
+    at = {k: (0.0, float(np.log((n + 1.0) / (p + 1.0))) * -1.0) for k, (p, n) in counts.items()}
+    best: dict[int, tuple] = {}
+    step = dict.fromkeys(at, 1.0)
+
+    def by_fold(values: dict):
+        out = F.lit(None).cast("double")
+        for k, v in values.items():
+            out = F.when(F.col("k") == k, F.lit(float(v))).otherwise(out)
+        return out
+
+    target = F.when(F.col("y"), by_fold({k: (p + 1.0) / (p + 2.0) for k, (p, _) in counts.items()})).otherwise(
+        by_fold({k: 1.0 / (n + 2.0) for k, (_, n) in counts.items()}))
+    data = data.withColumn("t", target)
+    try:
+        for _ in range(rounds):
+            z = by_fold({k: v[0] for k, v in at.items()}) * F.col("m") + by_fold({k: v[1] for k, v in at.items()})
+            now = data.withColumn("z", z).withColumn("p", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("z"))))
+            loss = F.greatest("z", F.lit(0.0)) + F.log1p(F.exp(-F.abs("z"))) - F.col("t") * F.col("z")
+            rest, curve = F.col("p") - F.col("t"), F.col("p") * (1 - F.col("p"))
+            sums = now.groupBy("k").agg(
+                F.sum(loss).alias("loss"), F.sum(rest * F.col("m")).alias("g0"), F.sum(rest).alias("g1"),
+                F.sum(curve * F.col("m") * F.col("m")).alias("h00"), F.sum(curve * F.col("m")).alias("h01"),
+                F.sum(curve).alias("h11")).collect()
+            moved = False
+            for r in sums:
+                k = r["k"]
+                if k not in best or r["loss"] <= best[k][0] + 1e-12:
+                    gradient = np.array([r["g0"], r["g1"]])
+                    curvature = np.array([[r["h00"] + 1e-10, r["h01"]], [r["h01"], r["h11"] + 1e-10]])
+                    move = -np.linalg.solve(curvature, gradient)
+                    best[k], step[k] = (r["loss"], at[k], move), 1.0
+                    if np.abs(gradient).max() < 1e-8 * sum(counts[k]):
+                        continue
+                else:
+                    step[k] /= 2
+                    if step[k] < 1e-6:
+                        continue
+                _, base, move = best[k]
+                at[k] = (base[0] + step[k] * move[0], base[1] + step[k] * move[1])
+                moved = True
+            if not moved:
+                break
+    finally:
+        data.unpersist()
+    return {k: (float(best[k][1][0]), float(best[k][1][1])) for k in at}
 
 
 def calibrate_cv(train: DataFrame, features: Sequence[str], label: str, key_cols: Sequence[str],
                  kind: str = "gbt", n_folds: int = 5, n_trees: int = 200,
-                 max_depth: int | None = None, parallelism: int = FIT_PARALLELISM) -> Calibrated:
+                 max_depth: int | None = None, parallelism: int = FIT_PARALLELISM,
+                 bases: Sequence[Fitted | Boosted] | None = None) -> Calibrated:
     """Cross-fitted Platt scaling (needs at least ``n_folds`` rows per class).
-    Up to ``parallelism`` folds are fitted at once."""
+
+    ``bases`` are the fold models, if :func:`fit_with_folds` has fitted them
+    already. Other kinds than boosted trees fit up to ``parallelism`` folds at once.
+    """
     data = train.withColumn("_fold", fold_column(train, key_cols, n_folds))
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     per_class = data.groupBy(label).count().collect()
     if len(per_class) < 2 or min(r["count"] for r in per_class) < n_folds:
-        data.unpersist()
         raise ValueError(f"calibration needs at least {n_folds} rows of each class")
-
-    def one_fold(k: int):
-        base = fit(data.where(F.col("_fold") != k), features, label, kind, n_trees, max_depth)
-        held = base.score(data.where(F.col("_fold") == k).fillna(0, subset=list(features)))
-        a, b = platt_fit(held, "margin", label)
-        return base, a, b
-
-    try:
-        folds = in_parallel(one_fold, range(n_folds), parallelism)
-    finally:
-        data.unpersist()
-    return Calibrated(folds)
+    if bases is None and kind == "gbt":
+        bases = fit_with_folds(train, features, label, key_cols, n_folds, n_trees, max_depth, whole=False)
+    elif bases is None:
+        kept = data.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            bases = in_parallel(lambda k: fit(kept.where(F.col("_fold") != k), features, label, kind, n_trees,
+                                              max_depth), range(n_folds), parallelism)
+        finally:
+            kept.unpersist()
+    held = [base.score(data.where(F.col("_fold") == k).fillna(0, subset=[f"`{f}`" for f in features]))
+            .select("_fold", "margin", F.col(f"`{label}`").alias("_y")) for k, base in enumerate(bases)]
+    sigmoids = platt_fit(reduce(DataFrame.unionAll, held), "margin", "_y", "_fold")
+    return Calibrated([(base, *sigmoids.get(k, (1.0, 0.0))) for k, base in enumerate(bases)])
 
 
 def load(path: str, name: str, features: Sequence[str] | None = None) -> Fitted:
     """A saved model; the feature names come from its assembler stage unless given."""
+    if name == "gbt":
+        return Boosted.load(SparkSession.active(), path)
     model = PipelineModel.load(path)
     if features is None:
         features = model.stages[0].getInputCols()

@@ -60,12 +60,14 @@ def score_scenarios(scenarios: DataFrame, intercept: float, coefs: Mapping[str,
               .withColumn("factors", top_factors(F.col("phi"), list(coefs), k))
 
 
-def score_fitted(scenarios: DataFrame, fitted, features: Sequence[str], calibrated=None, k: int = 5) -> DataFrame:
+def score_fitted(scenarios: DataFrame, fitted, features: Sequence[str], calibrated=None, k: int = 5,
+                 names: Sequence[str] | None = None) -> DataFrame:
     """Scenarios through a fitted model: probability, prediction, tier and top ``k`` factors.
 
     ``calibrated`` gives the probability if there is one, else ``fitted`` does.
     Factors are TreeSHAP for trees, and exact linear attributions (against
     feature value 0) for a logistic regression. Missing features are 0.
+    ``names`` are what the factors are called, if not as the columns.
     """
     filled = scenarios
     for f in features:
@@ -82,4 +84,4 @@ def score_fitted(scenarios: DataFrame, fitted, features: Sequence[str], calibrat
         out = tree_shap(scored, fitted.model, features, scored.columns)
     return out.withColumn("prediction", decide(F.col("prob"))) \
               .withColumn("intervention_tier", intervention_tier(F.col("prob"))) \
-              .withColumn("factors", top_factors(F.col("phi"), list(features), k))
+              .withColumn("factors", top_factors(F.col("phi"), list(names or features), k))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpoint_dir
+from .boosting import Boosted
 
 
 @dataclass
@@ -60,11 +61,16 @@ def _node_arrays(nodes: list, value_of, weight: float) -> TreeArrays:
 
 
 def extract_trees(spark: SparkSession, model) -> tuple[list[TreeArrays], str]:
-    """Node arrays of a fitted GBT / random-forest classification model.
+    """Node arrays of a fitted ensemble: boosted trees as they are, an MLlib model from its node table.
 
-    The model is written under the session's checkpoint folder and its node
+    An MLlib model is written under the session's checkpoint folder and its node
     table read back with Spark (bounded by trees x nodes).
     """
+    if isinstance(model, Boosted):
+        size = model.split.shape[1]
+        left = np.arange(size) * 2 + 1
+        return [TreeArrays(np.maximum(f, -1), thr, left, left + 1, val, cov, 1.0) for f, thr, val, cov in
+                zip(model.split, model.threshold, model.value, model.cover)], "log_odds"
     name = type(model).__name__
     path = f"{checkpoint_dir(spark).rstrip('/')}/treeshap-{model.uid}"
     model.write().overwrite().save(path)

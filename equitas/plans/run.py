@@ -22,7 +22,7 @@ from ..operators.audit import AuditResult, fairness_audit
 from ..operators.discovery import discover
 from ..operators.evaluate import best_model, evaluate, improvement_pct, metrics_table, score_stats
 from ..operators.gold import build_gold, explain_entities, gold_summary
-from ..operators.models import Calibrated, Fitted, calibrate_cv, fit, in_parallel, stratified_split
+from ..operators.models import Calibrated, Fitted, calibrate_cv, fit, fit_with_folds, in_parallel, stratified_split
 from ..operators.scenarios import score_fitted
 from ..operators.silver import TARGET, Silver, model_feature_columns, transform
 from ..operators.treeshap import tree_shap
@@ -59,13 +59,28 @@ class Result:
 
     def score_scenarios(self, scenarios: DataFrame, k: int = 5) -> DataFrame:
         """Feature vectors through the best model, as the run scored its rows."""
-        return score_fitted(scenarios, self.models[self.best], self.features, self.calibrated, k)
+        plain = plain_names(self.features)
+        given = scenarios.select("*", *[F.col(f"`{f}`").alias(x) for f, x in zip(self.features, plain)
+                                        if x != f and f in scenarios.columns])
+        return score_fitted(given, self.models[self.best], plain, self.calibrated, k, names=self.features).drop(
+            *[x for f, x in zip(self.features, plain) if x != f])
 
     def close(self) -> None:
         """Remove the hand-over tables; the lazy frames of the result cannot be read after that."""
         remove(self.gold.sparkSession, self.folder)
 
 
+def plain_names(features: list) -> list:
+    """The features' names, without dots and backticks, which models cannot take; still all different."""
+    out: list = []
+    for f in features:
+        name = f.replace(".", "_").replace("`", "_")
+        while name != f and (name in features or name in out):
+            name += "_"
+        out.append(name)
+    return out
+
+
 def calibration_report(test: DataFrame, label: str, before: str, after: str) -> DataFrame:
     """One row: Brier score, mean, std, min, max and median before and after, and the improvement in percent."""
     names = ("mean", "std", "min", "max", "median", "brier")
@@ -85,7 +100,8 @@ def run(spark: SparkSession, source, *, target: str | None = None, positive_clas
 
     ``audit_split="test"`` audits the held-out rows only. With ``out_dir`` the
     silver, gold and importance tables, the calibrated model and the metrics
-    log are written there.
+    log are written there. ``id_column=""`` says that no column identifies rows;
+    equal rows then share their split and fold, and each is scored.
     """
     folder = f"{shared_root(spark)}/equitas-run-{uuid.uuid4().hex}"
     bronze = ingest(spark, source)
@@ -95,7 +111,7 @@ def run(spark: SparkSession, source, *, target: str | None = None, positive_clas
     classified, picks, _ = discover({"data": bronze}, match=match)
     p = picks.first()
     target = target or p["target_column"]
-    id_column = id_column if id_column is not None else p["id_column"]
+    id_column = (id_column if id_column is not None else p["id_column"]) or None
     if sensitive is None:
         sensitive = [(s["column"], s["type"]) for s in p["sensitive_attributes"]]
     sensitive = [(s, None) if isinstance(s, str) else tuple(s) for s in sensitive]
@@ -106,43 +122,52 @@ def run(spark: SparkSession, source, *, target: str | None = None, positive_clas
                   id_source="column" if id_column else "generated")
 
     # --- silver, cut from its lineage once
-    key_cols = [id_column] if id_column else [ROW_KEY]
     if not id_column:
         bronze = bronze.withColumn(ROW_KEY, F.xxhash64(*[F.col(f"`{c}`") for c in bronze.columns]))
     silver = transform(bronze, target, [s[0] for s in sensitive], id_column=id_column,
                        positive_class=positive_class, with_codes=use_encoded, drop_null_target=drop_null_target)
     frame = parquet_handover(silver.frame, folder, "silver")
-    feats = [c for c in model_feature_columns(frame, target, id_column, silver.encoded, use_encoded)
+    named = [c for c in model_feature_columns(frame, target, id_column, silver.encoded, use_encoded)
              if not c.startswith(RAW) and c != ROW_KEY]
+    feats, key_cols = plain_names(named), [ROW_KEY]
     raw = [f"{RAW}{c}" for c, _ in sensitive]
     # what the later steps read: key, target, features and the audited labels
-    frame = frame.fillna(0, subset=feats).select(*[F.col(f"`{c}`") for c in dict.fromkeys(
-        [*key_cols, TARGET, *feats, *raw])])
+    frame = frame.select(F.col(f"`{id_column or ROW_KEY}`").alias(ROW_KEY), TARGET,
+                         *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(x) for c, x in zip(named, feats)],
+                         *[F.col(f"`{c}`") for c in dict.fromkeys(raw)])
 
     # --- split, fit, compare on the held-out rows
     split = parquet_handover(stratified_split(frame, TARGET, key_cols), folder, "split")
     train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
-    fitted = in_parallel(lambda kind: fit(train, feats, TARGET, kind=kind, n_trees=n_trees,
-                                          max_depth=max_depth), kinds)
-    models: dict[str, Fitted] = dict(zip(kinds, fitted))
-    tested = {kind: parquet_handover(models[kind].score(test).select(*key_cols, TARGET, "prob"), folder,
-                                     f"test-{kind}") for kind in kinds}
+    bases: list = []                                                # fold models, fitted beside the candidate
+
+    def candidate(kind: str):
+        if kind == "gbt" and calibrate:
+            whole, *folds = fit_with_folds(train, feats, TARGET, key_cols, n_folds, n_trees, max_depth)
+            bases.extend(folds)
+            return whole
+        return fit(train, feats, TARGET, kind=kind, n_trees=n_trees, max_depth=max_depth)
+
+    models: dict[str, Fitted] = dict(zip(kinds, in_parallel(candidate, kinds)))
+    tested = {kind: parquet_handover(models[kind].score(test).select(TARGET, "prob"), folder, f"test-{kind}")
+              for kind in kinds}
     metrics = metrics_table({kind: evaluate(rows, TARGET, "prob") for kind, rows in tested.items()})
     best = best_model(metrics).first()["best_model"]
 
     # --- probabilities for every row (training rows included, as in the reference)
     cal, report = None, None
     if calibrate:
-        cal = calibrate_cv(train, feats, TARGET, key_cols, kind=best, n_folds=n_folds,
-                           n_trees=n_trees, max_depth=max_depth)
-        scored = cal.score(split, name="risk_score")
-        before = tested[best].select(*key_cols, F.col("prob").alias("before"))
+        cal = calibrate_cv(train, feats, TARGET, key_cols, kind=best, n_folds=n_folds, n_trees=n_trees,
+                           max_depth=max_depth, bases=bases if best == "gbt" else None)
+        # the uncalibrated probability stays beside the other, so repeated rows are never joined
+        scored = cal.score(models[best].score(split, prob="before", margin="_margin").drop("_margin"),
+                           name="risk_score")
     else:
         scored = models[best].score(split, prob="risk_score").drop("margin")
     # the audit, the flags and the attributions all read the scores: score once
     scored = parquet_handover(scored.withColumn("prediction", decide(F.col("risk_score"))), folder, "scored")
     if cal is not None:
-        report = calibration_report(scored.where("is_test").join(before, key_cols), TARGET, "before", "risk_score")
+        report = calibration_report(scored.where("is_test"), TARGET, "before", "risk_score")
 
     # --- audit on the original labels of the sensitive columns
     audited = scored.where("is_test") if audit_split == "test" else scored
@@ -163,15 +188,17 @@ def run(spark: SparkSession, source, *, target: str | None = None, positive_clas
         narrow = flagged.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, *feats])])
         attributed = tree_shap(narrow.repartition(2 * default_parallelism(spark)), models[best].model, feats, keep)
     # gold, its summary and the global importance all read the attributions
-    attributed = parquet_handover(attributed.withColumn("factors", top_factors(F.col("phi"), feats, top_k)),
+    attributed = parquet_handover(attributed.withColumn("factors", top_factors(F.col("phi"), named, top_k)),
                                   folder, "attributed")
 
-    gold = build_gold(attributed, "risk_score", "factors", "bias_flag", id_column=id_column,
+    gold = build_gold(attributed, "risk_score", "factors", "bias_flag", id_column=ROW_KEY if id_column else None,
                       prefix=prefix, order=key_cols)
+    if id_column:
+        scored, attributed = (d.withColumnRenamed(ROW_KEY, id_column) for d in (scored, attributed))
     summary = gold_summary(gold).select("*", F.lit(schema["id_source"]).alias("id_source"),
                                         F.lit(prefix).alias("entity_prefix"))
-    out = Result(validation, classified, schema, silver, feats, metrics, best, attributed, audit, gold,
-                 summary, global_importance(attributed, feats), report, cal, models, folder)
+    out = Result(validation, classified, schema, silver, named, metrics, best, attributed, audit, gold,
+                 summary, global_importance(attributed, named), report, cal, models, folder)
     if out_dir:
         write_outputs(out, out_dir.rstrip("/"), [s[0] for s in sensitive])
     return out

@@ -50,7 +50,7 @@ def _brute_shap(trees, x, m):
 def test_gbt_treeshap_matches_brute_force_and_margin(spark):
     df = _frame(spark)
     model = fit(df, FEATS, "y", kind="gbt", n_trees=5, max_depth=3)
-    trees, space = extract_trees(spark, model.model.stages[-1])
+    trees, space = extract_trees(spark, model.model)
     assert space == "log_odds"
     x = np.array([0.3, 2.0, 0.5])
     assert np.allclose(shap_row(trees, x, 3), _brute_shap(trees, x, 3), atol=1e-9)
@@ -59,7 +59,6 @@ def test_gbt_treeshap_matches_brute_force_and_margin(spark):
     assert np.allclose(batch, [shap_row(trees, r, 3) for r in rows], atol=1e-9)
     out = tree_shap(df, model.model, FEATS, ["id", "a", "b", "c"]).join(
         model.score(df).select("id", F.col("margin").alias("m2")), "id")
-    # MLlib rawPrediction is (-F, F): the margin difference is 2F, the log-odds
     bad = out.where(F.abs(F.col("margin") - F.col("m2")) > 1e-6).count()
     assert bad == 0
 
