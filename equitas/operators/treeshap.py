@@ -153,13 +153,6 @@ def tree_expected(t: TreeArrays) -> float:
     return float((t.value[leaves] * t.cover[leaves]).sum() / t.cover[0])
 
 
-def tree_predict(t: TreeArrays, x) -> float:
-    node = 0
-    while t.feature[node] >= 0:
-        node = t.left[node] if x[t.feature[node]] <= t.threshold[node] else t.right[node]
-    return float(t.value[node])
-
-
 def shap_row(trees: Sequence[TreeArrays], x, n_features: int) -> np.ndarray:
     phi = np.zeros(n_features)
     for t in trees:
@@ -235,6 +228,18 @@ def shap_batch(trees: Sequence[TreeArrays], paths: Sequence[list], x: np.ndarray
     return phi
 
 
+def tree_sum(trees: Sequence[TreeArrays], x: np.ndarray) -> np.ndarray:
+    """The ensemble's own output (margin, or vote) for rows x features, straight from the trees."""
+    out, rows = np.zeros(len(x)), np.arange(len(x))
+    for t in trees:
+        at = np.zeros(len(x), np.int64)
+        while (inner := t.feature[at] >= 0).any():
+            left = x[rows, np.maximum(t.feature[at], 0)] <= t.threshold[at]
+            at = np.where(inner, np.where(left, t.left[at], t.right[at]), at)
+        out += t.weight * t.value[at]
+    return out
+
+
 def base_value(trees: Sequence[TreeArrays]) -> float:
     return float(sum(t.weight * tree_expected(t) for t in trees))
 
@@ -263,11 +268,3 @@ def tree_shap(df: DataFrame, model, features: Sequence[str], keep: Sequence[str]
     return df.select(*kept, explained(inputs).alias("_shap")).select(
         *kept, F.col("_shap.phi").alias("phi"), F.lit(base).alias("base_value"),
         F.col("_shap.margin").alias("margin"), F.lit(space).alias("space"))
-
-
-def model_margin(trees: Sequence[TreeArrays], x) -> float:
-    """Margin of one row straight from the trees (for checks)."""
-    return float(sum(t.weight * tree_predict(t, x) for t in trees))
-
-
-__all__ = ["tree_shap", "extract_trees", "shap_row", "base_value", "model_margin"]

@@ -7,9 +7,12 @@ rounded to 6 places in both, and every computed column is aliased.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +27,7 @@ from ..operators.evaluate import (best_model, class_weights, classification_metr
 from ..operators.mitigation import apply_thresholds, group_thresholds, reweighing_weights
 from ..operators.models import calibrate_cv, fit, in_parallel, stratified_split, with_weights
 from ..operators.scenarios import baseline, grid, score_scenarios
-from ..operators.treeshap import tree_shap
+from ..operators.treeshap import extract_trees, tree_shap, tree_sum
 from ..streaming.monitor import bias_by_window, run_monitor
 from ..operators.gold import build_gold, entity_lookup, gold_page, gold_summary, tier_share
 from ..operators.profile import feature_stats, profile_columns
@@ -613,17 +616,70 @@ def q_model_comparison(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_fit_score_rf(spark: SparkSession, sf: str) -> DataFrame:
-    """Every labelled document scored by a forest; probability, decision and tier agree."""
+    """Every labelled document scored by a forest: its probability is the vote of the trees read back, and
+    decision and tier agree with it."""
     d = _doc_model_frame(spark, sf)
     m = fit(d, MODEL_FEATURES, "toxic", kind="random_forest", n_trees=N_TREES)
-    s = m.score(d).withColumn("tier", intervention_tier(F.col("prob")))
+    trees, _ = extract_trees(spark, m.model.stages[-1])
+
+    def vote(rows: pd.DataFrame) -> pd.Series:
+        return pd.Series(tree_sum(trees, rows.to_numpy(dtype=float)))
+
+    votes = F.pandas_udf(vote, "double")(F.struct(*[F.col(f).cast("double").alias(f) for f in MODEL_FEATURES]))
+    s = m.score(d).withColumn("tier", intervention_tier(F.col("prob"))).withColumn("vote", votes)
     p = F.col("prob")
-    return s.select("doc_id", p.between(0.0, 1.0).alias("in_range"),
+    return s.select("doc_id", (F.abs(p - F.col("vote")) < 1e-9).alias("vote_ok"), p.between(0.0, 1.0).alias("in_range"),
                     (decide(p) == F.when(p >= 0.5, 1).otherwise(0)).alias("decision_ok"),
                     (F.col("tier") == F.when(p > 0.7, "High").when(p >= 0.4, "Medium").otherwise("Low"))
                     .alias("tier_ok"))
 
 
+BOOST_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+def q_boost_first_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Splits, gains, covers and leaf values of the first boosted tree (depth 2) on lineitem."""
+    d = table(spark, sf, "lineitem").select(*BOOST_FEATURES, (F.col("l_returnflag") == "R").cast("int").alias("y"))
+    tree = fit(d, BOOST_FEATURES, "y", kind="gbt", n_trees=1, max_depth=2)
+    rows = [(n["node"], BOOST_FEATURES[n["split"]] if n["split"] >= 0 else None,
+             n["threshold"] if n["split"] >= 0 else None, n["gain"], n["cover"], n["value"]) for n in tree.nodes()]
+    out = spark.createDataFrame(rows, "node int, feature string, threshold double, gain double, cover double, value double")
+    return out.select("node", "feature", "threshold", F.round("gain", 3).alias("gain"),
+                      F.round("cover", 3).alias("cover"), _r("value"))
+
+
+def q_boost_loss(spark: SparkSession, sf: str) -> DataFrame:
+    """Boosted trees per document: probability and margin agree, and the weighted loss fell below that of margin 0."""
+    d = with_weights(_doc_model_frame(spark, sf), "toxic", "scale_pos")
+    m = fit(d.drop("weight"), MODEL_FEATURES, "toxic", kind="gbt", n_trees=N_TREES)
+    s = m.score(d)
+    y = F.col("toxic")
+    loss = F.log1p(F.exp(-F.abs("margin"))) + F.greatest("margin", F.lit(0.0)) - y * F.col("margin")
+    same = F.abs(F.col("prob") - 1 / (1 + F.exp(-F.col("margin")))) < 1e-12
+    return s.agg(F.count(F.lit(1)).alias("n_rows"), F.bool_and(same).alias("prob_ok"),
+                 (F.sum(F.col("weight") * loss) < F.lit(math.log(2)) * F.sum("weight")).alias("loss_fell"))
+
+
+def q_calibrated_mean(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document: the calibrated probability is the mean of the five folds' sigmoids of their margins."""
+    d = _doc_model_frame(spark, sf)
+    cal = calibrate_cv(d, MODEL_FEATURES, "toxic", ["doc_id"], kind="gbt", n_folds=5, n_trees=20)
+    each = [base.score(d, prob="_p", margin="m").select("doc_id", (1 / (1 + F.exp(-(a * F.col("m") + b)))).alias("p"))
+            for base, a, b in cal.folds]
+    mean = reduce(DataFrame.unionAll, each).groupBy("doc_id").agg(F.avg("p").alias("mean"), F.count("p").alias("folds"))
+    return cal.score(d).join(mean, "doc_id").select(
+        "doc_id", "folds", (F.abs(F.col("calibrated") - F.col("mean")) < 1e-9).alias("mean_ok"))
+
+
+def q_tree_shap_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document: base value and attributions add up to the model's own margin."""
+    d = _doc_model_frame(spark, sf)
+    m = fit(d, MODEL_FEATURES, "toxic", kind="gbt", n_trees=N_TREES)
+    shap = tree_shap(m.score(d).withColumnRenamed("margin", "own"), m.model, MODEL_FEATURES, ["doc_id", "own"])
+    total = F.col("base_value") + F.aggregate("phi", F.lit(0.0), lambda a, v: a + v)
+    return shap.select("doc_id", (F.abs(total - F.col("own")) < 1e-8).alias("sum_ok"))
+
+
 def q_lr_optimum(spark: SparkSession, sf: str) -> DataFrame:
     """The fitted regression is the optimum: its penalised, weighted gradient is near zero in every coordinate."""
     d = _doc_model_frame(spark, sf).withColumn("n_chars", F.col("n_chars") / 1000)
@@ -718,6 +774,20 @@ def q_run_documents(spark: SparkSession, sf: str) -> DataFrame:
     return _gold_out(res.gold)
 
 
+def q_run_gold_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """One gold row per entity of a run, with the tier of its score and as many factors as features, up to three."""
+    from .run import run
+    src = labelled_documents(spark, sf).select("doc_id", "lang", "source", "n_chars", "quality", "toxic")
+    res = run(spark, src, target="toxic", sensitive=[("lang", "language")], n_trees=20, n_folds=5)
+    score, tier = F.col("risk_score"), F.col("intervention_tier")
+    fits = (((tier == "High") & (score >= 0.7)) | ((tier == "Medium") & score.between(0.4, 0.7))
+            | ((tier == "Low") & (score <= 0.4)))
+    n = len(res.features)
+    return res.gold.groupBy("entity_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.bool_and(fits).alias("tier_ok"),
+        F.bool_and(F.size("top_factors") == min(3, n)).alias("factors_ok"))
+
+
 def q_run_orders(spark: SparkSession, sf: str) -> DataFrame:
     from .run import run
     src = order_features(spark, sf)
@@ -741,6 +811,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tree_shap": q_tree_shap,
     "model_comparison": q_model_comparison,
     "fit_score_rf": q_fit_score_rf,
+    "boost_first_tree": q_boost_first_tree,
+    "boost_loss": q_boost_loss,
+    "calibrated_mean": q_calibrated_mean,
+    "tree_shap_sums": q_tree_shap_sums,
+    "run_gold_rows": q_run_gold_rows,
     "lr_optimum": q_lr_optimum,
     "ingest_csv": q_ingest_csv,
     "cached_dataset": q_cached_dataset,

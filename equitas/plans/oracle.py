@@ -275,8 +275,6 @@ SQL["ingest_csv"] = ("SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice,
                      "'double' AS price_type FROM orders")
 SQL["cached_dataset"] = "SELECT c_custkey, c_name, round(c_acctbal, 6) AS c_acctbal FROM customer"
 # a fitted model cannot be recomputed in SQL; what must hold of it for every row can be stated
-SQL["fit_score_rf"] = ("SELECT doc_id, true AS in_range, true AS decision_ok, true AS tier_ok "
-                       "FROM documents JOIN labels USING (doc_id)")
 SQL["lr_optimum"] = ("SELECT count(*) AS n_rows, true AS n_chars_zero, true AS quality_zero, true AS intercept_zero "
                      "FROM documents JOIN labels USING (doc_id)")
 SQL["gold_page"] = _GOLD_CTES + (
@@ -430,3 +428,5 @@ SQL.update(_EVAL_SQL)
 from .oracle_more import SQL as _MORE_SQL  # noqa: E402
 
 SQL.update(_MORE_SQL)
+from .oracle_models import SQL as _MODEL_SQL  # noqa: E402
+SQL.update(_MODEL_SQL)
