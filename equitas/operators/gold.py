@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.text import entity_id, intervention_tier, reason_text
 from ..plans.prefix import row_index
 from .attribution import factor_names
+from .paging import PageIndex, page_index
 
 GOLD_COLUMNS = ("entity_id", "risk_score", "top_factors", "reason_text",
                 "intervention_tier", "bias_flag")
@@ -57,21 +58,40 @@ def filter_gold(gold: DataFrame, tier: str | None = None, bias_only: bool = Fals
     return out
 
 
+def gold_order(gold: DataFrame, sort_by: str = "risk_score", desc: bool = True) -> list:
+    """Sort columns: any gold column (none if unknown), and entity_id to break ties."""
+    if sort_by not in gold.columns:
+        return []
+    return [F.col(sort_by).desc() if desc else F.col(sort_by).asc(), F.col("entity_id").asc()]
+
+
 def sort_gold(gold: DataFrame, sort_by: str = "risk_score", desc: bool = True) -> DataFrame:
     """Sort by any gold column (unknown column: unsorted); entity_id breaks ties."""
-    if sort_by not in gold.columns:
-        return gold
-    c = F.col(sort_by).desc() if desc else F.col(sort_by).asc()
-    return gold.orderBy(c, F.col("entity_id").asc())
+    order = gold_order(gold, sort_by, desc)
+    return gold.orderBy(*order) if order else gold
+
+
+def gold_index(gold: DataFrame, tier: str | None = None, bias_only: bool = False, sort_by: str = "risk_score",
+               desc: bool = True) -> PageIndex:
+    """An index from which any page can be read; close it when done."""
+    return page_index(filter_gold(gold, tier, bias_only),
+                      gold_order(gold, sort_by, desc) or [F.col("entity_id").asc()])
 
 
 def gold_page(gold: DataFrame, page: int = 1, page_size: int = 50, tier: str | None = None,
               bias_only: bool = False, sort_by: str = "risk_score", desc: bool = True) -> DataFrame:
-    """One page (1-based). ``orderBy().offset().limit()`` plans as a TakeOrdered."""
+    """One page (1-based). The first is a top-k of its own size; a deeper one is read through an index made
+    for it, and its rows (500 at most) are held so that the index can go. For several pages use
+    :func:`gold_index`."""
     if page < 1 or not (1 <= page_size <= 500):
         raise ValueError("page >= 1 and 1 <= page_size <= 500")
-    rows = sort_gold(filter_gold(gold, tier, bias_only), sort_by, desc)
-    return rows.offset((page - 1) * page_size).limit(page_size)
+    if page == 1:
+        return sort_gold(filter_gold(gold, tier, bias_only), sort_by, desc).limit(page_size)
+    index = gold_index(gold, tier, bias_only, sort_by, desc)
+    try:
+        return gold.sparkSession.createDataFrame(index.page(page, page_size).collect(), gold.schema)
+    finally:
+        index.close()
 
 
 def gold_summary(gold: DataFrame, tier: str | None = None, bias_only: bool = False,

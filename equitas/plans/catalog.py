@@ -29,7 +29,7 @@ from ..operators.models import calibrate_cv, fit, in_parallel, stratified_split,
 from ..operators.scenarios import baseline, grid, score_scenarios
 from ..operators.treeshap import extract_trees, tree_shap, tree_sum
 from ..streaming.monitor import bias_by_window, run_monitor
-from ..operators.gold import build_gold, entity_lookup, gold_page, gold_summary, tier_share
+from ..operators.gold import build_gold, entity_lookup, gold_index, gold_page, gold_summary, tier_share
 from ..operators.profile import feature_stats, profile_columns
 from ..operators.silver import (TARGET, encode, engineer_features, impute, plan_features,
                                 prepare_target)
@@ -255,6 +255,20 @@ def q_gold_page(spark: SparkSession, sf: str) -> DataFrame:
                                sort_by="risk_score", desc=True))
 
 
+def q_gold_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """First, middle and last page of all gold rows, through one index (150 rows at most, held so that it can go)."""
+    gold = gold_orders(spark, sf)
+    index = gold_index(gold)
+    try:
+        last = index.pages(50)
+        pages = [index.page(n).select(F.lit(n).alias("page"), "entity_id", "risk_score", "intervention_tier")
+                 for n in sorted({1, (last + 1) // 2, last})]
+        both = reduce(DataFrame.unionAll, pages)
+        return spark.createDataFrame(both.collect(), both.schema)
+    finally:
+        index.close()
+
+
 def q_gold_summary(spark: SparkSession, sf: str) -> DataFrame:
     s = gold_summary(gold_orders(spark, sf))
     return s.select(*[c for c in s.columns if c not in ("bias_rate", "avg_risk_score")],
@@ -854,6 +868,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "display_names": q_display_names,
     "gold_table": q_gold_table,
     "gold_page": q_gold_page,
+    "gold_pages": q_gold_pages,
     "gold_summary": q_gold_summary,
     "gold_summary_filtered": q_gold_summary_filtered,
     "tier_share": q_tier_share,

@@ -280,6 +280,10 @@ SQL["lr_optimum"] = ("SELECT count(*) AS n_rows, true AS n_chars_zero, true AS q
 SQL["gold_page"] = _GOLD_CTES + (
     f"SELECT {_GOLD_COLS} FROM gold WHERE intervention_tier = 'Medium' "
     "ORDER BY risk_score DESC, entity_id ASC LIMIT 50 OFFSET 100")
+SQL["gold_pages"] = _GOLD_CTES + (
+    "SELECT CAST((n + 49) // 50 AS INTEGER) AS page, entity_id, risk_score, intervention_tier FROM ("
+    f"SELECT *, row_number() OVER (ORDER BY risk_score DESC, entity_id) AS n, count(*) OVER () AS total FROM ("
+    f"SELECT {_GOLD_COLS} FROM gold)) WHERE (n + 49) // 50 IN (1, ((total + 49) // 50 + 1) // 2, (total + 49) // 50)")
 SQL["gold_summary"] = _summary_sql("", 50)
 SQL["gold_summary_filtered"] = _summary_sql("WHERE intervention_tier = 'High'", 20)
 SQL["tier_share"] = _GOLD_CTES + (
