@@ -16,8 +16,10 @@ from .handover import columns_of, fresh, held_out, only
 BUCKETS = 1 << 16
 #: Documents that each language is learned from, about (those of smallest hash).
 FIT_DOCS = 3000
-#: Most languages in one document's set.
-MOST_LANGUAGES = 5
+#: Distinct values of ``lang`` that can be learned; more are refused as a column that is not a language.
+MOST_LEARNED = 256
+#: Least share of the predicted language in a document that ``keep_identified`` keeps.
+LEAST_SHARE = 0.5
 #: Words times languages that EM holds at a time.
 CELLS_AT_ONCE = 1 << 21
 #: Words whose likelihoods a task remembers.
@@ -54,11 +56,14 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, where=None) -> tuple[list[str
     """(languages, log-likelihood of each hashed trigram by language) from text and lang.
 
     Of every language about ``fit_docs`` labelled documents are read, chosen by
-    the hash of the id; tasks count trigrams, and only the counts meet.
+    the hash of the id; tasks count trigrams, and only the counts meet. A column
+    of more than MOST_LEARNED values raises ValueError.
     """
     rows = only(docs, "doc_id", "text", "lang").where("lang is not null and text is not null")
     rows = rows.where(where) if where is not None else rows
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}     # one row per language
+    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().limit(MOST_LEARNED + 1).collect()}
+    if len(sizes) > MOST_LEARNED:
+        raise ValueError(f"lang has more than {MOST_LEARNED} values")
     langs = sorted(sizes)
     if not langs:
         return [], np.zeros((BUCKETS, 0), np.float32)
@@ -102,33 +107,48 @@ def mixture(like: np.ndarray, counts: np.ndarray, share: np.ndarray, rounds: int
     return share, np.add.reduceat(np.log(whole, dtype=np.float64), starts)
 
 
-def select_languages(like: np.ndarray, counts: np.ndarray, most: int = MOST_LANGUAGES,
+def highest_value(like: np.ndarray, counts: np.ndarray, share: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """A log-likelihood that no proportions whatever exceed, per document.
+
+    The log-likelihood is concave in the proportions, so it lies below its
+    tangent at ``share``, which is highest at one language alone.
+    """
+    whole = (np.repeat(share, counts, axis=1) * like).sum(axis=0)
+    slope = np.add.reduceat(like / whole, np.cumsum(counts) - counts, axis=1, dtype=np.float64)
+    return value + slope.max(axis=0) - counts
+
+
+def select_languages(like: np.ndarray, counts: np.ndarray, most: int | None = None,
                      rounds: int = 8) -> np.ndarray:
     """Proportions (languages x documents) under the set of highest penalised likelihood.
 
     Sets are nested: the languages of largest proportion in the mixture of all.
-    Each further language has to raise the log-likelihood by more than
-    log(words) / 2; the first that does not ends the set of its document.
+    A set of s languages pays log(words) / 2 for every one but the first, and
+    the best of all sizes (up to ``most``, if given) is chosen, the smaller of
+    equal ones. A size is passed over only where even the highest likelihood
+    that any proportions can have would not pay for it.
     """
     k, n = like.shape[0], len(counts)
-    full, _ = mixture(like, counts, np.full((k, n), 1 / k, like.dtype), rounds)
+    full, value = mixture(like, counts, np.full((k, n), 1 / k, like.dtype), rounds)
+    limit = highest_value(like, counts, full, value) + 1e-2           # float32 sums
     rank = np.argsort(np.argsort(-full, axis=0, kind="stable"), axis=0, kind="stable")
     doc = np.repeat(np.arange(n), counts)
-    open_, best, chosen = np.arange(n), np.full(n, -np.inf), np.where(rank == 0, 1, 0).astype(like.dtype)
-    for size in range(1, min(most, k) + 1):
+    fee = 0.5 * np.log(np.maximum(counts, 2))
+    best, chosen = np.full(n, -np.inf), np.where(rank == 0, 1, 0).astype(like.dtype)
+    for size in range(1, min(most or k, k) + 1):
+        open_ = np.flatnonzero(limit - (size - 1) * fee > best + 1e-6)
+        if not len(open_):
+            break
         words = np.isin(doc, open_) if len(open_) < n else slice(None)
         start = np.where(rank[:, open_] < size, np.maximum(full[:, open_], 1e-3), 0)
         share, value = mixture(like[:, words], counts[open_], start / start.sum(axis=0), rounds * (size > 1))
-        value = value - 0.5 * (size - 1) * np.log(np.maximum(counts[open_], 2))
+        value = value - (size - 1) * fee[open_]
         better = value > best[open_] + 1e-6
-        open_, share, value = open_[better], share[:, better], value[better]
-        best[open_], chosen[:, open_] = value, share
-        if not len(open_):
-            break
+        best[open_[better]], chosen[:, open_[better]] = value[better], share[:, better]
     return chosen
 
 
-def predictor(spark: SparkSession, langs: list[str], table: np.ndarray, most: int = MOST_LANGUAGES):
+def predictor(spark: SparkSession, langs: list[str], table: np.ndarray, most: int | None = None):
     """A column function from text to (lang_pred, score, letters, languages); see ``predict``."""
     model = spark.sparkContext.broadcast((langs, table))      # languages x BUCKETS floats, fixed by the fit
 
@@ -196,7 +216,7 @@ def predictor(spark: SparkSession, langs: list[str], table: np.ndarray, most: in
     return F.pandas_udf(run, kind).asNondeterministic()
 
 
-def predict(docs: DataFrame, langs: list[str], table: np.ndarray, most: int = MOST_LANGUAGES) -> DataFrame:
+def predict(docs: DataFrame, langs: list[str], table: np.ndarray, most: int | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score, languages (the chosen set with proportions) of every row.
 
     The score is the proportion of the predicted language among the words.
@@ -209,7 +229,7 @@ def predict(docs: DataFrame, langs: list[str], table: np.ndarray, most: int = MO
         "doc_id", held_out().alias("held_out"), "p.lang_pred", "p.score", "p.languages")
 
 
-def identify(docs: DataFrame, fit_docs: int = FIT_DOCS, most: int = MOST_LANGUAGES) -> DataFrame:
+def identify(docs: DataFrame, fit_docs: int = FIT_DOCS, most: int | None = None) -> DataFrame:
     """Predict every document's language; learn only outside the held-out fold.
 
     Learned from: text and non-null lang of rows whose crc32(doc_id as text) mod
@@ -220,14 +240,20 @@ def identify(docs: DataFrame, fit_docs: int = FIT_DOCS, most: int = MOST_LANGUAG
     return predict(docs, langs, table, most)
 
 
-def keep_identified(docs: DataFrame, fit_docs: int = FIT_DOCS, most: int = MOST_LANGUAGES) -> DataFrame:
-    """The documents that have a language, with all their columns: those without a letter go.
+def keep_identified(docs: DataFrame, fit_docs: int = FIT_DOCS, wanted: list[str] | None = None,
+                    least: float = LEAST_SHARE) -> DataFrame:
+    """The documents whose mixture has a wanted language, with all their columns.
 
-    Where nothing can be learned, documents with letters stay too.
+    A document stays if its predicted language is one of ``wanted`` (None: any
+    learned) with a share of at least ``least`` of its words. Those without a
+    letter go, and those of so many languages that none has that share. Where
+    nothing can be learned, all documents with letters stay.
     """
     langs, table = fit(docs, fit_docs, ~held_out())
-    guess = predictor(docs.sparkSession, langs, table, most)
+    guess = predictor(docs.sparkSession, langs, table)
     name = fresh(docs, "_language")
     seen = docs.withColumn(name, guess("text"))
-    known = (F.col(f"{name}.lang_pred") != "und") | F.col(f"{name}.letters")
-    return seen.where(known).select(*columns_of(docs))
+    known = (F.col(f"{name}.lang_pred") != "und") & (F.col(f"{name}.score") >= least)
+    if wanted is not None:
+        known &= F.col(f"{name}.lang_pred").isin(list(wanted))
+    return seen.where(known if langs else F.col(f"{name}.letters")).select(*columns_of(docs))

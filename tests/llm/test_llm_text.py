@@ -191,6 +191,63 @@ def test_mixture_proportions():
     assert share == pytest.approx([0.65, 0.35, 0.0], abs=0.02)
 
 
+def slow_languages(like, rounds=8):
+    """Best nested set of one document (words x languages), every size tried in plain float64."""
+    n, k = like.shape
+
+    def em(share, times):
+        for _ in range(times):
+            part = share * like
+            share = (part / part.sum(axis=1, keepdims=True)).sum(axis=0) / n
+        return share, np.log((share * like).sum(axis=1)).sum()
+
+    full, _ = em(np.full(k, 1 / k), rounds)
+    rank = np.argsort(np.argsort(-full, kind="stable"), kind="stable")
+    best, chosen = -np.inf, None
+    for size in range(1, k + 1):
+        start = np.where(rank < size, np.maximum(full, 1e-3), 0)
+        share, value = em(start / start.sum(), rounds * (size > 1))
+        value -= 0.5 * (size - 1) * np.log(max(n, 2))
+        if value > best + 1e-6:
+            best, chosen = value, share
+    return chosen
+
+
+def test_eight_languages_in_one_text():
+    like = np.full((8, 160), 1e-6)
+    for k in range(8):
+        like[k, 20 * k:20 * k + 20] = 1.0
+    assert langid.select_languages(like, np.array([160]))[:, 0] == pytest.approx([0.125] * 8, abs=0.01)
+
+
+def test_language_sets_equal_brute_force():
+    rng = np.random.default_rng(4)
+    docs = []
+    for _ in range(120):
+        n, k = int(rng.integers(1, 60)), 6
+        like = rng.random((n, k)) ** rng.integers(1, 12)
+        docs.append(like / like.max(axis=1, keepdims=True) + 1e-12)
+    got = langid.select_languages(np.concatenate(docs).T.copy(), np.array([len(d) for d in docs]))
+    sizes = set()
+    for i, like in enumerate(docs):
+        want = slow_languages(like)
+        assert got[:, i] == pytest.approx(want, abs=1e-6), i
+        sizes.add(int((want > 0).sum()))
+    assert len(sizes) > 2
+
+
+def test_a_column_that_is_no_language_is_refused(spark):
+    many = spark.range(400).selectExpr("id doc_id", "'a b' text", "string(id) lang")
+    with pytest.raises(ValueError):
+        langid.fit(many)
+
+
+def test_wanted_languages_and_share(spark, documents):
+    guess = {r.doc_id: r for r in langid.identify(documents).collect()}
+    kept = {r.doc_id for r in langid.keep_identified(documents, wanted=["de", "fr"], least=0.9).collect()}
+    assert kept == {k for k, r in guess.items() if r.lang_pred in ("de", "fr") and r.score >= 0.9} and kept
+
+
 def test_language_of_odd_rows(odd, empty):
     got = langid.identify(odd).collect()
     assert Counter(r.doc_id for r in got) == Counter(d[0] for d in ODD)
@@ -491,7 +548,15 @@ def test_pipeline(spark, documents):
         out = corpus_pipeline.handover(stage(spark, docs, ""), name)
         was, now = docs.collect(), out.collect()
         if name == "language_id":
-            want = [r.doc_id for r in was if any(c.isalpha() for c in r.text or "")]
+            langs, table = langid.fit(docs, where=~langid.held_out())
+            want = []
+            for r in was:
+                words = langid.words_of(r.text)
+                if any(c.isalpha() for w in words for c in w):
+                    value = np.array([table[langid.trigrams([w])[0]].sum(axis=0, dtype=float) for w in words])
+                    like = np.exp(np.maximum(value - value.max(axis=1, keepdims=True), -60))
+                    if slow_languages(like).max() >= 0.5:
+                        want.append(r.doc_id)
         elif name == "exact_dedup":
             first = {}
             for r in sorted(was, key=lambda r: r.doc_id):
