@@ -21,7 +21,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which the language mixture finds a language; those without a letter go."""
+    """Documents of which one learned language makes up at least half, by the mixture inferred from the text."""
     return keep_identified(docs)
 
 
