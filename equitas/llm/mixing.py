@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .handover import WORD, columns_of, fresh, handover, only
@@ -25,29 +25,49 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
     (what is left of the total, per weight left) after all before it.
 
     Returns source, position (from 0, code points, null last), source_size,
-    weight, target. A source without words has target 0.
+    weight, target. A source without words has target 0. The windows run over
+    one row per source, their totals.
     """
-    ranked = prefix_sums(sizes, [F.col("source").asc_nulls_last()], {}, index="position")
     table = F.array(*(F.lit(int(w)) for w in weights))
-    weighed = handover(ranked.select(
-        "source", "position", "source_size",
-        F.element_at(table, (F.col("position") % len(weights)).cast("int") + 1).cast("long").alias("weight"))
-        .withColumn("cap", most * F.col("source_size")), "sources")
-    whole = weighed.agg(F.sum("source_size"), F.sum("weight")).first()
-    total, weight = share * (whole[0] or 0), whole[1] or 0
-    stacked = handover(prefix_sums(
-        weighed, [(F.col("cap") / F.col("weight")).asc(), F.col("position").asc()],
-        {"cap_before": "cap", "weight_before": "weight"}).withColumn(
-            "level", (F.lit(total) - F.col("cap_before")) / (F.lit(weight) - F.col("weight_before"))),
-        "levels")
+    position = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())).cast("long") - 1
+    weighed = sizes.select("source", position.alias("position"), "source_size").select(
+        "*", F.element_at(table, (F.col("position") % len(weights)).cast("int") + 1).cast("long").alias("weight"),
+        (most * F.col("source_size")).alias("cap"))
+    order = [(F.col("cap") / F.col("weight")).asc(), F.col("position").asc()]
+    everything = Window.partitionBy()
+    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    after = [(F.sum(c).over(everything) * k - F.coalesce(F.sum(what).over(before), F.lit(0)))
+             for c, k, what in (("source_size", F.lit(float(share)), "cap"), ("weight", F.lit(1), "weight"))]
+    stacked = weighed.withColumn("level", after[0] / after[1])
     # the first source that stays below its cap sets the level of all later ones
-    level = stacked.where(F.col("cap") > F.col("level") * F.col("weight")).agg(
-        F.min_by("level", F.struct(F.col("cap") / F.col("weight"), "position"))).first()[0]
-    flat = F.lit(float(level)) * F.col("weight") if level is not None else F.col("cap").cast("double")
+    low = F.col("cap") > F.col("level") * F.col("weight")
+    level = F.min_by("level", F.when(low, F.struct(F.col("cap") / F.col("weight"), "position"))).over(everything)
+    flat = F.coalesce(level * F.col("weight"), F.col("cap").cast("double"))
     return stacked.select("source", "position", "source_size", "weight",
                           F.least(F.col("cap").cast("double"), flat).alias("target"))
 
 
+def size_rates(sizes: DataFrame) -> DataFrame:
+    """Inclusion probability per word of each source: documents count by min(1, rate x size).
+
+    ``sizes`` has position, size, ``open`` (words the sample of the source wants)
+    and n (documents of that size). The largest documents are certain; ``rate``
+    shares what they leave over the squares of the other sizes, so that the
+    expected words are ``open``. Its windows run over the distinct sizes of a
+    source, which the longest document bounds.
+    """
+    n, size = F.col("n").cast("decimal(20,0)"), F.col("size").cast("decimal(12,0)")
+    larger = Window.partitionBy("position").orderBy(F.col("size").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    rest = Window.partitionBy("position").orderBy(F.col("size").desc()).rowsBetween(
+        Window.currentRow, Window.unboundedFollowing)
+    left = F.col("open") - F.coalesce(F.sum(n * size).over(larger), F.lit(0)).cast("double")
+    stacked = sizes.where("size > 0").withColumn("left", left).withColumn(
+        "squares", F.sum((n * size * size).cast("decimal(38,0)")).over(rest).cast("double"))
+    free = F.col("left") * F.col("size") <= F.col("squares")
+    return stacked.groupBy("position").agg(
+        F.max_by(F.col("left") / F.col("squares"), F.when(free, F.col("size"))).alias("rate_by_size"))
+
+
 def uniform(doc_id, seed: str):
     """A number inside (0, 1) that the id and the seed alone decide."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
@@ -59,13 +79,16 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float
     """Choose how often the mix takes every document, so that each source meets its target.
 
     A source wants target / source_size copies of each of its words. The whole
-    part is certain: that many copies of every document. The fraction f left is
-    an inclusion probability; with odds f / (1 - f), times the document's own
-    value in the column ``odds`` if one is named (null or not positive: 1), the
-    document ranks by u / (1 - u) over its inclusion odds, u being a uniform
-    number from its id. The sample of the source is the start of that order, cut
-    where the words taken come nearest to what the certain copies leave open, so
-    its size is fixed to within half a document.
+    part is certain: that many copies of every document. What is left open is
+    sampled with unequal probabilities: a document's inclusion probability p is
+    proportional to its size, at most 1 and such that the expected words are
+    those left open (see ``size_rates``). It ranks by u / (1 - u) over its
+    inclusion odds p / (1 - p), u being a uniform number from its id; certain
+    ones come first. With ``odds``, the odds are instead those of the open
+    fraction times the document's own value in that column (null or not
+    positive: 1). The sample of the source is the start of that order, cut where
+    the words taken come nearest to what is open, so its size is fixed to within
+    half a document.
 
     Returns doc_id, size (words; null text: 0), source_size, target, taken
     (words, repeats counted), source, copies (0 to ``most``), text_crc32. Every
@@ -91,19 +114,28 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float
     # the hash stands for the source in the join, as null equals null there
     named = thin.join(targets.withColumnRenamed("source", "_source"),
                       F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    own = F.when(F.col(odds) > 0, F.col(odds).cast("double")).otherwise(F.lit(1.0)) if odds else F.lit(1.0)
     fraction = F.col("rate") - F.col("whole")
     wanted = (named.withColumn("rate", rate).withColumn("whole", F.floor("rate"))
-              .withColumn("_open", F.col("target") - F.col("whole") * F.col("source_size"))
-              .withColumn("_u", uniform(F.col("doc_id"), seed))
-              .withColumn("_key", F.when(fraction > 0, F.col("_u") / (1 - F.col("_u"))
-                                         / (fraction / (1 - fraction) * own))))
+              .withColumn("open", F.col("target") - F.col("whole") * F.col("source_size")))
+    if odds:
+        own = F.when(F.col(odds) > 0, F.col(odds).cast("double")).otherwise(F.lit(1.0))
+        chances = F.when(fraction > 0, fraction / (1 - fraction) * own)
+    else:
+        rates = size_rates(wanted.where(fraction > 0).groupBy("position", "size", "open")
+                           .agg(F.count(F.lit(1)).alias("n")))
+        wanted = wanted.join(rates, "position", "left")
+        p = F.col("rate_by_size") * F.col("size")
+        # 1 - p is 0 for certain documents, whose odds are without bound
+        chances = F.when((fraction > 0) & (p >= 1), F.lit(float("inf"))).when(
+            (fraction > 0) & (p > 0), p / (1 - p))
+    u = uniform(F.col("doc_id"), seed)
+    wanted = wanted.withColumn("_key", u / (1 - u) / chances)
     ranked = prefix_sums(
         wanted, [F.col("_key").asc_nulls_last(), F.col("doc_id").asc_nulls_first(),
                  F.col("text_crc32"), F.col("size")],
         {"_before": "size"}, group="position")
     drawn = F.when(F.col("_key").isNotNull()
-                   & (F.col("_before") + F.col("size") / 2 <= F.col("_open")), 1).otherwise(0)
+                   & (F.col("_before") + F.col("size") / 2 <= F.col("open")), 1).otherwise(0)
     copies = (F.col("whole") + drawn).cast("int")
     return ranked.select("doc_id", "size", "source_size", "target",
                          (F.col("size") * copies).alias("taken"), "source", copies.alias("copies"),

@@ -57,12 +57,25 @@ t AS (
     least(cap::DOUBLE, coalesce((SELECT level FROM f) * weight, cap::DOUBLE)) AS target
   FROM l),
 r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t),
-k AS (
-  SELECT d.doc_id, d.size, d.source, r.source_size, r.target, floor(r.rate) AS whole, r.position,
-    r.target - floor(r.rate) * r.source_size AS open,
-    CASE WHEN r.rate > floor(r.rate)
-      THEN u / (1 - u) / ((r.rate - floor(r.rate)) / (1 - (r.rate - floor(r.rate)))) END AS key
+o AS (
+  SELECT d.doc_id, d.size, d.source, d.u, r.source_size, r.target, floor(r.rate) AS whole, r.position,
+    r.target - floor(r.rate) * r.source_size AS open, r.rate > floor(r.rate) AS sampled
   FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
+z AS (
+  SELECT position, size, any_value(open) AS open, count(*)::HUGEINT * size AS words,
+    count(*)::HUGEINT * size * size AS squares
+  FROM o WHERE sampled AND size > 0 GROUP BY position, size),
+y AS (
+  SELECT position, size,
+    open - coalesce(sum(words) OVER (larger ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS left_open,
+    sum(squares) OVER (larger ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS squares
+  FROM z WINDOW larger AS (PARTITION BY position ORDER BY size DESC)),
+b AS (
+  SELECT position, arg_max(left_open / squares, size) AS by_size FROM y WHERE left_open * size <= squares GROUP BY position),
+k AS (
+  SELECT o.*, u / (1 - u) / CASE WHEN sampled AND by_size * size >= 1 THEN 'inf'::DOUBLE
+      WHEN sampled AND by_size * size > 0 THEN by_size * size / (1 - by_size * size) END AS key
+  FROM o LEFT JOIN b ON b.position = o.position),
 c AS (
   SELECT *, whole::INTEGER + CASE WHEN key IS NOT NULL AND coalesce(sum(size) OVER (
       PARTITION BY position ORDER BY key NULLS LAST, doc_id

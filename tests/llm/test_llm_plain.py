@@ -5,12 +5,13 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from equitas.llm.exact_dedup import drop_copies, exact_groups
 from equitas.llm.handover import handover
-from equitas.llm.mixing import mix_sources, mixed_documents, source_targets
+from equitas.llm.mixing import mix_sources, mixed_documents, size_rates, source_targets
 from equitas.llm.prefix import prefix_sums
 from equitas.llm.sharding import shard_by_bytes
 from conftest_llm import ODD, ODD_SCHEMA
@@ -98,6 +99,37 @@ def test_mix_meets_targets(documents):
     assert again == {(r.doc_id, r.taken) for r in got}
 
 
+def test_rates_by_size_equal_brute_force(spark):
+    """Probabilities min(1, c x size) whose expected words are those wanted, c by bisection."""
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+    for k in range(12):
+        sizes = [int(x) for x in np.unique(rng.integers(0, 400 if k % 2 else 20, 15))]
+        counts = [int(x) for x in rng.integers(1, 9, len(sizes))]
+        words = sum(a * b for a, b in zip(sizes, counts))
+        wanted = float(words * rng.uniform(0.01, 0.99))
+        rows += [(k, s, wanted, n) for s, n in zip(sizes, counts)]
+        low, high = 0.0, 1e6
+        for _ in range(200):
+            c = (low + high) / 2
+            low, high = (c, high) if sum(n * s * min(1, c * s) for s, n in zip(sizes, counts)) < wanted else (low, c)
+        want[k] = low
+    got = {r["position"]: r["rate_by_size"] for r in size_rates(
+        spark.createDataFrame(rows, "position long, size long, open double, n long")).collect()}
+    assert got == pytest.approx(want, rel=1e-6)
+
+
+def test_mix_prefers_by_size(spark):
+    """Large documents are certain, and of the others those of more words are taken more often."""
+    rows = [(i, "w " * (2000 if i < 2 else 8 if i % 2 else 2), None, "s", 0) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = mix_sources(df, share=0.5).collect()
+    assert all(r.copies == 1 for r in got if r["size"] == 2000)
+    share = {n: np.mean([r.copies for r in got if r["size"] == n]) for n in (2, 8)}
+    assert share[8] > 2 * share[2] > 0
+    assert abs(sum(r.taken for r in got) - 0.5 * sum(r["size"] for r in got)) <= 1000
+
+
 def test_mix_by_own_odds(spark):
     rows = [(i, "one two three", None, "s" if i % 2 else "t", 100.0 if i < 20 else 0.01) for i in range(200)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, w double")
