@@ -121,8 +121,9 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float
         own = F.when(F.col(odds) > 0, F.col(odds).cast("double")).otherwise(F.lit(1.0))
         chances = F.when(fraction > 0, fraction / (1 - fraction) * own)
     else:
-        rates = size_rates(wanted.where(fraction > 0).groupBy("position", "size", "open")
-                           .agg(F.count(F.lit(1)).alias("n")))
+        # a table of known size: Spark's size check then decides the join before rows are dealt by source
+        rates = handover(size_rates(wanted.where(fraction > 0).groupBy("position", "size", "open")
+                                    .agg(F.count(F.lit(1)).alias("n"))), "rates")
         wanted = wanted.join(rates, "position", "left")
         p = F.col("rate_by_size") * F.col("size")
         # 1 - p is 0 for certain documents, whose odds are without bound
