@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from ..functions.binning import bin_by_edges, dedupe_edges
 from ..plans.quantiles import exact_quantiles, unpivot_numeric
+from ..plans.text_ranks import text_edges, text_ranks
 from ..session import reliable_checkpoint
 
 log = logging.getLogger(__name__)
@@ -128,12 +129,12 @@ def _audit_counts(df: DataFrame, items: Sequence[Column], names: Sequence[str],
 
 
 def wide_attributes(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """Numeric attributes of more than about NARROW_VALUES distinct values, by one pass of sketches."""
-    numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
-    if not numeric:
+    """Numeric and text attributes of more than about NARROW_VALUES distinct values, by one pass of sketches."""
+    some = [c for c in columns if isinstance(df.schema[c].dataType, (T.NumericType, T.StringType))]
+    if not some:
         return []
-    seen = df.agg(*[F.approx_count_distinct(F.col(_q(c))).alias(f"d{i}") for i, c in enumerate(numeric)]).first()
-    return [c for i, c in enumerate(numeric) if seen[i] > NARROW_VALUES]
+    seen = df.agg(*[F.approx_count_distinct(F.col(_q(c))).alias(f"d{i}") for i, c in enumerate(some)]).first()
+    return [c for i, c in enumerate(some) if seen[i] > NARROW_VALUES]
 
 
 def plan_attributes(df: DataFrame, sensitive, values: DataFrame | None = None,
@@ -164,7 +165,9 @@ def plan_attributes(df: DataFrame, sensitive, values: DataFrame | None = None,
     plans: list[AttributePlan] = []
     for c, typ in attrs:
         dtype = df.schema[c].dataType
-        if c in wide or isinstance(dtype, _FLOAT_TYPES):
+        if c in wide and isinstance(dtype, T.StringType):
+            mode = "ordinal_bins"
+        elif c in wide or isinstance(dtype, _FLOAT_TYPES):
             mode = "numeric_bins"
         elif nunique[c] > MAX_PLAIN_GROUPS:
             mode = "numeric_bins" if isinstance(dtype, T.NumericType) else "ordinal_bins"
@@ -172,7 +175,16 @@ def plan_attributes(df: DataFrame, sensitive, values: DataFrame | None = None,
             mode = "plain"
         plans.append(AttributePlan(c, typ, mode))
 
-    many = [p for p in plans if p.column in wide]
+    texts = [p for p in plans if p.column in wide and p.mode == "ordinal_bins"]
+    ranks = text_ranks(df, [p.column for p in texts], QUARTILES) if texts else {}
+    for p in texts:
+        if ranks[p.column] is not None:
+            p.edges = text_edges(ranks[p.column])
+        else:                                       # the sample missed a rank: count all values of the column
+            q = exact_quantiles(df.select(F.lit(p.column).alias("attribute"), F.col(_q(p.column)).alias("v_txt")),
+                                ["attribute"], "v_txt", QUARTILES, with_codes=True)
+            p.edges = _code_thresholds(q.collect())
+    many = [p for p in plans if p.column in wide and p.mode == "numeric_bins"]
     if many:
         q = exact_quantiles(unpivot_numeric(df, [p.column for p in many]), ["_attr"], "_val", QUARTILES).collect()
         for p in many:
@@ -185,22 +197,26 @@ def plan_attributes(df: DataFrame, sensitive, values: DataFrame | None = None,
                             count_col="n").collect()
         for p in numeric:
             p.edges = dedupe_edges([r["value"] for r in q if r["attribute"] == p.column])
-    ordinal = [p for p in plans if p.mode == "ordinal_bins"]
+    ordinal = [p for p in plans if p.mode == "ordinal_bins" and p.column not in wide]
     if ordinal:
         rows = values.where(F.col("attribute").isin([p.column for p in ordinal]))
         q = exact_quantiles(rows, ["attribute"], "v_txt", QUARTILES, with_codes=True,
                             count_col="n", distinct_hint=max(nunique[p.column] for p in ordinal)).collect()
         for p in ordinal:
-            rows_p = sorted((r for r in q if r["attribute"] == p.column), key=lambda r: r["q_idx"])
-            thresholds, last = [], None
-            for r in rows_p:  # duplicate code edges are dropped, thresholds may repeat
-                if last is None or r["code"] != last:
-                    thresholds.append(r["low_value"])
-                    last = r["code"]
-            p.edges = thresholds
+            p.edges = _code_thresholds([r for r in q if r["attribute"] == p.column])
     return plans
 
 
+def _code_thresholds(rows: Sequence) -> list[str]:
+    """Text thresholds of rank-coded edges; duplicate code edges are dropped, thresholds may repeat."""
+    thresholds, last = [], None
+    for r in sorted(rows, key=lambda r: r["q_idx"]):
+        if last is None or r["code"] != last:
+            thresholds.append(r["low_value"])
+            last = r["code"]
+    return thresholds
+
+
 def with_groups(df: DataFrame, plans: Sequence[AttributePlan]) -> DataFrame:
     """Add ``grp__<attr>`` columns (string labels) to ``df``."""
     return df.select("*", *[p.group(df)[0].alias(f"grp__{p.column}") for p in plans])

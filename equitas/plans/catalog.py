@@ -31,7 +31,7 @@ from ..operators.treeshap import extract_trees, tree_shap, tree_sum
 from ..streaming.monitor import bias_by_window, run_monitor
 from ..operators.gold import build_gold, entity_lookup, gold_index, gold_page, gold_summary, tier_share
 from ..operators.profile import feature_stats, profile_columns
-from ..operators.silver import (TARGET, encode, engineer_features, impute, plan_features,
+from ..operators.silver import (TARGET, column_modes, encode, engineer_features, impute, plan_features,
                                 prepare_target)
 from ..sources.ingest import cached_dataset, ingest, validate, write_gold
 from .prefix import row_index
@@ -139,6 +139,15 @@ def audit_customer(spark: SparkSession, sf: str) -> DataFrame:
     return _report_cols(res.report)
 
 
+def audit_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Audit by rank quartiles of a text column in which every value is its own."""
+    a, b = LINEITEM_SCORE
+    df = table(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_partkey", "l_orderkey", "l_linenumber").alias("line_name"),
+        decide(linear_score(a, b)).alias("pred"), F.when(F.col("l_discount") >= 0.05, 1).otherwise(0).alias("y"))
+    return _report_cols(fairness_audit(df, [("line_name", "name")], "pred", "y").report)
+
+
 # --------------------------------------------------------------------------- attribution
 
 # Literal logistic coefficients for the attribution queries.
@@ -393,6 +402,17 @@ def q_impute_median_mode(spark: SparkSession, sf: str) -> DataFrame:
                       "o_orderstatus", "o_orderpriority")
 
 
+def q_text_modes(spark: SparkSession, sf: str) -> DataFrame:
+    """Most frequent value of text columns: of few values, of nearly unique ones, and with a tie."""
+    o = table(spark, sf, "orders").select(
+        "o_orderpriority", F.when(F.col("o_orderkey") % 20 < 3, F.lit("none")).otherwise(
+            F.concat_ws(" ", "o_orderkey", "o_custkey")).alias("note"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.lit("b")).otherwise(F.lit("a")).alias("side"),
+        F.concat(F.lit("#"), "o_orderkey").alias("name"))
+    modes = column_modes(o, o.columns)
+    return spark.createDataFrame(list(modes.items()), "column string, mode string")
+
+
 def user_activity(spark: SparkSession, sf: str) -> DataFrame:
     """events pivoted to one row per user (one shuffle, partially aggregated)."""
     e = table(spark, sf, "events")
@@ -854,6 +874,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "binarize_two_valued": q_binarize_two_valued,
     "binarize_coerce": q_binarize_coerce,
     "impute_median_mode": q_impute_median_mode,
+    "text_modes": q_text_modes,
     "delta_ratio_flags": q_delta_ratio_flags,
     "ordinal_codes": q_ordinal_codes,
     "profile_orders": q_profile_orders,
@@ -880,5 +901,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audit_summary": audit_summary,
     "audit_documents": audit_documents,
     "audit_customer": audit_customer,
+    "audit_text": audit_text,
     "entity_bias_flag": entity_bias_flag,
 }

@@ -124,6 +124,10 @@ SQL["audit_summary"] = _audit_ctes(LINEITEM_BASE, LINEITEM_ATTRS) + (
     "CAST(CASE WHEN bool_or(dpd >= 0.05 OR eod >= 0.05) THEN (SELECT count(*) FROM base) ELSE 0 END AS BIGINT) "
     "AS entities_flagged, (SELECT count(*) FROM base) AS entities_total, true AS all_findings_reported FROM r")
 SQL["audit_documents"] = _audit_ctes(DOCS_BASE, DOCS_ATTRS) + "\n" + _REPORT_SELECT
+SQL["audit_text"] = _audit_ctes(
+    f"SELECT concat_ws('-', l_partkey, l_orderkey, l_linenumber) AS line_name, {_pred_sql(LINEITEM_SCORE)} AS pred, "
+    "CASE WHEN l_discount >= 0.05 THEN 1 ELSE 0 END AS y FROM lineitem",
+    [("line_name", "name", "ordinal_bins")]) + "\n" + _REPORT_SELECT
 SQL["audit_customer"] = _audit_ctes(CUSTOMER_BASE, CUSTOMER_ATTRS) + "\n" + _REPORT_SELECT
 SQL["entity_bias_flag"] = _audit_ctes(CUSTOMER_BASE, CUSTOMER_ATTRS, key="c_custkey") + (
     ",\nflags AS (SELECT attribute, dpd >= 0.05 AS df, eod >= 0.05 AS ef, dpd_max_group, dpd_min_group, "
@@ -402,6 +406,12 @@ SQL["impute_median_mode"] = (
     "round(coalesce(half_price, (SELECT quantile_cont(half_price, 0.5) FROM gaps)), 6) AS half_price, "
     f"coalesce(o_orderstatus, {_mode('o_orderstatus')}) AS o_orderstatus, "
     f"coalesce(o_orderpriority, {_mode('o_orderpriority')}) AS o_orderpriority FROM gaps")
+SQL["text_modes"] = (
+    "WITH o AS (SELECT o_orderpriority, CASE WHEN o_orderkey % 20 < 3 THEN 'none' ELSE concat_ws(' ', o_orderkey, "
+    "o_custkey) END AS note, CASE WHEN o_orderkey % 2 = 0 THEN 'b' ELSE 'a' END AS side, '#' || o_orderkey AS name "
+    "FROM orders), l AS (UNPIVOT o ON o_orderpriority, note, side, name INTO NAME \"column\" VALUE v) "
+    "SELECT \"column\", first(v ORDER BY n DESC, v) AS mode FROM (SELECT \"column\", v, count(*) AS n FROM l "
+    "GROUP BY 1, 2) GROUP BY 1")
 SQL["delta_ratio_flags"] = (
     "WITH u AS (SELECT user_id, count_if(day(ts) <= 15) AS events_1, count_if(day(ts) > 15) AS events_2, "
     "sum(CASE WHEN day(ts) <= 15 THEN value ELSE 0.0 END) AS value_1, "
