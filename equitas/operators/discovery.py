@@ -115,11 +115,11 @@ def column_catalog(tables: Mapping[str, DataFrame], match: str = "reference",
     """(table, column, position, dtype, is_numeric, is_likely_id, is_low_cardinality).
 
     Names come first. The profile decides only the columns that no name rule
-    matches and, in a table that has no identifier then, its columns one after
-    another up to the first likely one; the flags of the others are null. A
-    distinct sketch in the scan tasks settles a column unless it lies near a
-    threshold; only then are the column's values moved to be counted exactly
-    (never with ``approx``).
+    matches and, in a table that has no identifier then, its columns up to the
+    first likely one; the flags of the others are null. A distinct sketch in the
+    scan tasks settles a column unless it lies near a threshold; only then are
+    the column's values moved to be counted exactly (never with ``approx``). All
+    columns of all tables share the jobs, whose number is fixed.
     """
     spark = next(iter(tables.values())).sparkSession
     info = _named_catalog(spark, tables)
@@ -130,9 +130,9 @@ def column_catalog(tables: Mapping[str, DataFrame], match: str = "reference",
     target = {r["table"]: r["target_column"] for r in schema_picks(named).select("table", "target_column").collect()}
     flags: dict[tuple[str, str], tuple[bool, bool]] = {}
 
-    def profile(columns: list[tuple[str, str]]) -> None:
-        for key, (n, d) in _distinct(tables, columns, approx).items():
-            flags[key] = (d / max(n, 1) > LIKELY_ID_RATIO and n > LIKELY_ID_MIN_ROWS, d <= LOW_CARDINALITY_MAX)
+    def profile(columns: list[tuple[str, str]], counts: dict | None = None) -> None:
+        counts = _distinct(tables, columns, approx, known=counts)
+        flags.update({key: (_likely_id(*counts[key]), counts[key][1] <= LOW_CARDINALITY_MAX) for key in columns})
 
     profile([(r["table"], r["column"]) for r in by_name if r["class"] == "profile"])
     # a table without an identifier so far takes its first likely one: try its columns in order
@@ -141,27 +141,33 @@ def column_catalog(tables: Mapping[str, DataFrame], match: str = "reference",
     for r in sorted(by_name, key=lambda r: r["position"]):
         if r["table"] not in settled and (r["table"], r["column"]) not in flags and r["column"] != target[r["table"]]:
             waiting.setdefault(r["table"], []).append(r["column"])
-    while waiting:
-        now = [(t, cols.pop(0)) for t, cols in waiting.items()]
-        profile(now)
-        waiting = {t: cols for t, cols in waiting.items() if cols and not any(flags[k][0] for k in now if k[0] == t)}
+    rest = _distinct(tables, [(t, c) for t, cols in waiting.items() for c in cols], approx, low=False)
+    kept: list[tuple[str, str]] = []
+    for t, cols in waiting.items():
+        for c in cols:
+            kept.append((t, c))
+            if _likely_id(*rest[t, c]):
+                break
+    profile(kept, rest)
     known = spark.createDataFrame([(t, c, *f) for (t, c), f in flags.items()],
                                   "table string, column string, is_likely_id boolean, is_low_cardinality boolean")
     return info.join(known, ["table", "column"], "left").select(
         "table", "column", "position", "dtype", "is_numeric", "is_likely_id", "is_low_cardinality")
 
 
-def _distinct(tables: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]], approx: bool) -> dict:
+def _likely_id(n: int, d: int) -> bool:
+    return d / max(n, 1) > LIKELY_ID_RATIO and n > LIKELY_ID_MIN_ROWS
+
+
+def _distinct(tables: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]], approx: bool, low: bool = True,
+              known: dict | None = None) -> dict:
     """(table, column) -> (rows, distinct values): sketched, and exact near a threshold unless ``approx``.
 
     A column near the identifier threshold, as every unique one is to the first
     sketch, gets a closer one in a second scan; its values are moved only if that
-    leaves it open too.
+    leaves it open too. Without ``low`` the low-cardinality threshold is left to a
+    later call, which takes the counts as ``known``.
     """
-    counts = count_values(tables, columns, lambda c: F.approx_count_distinct(c, SKETCH_ERROR))
-    if approx:
-        return counts
-
     def near(d: int, edge: float, error: float) -> bool:
         return d * (1 - NEAR * error) - 1 <= edge <= d * (1 + NEAR * error) + 1
 
@@ -169,13 +175,17 @@ def _distinct(tables: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]
         # whole hashes of non-null values; the sketch takes no other types as they are
         return F.hll_sketch_estimate(F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c)), FINE_SIZE))
 
-    few = [k for k, (n, d) in counts.items() if near(d, LOW_CARDINALITY_MAX, SKETCH_ERROR)]
-    many = [k for k, (n, d) in counts.items() if k not in few and near(d, LIKELY_ID_RATIO * n, SKETCH_ERROR)]
-    fine = count_values(tables, many, closer)
-    counts.update({k: (n, d or 0) for k, (n, d) in fine.items()})
-    counts.update(count_values(tables, [
-        *few, *(k for k in many if near(counts[k][1], LIKELY_ID_RATIO * counts[k][0], FINE_ERROR))],
-        F.count_distinct))
+    counts = {k: known[k] for k in columns} if known is not None else \
+        count_values(tables, columns, lambda c: F.approx_count_distinct(c, SKETCH_ERROR))
+    if approx:
+        return counts
+    exact = [k for k, (n, d) in counts.items() if low and near(d, LOW_CARDINALITY_MAX, SKETCH_ERROR)]
+    if known is None:
+        many = [k for k, (n, d) in counts.items() if k not in exact and near(d, LIKELY_ID_RATIO * n, SKETCH_ERROR)]
+        fine = count_values(tables, many, closer)
+        counts.update({k: (n, d or 0) for k, (n, d) in fine.items()})
+        exact += [k for k in many if near(counts[k][1], LIKELY_ID_RATIO * counts[k][0], FINE_ERROR)]
+    counts.update(count_values(tables, exact, F.count_distinct))
     return counts
 
 
