@@ -95,11 +95,9 @@ def rules_table(spark: SparkSession) -> DataFrame:
                                        "confidence string, method string")
 
 
-#: Relative error of the distinct sketch, and how many of its errors a count may be from a
-#: threshold before it is looked at closer.
-SKETCH_ERROR, NEAR = 0.02, 4
-#: Size (log2 of the registers) and relative error of the closer sketch.
-FINE_SIZE, FINE_ERROR = 16, 0.0045
+#: Size (log2 of the registers) and relative error of the distinct sketch, and how many of its errors a
+#: count may be from a threshold before it is counted exactly.
+SKETCH_SIZE, SKETCH_ERROR, NEAR = 16, 0.0045, 4
 
 
 def _named_catalog(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -163,29 +161,25 @@ def _distinct(tables: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]
               known: dict | None = None) -> dict:
     """(table, column) -> (rows, distinct values): sketched, and exact near a threshold unless ``approx``.
 
-    A column near the identifier threshold, as every unique one is to the first
-    sketch, gets a closer one in a second scan; its values are moved only if that
-    leaves it open too. Without ``low`` the low-cardinality threshold is left to a
-    later call, which takes the counts as ``known``.
+    One scan sketches hashes of all columns closely enough to tell a unique
+    column from one below the identifier threshold. Without ``low`` the
+    low-cardinality threshold is left to a later call, which takes the counts as
+    ``known``.
     """
-    def near(d: int, edge: float, error: float) -> bool:
-        return d * (1 - NEAR * error) - 1 <= edge <= d * (1 + NEAR * error) + 1
+    def near(d: int, edge: float) -> bool:
+        return d * (1 - NEAR * SKETCH_ERROR) - 1 <= edge <= d * (1 + NEAR * SKETCH_ERROR) + 1
 
-    def closer(c):
+    def sketched(c):
         # whole hashes of non-null values; the sketch takes no other types as they are
-        return F.hll_sketch_estimate(F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c)), FINE_SIZE))
+        return F.hll_sketch_estimate(F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c)), SKETCH_SIZE))
 
-    counts = {k: known[k] for k in columns} if known is not None else \
-        count_values(tables, columns, lambda c: F.approx_count_distinct(c, SKETCH_ERROR))
+    counts = {k: known[k] for k in columns} if known is not None else {
+        k: (n, d or 0) for k, (n, d) in count_values(tables, columns, sketched).items()}
     if approx:
         return counts
-    exact = [k for k, (n, d) in counts.items() if low and near(d, LOW_CARDINALITY_MAX, SKETCH_ERROR)]
-    if known is None:
-        many = [k for k, (n, d) in counts.items() if k not in exact and near(d, LIKELY_ID_RATIO * n, SKETCH_ERROR)]
-        fine = count_values(tables, many, closer)
-        counts.update({k: (n, d or 0) for k, (n, d) in fine.items()})
-        exact += [k for k in many if near(counts[k][1], LIKELY_ID_RATIO * counts[k][0], FINE_ERROR)]
-    counts.update(count_values(tables, exact, F.count_distinct))
+    counts.update(count_values(tables, [
+        k for k, (n, d) in counts.items()
+        if (low and near(d, LOW_CARDINALITY_MAX)) or (known is None and near(d, LIKELY_ID_RATIO * n))], F.count_distinct))
     return counts
 
 
