@@ -33,7 +33,9 @@ from ..operators.gold import build_gold, entity_lookup, gold_index, gold_page, g
 from ..operators.profile import feature_stats, profile_columns
 from ..operators.silver import (TARGET, column_modes, encode, engineer_features, impute, plan_features,
                                 prepare_target)
-from ..sources.ingest import cached_dataset, ingest, validate, write_gold
+from ..sources.ingest import (cached_dataset, ingest, metrics_rows, preview, validate, write_gold,
+                              write_silver)
+from ..sources.versions import Versions, publish, read_metrics, replace_metrics
 from .prefix import row_index
 from ..session import default_parallelism, reliable_checkpoint, shared_root
 from ..sources.tables import TABLES, table
@@ -751,6 +753,57 @@ def q_cached_dataset(spark: SparkSession, sf: str) -> DataFrame:
     return cached_dataset(spark, "customer", folder).select("c_custkey", "c_name", _r("c_acctbal"))
 
 
+def _published(spark: SparkSession, sf: str, folder: str) -> Versions:
+    """Two commits of one run's sinks, the second of which breaks half way; the first must be what is read."""
+    df, feats = attributed_lineitem(spark, sf)
+    c = table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    out = publish(spark, folder, "run-1", c, ["c_mktsegment"], gold_orders(spark, sf).limit(0),
+                  global_importance(df, feats))
+    try:
+        out.commit("run-2", {"silver": lambda p: write_silver(c.limit(1), ["c_mktsegment"], p), "gold": _refuse})
+    except RuntimeError:
+        pass
+    return out
+
+
+def _refuse(path: str) -> None:
+    raise RuntimeError(f"no write to {path}")
+
+
+def q_silver_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver features as read back from the version that was committed last."""
+    out = _published(spark, sf, f"{_scratch(spark)}/sinks")
+    back = spark.read.parquet(f"{out.folder('silver')}/features")
+    apart = spark.read.parquet(f"{out.folder('silver')}/sensitive_attributes").groupBy("c_mktsegment").count()
+    return back.join(apart, "c_mktsegment").select("c_custkey", _r("c_acctbal"), "c_mktsegment",
+                                                   F.col("count").alias("n_segment"))
+
+
+def q_importance_sink(spark: SparkSession, sf: str) -> DataFrame:
+    out = _published(spark, sf, f"{_scratch(spark)}/sinks")
+    schema = "feature string, importance double, relative double, rank long"
+    return spark.read.schema(schema).json(out.folder("importance")).select(
+        "feature", _r("importance"), _r("relative"), "rank")
+
+
+def q_metrics_log(spark: SparkSession, sf: str) -> DataFrame:
+    """A run's confusion counts, logged twice: one set of rows."""
+    path = f"{_scratch(spark)}/metrics"
+    row = q_confusion(spark, sf).first().asDict()
+    for _ in range(2):
+        replace_metrics(metrics_rows(spark, "run-1", "confusion", row), path)
+    return read_metrics(spark, path).select("run_id", "stage", "key", "value")
+
+
+def q_preview(spark: SparkSession, sf: str) -> DataFrame:
+    """Column types of orders beside the number of rows of the table and of its preview."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    dtypes, first = preview(o, 5)
+    kinds = spark.createDataFrame([(i, c, t) for i, (c, t) in enumerate(dtypes)], "position int, column string, dtype string")
+    sizes = o.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(first.agg(F.count(F.lit(1)).alias("n_preview")))
+    return kinds.crossJoin(sizes)             # one row of sizes
+
+
 def q_gold_sinks(spark: SparkSession, sf: str) -> DataFrame:
     """The gold table of orders through its three sinks: rows and summed scores of each, read back."""
     folder = _scratch(spark)
@@ -854,6 +907,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_csv": q_ingest_csv,
     "cached_dataset": q_cached_dataset,
     "gold_sinks": q_gold_sinks,
+    "silver_sink": q_silver_sink,
+    "importance_sink": q_importance_sink,
+    "metrics_log": q_metrics_log,
+    "preview": q_preview,
     "confusion": q_confusion,
     "classification_metrics": q_classification_metrics,
     "auc_exact": q_auc_exact,

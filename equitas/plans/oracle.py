@@ -444,3 +444,7 @@ from .oracle_more import SQL as _MORE_SQL  # noqa: E402
 SQL.update(_MORE_SQL)
 from .oracle_models import SQL as _MODEL_SQL  # noqa: E402
 SQL.update(_MODEL_SQL)
+SQL["importance_sink"] = SQL["global_importance"]
+SQL["metrics_log"] = (
+    f"SELECT 'run-1' AS run_id, 'confusion' AS stage, key, CAST(value AS DOUBLE) AS value FROM (UNPIVOT "
+    f"({SQL['confusion']}) ON tn, fp, fn, tp INTO NAME key VALUE value)")

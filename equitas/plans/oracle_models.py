@@ -57,3 +57,11 @@ FROM t LEFT JOIN s ON s.node = t.node""",
     "fit_score_rf": (f"SELECT doc_id, true AS vote_ok, true AS in_range, true AS decision_ok, true AS tier_ok "
                      f"{_LABELLED}"),
 }
+
+# sinks: what is read back from the committed version
+SQL["silver_sink"] = (
+    "SELECT c_custkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment, "
+    "count(*) OVER (PARTITION BY c_mktsegment) AS n_segment FROM customer")
+SQL["preview"] = (
+    "SELECT * FROM (VALUES (0, 'o_orderkey', 'bigint'), (1, 'o_orderstatus', 'string'), (2, 'o_totalprice', 'double')) "
+    "AS t(position, \"column\", dtype), (SELECT count(*) AS n_rows, least(count(*), 5) AS n_preview FROM orders)")
