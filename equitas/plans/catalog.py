@@ -865,7 +865,7 @@ def q_run_gold_rows(spark: SparkSession, sf: str) -> DataFrame:
     """One gold row per entity of a run, with the tier of its score and as many factors as features, up to three."""
     from .run import run
     src = labelled_documents(spark, sf).select("doc_id", "lang", "source", "n_chars", "quality", "toxic")
-    res = run(spark, src, target="toxic", sensitive=[("lang", "language")], n_trees=20, n_folds=5)
+    res = run(spark, src, target="toxic", id_column="doc_id", sensitive=[("lang", "language")], n_trees=20, n_folds=5)
     score, tier = F.col("risk_score"), F.col("intervention_tier")
     fits = (((tier == "High") & (score >= 0.7)) | ((tier == "Medium") & score.between(0.4, 0.7))
             | ((tier == "Low") & (score <= 0.4)))
