@@ -31,13 +31,13 @@ from ..operators.treeshap import extract_trees, tree_shap, tree_sum
 from ..streaming.monitor import bias_by_window, run_monitor
 from ..operators.gold import build_gold, entity_lookup, gold_index, gold_page, gold_summary, tier_share
 from ..operators.profile import feature_stats, profile_columns
-from ..operators.silver import (TARGET, column_modes, encode, engineer_features, impute, plan_features,
-                                prepare_target)
+from ..operators.silver import (TARGET, code_tables, column_modes, encode, engineer_features, impute, plan_features,
+                                prepare_target, split_codes)
 from ..sources.ingest import (cached_dataset, ingest, metrics_rows, preview, validate, write_gold,
                               write_silver)
 from ..sources.versions import Versions, publish, read_metrics, replace_metrics
 from .prefix import row_index
-from ..session import default_parallelism, reliable_checkpoint, shared_root
+from ..session import checkpoint_dir, default_parallelism, parquet_handover, reliable_checkpoint, shared_root
 from ..sources.tables import TABLES, table
 
 # Literal score coefficients shared with the oracle statements.
@@ -446,6 +446,18 @@ def q_ordinal_codes(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("p_brand").alias("p_brand_code"), F.col("p_type").alias("p_type_code"))
 
 
+def q_ordinal_codes_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Codes by the split join: a near-unique column, one with half its rows null, and one of few values."""
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("label"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("customer "), F.col("o_custkey").cast("string")))
+        .alias("buyer"), F.col("o_orderpriority").alias("priority"))
+    cols = ["label", "buyer", "priority"]
+    folder = f"{checkpoint_dir(spark)}/code-tables-{uuid.uuid4().hex}"
+    out = split_codes(o, parquet_handover(code_tables(o, cols), folder, "codes"), cols)
+    return out.select("o_orderkey", *[F.col(c).alias(f"{c}_code") for c in cols])
+
+
 # --------------------------------------------------------------------------- discovery
 
 DISCOVERY_TABLES = TABLES
@@ -934,6 +946,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_modes": q_text_modes,
     "delta_ratio_flags": q_delta_ratio_flags,
     "ordinal_codes": q_ordinal_codes,
+    "ordinal_codes_split": q_ordinal_codes_split,
     "profile_orders": q_profile_orders,
     "validate_orders": q_validate_orders,
     "validate_nations": q_validate_nations,

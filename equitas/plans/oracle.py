@@ -429,6 +429,13 @@ SQL["ordinal_codes"] = (
     "CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS p_brand_code, "
     "CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS INTEGER) AS p_type_code FROM part")
 
+SQL["ordinal_codes_split"] = (
+    "WITH o AS (SELECT o_orderkey, 'order ' || o_orderkey AS label, "
+    "CASE WHEN o_orderkey % 2 = 0 THEN 'customer ' || o_custkey END AS buyer, o_orderpriority AS priority FROM orders) "
+    "SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS label_code, "
+    "CASE WHEN buyer IS NULL THEN -1 ELSE CAST(dense_rank() OVER (ORDER BY buyer NULLS LAST) - 1 AS INTEGER) END "
+    "AS buyer_code, CAST(dense_rank() OVER (ORDER BY priority) - 1 AS INTEGER) AS priority_code FROM o")
+
 # --------------------------------------------------------------------------- discovery
 
 from .oracle_discovery import SQL as _DISCOVERY_SQL  # noqa: E402
