@@ -29,6 +29,7 @@ from ..operators.models import calibrate_cv, fit, in_parallel, stratified_split,
 from ..operators.scenarios import baseline, grid, score_scenarios
 from ..operators.treeshap import extract_trees, tree_shap, tree_sum
 from ..streaming.monitor import bias_by_window, run_monitor
+from ..streaming.values import bias_by_value_window, run_value_monitor
 from ..operators.gold import build_gold, entity_lookup, gold_index, gold_page, gold_summary, tier_share
 from ..operators.profile import feature_stats, profile_columns
 from ..operators.silver import (TARGET, code_tables, column_modes, encode, engineer_features, impute, plan_features,
@@ -863,6 +864,29 @@ def q_stream_bias_monitor(spark: SparkSession, sf: str) -> DataFrame:
     return _window_out(out)
 
 
+def _value_out(df: DataFrame) -> DataFrame:
+    return df.select("window_start", "attribute", "n_groups", "n_rows", _r("dpd"), _r("eod"), "dpd_flagged",
+                     "eod_flagged")
+
+
+def _value_parts():
+    _, _, label = _event_parts()
+    return [("value", F.col("value"))], F.when(F.col("event_type").isin("click", "purchase"), 1).otherwise(0), label
+
+
+def q_bias_by_value_window(spark: SparkSession, sf: str) -> DataFrame:
+    attrs, pred, label = _value_parts()
+    return _value_out(bias_by_value_window(table(spark, sf, "events"), "ts", attrs, pred, label))
+
+
+def q_stream_value_monitor(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as a stream with state per attribute; the idle timer closes the last window."""
+    attrs, pred, label = _value_parts()
+    return _value_out(run_value_monitor(
+        spark, sf.rstrip("/"), table(spark, sf, "events").schema, "ts", attrs, pred, label, file_glob="events.parquet",
+        out_dir=f"{shared_root(spark)}/value-monitor-{uuid.uuid4().hex}"))
+
+
 # --------------------------------------------------------------------------- end to end (rows only)
 
 def q_run_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -900,6 +924,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_orders": q_run_orders,
     "bias_by_window": q_bias_by_window,
     "stream_bias_monitor": q_stream_bias_monitor,
+    "bias_by_value_window": q_bias_by_value_window,
+    "stream_value_monitor": q_stream_value_monitor,
     "scenario_baseline": q_scenario_baseline,
     "scenario_grid": q_scenario_grid,
     "score_scenarios": q_score_scenarios,

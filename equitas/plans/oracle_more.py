@@ -76,3 +76,27 @@ _WINDOWS = (
 SQL["bias_by_window"] = _WINDOWS
 # the stream holds back the last window: the watermark has not passed its end
 SQL["stream_bias_monitor"] = _WINDOWS + " WHERE window_start < (SELECT max(window_start) FROM r)"
+
+# quartile groups by the window before, on a grid of three significant digits
+_VALUE_WINDOWS = (
+    "WITH b AS (SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS w, value AS v, "
+    "CASE WHEN value <> 0 THEN CAST(floor(log10(abs(value))) AS INTEGER) END AS e, "
+    "CASE WHEN event_type IN ('click', 'purchase') THEN 1 ELSE 0 END AS p, "
+    "CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) >= 50 THEN 1 ELSE 0 END AS y "
+    "FROM events WHERE value IS NOT NULL AND isfinite(value)), "
+    "c AS (SELECT w, CASE WHEN v = 0 THEN 0.0::DOUBLE "
+    "WHEN e < 2 THEN floor(v * pow(10.0::DOUBLE, 2 - e)) / pow(10.0::DOUBLE, 2 - e) "
+    "ELSE floor(v / pow(10.0::DOUBLE, e - 2)) * pow(10.0::DOUBLE, e - 2) END AS cell, p, y FROM b), "
+    "q AS (SELECT w, [quantile_disc(cell, 0.25), quantile_disc(cell, 0.5), quantile_disc(cell, 0.75)] AS edges "
+    "FROM c GROUP BY w), "
+    "u AS (SELECT w, list_distinct(coalesce(lag(edges) OVER (ORDER BY w), edges)) AS edges FROM q), "
+    "g AS (SELECT w, len(list_filter(edges, lambda x: x < cell)) AS bin, count(*) AS n, "
+    "CAST(sum(p) AS DOUBLE) / count(*) AS rate, "
+    "CASE WHEN sum(y) > 0 THEN CAST(sum(p * y) AS DOUBLE) / sum(y) ELSE 0.0 END AS tpr "
+    "FROM c JOIN u USING (w) GROUP BY ALL), "
+    "r AS (SELECT w AS window_start, 'value' AS attribute, count(*) AS n_groups, CAST(sum(n) AS BIGINT) AS n_rows, "
+    "max(rate) - min(rate) AS dpd, max(tpr) - min(tpr) AS eod FROM g GROUP BY w) "
+    "SELECT window_start, attribute, n_groups, n_rows, round(dpd, 6) AS dpd, round(eod, 6) AS eod, "
+    "dpd >= 0.05 AS dpd_flagged, eod >= 0.05 AS eod_flagged FROM r")
+SQL["bias_by_value_window"] = _VALUE_WINDOWS
+SQL["stream_value_monitor"] = _VALUE_WINDOWS

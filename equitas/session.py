@@ -89,6 +89,12 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    """True if a folder is there, by the file system it lies in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     """Number of range buckets to use for distributed prefix sums."""
     try:
