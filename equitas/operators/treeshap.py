@@ -1,12 +1,13 @@
 """Exact path-dependent TreeSHAP for MLlib tree ensembles, as a Spark job.
 
-The fitted trees are small (at most ``trees x 2^(depth+1)`` nodes), so their
-node arrays are shipped with the task closure; rows stay where they are and
-are explained batch by batch in ``mapInPandas``. The algorithm is the
-published path-dependent one (Lundberg, Erion and Lee, 2018, Algorithm 2),
-evaluated leaf by leaf and vectorised over the rows of a batch, with the
-weighted node counts of the training data as cover and continuous splits
-going left on ``x <= threshold``.
+The fitted trees are small (at most ``trees x 2^(depth+1)`` nodes); rows stay
+where they are and are explained batch by batch in a Pandas UDF. The algorithm
+is the published path-dependent one (Lundberg, Erion and Lee, 2018, Algorithm
+2), with the weighted node counts of the training data as cover and continuous
+splits going left on ``x <= threshold``. What a leaf adds to a row depends only
+on which features of its path the row follows, so these sums are made once per
+model, for every leaf and case, and sent as a broadcast of bounded size; a row
+costs one lookup a leaf.
 
 Boosted trees are explained in log-odds space (MLlib's probability is
 ``sigmoid(2 * sum(weight_t * tree_t(x)))``); random forests in probability
@@ -85,149 +86,125 @@ def extract_trees(spark: SparkSession, model) -> tuple[list[TreeArrays], str]:
     return [_node_arrays(by_tree[t], "classification", 1.0 / k) for t in sorted(by_tree)], "probability"
 
 
-# ----------------------------------------------------------------------------- algorithm
-
-def _extend(path, pz, po, pi):
-    depth = len(path)
-    path.append([pi, pz, po, 1.0 if depth == 0 else 0.0])
-    for i in range(depth - 1, -1, -1):
-        path[i + 1][3] += po * path[i][3] * (i + 1) / (depth + 1)
-        path[i][3] = pz * path[i][3] * (depth - i) / (depth + 1)
-
-
-def _unwind(path, idx):
-    depth = len(path) - 1
-    po, pz = path[idx][2], path[idx][1]
-    nxt = path[depth][3]
-    for i in range(depth - 1, -1, -1):
-        if po != 0:
-            tmp = path[i][3]
-            path[i][3] = nxt * (depth + 1) / ((i + 1) * po)
-            nxt = tmp - path[i][3] * pz * (depth - i) / (depth + 1)
-        else:
-            path[i][3] = path[i][3] * (depth + 1) / (pz * (depth - i))
-    for i in range(idx, depth):
-        path[i][0], path[i][1], path[i][2] = path[i + 1][0], path[i + 1][1], path[i + 1][2]
-    path.pop()
-
-
-def _unwound_sum(path, idx):
-    depth = len(path) - 1
-    po, pz = path[idx][2], path[idx][1]
-    nxt = path[depth][3]
-    total = 0.0
-    for i in range(depth - 1, -1, -1):
-        if po != 0:
-            tmp = nxt * (depth + 1) / ((i + 1) * po)
-            total += tmp
-            nxt = path[i][3] - tmp * pz * (depth - i) / (depth + 1)
-        else:
-            total += path[i][3] / pz / ((depth - i) / (depth + 1))
-    return total
-
-
-def _recurse(t: TreeArrays, x, phi, node, path, pz, po, pi):
-    path = [p[:] for p in path]
-    _extend(path, pz, po, pi)
-    if t.feature[node] < 0:
-        v = t.value[node]
-        for i in range(1, len(path)):
-            w = _unwound_sum(path, i)
-            phi[path[i][0]] += w * (path[i][2] - path[i][1]) * v
-        return
-    f = t.feature[node]
-    go_left = x[f] <= t.threshold[node]
-    hot, cold = (t.left[node], t.right[node]) if go_left else (t.right[node], t.left[node])
-    iz = io = 1.0
-    k = next((i for i in range(1, len(path)) if path[i][0] == f), None)
-    if k is not None:
-        iz, io = path[k][1], path[k][2]
-        _unwind(path, k)
-    c = t.cover[node]
-    _recurse(t, x, phi, hot, path, iz * t.cover[hot] / c, io, f)
-    _recurse(t, x, phi, cold, path, iz * t.cover[cold] / c, 0.0, f)
+# ----------------------------------------------------------------------------- leaf tables
 
+#: Bytes that the tables of one model may take, all leaves together; leaves beyond it are worked out for each row.
+TABLE_BYTES = 64 << 20
+#: Most features on a path for which a table is made (2^10 cases a leaf).
+MOST_FEATURES = 10
+#: Rows x leaves looked up at a time.
+CELLS = 1 << 18
 
-def tree_expected(t: TreeArrays) -> float:
-    leaves = t.feature < 0
-    return float((t.value[leaves] * t.cover[leaves]).sum() / t.cover[0])
 
+@dataclass
+class LeafSet:
+    """Leaves of all trees whose paths split on the same features.
 
-def shap_row(trees: Sequence[TreeArrays], x, n_features: int) -> np.ndarray:
-    phi = np.zeros(n_features)
-    for t in trees:
-        part = np.zeros(n_features)
-        _recurse(t, x, part, 0, [], 1.0, 1.0, -1)
-        phi += t.weight * part
-    return phi
+    A row follows a path's splits on its k-th feature where that feature lies in
+    ``(low, high]``. The features a row follows, read as bits, are its case;
+    ``table[k]`` has the k-th feature's contribution for every leaf and case.
+    """
+    features: tuple[int, ...]
+    low: np.ndarray         # leaves x features
+    high: np.ndarray
+    zero: np.ndarray        # share of the training data that follows the splits on a feature
+    value: np.ndarray       # of the leaf, times its tree's weight
+    table: np.ndarray | None = None
 
 
-# ----------------------------------------------------------------------------- batch form
+def _shares(zero: np.ndarray, ones: Sequence[np.ndarray], value: np.ndarray) -> list[np.ndarray]:
+    """Contribution of every feature of the paths (leaves x cases each).
 
-def leaf_paths(t: TreeArrays) -> list:
-    """Per leaf: (value, [(feature, zero_fraction, [(threshold, goes_left), ...]), ...]),
-    with repeated features on a path merged into one element."""
+    ``ones[k]`` is 1 in the cases that follow the k-th feature's splits. Path
+    weights are built feature by feature, then each feature's own is undone.
+    """
+    size = len(ones)
+    z = [zero[:, k, None] for k in range(size)]
+    weights = [np.ones((len(zero), ones[0].shape[-1]))]
+    for depth in range(1, size + 1):
+        o, own = ones[depth - 1], z[depth - 1]
+        weights.append(np.zeros_like(weights[0]))
+        for i in range(depth - 1, -1, -1):
+            weights[i + 1] = weights[i + 1] + o * weights[i] * ((i + 1) / (depth + 1))
+            weights[i] = own * weights[i] * ((depth - i) / (depth + 1))
     out = []
-    stack = [(0, [])]
-    while stack:
-        node, path = stack.pop()
-        if t.feature[node] < 0:
-            merged: dict[int, list] = {}
-            for f, thr, left, ratio in path:
-                z_conds = merged.setdefault(f, [1.0, []])
-                z_conds[0] *= ratio
-                z_conds[1].append((thr, left))
-            out.append((float(t.value[node]), [(f, zc[0], zc[1]) for f, zc in merged.items()]))
-            continue
-        f, thr, c = int(t.feature[node]), float(t.threshold[node]), t.cover[node]
-        lft, rgt = int(t.left[node]), int(t.right[node])
-        stack.append((lft, path + [(f, thr, True, t.cover[lft] / c)]))
-        stack.append((rgt, path + [(f, thr, False, t.cover[rgt] / c)]))
+    for o, own in zip(ones, z):
+        total, rest = np.zeros_like(weights[0]), weights[size]
+        safe = np.where(own != 0, own, 1.0)
+        for j in range(size - 1, -1, -1):
+            hot = rest * ((size + 1) / (j + 1))
+            cold = np.where(own != 0, weights[j] / safe * ((size + 1) / (size - j)), 0.0)
+            total += np.where(o != 0, hot, cold)
+            rest = np.where(o != 0, weights[j] - hot * own * ((size - j) / (size + 1)), rest)
+        out.append(total * (o - own) * value[:, None])
     return out
 
 
-def shap_batch(trees: Sequence[TreeArrays], paths: Sequence[list], x: np.ndarray) -> np.ndarray:
-    """TreeSHAP for a batch of rows at once (rows x features).
-
-    Per leaf, the path weights of the published recursion are built with
-    ``extend`` over the leaf's merged path elements, vectorised across rows
-    (a row's one-fraction is 1 when it follows every split of that feature on
-    the path, else 0), then each element's unwound sum is added to its feature.
-    """
+def leaf_sets(trees: Sequence[TreeArrays], table_bytes: int = TABLE_BYTES) -> list[LeafSet]:
+    """All leaves by the features of their paths, with tables as far as ``table_bytes`` goes, short paths first."""
+    found: dict[tuple[int, ...], list] = {}
+    for t in trees:
+        stack: list = [(0, {})]
+        while stack:
+            node, path = stack.pop()
+            f = int(t.feature[node])
+            if f < 0:
+                if path:
+                    key = tuple(sorted(path))
+                    found.setdefault(key, []).append(([path[k] for k in key], t.weight * float(t.value[node])))
+                continue
+            thr, (low, high, zero) = float(t.threshold[node]), path.get(f, (-np.inf, np.inf, 1.0))
+            lft, rgt = int(t.left[node]), int(t.right[node])
+            share = t.cover[lft] / t.cover[node], t.cover[rgt] / t.cover[node]
+            stack.append((lft, {**path, f: (low, min(high, thr), zero * share[0])}))
+            stack.append((rgt, {**path, f: (max(low, thr), high, zero * share[1])}))
+    sets = []
+    for key in sorted(found, key=lambda k: (len(k), k)):
+        ends = np.array([e for e, _ in found[key]])
+        own = LeafSet(key, ends[:, :, 0], ends[:, :, 1], ends[:, :, 2], np.array([v for _, v in found[key]]))
+        size, leaves = len(key), len(ends)
+        need = 8 * size * leaves << size
+        if size <= MOST_FEATURES and need <= table_bytes:
+            table_bytes -= need
+            bits = [(np.arange(1 << size) >> k & 1).astype(float)[None, :] for k in range(size)]
+            step = max(1, CELLS >> size)
+            parts = [_shares(own.zero[i:i + step], bits, own.value[i:i + step]) for i in range(0, leaves, step)]
+            own.table = np.stack([np.concatenate([p[k] for p in parts]).ravel() for k in range(size)])
+        sets.append(own)
+    return sets
+
+
+def shap_batch(sets: Sequence[LeafSet], x: np.ndarray) -> np.ndarray:
+    """TreeSHAP for a batch of rows at once (rows x features): one lookup for a row and leaf that has a table."""
     n, m = x.shape
     phi = np.zeros((n, m))
-    for t, leaves in zip(trees, paths):
-        for value, elems in leaves:
-            ones = []
-            for f, _z, conds in elems:
-                o = np.ones(n, dtype=bool)
-                for thr, left in conds:
-                    o &= (x[:, f] <= thr) if left else (x[:, f] > thr)
-                ones.append(o.astype(float))
-            pw = [np.ones(n)]
-            zs = [1.0]
-            for (_f, z, _c), o in zip(elems, ones):
-                depth = len(pw)
-                pw.append(np.zeros(n))
-                for i in range(depth - 1, -1, -1):
-                    pw[i + 1] += o * pw[i] * (i + 1) / (depth + 1)
-                    pw[i] = z * pw[i] * (depth - i) / (depth + 1)
-                zs.append(z)
-            depth = len(pw) - 1
-            for k in range(1, depth + 1):
-                f, z, o = elems[k - 1][0], zs[k], ones[k - 1]
-                total = np.zeros(n)
-                nxt = pw[depth].copy()
-                for j in range(depth - 1, -1, -1):
-                    hot = nxt * (depth + 1) / (j + 1)
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        cold = pw[j] * (depth + 1) / (z * (depth - j)) if z != 0 else np.zeros(n)
-                    total += np.where(o != 0, hot, cold)
-                    nxt = np.where(o != 0, pw[j] - hot * z * (depth - j) / (depth + 1), nxt)
-                phi[:, f] += t.weight * total * (o - z) * value
+    x = np.clip(x, np.finfo(float).min, np.finfo(float).max)        # -inf lies below every threshold
+    for s in sets:
+        size, step = len(s.features), max(1, CELLS // max(n, 1))
+        columns = [x[:, f, None] for f in s.features]
+        for i in range(0, len(s.value), step):
+            part = slice(i, i + step)
+            follows = [(c > s.low[part, k]) & (c <= s.high[part, k]) for k, c in enumerate(columns)]
+            if s.table is None:
+                for leaf in range(len(s.value[part])):
+                    ones = [f[None, :, leaf].astype(float) for f in follows]
+                    at = slice(i + leaf, i + leaf + 1)
+                    for f, share in zip(s.features, _shares(s.zero[at], ones, s.value[at])):
+                        phi[:, f] += share[0]
+                continue
+            case = np.arange(i, i + follows[0].shape[1], dtype=np.int64)[None, :] << size
+            for k, f in enumerate(follows):
+                case = case + (f.astype(np.int64) << k)
+            for k, f in enumerate(s.features):
+                phi[:, f] += s.table[k].take(case).sum(axis=1)
     return phi
 
 
+def tree_expected(t: TreeArrays) -> float:
+    leaves = t.feature < 0
+    return float((t.value[leaves] * t.cover[leaves]).sum() / t.cover[0])
+
+
 def tree_sum(trees: Sequence[TreeArrays], x: np.ndarray) -> np.ndarray:
     """The ensemble's own output (margin, or vote) for rows x features, straight from the trees."""
     out, rows = np.zeros(len(x)), np.arange(len(x))
@@ -256,10 +233,10 @@ def tree_shap(df: DataFrame, model, features: Sequence[str], keep: Sequence[str]
     tree_model = model.stages[-1] if hasattr(model, "stages") else model
     trees, space = extract_trees(spark, tree_model)
     base = base_value(trees)
-    paths = [leaf_paths(t) for t in trees]
+    sets = spark.sparkContext.broadcast(leaf_sets(trees))       # TABLE_BYTES, and the leaves themselves
 
     def explain(rows: pd.DataFrame) -> pd.DataFrame:
-        phis = shap_batch(trees, paths, rows.fillna(0.0).to_numpy(dtype=float))   # a whole Arrow batch at once
+        phis = shap_batch(sets.value, rows.fillna(0.0).to_numpy(dtype=float))   # a whole Arrow batch at once
         return pd.DataFrame({"phi": list(phis), "margin": base + phis.sum(axis=1)})
 
     explained = F.pandas_udf(explain, "phi array<double>, margin double").asNondeterministic()   # once per row

@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from equitas.operators.models import calibrate_cv, fit, load, stratified_split
-from equitas.operators.treeshap import extract_trees, leaf_paths, shap_batch, shap_row, tree_shap
+from equitas.operators.treeshap import TreeArrays, extract_trees, leaf_sets, shap_batch, tree_shap
+
+from shap_recursion import shap_row
 
 FEATS = ["a", "b", "c"]
 
@@ -55,14 +57,45 @@ def test_gbt_treeshap_matches_brute_force_and_margin(spark):
     x = np.array([0.3, 2.0, 0.5])
     assert np.allclose(shap_row(trees, x, 3), _brute_shap(trees, x, 3), atol=1e-9)
     rows = np.random.default_rng(5).normal(size=(50, 3)) * [1.0, 2.0, 0.5] + [0.0, 1.5, 0.5]
-    batch = shap_batch(trees, [leaf_paths(t) for t in trees], rows)
-    assert np.allclose(batch, [shap_row(trees, r, 3) for r in rows], atol=1e-9)
+    assert np.allclose(shap_batch(leaf_sets(trees), rows), [shap_row(trees, r, 3) for r in rows], atol=1e-9)
     out = tree_shap(df, model.model, FEATS, ["id", "a", "b", "c"]).join(
         model.score(df).select("id", F.col("margin").alias("m2")), "id")
     bad = out.where(F.abs(F.col("margin") - F.col("m2")) > 1e-6).count()
     assert bad == 0
 
 
+def _random_tree(rng, depth, m):
+    """A full tree of random splits, some of them on a feature that the path has split on before."""
+    size = 2 ** (depth + 1) - 1
+    feature, inner = np.full(size, -1), 2 ** depth - 1
+    feature[:inner] = rng.integers(0, m, inner)
+    left, cover = np.arange(size) * 2 + 1, np.zeros(size)
+    cover[inner:] = rng.integers(1, 50, size - inner)
+    for i in range(inner - 1, -1, -1):
+        cover[i] = cover[2 * i + 1] + cover[2 * i + 2]
+    return TreeArrays(feature, rng.normal(size=size), left, left + 1, rng.normal(size=size), cover, rng.uniform(0.1, 2))
+
+
+def test_leaf_tables_equal_the_recursion():
+    """With tables, with some and with none; stumps, leaves alone, infinite values and no rows."""
+    rng = np.random.default_rng(3)
+    trees = [_random_tree(rng, d, 7) for d in (0, 1, 2, 4, 6, 6)]
+    x = rng.normal(size=(40, 7))
+    x[0], x[1], x[2, :3] = -np.inf, np.inf, trees[1].threshold[0]
+    want = np.array([shap_row(trees, r, 7) for r in x])
+    sizes = []
+    for limit in (64 << 20, 20_000, 0):
+        sets = leaf_sets(trees, limit)
+        assert sum(s.table.nbytes for s in sets if s.table is not None) <= limit
+        sizes.append(sum(s.table is not None for s in sets))
+        assert np.allclose(shap_batch(sets, x), want, atol=1e-9)
+    assert sizes[0] == len(sets) > sizes[1] > sizes[2] == 0
+    assert shap_batch(sets, x[:0]).shape == (0, 7) and not shap_batch(leaf_sets(trees[:1]), x).any()
+    few = [_random_tree(rng, 3, 4) for _ in range(3)]
+    row = rng.normal(size=4)
+    assert np.allclose(shap_batch(leaf_sets(few), row[None])[0], _brute_shap(few, row, 4), atol=1e-9)
+
+
 def test_random_forest_shap_sums_to_probability(spark):
     df = _frame(spark, 200)
     model = fit(df, FEATS, "y", kind="random_forest", n_trees=4, max_depth=3)
