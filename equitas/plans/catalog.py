@@ -38,7 +38,9 @@ from ..sources.ingest import (cached_dataset, ingest, metrics_rows, preview, val
                               write_silver)
 from ..sources.versions import Versions, publish, read_metrics, replace_metrics
 from .prefix import row_index
-from ..session import checkpoint_dir, default_parallelism, parquet_handover, reliable_checkpoint, shared_root
+from ..session import (checkpoint_dir, default_parallelism, parquet_handover, scratch_folder,
+                       shared_root)
+from ..sources.bucketed import bucketed_table
 from ..sources.tables import TABLES, table
 
 # Literal score coefficients shared with the oracle statements.
@@ -239,9 +241,9 @@ def scored_orders(spark: SparkSession, sf: str) -> DataFrame:
     f = f.withColumn("risk", linear_score(a, coefs))
     f = f.withColumn("pred", decide(F.col("risk"))).withColumn(
         "y", F.when(F.col("o_orderstatus") == "F", 1).otherwise(0))
-    # four jobs read these rows (means, audit counts, group stats, gold):
-    # materialise the join once in the shared checkpoint folder
-    f = reliable_checkpoint(f)
+    # four jobs read these rows (means, audit counts, group stats, gold), each its own columns of them:
+    # write the join once in the shared folder
+    f = parquet_handover(f, scratch_folder(spark, "scored"), "orders")
     f = linear_attribution(f, coefs)
     return f.withColumn("factors", top_factors(F.col("phi"), list(coefs), 3))
 
@@ -298,11 +300,26 @@ def q_tier_share(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_entity_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    ids = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R").select(
+        F.col("l_orderkey").alias("entity_id"))
+    return _gold_out(bucketed_table(gold_orders(spark, sf), "entity_id", "gold").lookup(ids))
+
+
+def q_lookup_plain(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows from gold rows that are not kept in buckets."""
     ids = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R").select(
         F.col("l_orderkey").alias("entity_id"))
     return _gold_out(entity_lookup(gold_orders(spark, sf), ids))
 
 
+def q_stage_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold rows beside the features they were scored from, both in buckets of the entity's id."""
+    gold = bucketed_table(gold_orders(spark, sf), "entity_id", "gold")
+    features = order_features(spark, sf).withColumn("entity_id", F.col("o_orderkey").cast("string"))
+    joined = gold.join(bucketed_table(features, "entity_id", "features"))
+    return joined.select("entity_id", "risk_score", "intervention_tier", _r("o_totalprice"), "n_lines", _r("sum_qty"))
+
+
 def q_entity_index(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select("o_orderkey")
     idx = row_index(o, ["o_orderkey"], name="row_idx")
@@ -990,6 +1007,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_summary_filtered": q_gold_summary_filtered,
     "tier_share": q_tier_share,
     "entity_lookup": q_entity_lookup,
+    "lookup_plain": q_lookup_plain,
+    "stage_join": q_stage_join,
     "entity_index": q_entity_index,
     "audit_lineitem": audit_lineitem,
     "audit_groups": audit_groups,

@@ -296,6 +296,12 @@ SQL["tier_share"] = _GOLD_CTES + (
 SQL["entity_lookup"] = _GOLD_CTES + (
     f"SELECT {_GOLD_COLS} FROM gold WHERE entity_id IN "
     "(SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_returnflag = 'R')")
+SQL["lookup_plain"] = SQL["entity_lookup"]
+SQL["stage_join"] = _GOLD_CTES + (
+    ", lines AS (SELECT l_orderkey, count(*) AS n, sum(l_quantity) AS qty FROM lineitem GROUP BY l_orderkey) "
+    "SELECT entity_id, risk_score, intervention_tier, round(CAST(o_totalprice AS DOUBLE), 6) AS o_totalprice, "
+    "CAST(coalesce(n, 0) AS DOUBLE) AS n_lines, round(CAST(coalesce(qty, 0) AS DOUBLE), 6) AS sum_qty "
+    "FROM gold JOIN orders ON entity_id = CAST(o_orderkey AS VARCHAR) LEFT JOIN lines ON l_orderkey = o_orderkey")
 SQL["entity_index"] = (
     "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_idx, "
     "printf('ENT-%05d', row_number() OVER (ORDER BY o_orderkey) - 1) AS entity_id FROM orders")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -89,6 +91,27 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/equitas-scratch/{spark.sparkContext.applicationId}"
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new path in the shared store for a table that this application needs only until it ends."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _remove_scratch() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        try:
+            remove(spark, _own_folder(spark))
+        except Exception:  # noqa: BLE001  the context may have gone already
+            pass
+
+
+atexit.register(_remove_scratch)
+
+
 def exists(spark: SparkSession, folder: str) -> bool:
     """True if a folder is there, by the file system it lies in."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
