@@ -81,6 +81,6 @@ def entity_id(id_col: Column | None, prefix: str, index: Column | None) -> Colum
 
 
 def python_list_text(arr: Column) -> Column:
-    """``['a', 'b']``: the text form the reference stores for factor lists."""
+    """``['a', 'b']``: the text form of factor lists in the gold table."""
     return F.concat(F.lit("["), F.array_join(
         F.transform(arr, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "), F.lit("]"))

@@ -30,7 +30,7 @@ from ..operators.scenarios import baseline, grid, score_scenarios
 from ..operators.treeshap import extract_trees, tree_shap, tree_sum
 from ..streaming.monitor import bias_by_window, run_monitor
 from ..streaming.values import bias_by_value_window, run_value_monitor
-from ..operators.gold import build_gold, entity_lookup, gold_index, gold_page, gold_summary, tier_share
+from ..operators.gold import build_gold, entity_lookup, filter_gold, gold_index, gold_page, gold_summary, tier_share
 from ..operators.profile import feature_stats, profile_columns
 from ..operators.silver import (TARGET, code_tables, column_modes, encode, engineer_features, impute, plan_features,
                                 prepare_target, split_codes)
@@ -207,6 +207,15 @@ def q_reason_text(spark: SparkSession, sf: str) -> DataFrame:
                      reason_text(top, tier).alias("reason_text"))
 
 
+def q_reason_text_short(spark: SparkSession, sf: str) -> DataFrame:
+    """Reasons of fewer than three factors: none, one or two of them, by the line's number."""
+    df, feats = attributed_lineitem(spark, sf)
+    top = F.slice(top_factors(F.col("phi"), feats, 3), 1, (F.col("l_linenumber") % 3).cast("int"))
+    tier = intervention_tier(F.col("score"))
+    return df.select("l_orderkey", "l_linenumber", F.size(top).alias("n_factors"), tier.alias("intervention_tier"),
+                     reason_text(top, tier).alias("reason_text"))
+
+
 def q_display_names(spark: SparkSession, sf: str) -> DataFrame:
     p = table(spark, sf, "part")
     return p.select("p_partkey", display_name(F.col("p_name")).alias("name_display"),
@@ -264,6 +273,14 @@ def q_gold_table(spark: SparkSession, sf: str) -> DataFrame:
     return _gold_out(gold_orders(spark, sf))
 
 
+def q_gold_flagged(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers in the group at either end of a breached measure."""
+    df = scored_customer(spark, sf)
+    res = fairness_audit(df, CUSTOMER_SENSITIVE, "pred", "y")
+    flagged = filter_gold(res.entity_flags(df, scope="group", name="bias_flag"), bias_only=True)
+    return flagged.select(entity_id(F.col("c_custkey"), "ENT", None).alias("entity_id"), "bias_flag")
+
+
 def q_gold_page(spark: SparkSession, sf: str) -> DataFrame:
     return _gold_out(gold_page(gold_orders(spark, sf), page=3, page_size=50, tier="Medium",
                                sort_by="risk_score", desc=True))
@@ -999,8 +1016,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "global_importance": q_global_importance,
     "factor_strength": q_factor_strength,
     "reason_text": q_reason_text,
+    "reason_text_short": q_reason_text_short,
     "display_names": q_display_names,
     "gold_table": q_gold_table,
+    "gold_flagged": q_gold_flagged,
     "gold_page": q_gold_page,
     "gold_pages": q_gold_pages,
     "gold_summary": q_gold_summary,

@@ -228,6 +228,10 @@ SQL["factor_strength"] = _LI_P + (
 SQL["reason_text"] = _LI_P + (
     f" SELECT l_orderkey, l_linenumber, {_tier_sql('score')} AS intervention_tier, "
     f"{_reason_sql('list_slice(fl, 1, 3)', _tier_sql('score'))} AS reason_text FROM p")
+SQL["reason_text_short"] = _LI_P + (
+    f" SELECT l_orderkey, l_linenumber, CAST(l_linenumber % 3 AS INTEGER) AS n_factors, "
+    f"{_tier_sql('score')} AS intervention_tier, "
+    f"{_reason_sql('list_slice(fl, 1, l_linenumber % 3)', _tier_sql('score'))} AS reason_text FROM p")
 SQL["display_names"] = (
     f"SELECT p_partkey, {_display_sql('p_name')} AS name_display, "
     f"{_display_sql('p_brand')} AS brand_display, "
@@ -270,6 +274,8 @@ def _summary_sql(where: str, page_size: int) -> str:
 
 
 SQL["gold_table"] = _GOLD_CTES + f"SELECT {_GOLD_COLS} FROM gold"
+SQL["gold_flagged"] = ("SELECT CAST(c_custkey AS VARCHAR) AS entity_id, true AS bias_flag FROM ("
+                       + SQL["entity_bias_flag"] + ") WHERE bias_flag_group")
 SQL["gold_sinks"] = _GOLD_CTES + (
     ", one AS (SELECT count(*) AS n_rows, count(DISTINCT entity_id) AS n_entities, "
     "round(sum(risk_score), 3) AS total_score, "
