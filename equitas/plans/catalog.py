@@ -780,7 +780,7 @@ def q_lr_optimum(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------------- sources and sinks
 
 def _scratch(spark: SparkSession) -> str:
-    return f"{shared_root(spark)}/equitas-io-{uuid.uuid4().hex}"
+    return scratch_folder(spark, "io")
 
 
 def q_ingest_csv(spark: SparkSession, sf: str) -> DataFrame:
