@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .conversations import damage, repair_conversations
 from .embeddings import near_vectors
@@ -13,7 +14,7 @@ from .langid import identify
 from .mixing import mix_sources
 from .periodic import periodic_runs
 from .pieces import encode
-from .pii import find_personal
+from .pii import KINDS, find_personal
 from .quality import rate_quality
 from .sharding import shard_by_bytes
 from .simhash import near_groups
@@ -42,7 +43,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_personal(table(spark, sf_dir, "documents"))
+    """Counts and digest of the base spans; ``spans`` has those that the tagger adds too."""
+    found = find_personal(table(spark, sf_dir, "documents"))
+    counts = [F.regexp_count("base", F.lit(f"{k}:")).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, "base_sha256", "spans", "n_added")
 
 
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
