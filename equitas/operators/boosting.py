@@ -7,8 +7,11 @@ feature, bin) and the sums are reduced; the driver sees histograms only, whose
 size depends on models, nodes, features and bins, never on rows or on how many
 rows one node holds. Of two siblings the lighter one is summed, the other is
 the parent less it. The model for all rows and those of the calibration folds
-(rows of the own fold count 0) share every job. A table of one block has nothing
-to reduce between levels, so the same steps run as one job, to the same trees.
+(rows of the own fold are left out) share every job. A table of one block has
+nothing to reduce between levels, so the same steps run as one job, to the same
+trees. Where the bins leave fewer possible cells (bins, label, fold) than half
+the rows, rows of a cell are merged into one with their number: they move
+together through every tree, and all sums are exact, so the trees are the same.
 
 Gradients are rounded to whole multiples of a power of two that keeps all sums
 exact, so the result does not depend on partitions, order or retries. A task
@@ -22,6 +25,7 @@ margin is 0 and the loss is logistic.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections import OrderedDict
 from collections.abc import Iterator, Sequence
@@ -34,7 +38,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import default_parallelism, parquet_handover, remove, shared_root
+from ..session import parquet_handover, remove, shared_root
 
 MOST_BINS = 256
 #: Rows of a block, and the doubles of one level's histograms that tasks and driver may hold.
@@ -66,27 +70,11 @@ class Boosted:
 
     def margins(self, x: np.ndarray) -> np.ndarray:
         """Log odds of rows x features."""
-        out, rows = np.zeros(len(x)), np.arange(len(x))
-        for split, threshold, value in zip(self.split, self.threshold, self.value):
-            at = np.zeros(len(x), np.int64)
-            while True:
-                f = split[at]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                right = x[rows, np.maximum(f, 0)] > threshold[at]
-                at = np.where(inner, 2 * at + 1 + right, at)
-            out += value[at]
-        return out
+        return joint_margins([self], x)[:, 0]
 
     def score(self, df: DataFrame, prob: str = "prob", margin: str = "margin") -> DataFrame:
         """Probability of class 1 and the margin, for every row (null features count as 0)."""
-        def run(rows: pd.DataFrame) -> pd.Series:
-            return pd.Series(self.margins(rows.fillna(0.0).to_numpy(dtype=float)))
-
-        udf = F.pandas_udf(run, "double").asNondeterministic()      # once per row
-        inputs = F.struct(*[F.col(f"`{f}`").cast("double").alias(f"f{i}") for i, f in enumerate(self.features)])
-        return df.withColumn(margin, udf(inputs)).withColumn(
+        return with_margins(df, [self], [margin]).withColumn(
             prob, F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col(f"`{margin}`"))))
 
     def nodes(self) -> list[dict]:
@@ -116,6 +104,71 @@ class Boosted:
         return Boosted(list(shape["features"]), split, **out)
 
 
+# ----------------------------------------------------------------------------- scoring
+
+def codes(x: np.ndarray, cuts: Sequence[np.ndarray]) -> np.ndarray:
+    """Rows x features as the number of ``cuts`` of each feature that lie below the value."""
+    kind = np.uint8 if max(map(len, cuts), default=0) <= 255 else np.uint16 if max(map(len, cuts)) <= 65535 else np.int64
+    return np.stack([np.searchsorted(c, x[:, f], "left").astype(kind) for f, c in enumerate(cuts)], axis=1)
+
+
+def distinct(coded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First row of every different one, and which of these each row equals."""
+    rows = np.ascontiguousarray(coded)
+    _, first, same = np.unique(rows.view(np.dtype((np.void, rows.dtype.itemsize * rows.shape[1]))).ravel(),
+                               return_index=True, return_inverse=True)
+    return first, same
+
+
+def joint_margins(models: Sequence[Boosted], x: np.ndarray) -> np.ndarray:
+    """Log odds of rows x features by every model. Rows between the same thresholds are walked once."""
+    if not len(x) or not x.shape[1]:
+        return np.zeros((len(x), len(models))) + [m.value[:, 0].sum() for m in models]
+    cuts = [np.unique(np.concatenate([m.threshold[m.split == f] for m in models])) for f in range(x.shape[1])]
+    coded = codes(x, cuts)
+    first, same = distinct(coded)
+    if 2 * len(first) <= len(x):
+        coded = coded[first]
+    else:
+        same = slice(None)
+    flat, base = coded.ravel(), np.arange(len(coded)) * coded.shape[1]
+    out = np.zeros((len(coded), len(models)))
+    for m, model in enumerate(models):
+        depth = (model.split.shape[1] + 1).bit_length() - 2
+        for split, threshold, value in zip(model.split, model.threshold, model.value):
+            at_most = np.zeros(len(split), np.int64)
+            for node in np.flatnonzero(split >= 0):
+                at_most[node] = np.searchsorted(cuts[split[node]], threshold[node])
+            out[:, m] += value.take(_walk(flat, base, split, at_most, depth))
+    return out[same]
+
+
+def with_margins(df: DataFrame, models: Sequence[Boosted], names: Sequence[str]) -> DataFrame:
+    """A column of margins per model (null features count as 0), all by one Python function."""
+    def run(rows: pd.DataFrame) -> pd.Series:
+        return pd.Series(list(joint_margins(models, rows.fillna(0.0).to_numpy(dtype=float))), index=rows.index)
+
+    udf = F.pandas_udf(run, "array<double>").asNondeterministic()      # once per row
+    inputs = F.struct(*[F.col(f"`{f}`").cast("double").alias(f"f{i}") for i, f in enumerate(models[0].features)])
+    kept = [c for c in df.columns if c not in names]
+    return df.withColumn("_margins", udf(inputs)).select(
+        *[F.col(f"`{c}`") for c in kept], *[F.col("_margins")[i].alias(n) for i, n in enumerate(names)])
+
+
+def own_margins(df: DataFrame, models: Sequence[Boosted], fold: str, name: str) -> DataFrame:
+    """The margin of each row by the model of its fold (null features count as 0)."""
+    def run(k: pd.Series, rows: pd.DataFrame) -> pd.Series:
+        x, k, out = rows.fillna(0.0).to_numpy(dtype=float), k.to_numpy(), np.zeros(len(rows))
+        for i, model in enumerate(models):
+            if (k == i).any():
+                out[k == i] = joint_margins([model], x[k == i])[:, 0]
+        return pd.Series(out, index=rows.index)
+
+    udf = F.pandas_udf(run, "double").asNondeterministic()
+    inputs = F.struct(*[F.col(f"`{f}`").cast("double").alias(f"f{i}") for i, f in enumerate(models[0].features)])
+    return df.withColumn(name, udf(F.col(fold), inputs))
+
+
 # ----------------------------------------------------------------------------- bins
 
 def bin_edges(df: DataFrame, features: Sequence[str], bins: int = MOST_BINS) -> list[np.ndarray]:
@@ -137,20 +190,36 @@ def bin_edges(df: DataFrame, features: Sequence[str], bins: int = MOST_BINS) ->
     return out
 
 
-def _pack(batches: Iterator[pd.DataFrame], edges: list[np.ndarray], rows: int) -> Iterator[pd.DataFrame]:
-    names = [f"f{i}" for i in range(len(edges))]
+def _record(features: int) -> np.dtype:
+    return np.dtype([("fold", np.int16), ("y", np.int8), ("w", float), ("bins", np.uint8, (features,))])
+
+
+def _binned(one: pd.DataFrame, edges: list[np.ndarray]) -> np.ndarray:
+    """Records of rows: fold, label, weight and the bins of the features."""
+    out = np.zeros(len(one), _record(len(edges)))
+    for i, e in enumerate(edges):
+        out["bins"][:, i] = np.searchsorted(e, one[f"f{i}"].to_numpy(float), "left")
+    out["y"], out["w"], out["fold"] = one["y"].to_numpy(np.int8), one["w"].to_numpy(float), one["fold"].to_numpy(np.int16)
+    return out
+
+
+def _block(records: np.ndarray, count: np.ndarray) -> pd.DataFrame:
+    """One block, its rows in order of the fold."""
+    order = np.argsort(records["fold"], kind="stable")
+    r = records[order]
+    return pd.DataFrame([{"block": uuid.uuid4().hex, "n": len(r), "bins": np.ascontiguousarray(r["bins"].T).tobytes(),
+                          "y": r["y"].tobytes(), "w": r["w"].tobytes(), "fold": r["fold"].tobytes(),
+                          "count": count[order].tobytes()}])
+
 
-    def block(parts: list[pd.DataFrame]) -> pd.DataFrame:
-        one = pd.concat(parts, ignore_index=True)
-        bins = np.stack([np.searchsorted(e, one[f].to_numpy(float), "left").astype(np.uint8)
-                         for f, e in zip(names, edges)])
-        return pd.DataFrame([{"block": uuid.uuid4().hex, "n": len(one), "bins": bins.tobytes(),
-                              "y": one["y"].to_numpy(np.int8).tobytes(), "w": one["w"].to_numpy(float).tobytes(),
-                              "fold": one["fold"].to_numpy(np.int16).tobytes()}])
+def _pack(batches: Iterator[pd.DataFrame], edges: list[np.ndarray], rows: int) -> Iterator[pd.DataFrame]:
+    def block(parts: list[np.ndarray]) -> pd.DataFrame:
+        one = np.concatenate(parts)
+        return _block(one, np.ones(len(one)))
 
     held, n = [], 0
     for batch in batches:
-        held, n = [*held, batch], n + len(batch)
+        held, n = [*held, _binned(batch, edges)], n + len(batch)
         if n >= rows:
             yield block(held)
             held, n = [], 0
@@ -158,10 +227,27 @@ def _pack(batches: Iterator[pd.DataFrame], edges: list[np.ndarray], rows: int) -
         yield block(held)
 
 
+def _cells(batches: Iterator[pd.DataFrame], edges: list[np.ndarray]) -> Iterator[pd.DataFrame]:
+    """Each batch's different records and how often they occur."""
+    for batch in batches:
+        records = _binned(batch, edges)
+        if len(records):
+            found, count = np.unique(records.view(np.dtype((np.void, records.itemsize))), return_counts=True)
+            yield pd.DataFrame({"cell": [c.tobytes() for c in found], "n": count})
+
+
+def _pack_cells(batches: Iterator[pd.DataFrame], features: int) -> Iterator[pd.DataFrame]:
+    held = list(batches)                                            # cells of one block
+    if held:
+        one = pd.concat(held, ignore_index=True)
+        if len(one):
+            yield _block(np.frombuffer(b"".join(one["cell"]), _record(features)), one["n"].to_numpy(float))
+
+
 def _open(row) -> tuple:
     n = row["n"]
     return (row["block"], np.frombuffer(row["bins"], np.uint8).reshape(-1, n), np.frombuffer(row["y"], np.int8),
-            np.frombuffer(row["w"], float), np.frombuffer(row["fold"], np.int16))
+            np.frombuffer(row["w"], float), np.frombuffer(row["fold"], np.int16), np.frombuffer(row["count"], float))
 
 
 # ----------------------------------------------------------------------------- tasks
@@ -174,66 +260,107 @@ class Grown:
     value: np.ndarray
 
 
-def _walk(bins: np.ndarray, split: np.ndarray, at_most: np.ndarray, levels: int) -> np.ndarray:
-    """Node of each row after so many levels of one tree (rows in leaves stay)."""
-    at, rows = np.zeros(bins.shape[1], np.int64), np.arange(bins.shape[1])
+def _walk(flat: np.ndarray, base: np.ndarray, split: np.ndarray, at_most: np.ndarray, levels: int,
+          at: np.ndarray | None = None) -> np.ndarray:
+    """Node of each row after so many levels of one tree, from the root or from ``at`` (rows in leaves stay).
+
+    ``flat`` has the rows' codes one after the other, the row at ``base[i]`` first.
+    """
+    inner = split >= 0
+    feature = np.where(inner, split, 0).astype(np.int64)
+    bound = np.where(inner, at_most, np.iinfo(flat.dtype).max).astype(flat.dtype)       # leaves: never to the right
+    child = np.where(inner, 2 * np.arange(len(split)) + 1, np.arange(len(split)))
+    at = np.zeros(len(base), np.int64) if at is None else at.astype(np.int64)
     for _ in range(levels):
-        f = split[at]
-        right = bins[np.maximum(f, 0), rows] > at_most[at]
-        at = np.where(f >= 0, 2 * at + 1 + right, at)
+        right = flat.take(base + feature.take(at)) > bound.take(at)
+        at = child.take(at)
+        at += right
     return at
 
 
-def _state(block: tuple, job: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(gradients, hessians) of a block's rows, per model, as whole multiples of ``job["unit"]``."""
-    name, bins, y, w, fold = block
-    key = (job["run"], name)
-    done, margin, g, h = _MEMO.pop(key, (0, None, None, None))
-    if margin is None:
-        margin = np.zeros((job["models"], bins.shape[1]))
-    if g is None or done < job["done"]:
-        for chunk in range(done // job["each"], len(job["chunks"])):
-            for grown in job["chunks"][chunk].value[max(0, done - chunk * job["each"]):]:
-                _add(margin, bins, grown, job["depth"])
-                done += 1
-        for grown in job["recent"][done - job["each"] * len(job["chunks"]):]:
-            _add(margin, bins, grown, job["depth"])
-            done += 1
-        p = 1 / (1 + np.exp(-margin))
-        weight = np.stack([w if k is None else np.where(fold == k, 0.0, w) for k in job["left_out"]])
-        g = np.rint(weight * (p - y) / job["unit"])
-        h = np.rint(weight * p * (1 - p) / job["unit"])
-    _MEMO[key] = (done, margin, g, h)
-    while len(_MEMO) > 1 and sum(3 * m.nbytes for _, m, _, _ in _MEMO.values()) > MEMO_BYTES:
+def _ranges(fold: np.ndarray, left_out: int | None) -> list[tuple[int, int]]:
+    """The stretches of a block's rows, which lie in order of the fold, that a model learns from."""
+    a, b = (0, 0) if left_out is None else np.searchsorted(fold, [left_out, left_out + 1])
+    return [(x, y) for x, y in ((0, int(a)), (int(b), len(fold))) if x < y]
+
+
+class _State:
+    """What a worker knows of one block: margins after ``done`` trees, the gradients they give, and the nodes of
+    its rows after ``level`` levels of the next tree."""
+
+    def __init__(self, models: int, n: int):
+        self.done, self.level = 0, 0
+        self.margin, self.g, self.h = np.zeros((models, n)), None, None
+        self.node = np.zeros((models, n), np.int16)
+
+    def nbytes(self) -> int:
+        return 3 * self.margin.nbytes + self.node.nbytes
+
+    def add(self, flat: np.ndarray, base: np.ndarray, ranges: list, grown: Grown, depth: int) -> None:
+        """One more finished tree."""
+        for m, own in enumerate(ranges):
+            for a, b in own:
+                at = _walk(flat, base[a:b], grown.split[m], grown.bin[m], depth - self.level, self.node[m, a:b])
+                self.margin[m, a:b] += grown.value[m].take(at)
+        self.done, self.level, self.g = self.done + 1, 0, None
+        self.node[:] = 0
+
+
+def _state(block: tuple, job: dict, flat: np.ndarray, base: np.ndarray, ranges: list) -> _State:
+    """Margins of a block's rows per model, gradients and hessians as whole multiples of ``job["unit"]``, and the
+    rows' nodes on the job's level."""
+    name, bins, y, w, _, count = block
+    key, each = (job["run"], name), job["each"]
+    state = _MEMO.pop(key, None)
+    if state is None or state.done > job["done"] or (state.done == job["done"] and state.level > job["level"]):
+        state = _State(job["models"], bins.shape[1])                # new here, or an earlier job is run again
+    for chunk in range(state.done // each, len(job["chunks"])):
+        for grown in job["chunks"][chunk].value[state.done - chunk * each:]:
+            state.add(flat, base, ranges, grown, job["depth"])
+    for grown in job["recent"][state.done - each * len(job["chunks"]):]:
+        state.add(flat, base, ranges, grown, job["depth"])
+    if state.g is None:
+        state.g, state.h = np.zeros_like(state.margin), np.zeros_like(state.margin)
+        for m, own in enumerate(ranges):
+            for a, b in own:
+                p = 1 / (1 + np.exp(-state.margin[m, a:b]))
+                state.g[m, a:b] = np.rint(w[a:b] * (p - y[a:b]) / job["unit"]) * count[a:b]
+                state.h[m, a:b] = np.rint(w[a:b] * p * (1 - p) / job["unit"]) * count[a:b]
+    if state.level < job["level"]:
+        for m, own in enumerate(ranges):
+            for a, b in own:
+                state.node[m, a:b] = _walk(flat, base[a:b], job["split"][m], job["bin"][m],
+                                           job["level"] - state.level, state.node[m, a:b])
+        state.level = job["level"]
+    _MEMO[key] = state
+    while len(_MEMO) > 1 and sum(s.nbytes() for s in _MEMO.values()) > MEMO_BYTES:
         _MEMO.popitem(last=False)
-    return g, h
-
-
-def _add(margin: np.ndarray, bins: np.ndarray, grown: Grown, depth: int) -> None:
-    for m in range(len(margin)):
-        margin[m] += grown.value[m][_walk(bins, grown.split[m], grown.bin[m], depth)]
+    return state
 
 
 def _sums(blocks: Iterator[tuple], job: dict) -> Iterator[np.ndarray]:
     """This task's histograms: (slot, feature, bin, gradient or hessian)."""
     total = np.zeros((job["slots"], job["features"], job["bins"], 2))
     for block in blocks:
-        g, h = _state(block, job)
-        bins = block[1]
+        bins, fold = block[1], block[4]
+        flat, base = bins.T.ravel(), np.arange(bins.shape[1]) * len(bins)
+        ranges = [_ranges(fold, k) for k in job["left_out"]]
+        state = _state(block, job, flat, base, ranges)
         for m in range(job["models"]):
             slot = job["slot"][m]                                   # by node; -1: not summed
             if (slot < 0).all():
                 continue
-            mine = slot[_walk(bins, job["split"][m], job["bin"][m], job["level"])]
-            rows = np.flatnonzero(mine >= 0)
             low = slot[slot >= 0].min()
             n = int(slot.max()) - low + 1
-            at = (mine[rows] - low) * job["bins"]
-            for f in range(job["features"]):
-                i = at + bins[f, rows]
-                for k, each in enumerate((g, h)):
-                    total[low:low + n, f, :, k] += np.bincount(
-                        i, each[m][rows], n * job["bins"]).reshape(n, job["bins"])
+            start = np.where(slot >= 0, (slot - low) * job["bins"], -1)
+            for a, b in ranges[m]:
+                at = start.take(state.node[m, a:b])
+                rows = np.flatnonzero(at >= 0)
+                at, sides = at.take(rows), [each[m, a:b].take(rows) for each in (state.g, state.h)]
+                for f in range(job["features"]):
+                    i = at + bins[f, a:b].take(rows)
+                    for k, each in enumerate(sides):
+                        total[low:low + n, f, :, k] += np.bincount(i, each, n * job["bins"]).reshape(n, job["bins"])
     yield total
 
 
@@ -371,10 +498,18 @@ def fit_boosted(train: DataFrame, features: Sequence[str], label: str, weight: s
                         F.col(f"`{weight}`").cast("double").alias("w"),
                         (F.col(f"`{fold}`") if fold else F.lit(-1)).cast("int").alias("fold"))
     edges = bin_edges(thin, [f"f{i}" for i in range(len(features))], bins)
-    total = thin.agg(F.sum("w")).first()[0] or 0.0
-    packed = parquet_handover(thin.mapInPandas(
-        partial(_pack, edges=edges, rows=BLOCK_ROWS),
-        "block string, n int, bins binary, y binary, w binary, fold binary"), folder, "blocks")
+    total, n_rows = thin.agg(F.sum("w"), F.count(F.lit(1))).first()
+    total = total or 0.0
+    cells = 2 * max(1, n_folds) * math.prod(len(e) + 1 for e in edges)          # at most so many differ
+    schema = "block string, n int, bins binary, y binary, w binary, fold binary, count binary"
+    if 2 * cells <= n_rows:
+        merged = thin.mapInPandas(partial(_cells, edges=edges), "cell binary, n long").groupBy("cell").agg(
+            F.sum("n").alias("n"))
+        packed = merged.repartition(max(1, -(-cells // BLOCK_ROWS)), "cell").mapInPandas(
+            partial(_pack_cells, features=len(edges)), schema)
+    else:
+        packed = thin.mapInPandas(partial(_pack, edges=edges, rows=BLOCK_ROWS), schema)
+    packed = parquet_handover(packed, folder, "blocks")
     settings = dict(edges=edges, left_out=left_out, total_weight=total, depth=max_depth, rate=rate, ridge=ridge,
                     min_child=min_child)
     n_blocks = packed.count()
@@ -383,7 +518,8 @@ def fit_boosted(train: DataFrame, features: Sequence[str], label: str, weight: s
             trees = packed.rdd.map(_open).coalesce(1).mapPartitions(
                 partial(_grow_here, n_trees=n_trees, settings=settings)).first()
         else:
-            dealt = packed.repartition(min(n_blocks, 4 * default_parallelism(spark)))
+            # a task per core, whatever the shuffle's width: each level is a job of its own
+            dealt = packed.repartition(min(n_blocks, max(2, spark.sparkContext.defaultParallelism)))
             blocks = dealt.rdd.map(_open).persist(StorageLevel.MEMORY_AND_DISK)
             trees = _grow(blocks, n_trees, settings)
             blocks.unpersist()
