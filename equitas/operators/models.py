@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from ..plans.quantiles import exact_quantiles
-from .boosting import Boosted, fit_boosted
+from .boosting import Boosted, fit_boosted, own_margins, with_margins
 from .evaluate import class_weights
 
 FEATURES = "features"
@@ -170,16 +170,26 @@ def fold_column(df: DataFrame, key_cols: Sequence[str], n_folds: int = 5, seed:
 class Calibrated:
     folds: list          # [(Fitted base, A, B)]
 
-    def score(self, df: DataFrame, name: str = "calibrated") -> DataFrame:
-        """Mean of the fold models' calibrated probabilities."""
-        out = df
-        parts = []
-        for i, (base, a, b) in enumerate(self.folds):
-            out = base.score(out, prob=f"_p{i}", margin=f"_m{i}").drop(f"_p{i}")
-            parts.append(F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) * F.col(f"_m{i}") + F.lit(b)))))
+    def score(self, df: DataFrame, name: str = "calibrated", beside: Boosted | None = None,
+              before: str = "before") -> DataFrame:
+        """Mean of the fold models' calibrated probabilities, and in ``before`` that of the model ``beside``.
+
+        Boosted trees are all walked by one Python function, so a task needs one worker however many folds there are.
+        """
+        bases, margins = [base for base, _, _ in self.folds], [f"_m{i}" for i in range(len(self.folds))]
+        more = [beside] if beside is not None else []
+        if bases and all(isinstance(b, Boosted) and b.features == bases[0].features for b in [*bases, *more]):
+            out = with_margins(df, [*bases, *more], [*margins, *["_beside"] * len(more)])
+            if more:
+                out = out.withColumn(before, F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_beside")))).drop("_beside")
+        else:
+            out = df if beside is None else beside.score(df, prob=before, margin="_beside").drop("_beside")
+            for base, m in zip(bases, margins):
+                out = base.score(out, prob="_p", margin=m).drop("_p")
+        parts = [F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) * F.col(m) + F.lit(b))))
+                 for (_, a, b), m in zip(self.folds, margins)]
         avg = sum(parts, F.lit(0.0)) / F.lit(float(len(parts)))
-        return out.withColumn(name, avg).drop(*[f"_m{i}" for i in range(len(self.folds))])
-
+        return out.withColumn(name, avg).drop(*margins)
 
     def save(self, path: str) -> None:
         """Each fold's model, and one row per fold with its sigmoid, under ``path``."""
@@ -278,9 +288,14 @@ def calibrate_cv(train: DataFrame, features: Sequence[str], label: str, key_cols
                                               max_depth), range(n_folds), parallelism)
         finally:
             kept.unpersist()
-    held = [base.score(data.where(F.col("_fold") == k).fillna(0, subset=[f"`{f}`" for f in features]))
-            .select("_fold", "margin", F.col(f"`{label}`").alias("_y")) for k, base in enumerate(bases)]
-    sigmoids = platt_fit(reduce(DataFrame.unionAll, held), "margin", "_y", "_fold")
+    filled = data.fillna(0, subset=[f"`{f}`" for f in features])
+    if all(isinstance(base, Boosted) for base in bases):            # one pass for all folds
+        held = own_margins(filled, bases, "_fold", "margin").select("_fold", "margin", F.col(f"`{label}`").alias("_y"))
+    else:
+        held = reduce(DataFrame.unionAll, [
+            base.score(filled.where(F.col("_fold") == k)).select("_fold", "margin", F.col(f"`{label}`").alias("_y"))
+            for k, base in enumerate(bases)])
+    sigmoids = platt_fit(held, "margin", "_y", "_fold")
     return Calibrated([(base, *sigmoids.get(k, (1.0, 0.0))) for k, base in enumerate(bases)])
 
 

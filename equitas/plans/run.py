@@ -160,8 +160,7 @@ def run(spark: SparkSession, source, *, target: str | None = None, positive_clas
         cal = calibrate_cv(train, feats, TARGET, key_cols, kind=best, n_folds=n_folds, n_trees=n_trees,
                            max_depth=max_depth, bases=bases if best == "gbt" else None)
         # the uncalibrated probability stays beside the other, so repeated rows are never joined
-        scored = cal.score(models[best].score(split, prob="before", margin="_margin").drop("_margin"),
-                           name="risk_score")
+        scored = cal.score(split, name="risk_score", beside=models[best], before="before")
     else:
         scored = models[best].score(split, prob="risk_score").drop("margin")
     # the audit, the flags and the attributions all read the scores: score once

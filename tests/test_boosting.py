@@ -150,3 +150,63 @@ def test_run_without_id_over_repeated_rows(spark, kind):
         assert "a.b" in more.columns and "a_b" not in more.columns and 0 <= more.first()["prob"] <= 1
     finally:
         res.close()
+
+
+def test_rows_of_one_cell_are_merged(spark, monkeypatch):
+    """Few possible cells: many partitions make one block, with the trees that unmerged rows give."""
+    rng = np.random.default_rng(6)
+    data = [(i, float(rng.integers(0, 5)), float(rng.integers(0, 3)), int(rng.random() < 0.4), 2.0, int(i % 2)) for i in
+            range(2_000)]
+    packed = []
+    keep = boosting.parquet_handover
+    monkeypatch.setattr(boosting, "parquet_handover", lambda df, *a: packed.append(keep(df, *a)) or Held(packed[-1]))
+
+    class Held:
+        def __init__(self, df):
+            self.rdd, self.repartition = df.rdd, df.repartition
+            self.n, self.rows = df.count(), sum(r["n"] for r in df.select("n").collect())
+
+        def count(self):
+            sizes.append((self.n, self.rows))
+            return self.n
+
+    sizes: list = []
+    df = frame(spark, data).repartition(6)
+    merged = fit_boosted(df, FEATS, "y", "w", n_trees=5, max_depth=3, fold="fold", n_folds=2)
+    monkeypatch.setattr(boosting.math, "prod", lambda e: 1 << 40)       # as if cells were many
+    apart = fit_boosted(df, FEATS, "y", "w", n_trees=5, max_depth=3, fold="fold", n_folds=2)
+    assert sizes[0][0] == 1 and sizes[0][1] <= 60 and sizes[1] == (6, 2_000)
+    for a, b in zip(merged, apart):
+        for name in ("split", "threshold", "value", "cover", "gain"):
+            assert (getattr(a, name) == getattr(b, name)).all(), name
+
+
+def test_all_folds_are_scored_by_one_python_function(spark):
+    df = frame(spark, rows(300)).withColumnRenamed("b.c", "b")
+    whole, *bases = fit_with_folds(df, ["a", "b"], "y", ["id"], 3, 4, 2)
+    cal = calibrate_cv(df, ["a", "b"], "y", ["id"], n_folds=3, bases=bases)
+    out = cal.score(df, beside=whole)
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    x = np.array([r[1:3] for r in rows(300)])
+    want = np.mean([1 / (1 + np.exp(-(a * base.margins(x) + b))) for base, a, b in cal.folds], axis=0)
+    got = {r["id"]: r for r in out.collect()}
+    assert np.allclose([got[i]["calibrated"] for i in range(300)], want, atol=1e-12)
+    assert np.allclose([got[i]["before"] for i in range(300)], 1 / (1 + np.exp(-whole.margins(x))), atol=1e-12)
+
+
+def test_scoring_of_repeated_and_extreme_rows():
+    """Margins node by node from the thresholds, however many rows fall between the same ones."""
+    rng = np.random.default_rng(8)
+    split = np.array([[0, 1, -1, -1, -1, -2, -2], [1, -1, 0, -2, -2, -1, -1]])
+    model = Boosted(["a", "b"], split, rng.normal(size=(2, 7)), rng.normal(size=(2, 7)), np.ones((2, 7)))
+    x = np.concatenate([np.repeat(rng.normal(size=(9, 2)), 40, axis=0), rng.normal(size=(50, 2)),
+                        [[np.inf, -np.inf], [model.threshold[0, 0], model.threshold[1, 0]]]])
+    for r, m in zip(x, model.margins(x)):
+        want = 0.0
+        for t in range(2):
+            at = 0
+            while split[t, at] >= 0:
+                at = 2 * at + 1 + (r[split[t, at]] > model.threshold[t, at])
+            want += model.value[t, at]
+        assert m == want
+    assert (model.margins(x[-3:]) == model.margins(x)[-3:]).all()
