@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpoint_dir
-from .boosting import Boosted
+from .boosting import Boosted, codes, distinct
 
 
 @dataclass
@@ -192,14 +192,27 @@ def shap_batch(sets: Sequence[LeafSet], x: np.ndarray) -> np.ndarray:
                     for f, share in zip(s.features, _shares(s.zero[at], ones, s.value[at])):
                         phi[:, f] += share[0]
                 continue
-            case = np.arange(i, i + follows[0].shape[1], dtype=np.int64)[None, :] << size
+            bits = np.zeros(follows[0].shape, np.uint16)             # at most MOST_FEATURES of them
             for k, f in enumerate(follows):
-                case = case + (f.astype(np.int64) << k)
+                bits |= np.left_shift(f, k, dtype=np.uint16)
+            case = bits + (np.arange(i, i + bits.shape[1], dtype=np.int64)[None, :] << size)
             for k, f in enumerate(s.features):
                 phi[:, f] += s.table[k].take(case).sum(axis=1)
     return phi
 
 
+def shap_rows(sets: Sequence[LeafSet], x: np.ndarray) -> np.ndarray:
+    """:func:`shap_batch`, with rows that lie between the same ends of all leaves worked out once."""
+    ends: list[list] = [[np.zeros(0)] for _ in range(x.shape[1])]
+    for s in sets:
+        for k, f in enumerate(s.features):
+            ends[f] += [s.low[:, k], s.high[:, k]]
+    if not len(x) or not sets:
+        return np.zeros(x.shape)
+    first, same = distinct(codes(x, [np.unique(np.concatenate(e)) for e in ends]))
+    return shap_batch(sets, x[first])[same] if 2 * len(first) <= len(x) else shap_batch(sets, x)
+
+
 def tree_expected(t: TreeArrays) -> float:
     leaves = t.feature < 0
     return float((t.value[leaves] * t.cover[leaves]).sum() / t.cover[0])
@@ -236,7 +249,7 @@ def tree_shap(df: DataFrame, model, features: Sequence[str], keep: Sequence[str]
     sets = spark.sparkContext.broadcast(leaf_sets(trees))       # TABLE_BYTES, and the leaves themselves
 
     def explain(rows: pd.DataFrame) -> pd.DataFrame:
-        phis = shap_batch(sets.value, rows.fillna(0.0).to_numpy(dtype=float))   # a whole Arrow batch at once
+        phis = shap_rows(sets.value, rows.fillna(0.0).to_numpy(dtype=float))   # a whole Arrow batch at once
         return pd.DataFrame({"phi": list(phis), "margin": base + phis.sum(axis=1)})
 
     explained = F.pandas_udf(explain, "phi array<double>, margin double").asNondeterministic()   # once per row

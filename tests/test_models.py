@@ -142,3 +142,17 @@ def test_forest_query_fits_the_operators_depth(spark, monkeypatch):
     with pytest.raises(Fitted) as got:
         catalog.QUERIES["fit_score_rf"](spark, "")
     assert (got.value.args[0].getMaxDepth(), got.value.args[0].getNumTrees()) == (10, 200)
+
+
+def test_shap_of_rows_between_the_same_thresholds(monkeypatch):
+    """Rows that no threshold parts are worked out once, with the values they have alone."""
+    from equitas.operators import treeshap
+    tree = treeshap.TreeArrays(np.array([0, 1, -1, -1, -1]), np.array([0.5, 2.0, 0, 0, 0]), np.array([1, 3, -1, -1, -1]),
+                               np.array([2, 4, -1, -1, -1]), np.array([0, 0, 1.0, 2.0, -3.0]),
+                               np.array([10.0, 6, 4, 2, 4]), 1.0)
+    sets = treeshap.leaf_sets([tree])
+    x = np.random.default_rng(1).normal(size=(500, 2)) * 3
+    x[0], x[1] = [0.5, 2.0], [-np.inf, np.inf]
+    sizes, plain = [], treeshap.shap_batch
+    monkeypatch.setattr(treeshap, "shap_batch", lambda s, v: sizes.append(len(v)) or plain(s, v))
+    assert np.allclose(treeshap.shap_rows(sets, x), plain(sets, x), atol=1e-14) and max(sizes) <= 6
