@@ -687,13 +687,16 @@ def q_tree_shap(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_model_comparison(spark: SparkSession, sf: str) -> DataFrame:
-    d = stratified_split(_doc_model_frame(spark, sf), "toxic", ["doc_id"])
+    folder = scratch_folder(spark, "comparison")
+    # both fits, their scores and all metrics read these rows: join and split once
+    d = parquet_handover(stratified_split(_doc_model_frame(spark, sf), "toxic", ["doc_id"]), folder, "split")
     train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
     kinds = ("logistic_regression", "gbt")
     fitted = in_parallel(lambda kind: fit(train, MODEL_FEATURES, "toxic", kind=kind,
                                           n_trees=N_TREES), kinds)
-    table_ = metrics_table({kind: evaluate(m.score(test), "toxic", "prob")
-                            for kind, m in zip(kinds, fitted)})
+    tested = {kind: parquet_handover(m.score(test).select("toxic", "prob"), folder, f"test-{kind}")
+              for kind, m in zip(kinds, fitted)}
+    table_ = metrics_table({kind: evaluate(rows, "toxic", "prob") for kind, rows in tested.items()})
     return table_.crossJoin(best_model(table_)).select(   # best_model is one row
         "model", "auc", "accuracy", "precision", "recall", "f1", "tn", "fp", "fn", "tp", "best_model")
 
