@@ -8,9 +8,9 @@ a window's counts, all that is kept or sent per attribute, have a size bound.
 
 * Batch twin: counts per (window, attribute, cell) by one aggregate, edges by
   a running sum over the cells, the edges before by a lag over the windows.
-* Stream: tasks reduce their rows to cells, and one state per attribute keeps
-  the open windows' cells in a map, the edges of the last closed window and a
-  timer. A window closes when an event is later than its end by the allowed
+* Stream: tasks reduce all their rows to cells, and one state per attribute
+  keeps the open windows' cells in a map (one entry per window, read and written
+  once a batch), the edges of the last closed window and a timer. A window closes when an event is later than its end by the allowed
   lateness; a stream without input for ``idle`` seconds closes what is open.
   Rows of a closed window are late and dropped.
 
@@ -39,6 +39,8 @@ COUNTS = ("n", "n_pred_pos", "n_pos", "n_true_pos")
 OUT_SCHEMA = ("window_start long, attribute string, n_groups long, n_rows long, dpd double, eod double, "
               "dpd_flagged boolean, eod_flagged boolean")
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Cells that a task holds before it hands them on, and that a state adds up at a time.
+HELD_CELLS = 1 << 17
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -112,23 +114,28 @@ class ValueMonitor(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.cells = handle.getMapState("cells", "w long, cell double",
-                                        "n long, n_pred_pos long, n_pos long, n_true_pos long")
+        self.cells = handle.getMapState("cells", "w long", "cell array<double>, " + ", ".join(
+            f"{c} array<long>" for c in COUNTS))
         self.closed = handle.getValueState("closed", "w long, edges array<double>, last long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         past, edges, last = self.closed.get() or (None, None, None)
+        held: list[pd.DataFrame] = []
         for part in rows:
             part = part if past is None else part[part["w"] > past]
             if not len(part):
                 continue
             newest = int(part["last"].max())
             last = newest if last is None else max(last, newest)
-            for (w, cell), own in part.groupby(["w", "cell"], sort=False)[list(COUNTS)].sum().iterrows():
-                at, add = (int(w), float(cell)), [int(x) for x in own]
-                if self.cells.containsKey(at):
-                    add = [a + int(b) for a, b in zip(add, self.cells.getValue(at))]
-                self.cells.updateValue(at, tuple(add))
+            held.append(_counted(part, ["w", "cell"]))
+            if sum(map(len, held)) > HELD_CELLS:
+                held = [_counted(pd.concat(held), ["w", "cell"])]
+        if held:
+            for w, own in pd.concat(held).groupby("w"):
+                if self.cells.containsKey((int(w),)):
+                    own = pd.concat([own, self._window(int(w))])
+                own = _counted(own, ["cell"])
+                self.cells.updateValue((int(w),), tuple(own[c].tolist() for c in ("cell", *COUNTS)))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + 1000 * self.idle)
@@ -139,16 +146,16 @@ class ValueMonitor(StatefulProcessor):
         past, edges, last = self.closed.get() or (None, None, None)
         yield from self._close(key[0], past, edges, last, None if last is None else last)
 
+    def _window(self, w: int) -> pd.DataFrame:
+        """The cells kept for a window."""
+        return pd.DataFrame(dict(zip(("cell", *COUNTS), map(list, self.cells.getValue((w,))))))
+
     def _close(self, attribute: str, past, edges, last, until) -> Iterator[pd.DataFrame]:
         """Emit the open windows that start no later than ``until``, in order."""
-        ready: dict[int, list] = {}
-        if until is not None:
-            for (w, cell), counts in self.cells.iterator():
-                if w <= until:
-                    ready.setdefault(int(w), []).append((float(cell), *map(int, counts)))
+        ready = [] if until is None else sorted(int(key[0]) for key in self.cells.keys() if key[0] <= until)
         out = []
-        for w in sorted(ready):
-            cells = sorted(ready[w])
+        for w in ready:
+            cells = sorted(self._window(w).itertuples(index=False, name=None))
             own = quartile_edges([(c[0], c[1]) for c in cells])
             use = own if edges is None else list(edges)
             groups: dict[int, list[int]] = {}
@@ -156,7 +163,7 @@ class ValueMonitor(StatefulProcessor):
                 g = groups.setdefault(sum(x < cell for x in use), [0, 0, 0, 0])
                 for i, c in enumerate(counts):
                     g[i] += c
-                self.cells.removeKey((w, cell))
+            self.cells.removeKey((w,))
             rate = [g[1] / g[0] for g in groups.values()]
             tpr = [g[3] / g[2] if g[2] else 0.0 for g in groups.values()]
             dpd, eod = max(rate) - min(rate), max(tpr) - min(tpr)
@@ -174,12 +181,26 @@ class ValueMonitor(StatefulProcessor):
         pass
 
 
+def _counted(rows: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
+    return rows.groupby(keys, as_index=False, sort=False)[list(COUNTS)].sum()
+
+
 def _partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of a batch reduced to cells before they move."""
-    for batch in batches:
-        yield batch.groupby(["attribute", "w", "cell"], as_index=False).agg(
+    """A task's rows reduced to cells before they move; it holds some HELD_CELLS of them at most."""
+    def reduce(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        return pd.concat(parts).groupby(["attribute", "w", "cell"], as_index=False).agg(
             {**{c: "sum" for c in COUNTS}, "last": "max"})
 
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        held.append(reduce([batch]))
+        if sum(map(len, held)) > HELD_CELLS:
+            held = [reduce(held)]
+            if len(held[0]) > HELD_CELLS // 2:
+                yield held.pop()
+    if held:
+        yield reduce(held)
+
 
 def run_value_monitor(spark: SparkSession, source_path: str, schema: T.StructType, ts: str,
                       attributes: Sequence[tuple[str, Column]], pred: Column, label: Column, out_dir: str,

@@ -4,8 +4,10 @@ import datetime as dt
 import math
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
+from equitas.streaming import values
 from equitas.streaming.values import bias_by_value_window, quartile_edges, run_value_monitor
 
 DAY = 86_400
@@ -90,3 +92,73 @@ def test_edges_on_ties():
     assert quartile_edges([(1.0, 5)]) == [1.0]
     assert quartile_edges([(1.0, 1), (2.0, 1), (3.0, 1), (4.0, 1)]) == [1.0, 2.0, 3.0]
     assert quartile_edges([]) == []
+
+
+def test_a_task_reduces_all_its_batches():
+    """One row per cell of a task, whatever the number of Arrow batches it reads."""
+    batch = pd.DataFrame({"attribute": ["v"] * 4, "w": [0, 0, 1, 1], "cell": [1.0, 1.0, 2.0, 3.0], "n": 1, "n_pred_pos": 0,
+                          "n_pos": 1, "n_true_pos": 0, "last": [3, 4, 5, 6]})
+    out = list(values._partial(iter([batch] * 50)))
+    assert len(out) == 1 and len(out[0]) == 3 and out[0]["n"].tolist() == [100, 50, 50]
+    assert out[0]["last"].tolist() == [4, 5, 6] and list(values._partial(iter([]))) == []
+
+
+def test_state_is_read_and_written_once_a_window():
+    class State:
+        def __init__(self):
+            self.kept, self.calls = {}, 0
+
+        def containsKey(self, key):
+            self.calls += 1
+            return key in self.kept
+
+        def getValue(self, key):
+            self.calls += 1
+            return self.kept[key]
+
+        def updateValue(self, key, value):
+            self.calls += 1
+            self.kept[key] = value
+
+        def removeKey(self, key):
+            del self.kept[key]
+
+        def keys(self):
+            return iter(list(self.kept))
+
+    class Handle:
+        def __init__(self):
+            self.cells, self.own = State(), None
+
+        def getMapState(self, *a):
+            return self.cells
+
+        def getValueState(self, *a):
+            return self
+
+        def get(self):
+            return self.own
+
+        def update(self, value):
+            self.own = value
+
+        def listTimers(self):
+            return iter([])
+
+        def registerTimer(self, at):
+            pass
+
+    class Now:
+        def getCurrentProcessingTimeInMs(self):
+            return 0
+
+    monitor, handle = values.ValueMonitor(100, 0, 5), Handle()
+    monitor.init(handle)
+    part = pd.DataFrame({"w": [0] * 300, "cell": [float(i) for i in range(300)], "n": 1, "n_pred_pos": 1, "n_pos": 1,
+                         "n_true_pos": 1, "last": 50})
+    for _ in range(2):
+        assert list(monitor.handleInputRows(("v",), iter([part] * 20), Now())) == []
+    assert handle.cells.calls <= 6 and handle.cells.kept[(0,)][1] == [40] * 300
+    late = part[:1].assign(w=100, last=250)
+    out = next(monitor.handleInputRows(("v",), iter([late]), Now()))
+    assert out["n_rows"].tolist() == [12_000, 1] and out["n_groups"].tolist() == [4, 1] and not handle.cells.kept
