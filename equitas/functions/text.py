@@ -59,18 +59,25 @@ def _fill(template: str, parts: Column) -> Column:
 
 
 def reason_text(factors: Column, tier: Column) -> Column:
-    """Plain-language reason. An empty factor list gives the tier sentence alone."""
-    parts = factor_phrases(factors)
-    n = F.size(parts)
-    out = None
-    for name, (three, two, one, suffix) in TEMPLATES.items():
-        body = (F.when(n >= 3, _fill(three, parts))
-                 .when(n == 2, _fill(two, parts))
-                 .when(n == 1, _fill(one, parts))
-                 .otherwise(F.lit(NO_FACTORS[name])))
-        sentence = F.concat(body, F.lit(suffix))
-        out = F.when(tier == name, sentence) if out is None else out.when(tier == name, sentence)
-    return out
+    """Plain-language reason. An empty factor list gives the tier sentence alone.
+
+    The phrases are worked out once a row: the templates see them as a lambda's
+    variable, where a plain column would be copied into every slot of every one.
+    """
+    def sentence(s: Column) -> Column:
+        parts, own = s["parts"], s["tier"]
+        n, out = F.size(parts), None
+        for name, (three, two, one, suffix) in TEMPLATES.items():
+            body = (F.when(n >= 3, _fill(three, parts))
+                     .when(n == 2, _fill(two, parts))
+                     .when(n == 1, _fill(one, parts))
+                     .otherwise(F.lit(NO_FACTORS[name])))
+            text = F.concat(body, F.lit(suffix))
+            out = F.when(own == name, text) if out is None else out.when(own == name, text)
+        return out
+
+    bound = F.array(F.struct(factor_phrases(factors).alias("parts"), tier.alias("tier")))
+    return F.element_at(F.transform(bound, sentence), 1)
 
 
 def entity_id(id_col: Column | None, prefix: str, index: Column | None) -> Column:

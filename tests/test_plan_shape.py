@@ -44,3 +44,13 @@ def test_filters_reach_the_scan(spark):
     assert pushed and "EqualTo(l_returnflag,R)" in pushed[0]
     read = [line for line in plan.splitlines() if line.startswith("ReadSchema")][0]
     assert "l_comment" not in read and "l_orderkey" in read
+
+
+def test_reason_text_works_phrases_out_once(spark):
+    """The display-name expressions stand in the plan once, not in every slot of every sentence."""
+    from equitas.functions.text import intervention_tier, reason_text
+    df = spark.sql("select array(named_struct('feature', 'someName', 'shap_value', 1.0D)) f, 0.9D s")
+    out = df.select(reason_text(F.col("f"), intervention_tier(F.col("s"))).alias("t"))
+    assert out.first()["t"] == "High risk primarily due to some name. Immediate review recommended."
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert plan.count("(?<=[a-z])(?=[A-Z])") == 2         # plain and mitigating
