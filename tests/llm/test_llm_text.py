@@ -157,6 +157,51 @@ def test_near_vectors(spark, cell_rows):
     assert not got[None].kept
 
 
+def test_near_vectors_takes_disk_in_proportion_to_the_input(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(2000, 64))                     # no structure: every vector visits nearly every cell
+    x[1000:1400] = x[:400] + 0.02 * rng.normal(size=(400, 64))
+    x[1400:1440] = x[7] + 0.03 * rng.normal(size=(40, 64))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    want = closed(len(x), np.argwhere(near).tolist())
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+
+    def on_disk():
+        return sum(os.stat(f"{d}/{f}").st_size for top in folders for d, _, names in os.walk(top) for f in names
+                   if f.startswith("shuffle"))
+
+    before = on_disk()
+    got = {r.vec_id: r for r in embeddings.near_vectors(df, 0.9, 50).collect()}
+    grown = on_disk() - before
+    for i in range(len(x)):
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (near[i].sum() - 1, want[i], want[i] == i)
+    assert grown < 6 * x.nbytes                         # a copy per cell visited takes some 35 times as much
+
+
+def _block(x, axes, weight=None):
+    ids, n = np.arange(len(x)), np.ones(len(x), np.int64) if weight is None else weight
+    return embeddings.Block.open(ids.tobytes(), n.tobytes(), x.tobytes(), "<f8", axes)
+
+
+@pytest.mark.parametrize("noise", [0.02, 0.3])
+def test_bounds_on_leading_axes_lose_no_link(noise):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(60, 96))[rng.integers(0, 60, 900)] + noise * rng.normal(size=(900, 96))
+    x[700:] = x[0] + 0.2 * rng.normal(size=(200, 96))   # a dense tile
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    axes = embeddings.fit_axes(unit[::2], 0.9)
+    assert noise > 0.1 or axes.lead < 72
+    axes = axes or embeddings.Axes(np.linalg.qr(rng.normal(size=(96, 96)))[0], 24)     # too many pairs near the threshold
+    one, two = (_block(x[a:b], axes, rng.integers(1, 4, b - a)) for a, b in ((0, 500), (500, 900)))
+    near = unit[:500] @ unit[500:].T >= 0.9
+    ids, _, sums = embeddings.block_links(one, two, 0.9)
+    want = np.concatenate([near @ two.weight, one.weight @ near])
+    assert sums.tolist() == want[want > 0].tolist()
+    assert ids.tolist() == np.concatenate([np.arange(500), np.arange(400)])[want > 0].tolist()
+
+
 def test_near_vectors_of_nothing(spark):
     assert embeddings.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     bad = spark.createDataFrame([(1, None), (None, [0.0])], "vec_id long, embedding array<double>")
