@@ -15,8 +15,10 @@ together through every tree, and all sums are exact, so the trees are the same.
 
 Gradients are rounded to whole multiples of a power of two that keeps all sums
 exact, so the result does not depend on partitions, order or retries. A task
-finds its rows' margins from the finished trees; what a Python worker has
-computed before is kept in a bounded memo, which a lost worker just rebuilds.
+finds its rows' margins from the finished trees; what has been computed before
+is kept by block in the executor's own scratch folder, which all its Python
+workers share (Spark gives a block to any of them), and is just rebuilt where
+it is missing.
 
 Splits maximise ``GL^2/(HL+l) + GR^2/(HR+l) - G^2/(H+l)``, both sides with a
 hessian of at least ``min_child``; leaves are ``-rate * G / (H + l)``; the first
@@ -25,7 +27,11 @@ margin is 0 and the loss is logistic.
 
 from __future__ import annotations
 
+import contextlib
+import fcntl
 import math
+import os
+import shutil
 import uuid
 from collections import OrderedDict
 from collections.abc import Iterator, Sequence
@@ -43,8 +49,10 @@ from ..session import parquet_handover, remove, shared_root
 MOST_BINS = 256
 #: Rows of a block, and the doubles of one level's histograms that tasks and driver may hold.
 BLOCK_ROWS, HISTOGRAM_DOUBLES = 1 << 16, 1 << 25
-#: Bytes of margins and gradients that a Python worker keeps from one job to the next.
+#: Bytes of margins and gradients that a Python worker without a scratch folder keeps from one job to the next.
 MEMO_BYTES = 512 << 20
+#: Bytes of histograms that the driver takes straight from the tasks; more of them are added up in a tree of tasks.
+STRAIGHT_BYTES = 64 << 20
 #: Finished trees are broadcast so many at a time.
 TREE_CHUNK = 20
 LEAST_GAIN = 1e-6
@@ -285,13 +293,38 @@ def _ranges(fold: np.ndarray, left_out: int | None) -> list[tuple[int, int]]:
 
 
 class _State:
-    """What a worker knows of one block: margins after ``done`` trees, the gradients they give, and the nodes of
-    its rows after ``level`` levels of the next tree."""
+    """What is known of one block: margins after ``done`` trees, the gradients they give if they are ``fresh``, and the
+    nodes of its rows after ``level`` levels of the next tree. With a ``file`` it stays there after ``close``."""
 
-    def __init__(self, models: int, n: int):
-        self.done, self.level = 0, 0
-        self.margin, self.g, self.h = np.zeros((models, n)), None, None
-        self.node = np.zeros((models, n), np.int16)
+    def __init__(self, models: int, n: int, file=None):
+        self.file, self.head, parts = file, np.zeros(4, np.int64), [8, 8, 8, 2]
+        if file is None:
+            kept = np.zeros(sum(parts) * models * n, np.uint8)
+        else:
+            size = 32 + sum(parts) * models * n
+            if os.fstat(file.fileno()).st_size != size:             # new: reads as zeros
+                file.truncate(0)
+                file.truncate(size)
+            whole = np.memmap(file, np.uint8, "r+", shape=(size,))
+            self.head, kept = whole[:32].view(np.int64), whole[32:]
+        at = np.cumsum([0, *parts]) * models * n
+        self.margin, self.g, self.h, self.node = (
+            kept[x:y].view(kind).reshape(models, n) for x, y, kind in zip(at, at[1:], (float, float, float, np.int16)))
+        whole, self.done, self.level, fresh = (int(x) for x in self.head)
+        self.fresh = bool(fresh)
+        if file is not None and not whole:                          # new, or its task was ended while it wrote
+            self.clear()
+        self.head[0] = 0
+
+    def clear(self) -> None:
+        self.done, self.level, self.fresh = 0, 0, False
+        self.margin[:], self.node[:] = 0, 0
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.head[:] = 1, self.done, self.level, self.fresh
+            fcntl.flock(self.file, fcntl.LOCK_UN)
+            self.file.close()
 
     def nbytes(self) -> int:
         return 3 * self.margin.nbytes + self.node.nbytes
@@ -302,36 +335,68 @@ class _State:
             for a, b in own:
                 at = _walk(flat, base[a:b], grown.split[m], grown.bin[m], depth - self.level, self.node[m, a:b])
                 self.margin[m, a:b] += grown.value[m].take(at)
-        self.done, self.level, self.g = self.done + 1, 0, None
+        self.done, self.level, self.fresh = self.done + 1, 0, False
         self.node[:] = 0
 
 
+def _kept_folder(run: str) -> str | None:
+    """A run's folder among this executor's block files, which Spark removes with the executor at the latest."""
+    top = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0]
+    return f"{top}/equitas-boost-{run}" if os.path.isdir(top) else None
+
+
+def _kept_file(run: str, name: str):
+    """A block's state file, for this task alone; None without a folder, or while another attempt has it."""
+    folder = _kept_folder(run)
+    if folder is None:
+        return None
+    os.makedirs(folder, exist_ok=True)
+    file = open(f"{folder}/{name}", "r+b", opener=lambda path, _: os.open(path, os.O_RDWR | os.O_CREAT, 0o600))
+    try:
+        fcntl.flock(file, fcntl.LOCK_EX | fcntl.LOCK_NB)
+    except OSError:
+        file.close()
+        return None
+    return file
+
+
+def _forget(_, run: str) -> Iterator:
+    folder = _kept_folder(run)
+    if folder is not None:
+        shutil.rmtree(folder, ignore_errors=True)
+    return iter(())
+
+
 def _state(block: tuple, job: dict, flat: np.ndarray, base: np.ndarray, ranges: list) -> _State:
     """Margins of a block's rows per model, gradients and hessians as whole multiples of ``job["unit"]``, and the
     rows' nodes on the job's level."""
     name, bins, y, w, _, count = block
     key, each = (job["run"], name), job["each"]
-    state = _MEMO.pop(key, None)
-    if state is None or state.done > job["done"] or (state.done == job["done"] and state.level > job["level"]):
-        state = _State(job["models"], bins.shape[1])                # new here, or an earlier job is run again
+    file = _kept_file(*key) if job["share"] else None
+    state = _MEMO.pop(key, None) if file is None else None
+    state = state or _State(job["models"], bins.shape[1], file)
+    if state.done > job["done"] or (state.done == job["done"] and state.level > job["level"]):
+        state.clear()                                               # an earlier job is run again
     for chunk in range(state.done // each, len(job["chunks"])):
         for grown in job["chunks"][chunk].value[state.done - chunk * each:]:
             state.add(flat, base, ranges, grown, job["depth"])
     for grown in job["recent"][state.done - each * len(job["chunks"]):]:
         state.add(flat, base, ranges, grown, job["depth"])
-    if state.g is None:
-        state.g, state.h = np.zeros_like(state.margin), np.zeros_like(state.margin)
+    if not state.fresh:
         for m, own in enumerate(ranges):
             for a, b in own:
                 p = 1 / (1 + np.exp(-state.margin[m, a:b]))
                 state.g[m, a:b] = np.rint(w[a:b] * (p - y[a:b]) / job["unit"]) * count[a:b]
                 state.h[m, a:b] = np.rint(w[a:b] * p * (1 - p) / job["unit"]) * count[a:b]
+        state.fresh = True
     if state.level < job["level"]:
         for m, own in enumerate(ranges):
             for a, b in own:
                 state.node[m, a:b] = _walk(flat, base[a:b], job["split"][m], job["bin"][m],
                                            job["level"] - state.level, state.node[m, a:b])
         state.level = job["level"]
+    if file is not None:
+        return state
     _MEMO[key] = state
     while len(_MEMO) > 1 and sum(s.nbytes() for s in _MEMO.values()) > MEMO_BYTES:
         _MEMO.popitem(last=False)
@@ -361,6 +426,7 @@ def _sums(blocks: Iterator[tuple], job: dict) -> Iterator[np.ndarray]:
                     i = at + bins[f, a:b].take(rows)
                     for k, each in enumerate(sides):
                         total[low:low + n, f, :, k] += np.bincount(i, each, n * job["bins"]).reshape(n, job["bins"])
+        state.close()
     yield total
 
 
@@ -391,7 +457,8 @@ class _Here:
 class _Trainer:
     """Grows trees from histograms that ``reduce(job)`` sums; ``share`` makes finished trees known to its tasks."""
 
-    def __init__(self, reduce, share, edges, left_out, total_weight, depth, rate, ridge, min_child):
+    def __init__(self, reduce, share, edges, left_out, total_weight, depth, rate, ridge, min_child, spread=False):
+        self.spread = spread                                        # over tasks, whose workers change
         self.reduce, self.share, self.edges, self.left_out = reduce, share, edges, left_out
         self.depth, self.rate, self.ridge, self.min_child = depth, rate, ridge, min_child
         self.models, self.size = len(left_out), 2 ** (depth + 1) - 1
@@ -402,7 +469,7 @@ class _Trainer:
 
     def histograms(self, level: int, slot: np.ndarray, split: np.ndarray, at_most: np.ndarray) -> np.ndarray:
         job = dict(run=self.run, models=self.models, done=len(self.chunks) * TREE_CHUNK + len(self.recent),
-                   each=TREE_CHUNK,
+                   each=TREE_CHUNK, share=self.spread,
                    chunks=self.chunks, recent=self.recent, depth=self.depth, left_out=self.left_out, unit=self.unit,
                    slots=int(slot.max()) + 1, features=len(self.edges), bins=self.bins, slot=slot, split=split,
                    bin=at_most, level=level)
@@ -470,10 +537,19 @@ def _grow_here(blocks: Iterator[tuple], n_trees: int, settings: dict) -> Iterato
 
 
 def _grow(blocks, n_trees: int, settings: dict) -> list[dict]:
-    context = blocks.context
-    trainer = _Trainer(lambda job: blocks.mapPartitions(partial(_sums, job=job)).treeReduce(np.add),
-                       context.broadcast, **settings)
-    trees = [trainer.tree() for _ in range(n_trees)]
+    context, tasks = blocks.context, blocks.getNumPartitions()
+
+    def reduce(job: dict) -> np.ndarray:
+        sums = blocks.mapPartitions(partial(_sums, job=job))
+        straight = 16 * tasks * job["slots"] * job["features"] * job["bins"] <= STRAIGHT_BYTES
+        return sum(sums.collect()) if straight else sums.treeReduce(np.add)     # whole numbers: in any order the same
+
+    trainer = _Trainer(reduce, context.broadcast, **settings, spread=True)
+    try:
+        trees = [trainer.tree() for _ in range(n_trees)]
+    finally:
+        with contextlib.suppress(Exception):                        # what is left goes with the executors
+            blocks.mapPartitions(partial(_forget, run=trainer.run)).count()
     for chunk in trainer.chunks:
         chunk.unpersist()
     return trees

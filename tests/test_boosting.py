@@ -210,3 +210,41 @@ def test_scoring_of_repeated_and_extreme_rows():
             want += model.value[t, at]
         assert m == want
     assert (model.margins(x[-3:]) == model.margins(x)[-3:]).all()
+
+
+def test_state_of_blocks_is_shared_by_the_workers_of_an_executor(monkeypatch, tmp_path):
+    rng = np.random.default_rng(4)
+    records = np.zeros(3000, boosting._record(2))
+    records["bins"], records["w"] = rng.integers(0, 20, (3000, 2)), 1.0
+    records["y"] = records["bins"].sum(axis=1) + rng.integers(0, 9, 3000) > 22
+    blocks = [boosting._open(boosting._block(part, np.ones(len(part))).iloc[0]) for part in np.split(records, 3)]
+    settings = dict(edges=[np.arange(19.0)] * 2, left_out=[None], total_weight=3000.0, depth=3, rate=0.1, ridge=1.0,
+                    min_child=1.0)
+    added, add = [], boosting._State.add
+
+    def counted(state, *args):
+        added.append(1)
+        add(state, *args)
+
+    def another_worker(job):
+        boosting._MEMO.clear()
+        return next(boosting._sums(iter(blocks), job))
+
+    want = [boosting._Trainer(lambda job: next(boosting._sums(iter(blocks), job)), boosting._Here, **settings)]
+    want = [want[0].tree() for _ in range(6)]
+    monkeypatch.setenv("SPARK_LOCAL_DIRS", str(tmp_path))
+    monkeypatch.setattr(boosting._State, "add", counted)
+    trainer = boosting._Trainer(another_worker, boosting._Here, **settings, spread=True)
+    got = [trainer.tree() for _ in range(6)]
+    assert all((a[k] == b[k]).all() for a, b in zip(got, want) for k in a)
+    assert len(added) == 5 * len(blocks)                # each finished tree once, not again for each job
+    file = next(tmp_path.glob("*/*"))
+    held = boosting._kept_file(trainer.run, file.name)  # another attempt has it: worked out anew, to the same
+    assert boosting._kept_file(trainer.run, file.name) is None
+    seventh = trainer.tree()
+    held.close()
+    list(boosting._forget(None, trainer.run))
+    assert not list(tmp_path.iterdir())
+    monkeypatch.delenv("SPARK_LOCAL_DIRS")
+    again = boosting._Trainer(another_worker, boosting._Here, **settings, spread=True)
+    assert all((seventh[k] == v).all() for k, v in [again.tree() for _ in range(7)][-1].items())
